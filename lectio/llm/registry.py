@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from lectio.llm import chat, url_reputation
+from lectio.llm import bpe, chat, token_store, url_reputation
 
 QUERIES = {
     "op2_url_filters": url_reputation.op2_url_filters,
+    "op3_token_store": token_store.op3_token_store,
+    "op4_bpe": bpe.op4_bpe,
     "op9_chat_formatting": chat.op9_chat_formatting,
 }
 ORACLES = {
