@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, token_store, url_reputation
+from lectio.llm import bpe, chat, syncmers, token_store, url_reputation
 
 QUERIES = {
+    "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
     "op2_url_filters": url_reputation.op2_url_filters,
     "op3_token_store": token_store.op3_token_store,
     "op4_bpe": bpe.op4_bpe,
