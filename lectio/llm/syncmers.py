@@ -65,7 +65,7 @@ def anchor_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     """
 
     def places(docs: DataFrame, name: str) -> DataFrame:
-        rows = with_anchors(texts(docs), "text", "anchors").select("doc_id", F.posexplode("anchors").alias("pos", "hash")).filter("hash is not null")
+        rows = with_anchors(texts(docs), "text", "anchors").select("doc_id", F.posexplode_outer("anchors").alias("pos", "hash")).filter("hash is not null")
         return rows.groupBy(F.col("doc_id").alias(f"{name}_id"), "hash").agg(F.min("pos").alias(f"{name}_pos"))
 
     both = places(left, "left").join(places(right, "right"), "hash")
