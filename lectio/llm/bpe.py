@@ -149,7 +149,7 @@ _CODERS: dict[str, tuple[BPE, PieceCache]] = {}
 
 def _coder(path: str) -> tuple[BPE, PieceCache]:
     if path not in _CODERS:
-        _CODERS[path] = (bpe := BPE(path), PieceCache(bpe.encode_pieces))
+        _CODERS[path] = (bpe := BPE(path), PieceCache(bpe.encode_pieces, 500_000))
     return _CODERS[path]
 
 
@@ -163,7 +163,7 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
         bpe, cache = _coder(vocabulary)
         for batch in batches:
             said = batch.column(1).to_pylist()
-            for a, b in slices(said):
+            for a, b in slices(said, most_chars=8_000_000):
                 ids = [np.frombuffer(x, "<i4") for x in cache.encode(said[a:b])]
                 for c in range(0, len(ids), 500):
                     some = ids[c : c + 500]

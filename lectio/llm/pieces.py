@@ -7,6 +7,7 @@ each distinct piece is encoded once per worker as long as the memory bound of th
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import chain, filterfalse
 
 import numpy as np
 import regex
@@ -27,24 +28,23 @@ def split(text: str) -> list[str]:
 class PieceCache:
     """ids of texts by way of their pieces. encode_pieces: list of pieces -> list of little-endian id bytes."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], most: int = 500_000):
+    def __init__(self, encode_pieces: Callable[[list[str]], list[bytes]], most: int = 800_000):
         self.encode_pieces, self.most, self.known = encode_pieces, most, {}
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        """One bytes of ids for each text. The cache is emptied when it holds more than ``most`` pieces."""
+        """One bytes of ids for each text. Of more than ``most`` pieces the cache keeps those of these texts alone."""
         split_texts = [split(x) for x in texts]
-        known = self.known
-        new = list(set().union(*split_texts).difference(known))
-        if len(known) + len(new) > self.most:
-            known.clear()
-            new = list(set().union(*split_texts))
+        new = list(set(filterfalse(self.known.__contains__, chain.from_iterable(split_texts))))
+        if len(self.known) + len(new) > self.most:
+            used = set().union(*split_texts).intersection(self.known)
+            self.known = {x: self.known[x] for x in used}
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
-            known.update(zip(part, self.encode_pieces(part)))
-        return [b"".join(map(known.__getitem__, x)) for x in split_texts]
+            self.known.update(zip(part, self.encode_pieces(part)))
+        return [b"".join(map(self.known.__getitem__, x)) for x in split_texts]
 
 
-def slices(texts: list[str], most_docs: int = 2000, most_chars: int = 8_000_000) -> Iterable[tuple[int, int]]:
+def slices(texts: list[str], most_docs: int = 2000, most_chars: int = 2_000_000) -> Iterable[tuple[int, int]]:
     """(from, to) of runs of texts, short enough that memory stays bounded; a longer text is a run of its own."""
     begin = chars = 0
     for i, x in enumerate(texts):

@@ -31,6 +31,8 @@ from lectio.llm.pieces import PieceCache, id_type, slices
 HEADER = struct.Struct("<4sHHIIqQII")
 MAGIC, VERSION = b"TIDS", 1
 BLOCK_IDS = 1 << 20
+#: A control character that stands between pieces and is a token of its own.
+MARK = "\x01"
 SAMPLE = 4096
 BLOCK_SCHEMA = "part int, block int, n_docs long, n_ids long, payload binary"
 
@@ -126,7 +128,21 @@ def _coder(path: str, drops_white_space: bool):
         def plain(xs):
             return [np.array(e.ids, kind).tobytes() for e in tok.encode_batch_fast(xs, add_special_tokens=False)]
 
-        _CODERS[path, drops_white_space] = PieceCache(plain).encode if drops_white_space else plain, kind
+        mark = tok.encode(MARK, add_special_tokens=False).ids
+
+        def joined(xs):
+            """Many pieces in one call, between marks: a call for each piece costs more than its encoding."""
+            found = {x: plain([x])[0] for x in xs if MARK in x}
+            rest = [x for x in xs if MARK not in x]
+            for i in range(0, len(rest), 2000):
+                part = rest[i : i + 2000]
+                ids = np.array(tok.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, kind)
+                cuts = (np.flatnonzero(ids == mark[0]) * kind.itemsize).tolist()
+                data = ids.tobytes()
+                found.update(zip(part, (data[a:b] for a, b in zip([0, *(c + kind.itemsize for c in cuts)], [*cuts, len(data)]))))
+            return list(map(found.__getitem__, xs))
+
+        _CODERS[path, drops_white_space] = PieceCache(joined if len(mark) == 1 else plain).encode if drops_white_space else plain, kind
     return _CODERS[path, drops_white_space]
 
 
