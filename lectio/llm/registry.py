@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, quality, syncmers, token_store, url_reputation
+from lectio.llm import bpe, chat, decontaminate, jaccard, quality, syncmers, token_store, url_reputation
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -10,11 +10,13 @@ QUERIES = {
     "op3_token_store": token_store.op3_token_store,
     "op4_bpe": bpe.op4_bpe,
     "op5_decontamination": decontaminate.op5_decontamination,
+    "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_chat_formatting": chat.op9_chat_formatting,
 }
 ORACLES = {
     "op2_url_filters": url_reputation.OP2_SQL,
     "op5_decontamination": decontaminate.OP5_SQL,
+    "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
 }
