@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, jaccard, quality, syncmers, token_store, url_reputation
+from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, syncmers, token_store, url_reputation
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_chat_formatting": chat.op9_chat_formatting,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
     "op2_url_filters": url_reputation.OP2_SQL,
