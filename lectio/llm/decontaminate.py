@@ -77,7 +77,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = found.select("doc_id", "size", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
     near = found.join(windows, ["size", "key"]).select("doc_id", F.struct((F.col("pos") - F.col("at")).alias("start"), "size", "item_id", "said").alias("near"))
     near = stored(near.filter("near.start >= 0").groupBy("doc_id").agg(F.collect_set("near").alias("near")), "hits")
-    joined = rows.join(near, "doc_id", "left")
+    # texts are dealt, not words, and always by a shuffle: what is hit has no bound
+    joined = docs.select("doc_id", "text").join(near.hint("merge"), "doc_id", "left").select("doc_id", words_of("text").alias("words"), "near")
     hits = F.filter("near", lambda x: F.array_join(F.slice("words", x["start"] + 1, x["size"]), " ") == x["said"])
     hits = F.transform(hits, lambda x: F.struct(x["start"].alias("start"), x["size"].alias("size"), x["item_id"].alias("item_id")))
     return joined.select("doc_id", F.size("words").cast("long").alias("n_words"), F.coalesce(hits, F.array().cast("array<struct<start:int,size:int,item_id:string>>")).alias("hits"))
