@@ -1,8 +1,63 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir). All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lectio.llm import bpe, decontaminate, jaccard, line_dedup, quality
+from lectio.llm.common import stored, table
+
+SCORE = "_quality_score"
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    network = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, network, SCORE).filter(F.col(SCORE) >= 0.5).drop(SCORE)
+
+
+def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one go; n_chars follows. A document of which no line is left goes."""
+    left = line_dedup.without_lines(docs).filter("n_removed = 0 or trim(text) <> ''").drop("n_lines", "n_removed")
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least doc_id stays."""
+    copies = jaccard.similar_groups(docs).filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(stored(copies, "copies").hint("merge"), "doc_id", "left_anti").select(docs.columns)
+
+
+def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share a window with a benchmark item go."""
+    hit = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter(F.size("hits") > 0).select("doc_id").distinct()
+    return docs.join(stored(hit, "contaminated").hint("merge"), "doc_id", "left_anti").select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of what is left."""
+    import public_tokenizers
+
+    return bpe.digest(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("line dedup", distinct_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("benchmark decontamination", uncontaminated),
+    ("BPE encoding and decoding", encoded),
+]
+#: The classifier, the edit join and the encoding have no SQL twin.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -14,6 +14,8 @@ from lectio.llm.common import stored, table
 from lectio.llm.url_reputation import LOWER, UPPER
 
 WINDOW, K = 10, 5
+#: Windows of the benchmark whose keys may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def words_of(text: str) -> Column:
@@ -75,7 +77,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for (size,) in windows.filter(F.col("size") < WINDOW).select("size").distinct().collect():
         found = found.unionByName(rows.filter(F.size("words") >= size).select("doc_id", F.lit(size).alias("size"), _short(F.col("words"), size).alias("keys")))
     found = found.select("doc_id", "size", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
-    near = found.join(windows, ["size", "key"]).select("doc_id", F.struct((F.col("pos") - F.col("at")).alias("start"), "size", "item_id", "said").alias("near"))
+    keys = windows.select("size", "key").distinct()
+    keys = F.broadcast(keys) if windows.count() <= BROADCAST_ROWS else keys
+    near = found.join(keys, ["size", "key"], "left_semi").join(windows, ["size", "key"]).select("doc_id", F.struct((F.col("pos") - F.col("at")).alias("start"), "size", "item_id", "said").alias("near"))
     near = stored(near.filter("near.start >= 0").groupBy("doc_id").agg(F.collect_set("near").alias("near")), "hits")
     # texts are dealt, not words, and always by a shuffle: what is hit has no bound
     joined = docs.select("doc_id", "text").join(near.hint("merge"), "doc_id", "left").select("doc_id", words_of("text").alias("words"), "near")

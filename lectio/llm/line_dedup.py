@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectio.llm.common import stored, table, texts
 from lectio.llm.hashing import gathered, mix, prefix, scatter, span
@@ -255,29 +256,28 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
 
 def without_lines(docs: DataFrame) -> DataFrame:
-    """documents -> doc_id, n_lines, n_removed, text (what is left, lines joined by newlines).
+    """documents -> the same columns with text (the lines that are left, joined by newlines), and n_lines, n_removed.
 
     A null text is one empty line. Lines of fewer than MIN_BYTES bytes without outer white space stay, as do first ones.
     """
-    gone = stored(removed_lines(docs), "removed")
-    rows = texts(docs).alias("d").join(gone.alias("g"), F.expr("d.doc_id <=> g.doc_id"), "left").select("d.doc_id", "text", "line_nos")
+    gone = stored(removed_lines(docs), "removed").select(F.col("doc_id").alias("_of"), "line_nos")
+    rows = docs.withColumn("text", F.coalesce("text", F.lit(""))).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_of")), "left").drop("_of")
+    schema = docs.schema.fieldNames()
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said, numbers = batch.column(1), batch.column(2)
             lines, removed, kept = [], [], []
-            for i in range(len(said)):
-                parts, out = said[i].as_py().split("\n"), numbers[i].as_py()
-                out = set(out) if out else ()
+            for text, out in zip(batch.column("text").to_pylist(), batch.column("line_nos").to_pylist()):
+                parts, out = text.split("\n"), set(out or ())
                 lines.append(len(parts))
                 removed.append(len(out))
-                kept.append("\n".join(x for k, x in enumerate(parts) if k not in out) if out else said[i].as_py())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_lines", "n_removed", "text"])
+                kept.append("\n".join(x for k, x in enumerate(parts) if k not in out) if out else text)
+            columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in schema]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*schema, "n_lines", "n_removed"])
 
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(rewrite, f"doc_id {id_type}, n_lines long, n_removed long, text string")
+    return rows.mapInArrow(rewrite, T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())]))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_removed, kept_sha256."""
-    return without_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return without_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

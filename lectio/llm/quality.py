@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectio.llm.common import table, texts
 from lectio.llm.pieces import slices
@@ -78,86 +79,19 @@ class Network:
         logit = np.concatenate([top, mean], 1) @ w["out"] + w["out_shift"]
         return locals()
 
-    def score(self, data: list[bytes]) -> np.ndarray:
-        if self.weights is None:
-            return np.full(len(data), self.base)
-        return 1 / (1 + np.exp(-np.clip(self._forward(data)["logit"].astype(np.float64), -30, 30)))
-
-    def gradients(self, data: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
-        f, w = self._forward(data), self.weights
-        d = (1 / (1 + np.exp(-np.clip(f["logit"], -30, 30))) - labels).astype(np.float32) / len(data)
-        joined = np.concatenate([f["top"], f["mean"]], 1)
-        g = {"out": joined.T @ d, "out_shift": d.sum(keepdims=True)}
-        d_joined = d[:, None] * w["out"][None]
-        doc = np.repeat(np.arange(len(data)), f["blocks"])
-        is_top = f["dense"] == f["top"][doc]
-        ties = np.add.reduceat(is_top.astype(np.float32), f["starts"])[doc]
-        d_dense = (is_top / ties * d_joined[doc, :HIDDEN] + d_joined[doc, HIDDEN:] / f["blocks"][doc, None]) * (f["dense"] > 0)
-        g |= {"dense": f["chunk"].T @ d_dense, "dense_shift": d_dense.sum(0)}
-        d_chunk = d_dense @ w["dense"].T
-        d_pooled = np.where(f["second"], 0, d_chunk)
-        np.add.at(d_pooled, f["partner"], np.where(f["second"], d_chunk, 0))
-        d_pooled = (d_pooled * (f["pooled"] > 0)).astype(np.float32)
-        where = f["best"] + np.arange(len(f["best"]))[:, None] * (BLOCK // STRIDE)
-        g |= {"filters": np.stack([f["x"][where[:, k]].T @ d_pooled[:, k] for k in range(FILTERS)], 1), "shift": d_pooled.sum(0)}
-        return g
-
-
-def train(data: list[bytes], labels: list[int], steps: int = STEPS) -> Network:
-    """Adam on batches in a fixed random order. Without both labels in the sample the score is the rate of 1 (0.5 of none)."""
-    y = np.array(labels, np.float32)
-    base = float((y.sum() + 1) / (len(y) + 2))
-    if not len(y) or y.min() == y.max():
-        return Network(base)
-    rng = np.random.default_rng(11)
-    shapes = {"filters": (IN, FILTERS), "dense": (FILTERS, HIDDEN), "out": (2 * HIDDEN,)}
-    w = {k: rng.normal(0, (2 / s[0]) ** 0.5, s).astype(np.float32) for k, s in shapes.items()}
-    w |= {"shift": np.zeros(FILTERS, np.float32), "dense_shift": np.zeros(HIDDEN, np.float32), "out_shift": np.array([np.log(base / (1 - base))], np.float32)}
-    net, m, v = Network(base, w), {k: 0.0 for k in w}, {k: 0.0 for k in w}
-    order = np.zeros(0, np.int64)
-    for t in range(1, steps + 1):
-        if len(order) < BATCH:
-            order = np.concatenate([order, rng.permutation(len(y))])
-        take, order = order[:BATCH], order[BATCH:]
-        rate = RATE * (1 - t / (steps + 1))
-        for k, g in net.gradients([data[i] for i in take], y[take]).items():
-            m[k] = 0.9 * m[k] + 0.1 * g
-            v[k] = 0.999 * v[k] + 0.001 * g * g
-            w[k] -= (rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.999**t)) + 1e-8)).astype(np.float32)
-    return net
-
-
-def held_out(doc_id: Column) -> Column:
-    """Rows whose labels are never learnt: crc32 of doc_id as text leaves 1 when divided by 3. A null id is not held out."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
-
-
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> Network:
-    """Fit on at most ``rows`` labelled documents of at most ``chars`` characters, those with the least hash of doc_id.
-
-    Held-out rows are not used; nor are null labels or ids. Several labels of a document count as one, the least. Only the
-    text is an input of the network.
-    """
-    known = labels.filter("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = known.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = texts(docs).filter(F.length("text") <= chars).join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect()
-    return train([r["text"].encode() for r in sample], [int(r["quality"] == 1) for r in sample])
-
-
-def score(docs: DataFrame, network: Network) -> DataFrame:
-    """documents -> doc_id, score (probability of quality 1). A null text is scored as an empty one; each row by itself."""
+    def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
+    """documents -> the same columns and ``name``, the probability of quality 1. A null text counts as empty; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = batch.column(1).to_pylist()
-            for a, b in slices(said, 500, 1_000_000):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(network.score([x.encode() for x in said[a:b]]), pa.float64())], ["doc_id", "score"])
+            said = [x or "" for x in batch.column("text").to_pylist()]
+            found = [network.score([x.encode() for x in said[a:b]]) for a, b in slices(said, 500, 1_000_000)]
+            yield batch.append_column(name, pa.array(np.concatenate(found) if found else [], pa.float64()))
 
-    rows = texts(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     network = fit(docs, table(spark, sf_dir, "labels"))
-    return score(docs, network).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return score(docs.select("doc_id", "text"), network).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, syncmers, token_store, url_reputation
+from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, suffix_dedup, syncmers, token_store, url_reputation
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4_bpe,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
+    "op7_suffix_dedup": suffix_dedup.op7_suffix_dedup,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_line_dedup": line_dedup.op10_line_dedup,
