@@ -10,6 +10,7 @@ neighbours in a tile; a second one compares what is still in different component
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,11 @@ PERCENT = 75
 #: Bits of the filter of shingles that occur more than once, and the most entries of the table of frequent ones; both are
 #: bounds on what is broadcast, whatever the input. A fuller filter passes more shingles; it never loses one.
 FILTER_BITS, FREQUENT = 27, 1 << 20
+#: Longs of the bitmap of a set; with 1024 bits the bound is close for sets of some hundred shingles.
+LONGS = 16
+#: Shingles are told apart by frequency from so many occurrences on.
+LEAST = 6
+MAP = [f"b{k}" for k in range(LONGS)]
 #: Nodes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -81,17 +87,25 @@ def _set_keys(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.stack(out, 1).view(np.int64)
 
 
+def bitmaps(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row of LONGS numbers for each set, with the bit of each of its elements."""
+    out = np.zeros(len(sizes) * LONGS, np.uint64)
+    bit = hashes % np.uint64(64 * LONGS)
+    np.bitwise_or.at(out, np.repeat(np.arange(len(sizes)), sizes) * LONGS + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    return out.reshape(-1, LONGS).view(np.int64)
+
+
 def node_table(docs: DataFrame) -> DataFrame:
-    """documents -> doc_id, n_shingles, node, node2: documents with the same set have the same node."""
+    """documents -> doc_id, n_shingles, node, node2, b0 ... (the set's hashed bitmap): the same set, the same node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, hashes, sizes in _sets(batch.column(1).to_pylist()):
-                keys = _set_keys(hashes, sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1])], ["doc_id", "n_shingles", "node", "node2"])
+                keys, maps = _set_keys(hashes, sizes), bitmaps(hashes, sizes)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), *(pa.array(maps[:, k]) for k in range(LONGS))], ["doc_id", "n_shingles", "node", "node2", *MAP])
 
     rows = texts(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, node2 long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, node2 long, " + ", ".join(f"{c} long" for c in MAP))
 
 
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,7 +153,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             total = np.add.reduceat(counts, starts)
             more = total > 1
             slots = np.unique(codes[starts][more] >> np.uint32(32 - FILTER_BITS))
-            often = total >= 16
+            often = total >= LEAST
             yield pa.RecordBatch.from_arrays([pa.array([slots.tobytes()], pa.binary()), pa.array([codes[starts][often].tobytes()], pa.binary()), pa.array([total[often].tobytes()], pa.binary()), pa.array([int(total.sum())], pa.int64())], ["slots", "codes", "counts", "total"])
 
     found = texts(docs).mapInArrow(count, "bucket int, blob binary").repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "slots binary, codes binary, counts binary, total long")
@@ -149,15 +163,20 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         slots = np.frombuffer(r["slots"], np.uint32)
         np.bitwise_or.at(bits, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
     total = found.agg(F.sum("total")).first()[0] or 0
-    least = max(16, total // FREQUENT + 1)  # at most FREQUENT codes can be as frequent
-    codes, counts = [], []
+    # the least count from which there are at most FREQUENT codes; the table of tallies is as long as the counts go
+    tally = np.zeros(1 << 16, np.int64)
+    for r in found.select("counts").toLocalIterator():
+        tally += np.bincount(np.minimum(np.frombuffer(r["counts"], np.int64), (1 << 16) - 1), minlength=1 << 16)
+    above = np.cumsum(tally[::-1])[::-1]
+    least = max(LEAST, int(np.argmax(above <= FREQUENT)), total // FREQUENT + 1 if above[-1] > FREQUENT else 0)
+    codes, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for r in found.select("codes", "counts").toLocalIterator():
         c, k = np.frombuffer(r["codes"], np.uint32), np.frombuffer(r["counts"], np.int64)
         codes.append(c[k >= least])
         counts.append(k[k >= least])
-    codes, counts = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (codes, counts))
+    codes, counts = np.concatenate(codes), np.concatenate(counts)
     order = np.argsort(codes)
-    return bits, codes[order].astype(np.uint32), counts[order]
+    return bits, codes[order], counts[order]
 
 
 def prefix_length(sizes: np.ndarray) -> np.ndarray:
@@ -165,7 +184,7 @@ def prefix_length(sizes: np.ndarray) -> np.ndarray:
 
 
 def prefix_rows(docs: DataFrame, known: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
-    """documents -> shingle, node, n, low, high (a hashed bitmap of 128 bits): prefix shingles that others may share."""
+    """documents -> shingle, node: prefix shingles that others may share."""
     shared = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,19 +205,15 @@ def prefix_rows(docs: DataFrame, known: tuple[np.ndarray, np.ndarray, np.ndarray
                 place = np.arange(len(doc)) - first  # lexsort keeps the documents in their order
                 take = order[(place < prefix_length(sizes)[doc]) & (rank[order] > 0)]
                 keys = _set_keys(hashes, sizes)[:, 0]
-                bit = hashes & np.uint64(127)
-                maps = [np.bitwise_or.reduceat(np.where(side, np.uint64(1) << (bit & np.uint64(63)), np.uint64(0)), (np.cumsum(sizes) - sizes)[sizes > 0]) for side in (bit < 64, bit >= 64)]
-                row = np.cumsum(sizes > 0) - 1
-                own = doc[take]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (hashes[take].view(np.int64), keys[own], sizes[own].astype(np.int32), maps[0][row[own]].view(np.int64), maps[1][row[own]].view(np.int64))], ["shingle", "node", "n", "low", "high"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[take].view(np.int64)), pa.array(keys[doc[take]])], ["shingle", "node"])
 
-    return texts(docs).mapInArrow(run, "shingle long, node long, n int, low long, high long")
+    return texts(docs).mapInArrow(run, "shingle long, node long")
 
 
-def may_reach(n1: Column, n2: Column, low1: Column, low2: Column, high1: Column, high2: Column) -> Column:
+def may_reach(n1: Column, n2: Column, one: list[Column], two: list[Column]) -> Column:
     """False only if sizes or bit counts rule the threshold out: a bit of one alone stands for an element of it alone."""
-    only = lambda a, b, c, d: F.bit_count(a.bitwiseAND(F.bitwise_not(b))) + F.bit_count(c.bitwiseAND(F.bitwise_not(d)))
-    most = F.least(n1 - only(low1, low2, high1, high2), n2 - only(low2, low1, high2, high1))
+    only = lambda xs, ys: reduce(Column.__add__, (F.bit_count(x.bitwiseAND(F.bitwise_not(y))) for x, y in zip(xs, ys)))
+    most = F.least(n1 - only(one, two), n2 - only(two, one))
     return 100 * most >= PERCENT * (n1 + n2 - most)
 
 
@@ -242,13 +257,15 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     nodes = stored(node_table(docs), "nodes")
     rows = stored(prefix_rows(docs, frequencies(docs)).distinct(), "prefixes")
     crowd = rows.groupBy("shingle").agg(F.count("*").alias("many")).filter("many > 1").select("shingle")
-    rows = stored(rows.join(crowd, "shingle", "left_semi"), "tiles")
+    sets = nodes.select("node", F.col("n_shingles").alias("n"), *MAP).dropDuplicates(["node"])
+    rows = stored(rows.join(crowd, "shingle", "left_semi").join(sets, "node"), "tiles")
+    side = lambda k: [F.col(f"{c}{k}") for c in (f"{m}_" for m in MAP)]
 
     order = W.partitionBy("shingle").orderBy("n", "node")
-    nxt = {c: F.lead(c).over(order).alias(f"{c}2") for c in ("node", "n", "low", "high")}
-    near = rows.select("node", "n", "low", "high", *nxt.values()).filter("node2 is not null")
-    test = may_reach(*(F.col(c) for c in ("n", "n2", "low", "low2", "high", "high2")))
-    first = stored(near.filter(test).select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b")).distinct(), "pairs")
+    names = ["node", "n", *MAP]
+    near = rows.select(*(F.col(c).alias(f"{c}_1") for c in names), *(F.lead(c).over(order).alias(f"{c}_2") for c in names)).filter("node_2 is not null")
+    test = may_reach(F.col("n_1"), F.col("n_2"), side(1), side(2))
+    first = stored(near.filter(test).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct(), "pairs")
     links = stored(verified(first, docs, nodes), "verified")
     found = stored(components(links), "components")
 
@@ -256,11 +273,10 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     split = rows.join(found.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
     mixed = split.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
     split = stored(split.join(mixed, "shingle", "left_semi"), "mixed")
-    one = split.select("shingle", *(F.col(c).alias(f"{c}1") for c in ("node", "n", "low", "high", "part")))
-    two = split.select("shingle", *(F.col(c).alias(f"{c}2") for c in ("node", "n", "low", "high", "part")))
-    test = may_reach(*(F.col(c) for c in ("n1", "n2", "low1", "low2", "high1", "high2")))
-    sized = (F.col("part1") != F.col("part2")) & ((F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("node1") < F.col("node2")))) & (100 * F.col("n1") >= PERCENT * F.col("n2"))
-    rest = one.join(two, "shingle").filter(sized & test).select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
+    one, two = (split.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("part", *names))) for k in (1, 2))
+    test = may_reach(F.col("n_1"), F.col("n_2"), side(1), side(2))
+    sized = (F.col("part_1") != F.col("part_2")) & (F.struct("n_1", "node_1") < F.struct(F.col("n_2").alias("n_1"), F.col("node_2").alias("node_1"))) & (100 * F.col("n_1") >= PERCENT * F.col("n_2"))
+    rest = one.join(two, "shingle").filter(sized & test).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct()
     rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
     if rest.take(1):
         found = stored(components(links.unionByName(verified(rest, docs, nodes))), "components")
