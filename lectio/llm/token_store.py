@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectio.llm.common import stored, table, texts
-from lectio.llm.pieces import PieceCache, id_type, slices
+from lectio.llm.pieces import PieceTable, id_type, slices
 
 HEADER = struct.Struct("<4sHHIIqQII")
 MAGIC, VERSION = b"TIDS", 1
@@ -142,7 +142,7 @@ def _coder(path: str, drops_white_space: bool):
                 found.update(zip(part, (data[a:b] for a, b in zip([0, *(c + kind.itemsize for c in cuts)], [*cuts, len(data)]))))
             return list(map(found.__getitem__, xs))
 
-        _CODERS[path, drops_white_space] = PieceCache(joined if len(mark) == 1 else plain).encode if drops_white_space else plain, kind
+        _CODERS[path, drops_white_space] = PieceTable(joined if len(mark) == 1 else plain, kind).encode if drops_white_space else plain, kind
     return _CODERS[path, drops_white_space]
 
 
@@ -167,7 +167,7 @@ def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, drops_white_space
 
         for batch in batches:
             ids, said = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(said):
+            for a, b in slices(said, most_chars=1_000_000):
                 for doc_id, x in zip(ids[a:b], coder(said[a:b])):
                     n = len(x) // kind.itemsize + 1
                     if size and size + n > block_ids:
