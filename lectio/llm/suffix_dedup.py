@@ -10,6 +10,7 @@ the same bytes on the left.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -199,7 +200,7 @@ def pack_run(left: list[bytes], right: list[bytes], nearest: np.ndarray, furthes
     where = np.stack([ids[order], places[order]], 1).astype("<i8")
     many = np.bincount(owner, minlength=len(keys)).astype("<u4")
     head = np.array([len(keys), len(order), len(rest), len(lefts)], "<u4")
-    return b"".join([head.tobytes(), sizes.tobytes(), info.tobytes(), many.tobytes(), where.tobytes(), rest, lefts])
+    return b"".join([head.tobytes(), sizes.tobytes(), info.tobytes(), many.tobytes(), where.tobytes(), zlib.compress(rest + lefts, 1)])
 
 
 def unpack_run(blob: bytes) -> dict:
@@ -209,7 +210,8 @@ def unpack_run(blob: bytes) -> dict:
         n = int(np.prod(shape))
         out[name] = np.frombuffer(blob, kind, n, at).reshape(shape)
         at += n * np.dtype(kind).itemsize
-    return out | {"rest": blob[at : at + rest], "lefts": blob[at + rest :]}
+    said = zlib.decompress(blob[at:])
+    return out | {"rest": said[:rest], "lefts": said[rest:]}
 
 
 def repeated_starts(shared: np.ndarray, left: list[bytes], nearest: np.ndarray, furthest: np.ndarray, many: np.ndarray) -> np.ndarray:
