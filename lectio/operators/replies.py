@@ -57,7 +57,7 @@ def gram_bound(needle: Column, source: Column, size: int = MIN_BLOCK) -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + size - 1))))) / n
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matched_share(needle: pd.Series, source: pd.Series) -> pd.Series:
     """Characters in matching blocks of at least MIN_BLOCK, as a share of the needle."""
 

@@ -21,9 +21,10 @@ ANSWER = "schema_version int, question_id string, question_set string, question
 
 def read_objects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """One JSON object in each file -> (rows with their path, files that could not be read)."""
-    rows = spark.read.schema(schema + ", _corrupt string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    rows = rows.withColumn("path", F.input_file_name())
-    return rows.filter("_corrupt is null").drop("_corrupt"), rows.filter("_corrupt is not null").select("path", "_corrupt")
+    files = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
+    rows = files.withColumn("o", F.from_json("value", schema + ", _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}))
+    bad = F.col("o._corrupt").isNotNull() | F.col("o").isNull()
+    return rows.filter(~bad).select("o.*", "path").drop("_corrupt"), rows.filter(bad).select("path", F.col("value").alias("_corrupt"))
 
 
 def read_lines_json(spark: SparkSession, path: str, schema: str = CHUNK) -> DataFrame:
