@@ -23,8 +23,7 @@ def words_of(text: str) -> Column:
     text = F.coalesce(F.col(text), F.lit(""))
     # lower() is much faster than translate(), and the same unless there is a capital beyond A-Z
     small = F.when(text.rlike(r"[\x{80}-\x{10FFFF}&&[\p{Lu}\p{Lt}\p{Nl}\p{So}]]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
-    spaced = F.trim(F.regexp_replace(small, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return F.array_remove(F.split(small, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 def _with_grams(df: DataFrame) -> DataFrame:
@@ -70,7 +69,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     windows = stored(item_windows(benchmark), "windows")
     rows = docs.select("doc_id", words_of("text").alias("words"))
-    grams = _with_minima(_with_grams(rows.filter(F.size("words") >= WINDOW)))
+    # no filter on the number of words here: it would split each text a second time, and short ones have no minima
+    grams = _with_minima(_with_grams(rows))
     span = WINDOW - K + 1
     kept = F.transform("grams", lambda x, i: F.when(x == F.greatest(*(F.get("minima", i - j) for j in range(span))), x))
     found = grams.select("doc_id", F.lit(WINDOW).alias("size"), kept.alias("keys"))
