@@ -8,6 +8,7 @@ fingerprint is the sketch of the least SKETCH distinct anchor hashes. Only DataF
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -88,21 +89,22 @@ def _cells(ids: DataFrame, many: int) -> tuple[list[int], Column]:
     return bounds, F.when(run == 0, 0).otherwise((run - 1) * step + F.size(F.filter(F.get(inner, run - 1), lambda x: x <= doc_id)))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """Add next_<column> of the next row in descending doc_id (null last; equal ids: by descending text); after the last: the first.
+def with_next(docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """prepare(docs) with next_<column> of the next row in descending doc_id (null last; equal ids: by descending text); after the last: the first.
 
     Rows are dealt to cells of neighbouring ids; each cell also gets the first row of the next one, so one shuffle does,
-    and no task sees more than a cell. Only a number for each cell reaches the driver.
+    and no task sees more than a cell. Only a number for each cell reaches the driver. ``prepare`` adds columns to rows, each
+    by itself; it is called once the rows are together, so that none is prepared twice but the guests.
     """
     many = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds, cell = _cells(docs, many)
     celled = docs.withColumn("cell", cell)
     firsts = sorted(((r["cell"], r["first"]) for r in celled.groupBy("cell").agg(F.max("doc_id").alias("first")).collect()), reverse=True)
     if not firsts:
-        return celled.withColumns({f"next_{c}": F.col(c) for c in columns}).drop("cell")
+        return prepare(docs).withColumns({f"next_{c}": F.col(c) for c in columns})
     guests = docs.sparkSession.createDataFrame([(firsts[i - 1][0], firsts[i][1]) for i in range(len(firsts))], "cell int, first long")
     guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("first"))).drop("first")
-    rows = celled.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
+    rows = prepare(celled.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
     order = W.partitionBy("cell").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
     return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).filter("not guest").drop("cell", "guest")
 
@@ -113,8 +115,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     The edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next document's.
     A null text is empty. Rows with the same doc_id, or with null ones, are documents of their own. A lone row is its own next.
     """
-    own = with_sketch(texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")), "text", "sketch")
-    paired = with_next(own, ["text", "sketch"])
+    rows = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    paired = with_next(rows, ["text", "sketch"], lambda df: with_sketch(df, "text", "sketch"))
     size = F.length("text")
     cut = F.floor(size / 3).cast("int")
     edited = F.concat(F.left("text", size - cut), F.left("next_text", cut))
