@@ -161,7 +161,7 @@ fur AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(sco
 
 def _bm25(spark, d):
     chunks = t.chunks(spark, d)
-    posted = retrieval.postings(chunks)
+    posted = retrieval.postings(chunks).persist()
     n, average = retrieval.corpus_size(chunks, posted)
     return retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average))
 
@@ -219,8 +219,8 @@ def d9_candidate_report(spark, d):
 @query()
 def w2_bm25_candidates(spark, d):
     """Documents to clean segments, windows, BM25 ranks and context: the flagship."""
-    chunks = transcripts.windows(transcripts.clean(t.segments(spark, d)))
-    posted = retrieval.postings(chunks)
+    chunks = transcripts.windows(transcripts.clean(t.segments(spark, d))).persist()
+    posted = retrieval.postings(chunks).persist()
     n, average = retrieval.corpus_size(chunks, posted)
     best = retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average), pool=retrieval.TOP_K)
     return best.join(retrieval.with_neighbours(chunks), "chunk_id").select("question_id", "rank", "chunk_id", F.round("score", 6).alias("score"), "context")
@@ -411,7 +411,7 @@ def f9_quote_start(spark, d):
     return replies.quote_starts(claims, parts)
 
 
-@query(CLAIMED + ", k AS (SELECT *, coalesce(length(needle) >= 12 AND contains(hay, needle), false) AS kept FROM cl WHERE needle NOT LIKE '%um%') SELECT answer_id, position, kept, CASE WHEN kept THEN sum(CAST(kept AS INT)) OVER (PARTITION BY answer_id ORDER BY position) END AS n FROM k")
+@query()  # the fuzzy part of the verification has no SQL twin
 def f10_citations(spark, d):
     rows = t.claims(spark, d).filter(~F.contains(fn.quote_form(F.col("quote")), F.lit("um")))
     return replies.build_citations(rows, t.chunks(spark, d)).select("answer_id", "position", "kept", "n")
