@@ -3,8 +3,9 @@
 Documents with the same set are one node. Shingles are ordered from rare to frequent: those that occur once, then the
 others, the most frequent last; two sets that reach the threshold share a shingle among the first of each (the prefix).
 Nodes that share a prefix shingle meet in tiles, sorted and banded by size; the bit counts of hashed bitmaps bound the
-overlap from above, and what passes is decided by exact intersection of the sorted sets. A first round compares only
-neighbours in a tile; a second one compares what is still in different components, so a group of copies costs no square.
+overlap from above, and what passes is decided by exact intersection of the sorted sets. Some rounds compare only neighbours
+of different components in a tile, in several orders; then all that is still apart is compared, so that copies, which soon
+are one component, cost no square.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ PERCENT = 75
 FILTER_BITS, FREQUENT = 27, 1 << 20
 #: Longs of the bitmap of a set; with 1024 bits the bound is close for sets of some hundred shingles.
 LONGS = 16
+#: Rounds of neighbours before all that is still apart is compared.
+ROUNDS = 3
 #: Shingles are told apart by frequency from so many occurrences on.
 LEAST = 6
 MAP = [f"b{k}" for k in range(LONGS)]
@@ -248,6 +251,25 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "one", "two").mapInArrow(decide, "a long, b long")
 
 
+def apart(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with part (a node's component, or itself), of the shingles whose nodes are not all in one component."""
+    split = rows.join(found.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    mixed = split.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
+    return split.join(mixed, "shingle", "left_semi")
+
+
+def neighbours(rows: DataFrame, by: list[Column]) -> DataFrame:
+    """Pairs (a, b) of each node and the next one in its tile, in the order ``by``, that is in another component: at most
+    one for each row, less what bit counts rule out."""
+    order = W.partitionBy("shingle").orderBy(*by)
+    begins = F.coalesce(F.col("part") != F.lag("part").over(order), F.lit(True))
+    marked = rows.withColumn("entry", F.when(begins, F.struct("node", "n", *MAP)))
+    backward = W.partitionBy("shingle").orderBy(*(c.desc() for c in by)).rowsBetween(W.unboundedPreceding, -1)
+    near = marked.withColumn("other", F.last("entry", ignorenulls=True).over(backward)).filter("other is not null")
+    test = may_reach(F.col("n"), F.col("other.n"), [F.col(c) for c in MAP], [F.col(f"other.{c}") for c in MAP])
+    return near.filter(test).select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
+
+
 def similar_groups(docs: DataFrame) -> DataFrame:
     """documents -> doc_id, n_shingles, component_id: the least doc_id reachable by links, itself included.
 
@@ -259,25 +281,25 @@ def similar_groups(docs: DataFrame) -> DataFrame:
     crowd = rows.groupBy("shingle").agg(F.count("*").alias("many")).filter("many > 1").select("shingle")
     sets = nodes.select("node", F.col("n_shingles").alias("n"), *MAP).dropDuplicates(["node"])
     rows = stored(rows.join(crowd, "shingle", "left_semi").join(sets, "node"), "tiles")
-    side = lambda k: [F.col(f"{c}{k}") for c in (f"{m}_" for m in MAP)]
-
-    order = W.partitionBy("shingle").orderBy("n", "node")
     names = ["node", "n", *MAP]
-    near = rows.select(*(F.col(c).alias(f"{c}_1") for c in names), *(F.lead(c).over(order).alias(f"{c}_2") for c in names)).filter("node_2 is not null")
-    test = may_reach(F.col("n_1"), F.col("n_2"), side(1), side(2))
-    first = stored(near.filter(test).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct(), "pairs")
-    links = stored(verified(first, docs, nodes), "verified")
-    found = stored(components(links), "components")
-
-    # what is still apart in a tile: pairs between components only
-    split = rows.join(found.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    mixed = split.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
-    split = stored(split.join(mixed, "shingle", "left_semi"), "mixed")
+    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    tested, found = links, links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    for turn in range(ROUNDS):
+        by = [F.col("n"), F.col("node")] if not turn else [F.xxhash64("node", F.lit(turn)), F.col("node")]
+        pairs = stored(neighbours(apart(rows, found), by).join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = stored(verified(pairs, docs, nodes), "verified")
+        links, tested = links.unionByName(new), tested.unionByName(pairs)
+        if not new.take(1):
+            break
+        found = stored(components(links), "components")
+
+    # all pairs that are still in different components and not ruled out
+    split = stored(apart(rows, found), "apart")
     one, two = (split.select("shingle", *(F.col(c).alias(f"{c}_{k}") for c in ("part", *names))) for k in (1, 2))
-    test = may_reach(F.col("n_1"), F.col("n_2"), side(1), side(2))
+    test = may_reach(F.col("n_1"), F.col("n_2"), *([F.col(f"{c}_{k}") for c in MAP] for k in (1, 2)))
     sized = (F.col("part_1") != F.col("part_2")) & (F.struct("n_1", "node_1") < F.struct(F.col("n_2").alias("n_1"), F.col("node_2").alias("node_1"))) & (100 * F.col("n_1") >= PERCENT * F.col("n_2"))
     rest = one.join(two, "shingle").filter(sized & test).select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct()
-    rest = stored(rest.join(first, ["a", "b"], "left_anti"), "pairs")
+    rest = stored(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
     if rest.take(1):
         found = stored(components(links.unionByName(verified(rest, docs, nodes))), "components")
 
