@@ -30,10 +30,11 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 def prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sums, inverse powers) of bytes, from which span() takes the hash of any span."""
+    """(sums, inverse powers) of bytes or code points, from which span() takes the hash of any span."""
     n = len(data)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTES[data] * powers(_ODD, n), out=sums[1:])
+    values = _BYTES[data] if data.dtype == np.uint8 else mix(data.astype(np.uint64)) | np.uint64(1)
+    np.cumsum(values * powers(_ODD, n), out=sums[1:])
     return sums, powers(_INVERSE, n + 1)
 
 

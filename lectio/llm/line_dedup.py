@@ -1,9 +1,10 @@
 """Line dedup by a segment-partition edit join.
 
-A line within EDITS edits of another shares at least one of its EDITS + 1 segments with it, at nearly the same place. Every
-distinct line enters its segments in an index keyed by segment, place and length, and probes the index with the substrings
-that such a neighbour's segments could be. What meets there is compared by letter counts, then verified with a banded
-bit-parallel edit distance. Lengths and edits are those of UTF-8 bytes.
+The edits that two lines may be apart grow with the shorter one's length. Of two lines within e edits, the longer one holds
+at least one of the shorter one's e + 1 segments, at nearly the same place. Every distinct line enters its segments in an
+index keyed by segment, place and length, and probes the index with the substrings that such a neighbour's segments could
+be, as far as a filter of all indexed keys has them. What meets there is compared by letter counts, then verified with a
+banded bit-parallel edit distance. Lengths and edits are those of code points.
 """
 
 from __future__ import annotations
@@ -21,11 +22,14 @@ from lectio.llm.common import stored, table, texts
 from lectio.llm.hashing import gathered, mix, prefix, scatter, span
 from lectio.llm.pieces import slices
 
-#: Two lines are the same when at most so many edits apart; shorter lines (stripped) are never removed.
-EDITS, MIN_BYTES = 1, 20
+#: Two lines are the same when at most so many edits apart: one for each EVERY code points of the shorter one, EDITS at
+#: least and MOST at most. Lines of fewer than MIN_BYTES bytes (stripped) are never removed.
+EDITS, EVERY, MOST, MIN_BYTES = 1, 20, 4, 20
+#: Bits of the filter of indexed keys, the bound on what is broadcast. A fuller filter passes more probes; it loses none.
+FILTER_BITS, FILTER_PARTS = 27, 256
 #: Lines that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-RECORD = np.dtype([("key", "<u8"), ("line", "<u8"), ("letters", "<u8"), ("probe", "u1")])
+RECORD = np.dtype([("key", "<u8"), ("line", "<u8"), ("letters", "<u8"), ("edits", "u1"), ("probe", "u1")])
 
 
 def _lines(said: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -62,7 +66,7 @@ def line_table(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
 
 def letter_counts(raw: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Each line's bytes counted in 16 classes, modulo 16, as 64 bits. One edit changes at most two counts by one."""
+    """Each line's code points counted in 16 classes, modulo 16, as 64 bits. One edit changes at most two counts by one."""
     kind = (mix(raw.astype(np.uint64)) & np.uint64(15)).astype(np.int64)
     line = np.repeat(np.arange(len(sizes)), sizes)
     counts = np.bincount(line * 16 + kind, minlength=16 * len(sizes)).reshape(-1, 16) & 15
@@ -78,56 +82,106 @@ def counts_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def segments(size: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, length) of segment k of EDITS + 1 even ones, the longer ones last."""
-    short, longer = size // (EDITS + 1), size % (EDITS + 1)
-    plain = EDITS + 1 - longer
+def allowed(size: np.ndarray) -> np.ndarray:
+    """How many edits a line may be away from one of so many code points that is not longer."""
+    return np.clip(size // EVERY, EDITS, MOST)
+
+
+def segments(size: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of segment k of ``edits`` + 1 even ones, the longer ones last."""
+    short, longer = size // (edits + 1), size % (edits + 1)
+    plain = edits + 1 - longer
     return k * short + np.maximum(k - plain, 0), short + (k >= plain)
 
 
-def records(data: list[bytes]) -> np.ndarray:
-    """Index and probe records of lines: equal keys are an equal substring, segment number and indexed length."""
-    sizes = np.array([len(x) for x in data], np.int64)
-    raw = np.frombuffer(b"".join(data), np.uint8)
+def records(data: list[bytes], bits: np.ndarray | None = None) -> np.ndarray:
+    """Index records of lines, and with a filter of their keys the probe records that may meet one of another line.
+
+    Equal keys are an equal substring, segment number and indexed length. A probe with a line's own segments is left out:
+    it would be the index record once more.
+    """
+    joined = b"".join(data)
+    raw = np.frombuffer(joined.decode().encode("utf-32-le"), "<u4")
+    begins = np.cumsum([0] + [len(x) for x in data])[:-1]
+    sizes = np.add.reduceat((np.frombuffer(joined, np.uint8) & 0xC0 != 0x80).astype(np.int64), begins)
     ends = np.cumsum(sizes)
     begin, pre = ends - sizes, prefix(raw)
     lines = _names(data)[:, 0].view(np.uint64)
     letters = letter_counts(raw, ends, sizes)
     out = []
 
-    def emit(which: np.ndarray, start: np.ndarray, length: np.ndarray, k: int, of: np.ndarray, probe: int) -> None:
+    def emit(which: np.ndarray, start: np.ndarray, length: np.ndarray, k: int, of: np.ndarray, edits: int, probe: int) -> None:
         at = begin[which] + start
+        key = mix(span(pre, at, at + length) + np.uint64((k + 1) * 0x9FB21C651E98DF25 % (1 << 64)) + of.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+        if probe:
+            known = np.flatnonzero(bits[slots(key) >> 3] >> (slots(key) & 7).astype(np.uint8) & 1)
+            which, key = which[known], key[known]
         part = np.zeros(len(which), RECORD)
-        part["key"] = mix(span(pre, at, at + length) + np.uint64((k + 1) * 0x9FB21C651E98DF25 % (1 << 64)) + of.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-        part["line"], part["letters"], part["probe"] = lines[which], letters[which], probe
+        part["key"], part["line"], part["letters"], part["edits"], part["probe"] = key, lines[which], letters[which], edits, probe
         out.append(part)
 
-    everyone = np.arange(len(data))
-    for k in range(EDITS + 1):
-        start, length = segments(sizes, k)
-        emit(everyone, start, length, k, sizes, 0)
-        for less in range(EDITS + 1):  # partners of the same length or up to EDITS bytes shorter
-            start, length = segments(sizes - less, k)
-            for shift in range(-EDITS, EDITS + 1):
-                # shift = edits before the segment's place, less - shift after it; both within what is allowed
-                if abs(shift) + abs(less - shift) <= EDITS or abs(shift) <= k and abs(shift - less) <= EDITS - k:
-                    fits = np.flatnonzero((start + shift >= 0) & (start + shift + length <= sizes))
-                    emit(fits, start[fits] + shift, length[fits], k, (sizes - less)[fits], 1)
+    for edits in range(EDITS, MOST + 1):
+        for less in range(edits + 1 if bits is not None else 1):  # partners of the same length or up to ``edits`` shorter
+            near = np.flatnonzero(allowed(sizes - less) == edits)
+            of = sizes[near] - less
+            for k in range(edits + 1):
+                start, length = segments(of, k, edits)
+                if not less:
+                    emit(near, start, length, k, of, edits, 0)
+                for shift in range(-k, k + 1) if bits is not None else ():
+                    # at most k edits before the segment's place and edits - k after it
+                    if abs(shift - less) <= edits - k and (shift or less):
+                        fits = np.flatnonzero((start + shift >= 0) & (start + shift + length <= sizes[near]))
+                        emit(near[fits], start[fits] + shift, length[fits], k, of[fits], edits, 1)
     return np.concatenate(out)
 
 
+def slots(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _distinct_lines(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
+    said, seen = batch.column(1).to_pylist(), set()
+    for a, b in slices(said):
+        new = [x for x in dict.fromkeys(_lines(said[a:b])[2]) if x not in seen]
+        seen.update(new)
+        if new:
+            yield new
+
+
+def indexed_keys(docs: DataFrame) -> np.ndarray:
+    """A bit filter of the keys of all index records."""
+    each = FILTER_BITS - FILTER_PARTS.bit_length() + 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.unique(np.concatenate([slots(records(x)["key"]) for x in _distinct_lines(batch)] or [np.zeros(0, np.int64)]))
+            blobs = list(scatter(found >> each, found.astype("<u4")))
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["part", "blob"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, blobs in gathered(batches):
+            here = np.zeros(1 << each, np.uint8)
+            for x in blobs:
+                here[np.frombuffer(x, "<u4").astype(np.int64) & ((1 << each) - 1)] = 1
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(here, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = texts(docs).mapInArrow(cut, "part int, blob binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "part int, bits binary")
+    bits = np.zeros((FILTER_PARTS, 1 << (each - 3)), np.uint8)
+    for r in stored(found, "indexed").toLocalIterator():
+        bits[r["part"]] = np.frombuffer(r["bits"], np.uint8)
+    return bits.reshape(-1)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """Pairs of line names that share a segment and whose letter counts are near: a < b, as they come, several times."""
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = docs.sparkSession.sparkContext.broadcast(indexed_keys(docs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said, held, seen = batch.column(1).to_pylist(), [], set()
-            for a, b in slices(said):
-                new = [x for x in dict.fromkeys(_lines(said[a:b])[2]) if x not in seen]
-                seen.update(new)
-                if new:
-                    held.append(records(new))
+            held = [records(x, bits.value) for x in _distinct_lines(batch)]
             if held:
                 rows = np.concatenate(held)
                 blobs = list(scatter((rows["key"] % np.uint64(buckets)).astype(np.int64), rows))
@@ -143,7 +197,8 @@ def candidates(docs: DataFrame) -> DataFrame:
             stops = np.append(starts[1:], len(rows))
             index = stops - starts - np.add.reduceat(rows["probe"].astype(np.int64), starts)
             middle = starts + index
-            probes = np.flatnonzero(rows["probe"] == 1)
+            # an index record asks for the others of its key, as the probe that was left out would
+            probes = np.flatnonzero(np.repeat((stops - starts > 1) & (index > 0), stops - starts))
             group = np.searchsorted(starts, probes, "right") - 1
             many = index[group]
             # a run of probes at a time, so that memory stays bounded however many lines share a segment
@@ -157,7 +212,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                 a, b = rows["line"][left], rows["line"][right]
                 keep = a != b
                 left, right = left[keep], right[keep]
-                keep = counts_apart(rows["letters"][left], rows["letters"][right]) <= 2 * EDITS
+                keep = counts_apart(rows["letters"][left], rows["letters"][right]) <= 2 * rows["edits"][left].astype(np.int64)
                 a, b = rows["line"][left[keep]].view(np.int64), rows["line"][right[keep]].view(np.int64)
                 pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
                 if len(pairs):
@@ -167,23 +222,24 @@ def candidates(docs: DataFrame) -> DataFrame:
     return cut_up.repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(probe, "a long, b long")
 
 
-def within(one: list[bytes], two: list[bytes], most: int) -> np.ndarray:
+def within(one: list[bytes] | list[str], two: list[bytes] | list[str], most: int) -> np.ndarray:
     """Whether each pair is at most ``most`` edits apart: banded bit-parallel distance, all pairs a column at a time.
 
     A column's vertical differences stand in the bits of one word, the band's 2 * most + 1 diagonals; the band moves down
     by one row a column, and the score is that of its lowest diagonal.
     """
+    one, two = ([x if isinstance(x, str) else x.decode() for x in s] for s in (one, two))
     a, b = [x if len(x) >= len(y) else y for x, y in zip(one, two)], [y if len(x) >= len(y) else x for x, y in zip(one, two)]
     la, lb = (np.array([len(x) for x in s], np.int64) for s in (a, b))
     result = la - lb <= most
     if not len(a):
         return result
     wide = int(la.max()) + 2 * most + 2
-    rows = np.full((len(a), wide), 256, np.uint16)
-    columns = np.full((len(b), int(lb.max()) + 1), 257, np.uint16)
+    rows = np.full((len(a), wide), 0x110000, np.uint32)
+    columns = np.full((len(b), int(lb.max()) + 1), 0x110001, np.uint32)
     for i, (x, y) in enumerate(zip(a, b)):
-        rows[i, most : most + len(x)] = np.frombuffer(x, np.uint8)
-        columns[i, : len(y)] = np.frombuffer(y, np.uint8)
+        rows[i, most : most + len(x)] = np.frombuffer(x.encode("utf-32-le"), "<u4")
+        columns[i, : len(y)] = np.frombuffer(y.encode("utf-32-le"), "<u4")
     band = 2 * most + 1
     full = np.uint64((1 << band) - 1)
     one_bit = np.uint64(1)
@@ -220,7 +276,7 @@ def within(one: list[bytes], two: list[bytes], most: int) -> np.ndarray:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """documents -> doc_id, line_nos: the lines of which an earlier one (by doc_id, line number) is at most EDITS edits away.
+    """documents -> doc_id, line_nos: the lines of which an earlier one (by doc_id, line number) is at most allowed() edits away.
 
     Null ids come first. Rows with the same doc_id are taken for one place: of equal places none is earlier.
     """
@@ -243,13 +299,15 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            order = sorted(range(len(one)), key=lambda i: len(one[i]))
-            for p in range(0, len(order), 1024):
-                some = order[p : p + 1024]
-                ok = within([one[i] for i in some], [two[i] for i in some], EDITS)
-                hit = batch.column(2).take(pa.array([i for i, good in zip(some, ok) if good], pa.int64()))
-                yield pa.RecordBatch.from_arrays([hit.field("doc_id"), hit.field("line_no")], ["doc_id", "line_no"])
+            one, two = ([x.decode() for x in batch.column(c).to_pylist()] for c in (0, 1))
+            edits = allowed(np.array([min(len(x), len(y)) for x, y in zip(one, two)], np.int64))
+            for most in range(EDITS, MOST + 1):
+                order = sorted(np.flatnonzero(edits == most).tolist(), key=lambda i: len(one[i]))
+                for p in range(0, len(order), 1024):
+                    some = order[p : p + 1024]
+                    ok = within([one[i] for i in some], [two[i] for i in some], most)
+                    hit = batch.column(2).take(pa.array([i for i, good in zip(some, ok) if good], pa.int64()))
+                    yield pa.RecordBatch.from_arrays([hit.field("doc_id"), hit.field("line_no")], ["doc_id", "line_no"])
 
     alike = both.mapInArrow(verify, f"doc_id {id_type}, line_no int")
     return copies.unionByName(alike).groupBy("doc_id").agg(F.collect_set("line_no").alias("line_nos"))

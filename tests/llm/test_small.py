@@ -259,6 +259,32 @@ def test_lines(spark):
     assert {r["doc_id"]: r["text"] for r in found.collect()} == expected and set(found.columns) == {"doc_id", "text", "node", "score", "n_lines", "n_removed"}
 
 
+def test_near_copies_of_lines(spark):
+    rng = np.random.default_rng(5)
+    letters = [*"abcdefg hijk", "é", "ж", "語", "😀"]
+    lines = []
+    for n in [9, 12, 20, 24, 38, 39, 40, 41, 58, 59, 60, 61, 78, 79, 80, 82, 120, 300]:
+        base = [letters[k] for k in rng.integers(0, len(letters), n)]
+        lines.append("".join(base))
+        for most in range(1, 7):
+            x = list(base)
+            for _ in range(most):
+                i = int(rng.integers(0, len(x)))
+                x[i : i + int(rng.integers(0, 2))] = [letters[k] for k in rng.integers(0, len(letters), rng.integers(0, 2))]
+            lines.append("".join(x))
+    order = rng.permutation(len(lines)).tolist()
+    said = [lines[k] for k in order]
+    seen, expected, near = [], {}, 0
+    for k, line in enumerate(said):
+        long = len(line.encode().strip()) >= line_dedup.MIN_BYTES
+        some = [edits(line, x) for x in seen if edits(line, x) <= max(1, min(min(len(line), len(x)) // 20, 4))] if long else []
+        near += bool(some) and min(some) > 1
+        expected[k] = "" if some else line
+        seen += [line] * long
+    assert near > 10
+    assert {r["doc_id"]: r["text"] for r in line_dedup.without_lines(docs(spark, *said)).collect()} == expected
+
+
 def test_quality_learns_and_holds_out(spark):
     good = [prose(i, 60) for i in range(60)]
     bad = [prose(100 + i, 60).upper().replace(" ", "!! ") for i in range(60)]
