@@ -253,7 +253,7 @@ def e1_tickets(spark, d):
 
 @query(using("chunk") + BM25 + ", one AS (SELECT question_id, string_agg(chunk_id || text, '' ORDER BY rank) AS body FROM bmr JOIN chunk USING (chunk_id) WHERE rank <= 5 GROUP BY 1) SELECT item_id AS question_id, sha256(text || coalesce(body, '') || 'model' || 'prompt {x}') AS input_hash FROM benchmark LEFT JOIN one ON question_id = item_id")
 def e2_extract_hash(spark, d):
-    best = _bm25(spark, d).filter("rank <= 5").withColumnRenamed("rank", "position")
+    best = _bm25(spark, d).filter(F.col("rank") <= retrieval.TOP_K).withColumnRenamed("rank", "position")
     return planning.extract_hashes(t.questions(spark, d), best, t.chunks(spark, d), "model", "prompt {x}")
 
 
@@ -271,7 +271,7 @@ EXTRACT = "ex AS (SELECT l_orderkey AS k, sha256(CAST(l_orderkey AS VARCHAR)) AS
 @query(f"WITH {EXTRACT} SELECT 'q' || o_orderkey AS question_id, sha256(o_orderpriority || h || body || 'm' || 'synthesize_v1') AS input_hash FROM orders JOIN ex ON k = o_orderkey")
 def e3_answer_hash(spark, d):
     x = _extracts(spark, d).join(t.read(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-    return x.select("question_id", planning.answer_hash(F.col("o_orderpriority"), F.col("input_hash"), F.col("relevant"), F.col("model"), "", limit=4).alias("input_hash"))
+    return x.select("question_id", planning.answer_hash(F.col("o_orderpriority"), F.col("input_hash"), F.col("relevant"), F.col("model"), "").alias("input_hash"))
 
 
 @query("SELECT 'q' || o_orderkey AS question_id, 's' || o_custkey % 7 AS question_set, o_orderkey % 17 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem) AS ready FROM orders")
