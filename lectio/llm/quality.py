@@ -66,9 +66,12 @@ class Network:
         laid, blocks = _laid_out(data)
         x = _windows(laid)
         conv = (x @ w["filters"]).reshape(-1, BLOCK // STRIDE, FILTERS)
+        ends = np.cumsum(blocks)
+        # the last places of a document reach into the next one: they count as the one before them, which sees zeros alone
+        over = -(-(WIDTH - STRIDE) // STRIDE)
+        conv[ends - 1, BLOCK // STRIDE - over :] = conv[ends - 1, BLOCK // STRIDE - over - 1][:, None]
         best = conv.argmax(1)
         pooled = np.maximum(np.take_along_axis(conv, best[:, None], 1)[:, 0] + w["shift"], 0)
-        ends = np.cumsum(blocks)
         partner = np.arange(1, len(pooled) + 1)
         partner[ends - 1] -= 1  # the last block of a document is a chunk of its own
         second = pooled[partner] > pooled

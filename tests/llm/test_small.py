@@ -300,6 +300,17 @@ def test_quality_learns_and_holds_out(spark):
     assert np.allclose(whole, network.score([x.encode() for x in good[:3]]), atol=1e-5)
 
 
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(0)
+    shapes = {"filters": (quality.IN, quality.FILTERS), "dense": (quality.FILTERS, quality.HIDDEN), "out": (2 * quality.HIDDEN,), "shift": (quality.FILTERS,), "dense_shift": (quality.HIDDEN,), "out_shift": (1,)}
+    network = quality.Network(0.5, {k: rng.normal(0, 0.2, s).astype(np.float32) for k, s in shapes.items()})
+    said = [b"", b"abc", b"", b"\xff" * 300, b"abc", b"x" * 247, b"HELLO", b"x" * 248, b"", b"Q" * 600]
+    alone = [network.score([x])[0] for x in said]
+    for _ in range(5):
+        order = rng.permutation(len(said)).tolist()
+        assert np.allclose(network.score([said[i] for i in order]), [alone[i] for i in order], atol=1e-6)
+
+
 def test_labels_of_held_out_rows_do_not_matter(spark):
     table = docs(spark, *[prose(i, 20) for i in range(40)])
     flip = lambda on: spark.createDataFrame([(i, int(i % 2 == 0) ^ int(on and zlib.crc32(str(i).encode()) % 3 == 1)) for i in range(40)], "doc_id long, quality int")
