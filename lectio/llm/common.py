@@ -1,13 +1,14 @@
-"""What the corpus operators share: table access and tables kept in the cluster's shared folder."""
+"""What the corpus operators share: table access, and names of rows."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectio.sources.shared import forget, stored
+
+__all__ = ["forget", "named", "row_name", "stored", "table", "texts"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,18 +19,11 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (spark.checkpoint.dir); one of our own only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
+def named(docs: DataFrame) -> DataFrame:
+    """name and text: the name is a 64-bit hash of doc_id and text, never null; equal rows have equal names."""
+    return texts(docs).select(row_name().alias("name"), "text")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read from there: lost executors cost no recomputation of what led to it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def row_name() -> Column:
+    """The name of a row of texts()."""
+    return F.xxhash64("doc_id", "text")
