@@ -24,6 +24,8 @@ WIDTH, STRIDE, FILTERS, BLOCK, HIDDEN = 8, 4, 32, 256, 16
 #: Bounds of the sample that is fitted: labelled rows, and characters of a text to be among them.
 TRAIN_ROWS, TRAIN_CHARS = 2000, 50_000
 STEPS, BATCH, RATE = 400, 32, 0.004
+#: Blocks that the filters slide over at once: a bound of memory alone, whatever the texts' lengths.
+SLICE = 256
 
 
 def _byte_vectors() -> np.ndarray:
@@ -56,6 +58,25 @@ def _windows(laid: np.ndarray) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(v, (n, IN), (v.strides[0] * STRIDE, v.strides[1]))
 
 
+def _best_places(laid: np.ndarray, ends: np.ndarray, filters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the place of each filter's largest output in each block, that output), a slice of blocks at a time.
+
+    The last places of a document reach into the next one: they count as the one before them, which sees zeros alone.
+    """
+    n, over = int(ends[-1]), -(-(WIDTH - STRIDE) // STRIDE)
+    final = np.zeros(n, bool)
+    final[ends - 1] = True
+    best, most = np.empty((n, FILTERS), np.int64), np.empty((n, FILTERS), filters.dtype)
+    for a in range(0, n, SLICE):
+        b = min(a + SLICE, n)
+        conv = (_windows(laid[a * BLOCK : b * BLOCK + WIDTH]) @ filters).reshape(-1, BLOCK // STRIDE, FILTERS)
+        last = np.flatnonzero(final[a:b])
+        conv[last, BLOCK // STRIDE - over :] = conv[last, BLOCK // STRIDE - over - 1][:, None]
+        best[a:b] = conv.argmax(1)
+        most[a:b] = np.take_along_axis(conv, best[a:b, None], 1)[:, 0]
+    return best, most
+
+
 @dataclass
 class Network:
     base: float
@@ -64,14 +85,9 @@ class Network:
     def _forward(self, data: list[bytes]) -> dict:
         w = self.weights
         laid, blocks = _laid_out(data)
-        x = _windows(laid)
-        conv = (x @ w["filters"]).reshape(-1, BLOCK // STRIDE, FILTERS)
         ends = np.cumsum(blocks)
-        # the last places of a document reach into the next one: they count as the one before them, which sees zeros alone
-        over = -(-(WIDTH - STRIDE) // STRIDE)
-        conv[ends - 1, BLOCK // STRIDE - over :] = conv[ends - 1, BLOCK // STRIDE - over - 1][:, None]
-        best = conv.argmax(1)
-        pooled = np.maximum(np.take_along_axis(conv, best[:, None], 1)[:, 0] + w["shift"], 0)
+        best, most = _best_places(laid, ends, w["filters"])
+        pooled = np.maximum(most + w["shift"], 0)
         partner = np.arange(1, len(pooled) + 1)
         partner[ends - 1] -= 1  # the last block of a document is a chunk of its own
         second = pooled[partner] > pooled
@@ -89,7 +105,7 @@ class Network:
 
     def gradients(self, data: list[bytes], labels: np.ndarray) -> dict[str, np.ndarray]:
         f, w = self._forward(data), self.weights
-        d = (1 / (1 + np.exp(-np.clip(f["logit"], -30, 30))) - labels).astype(np.float32) / len(data)
+        d = (1 / (1 + np.exp(-np.clip(f["logit"], -30, 30))) - labels) / len(data)
         joined = np.concatenate([f["top"], f["mean"]], 1)
         g = {"out": joined.T @ d, "out_shift": d.sum(keepdims=True)}
         d_joined = d[:, None] * w["out"][None]
@@ -101,9 +117,10 @@ class Network:
         d_chunk = d_dense @ w["dense"].T
         d_pooled = np.where(f["second"], 0, d_chunk)
         np.add.at(d_pooled, f["partner"], np.where(f["second"], d_chunk, 0))
-        d_pooled = (d_pooled * (f["pooled"] > 0)).astype(np.float32)
-        where = f["best"] + np.arange(len(f["best"]))[:, None] * (BLOCK // STRIDE)
-        g |= {"filters": np.stack([f["x"][where[:, k]].T @ d_pooled[:, k] for k in range(FILTERS)], 1), "shift": d_pooled.sum(0)}
+        d_pooled = d_pooled * (f["pooled"] > 0)
+        where = (f["best"] + np.arange(len(f["best"]))[:, None] * (BLOCK // STRIDE)) * STRIDE
+        seen = lambda k: VECTORS[f["laid"][where[:, k, None] + np.arange(WIDTH)]].reshape(-1, IN)
+        g |= {"filters": np.stack([seen(k).T @ d_pooled[:, k] for k in range(FILTERS)], 1), "shift": d_pooled.sum(0)}
         return g
 
 
@@ -149,7 +166,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int =
 
 
 def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
-    """documents -> the same columns and ``name``, the probability of quality 1. A null text counts as empty; no shuffle."""
+    """documents -> the same columns and ``name``, the probability of quality 1; no shuffle.
+
+    A null text counts as empty. Each row is scored by itself, whatever its id. A column called ``name`` is replaced.
+    """
+    docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
