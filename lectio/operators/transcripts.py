@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -50,42 +52,56 @@ def repair_bounds(raw: DataFrame) -> DataFrame:
     return rows.select("video_id", "pos", F.col("begin").alias("start"), F.when(empty, spoken).otherwise(F.col("finish")).alias("end"), "text")
 
 
+def _frame(video_id: str, out: list[tuple], **columns) -> pd.DataFrame:
+    """(start, end, text) of one recording as a frame that keeps its types also when nothing is left."""
+    side = {"video_id": pd.Series([video_id] * len(out), dtype=object), **columns}
+    return pd.DataFrame(side | {"start": np.array([x[0] for x in out], np.float64), "end": np.array([x[1] for x in out], np.float64), "text": pd.Series([x[2] for x in out], dtype=object)})
+
+
 def words_to_segments(words: DataFrame, pause_s: float = PAUSE_S, max_segment_s: float = MAX_SEGMENT_S) -> DataFrame:
     """Timed words (video_id, pos, start, end, text, duration) -> video_id, seg_no, start, end, text.
 
     A cut falls before a word that begins more than pause_s after the last one ended, or that would end more than max_segment_s
-    after the segment began. Words without a start join what is open. The length cut depends on the cut before, so each
-    recording is one group; a recording is some thousand words.
+    after the segment began. Words without a start join what is open. Where pauses fall is known from neighbours alone, so they
+    cut a recording into runs; a run that is not longer than a segment may be is one. Only in longer ones, each a group of its
+    own, does a cut depend on the one before. Segments without text, and words before which nothing was timed, give nothing.
     """
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        duration, out = float(pdf["duration"].iloc[0]), []
-        held, opened, ended = [], None, None
-
-        def flush() -> None:
-            said = "".join(held).strip()
-            if said and opened is not None:
-                out.append((opened, min(max(opened if ended is None else ended, opened), duration), said))
-
-        for start, end, said in zip(pdf["start"], pdf["end"], pdf["text"]):
-            if pd.isna(start):
-                held.append(said or "")
-                continue
-            begin = max(0.0, start)
-            begin, finish = sorted((begin, begin if pd.isna(end) else end))
-            begin, finish = min(begin, duration), min(finish, duration)
-            # an end of exactly 0 counts as no pause
-            if opened is not None and (begin - (ended or begin) > pause_s or finish - opened > max_segment_s):
-                flush()
-                held, opened = [], None
-            opened = begin if opened is None else opened
-            held.append(said or "")
-            ended = finish
-        flush()
-        return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "seg_no": np.arange(len(out), dtype=np.int32), "start": [x[0] for x in out], "end": [x[1] for x in out], "text": [x[2] for x in out]})
-
-    return words.groupBy("video_id").applyInPandas(cut, "video_id string, seg_no int, start double, end double, text string")
+    order = W.partitionBy("video_id").orderBy("pos")
+    begin = F.greatest(F.col("start"), F.lit(0.0))
+    other = F.coalesce("end", begin)
+    timed = F.col("start").isNotNull()
+    rows = words.select("video_id", "pos", "duration", F.coalesce("text", F.lit("")).alias("text"), F.when(timed, F.least(F.least(begin, other), "duration")).alias("begin"), F.when(timed, F.least(F.greatest(begin, other), "duration")).alias("finish"))
+    ended = F.last("finish", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
+    # an end of exactly 0 counts as no pause
+    pause = F.coalesce((F.col("begin") - F.nullif("ended", F.lit(0.0)) > pause_s).cast("int"), F.lit(0))
+    rows = rows.withColumn("ended", ended).withColumn("pause", pause).withColumn("run", F.sum("pause").over(order)).drop("ended", "pause")
+    run = rows.groupBy("video_id", "run").agg(
+        F.min_by("begin", F.when(F.col("begin").isNotNull(), F.col("pos"))).alias("start"), F.max("finish").alias("most"), F.max_by("finish", F.when(F.col("begin").isNotNull(), F.col("pos"))).alias("final"),
+        F.first("duration").alias("duration"), F.sort_array(F.collect_list(F.struct("pos", "begin", "finish", "text"))).alias("words"),
+    ).filter("start is not null")
+    long = F.col("most") - F.col("start") > max_segment_s
+    said = F.array_join(F.transform("words", lambda x: x["text"]), "")
+    short = run.filter(~long).select("video_id", "run", F.lit(0).alias("part"), "start", F.least(F.greatest("final", "start"), "duration").alias("end"), said.alias("text"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for name, number, duration, listed in zip(pdf["video_id"], pdf["run"], pdf["duration"], pdf["words"]):
+                held, opened, ended, part = [], None, None, 0
+                for x in listed:
+                    if x["begin"] is not None:
+                        if opened is not None and x["finish"] - opened > max_segment_s:
+                            out.append((name, number, part, opened, min(max(ended, opened), duration), "".join(held)))
+                            held, opened, part = [], None, part + 1
+                        opened = x["begin"] if opened is None else opened
+                        ended = x["finish"]
+                    held.append(x["text"])
+                out.append((name, number, part, opened, min(max(ended, opened), duration), "".join(held)))
+            yield pd.DataFrame(out, columns=["video_id", "run", "part", "start", "end", "text"])
+
+    cuts = run.filter(long).select("video_id", "run", "duration", "words").mapInPandas(cut, "video_id string, run long, part int, start double, end double, text string")
+    found = short.unionByName(cuts).withColumn("text", strip(F.col("text"))).filter("text <> ''")
+    return found.select("video_id", (F.row_number().over(W.partitionBy("video_id").orderBy("run", "part")) - 1).alias("seg_no"), "start", "end", "text")
 
 
 def replaced(text: Column, rules: list[tuple[str, str]]) -> Column:
@@ -173,7 +189,7 @@ def windows(segments: DataFrame, window_s: float = WINDOW_S, overlap_s: float =
                 break
             back = np.flatnonzero(start[at + 1 : stop] <= end[stop - 1] - overlap_s)
             at = at + 1 + int(back[-1]) if len(back) else at + 1
-        return pd.DataFrame({"video_id": pdf["video_id"].iloc[0], "chunk_no": np.arange(len(out), dtype=np.int32), "start": [x[0] for x in out], "end": [x[1] for x in out], "text": [x[2] for x in out]})
+        return _frame(pdf["video_id"].iloc[0], out, chunk_no=np.arange(len(out), dtype=np.int32))
 
     found = segments.select("video_id", "seg_no", "start", "end", "text").groupBy("video_id").applyInPandas(cut, "video_id string, chunk_no int, start double, end double, text string")
     return found.select(chunk_id(F.col("video_id"), F.col("chunk_no")).alias("chunk_id"), "video_id", "chunk_no", "start", "end", "text")

@@ -1,5 +1,7 @@
 """Repair, cleaning and windows on small recordings."""
 
+import random
+
 import pytest
 
 from lectio.operators import transcripts as tr
@@ -91,3 +93,61 @@ def test_prompt_stops_at_the_first_term_that_does_not_fit(spark):
 def test_unit_vectors(spark):
     df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "embedding array<float>")
     assert [list(r[0]) for r in tr.unit_vectors(df).collect()] == [[pytest.approx(0.6), pytest.approx(0.8)], [0.0, 0.0]]
+
+
+def plain_segments(parts, duration, pause_s, max_s):
+    """Cut word by word, as a reader of the rule would."""
+    out, held, opened, ended = [], [], None, None
+
+    def flush():
+        said = "".join(held).strip()
+        if said and opened is not None:
+            out.append((opened, min(max(ended, opened), duration), said))
+
+    for start, end, said in parts:
+        if start is None:
+            held.append(said)
+            continue
+        low, high = sorted((max(0.0, start), max(0.0, start) if end is None else end))
+        low, high = min(low, duration), min(high, duration)
+        if opened is not None and (low - (ended or low) > pause_s or high - opened > max_s):
+            flush()
+            held, opened = [], None
+        opened = low if opened is None else opened
+        held.append(said)
+        ended = high
+    flush()
+    return out
+
+
+def test_words_against_a_plain_walk(spark):
+    rng = random.Random(4)
+    recordings = {}
+    for k in range(60):
+        at, parts = 0.0, []
+        for _ in range(rng.randint(1, 60)):
+            at += rng.choice([0.0, 0.1, 0.3, 0.9, 3.0])
+            start = None if rng.random() < 0.15 else at
+            end = None if rng.random() < 0.2 else at + rng.choice([0.0, 0.5, 1.0, -2.0])
+            parts.append((start, end, rng.choice([" a", "b", " ", "", " c "])))
+        recordings[f"v{k}"] = parts
+    df = spark.createDataFrame([(v, i, *x, 30.0) for v, parts in recordings.items() for i, x in enumerate(parts)], RAW)
+    found = {}
+    for r in tr.words_to_segments(df, 0.6, 4.0).orderBy("video_id", "seg_no").collect():
+        found.setdefault(r["video_id"], []).append((r["start"], r["end"], r["text"]))
+    assert found == {v: x for v, parts in recordings.items() if (x := plain_segments(parts, 30.0, 0.6, 4.0))}
+
+
+def test_recordings_that_yield_nothing(spark):
+    quiet = spark.createDataFrame([("v", 0, 0.0, 5.0, " "), ("v", 1, 5.0, 9.0, "")], SEGMENTS)
+    assert rows(tr.windows(quiet), "text") == []
+    both = quiet.unionByName(spark.createDataFrame([("w", 0, 0.0, 5.0, "a")], SEGMENTS))
+    assert rows(tr.windows(both), "chunk_id", "text") == [("w:0000", "a")]
+    assert rows(words(spark, (0.0, 1.0, " "), (None, None, "")), "text") == []
+    assert rows(tr.windows(quiet.limit(0)), "text") == rows(tr.clean(quiet), "text") == []
+
+
+def test_names_of_a_glossary_in_a_row_are_an_echo(spark):
+    terms = ["Popper", "Lakatos", "Feyerabend"]
+    df = spark.createDataFrame([("Popper, Lakatos, Feyerabend.",), ("Popper met Lakatos before the war and spoke of it often",), ("Popper",), ("",)], "text string")
+    assert [r[0] for r in df.select(tr.is_glossary_echo(df["text"], terms)).collect()] == [True, False, False, False]
