@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,40 +14,109 @@ from lectio.functions.text import json_of, minutes, quote_form, strip
 
 MAX_QUOTE, MIN_QUOTE, FUZZY, MIN_BLOCK, OPENING = 300, 12, 0.85, 4, 40
 MATERIAL, FULL_FROM = 15, 3
-EXTRACT_REPLY = "relevant boolean, relevance double, points array<string>, quote string, readings array<string>"
-SYNTHESIS_REPLY = "answer_md string, citations array<struct<chunk_id: string, quote: string>>, coverage string, outside_lectures_md string, readings array<struct<text: string, chunk_id: string>>"
+COVERAGES = ["full", "partial", "not_found"]
+#: What a quoted truth value may be.
+TRUE, FALSE = ["1", "on", "t", "true", "y", "yes"], ["0", "off", "f", "false", "n", "no"]
 
 
-def parse_replies(raw: DataFrame, schema: str, usable: Column) -> tuple[DataFrame, DataFrame]:
-    """(request_id, attempt, raw) -> (request_id, attempt, parsed: the first usable attempt, the last raw replies of the rest).
+def _at(v: Column, path: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(v, f"$.{path}" if path else "$", kind)
 
-    usable: a condition on ``parsed``. Keys beyond the schema are ignored; true and false may be quoted.
+
+def _kind(v: Column, path: str) -> Column:
+    """The JSON type at a path: null where there is nothing, VOID for a null."""
+    return F.schema_of_variant(_at(v, path))
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.rlike("^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)")
+
+
+def _truth(v: Column, path: str) -> tuple[Column, Column]:
+    """(value, whether it may be read as one): true, false, 0 and 1, or a string that names one of them."""
+    kind, said, number = _kind(v, path), F.lower(_at(v, path, "string")), _at(v, path, "double")
+    value = F.when(kind == "BOOLEAN", _at(v, path, "boolean")).when(_is_number(kind) & number.isin(0.0, 1.0), number == 1.0)
+    value = value.when((kind == "STRING") & said.isin(TRUE), True).when((kind == "STRING") & said.isin(FALSE), False)
+    return value, value.isNotNull()
+
+
+def _number(v: Column, path: str, default: float) -> tuple[Column, Column]:
+    """(value, whether it may be read as one): a number, a truth value, a string that holds a number, or nothing at all."""
+    kind, said = _kind(v, path), strip(_at(v, path, "string"))
+    value = F.when(kind.isNull(), F.lit(default)).when(_is_number(kind), _at(v, path, "double")).when(kind == "BOOLEAN", _at(v, path, "boolean").cast("int").cast("double"))
+    value = value.when((kind == "STRING") & said.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), said.try_cast("double"))
+    return value, value.isNotNull()
+
+
+def _string(v: Column, path: str, default: str | None = None) -> tuple[Column, Column]:
+    """(value, whether it is a string); without a default it must be there."""
+    kind = _kind(v, path)
+    value = F.when(kind == "STRING", _at(v, path, "string"))
+    value = value if default is None else value.when(kind.isNull(), F.lit(default))
+    return value, value.isNotNull()
+
+
+def _list(v: Column, path: str, one: Callable[[Column], tuple[Column, Column]]) -> tuple[Column, Column]:
+    """(values, whether it is an array of which ``one`` accepts every item, or nothing at all, which is an empty one)."""
+    kind, items = _kind(v, path), _at(v, path, "array<variant>")
+    items = F.when(kind.isNull(), F.array().cast("array<variant>")).when(kind.startswith("ARRAY<"), items)
+    return F.transform(items, lambda x: one(x)[0]), F.coalesce(F.forall(items, lambda x: F.coalesce(one(x)[1], F.lit(False))), F.lit(False))
+
+
+def _object(fields: dict[str, Callable[[Column, str], tuple[Column, Column]]]) -> Callable[[Column], tuple[Column, Column]]:
+    """Reads an object by its fields; keys beyond them are ignored."""
+
+    def read(v: Column) -> tuple[Column, Column]:
+        ok, values = F.schema_of_variant(v).startswith("OBJECT<"), []
+        for name, field in fields.items():
+            value, good = field(v, name)
+            ok, values = ok & good, [*values, value.alias(name)]
+        return F.struct(*values), ok
+
+    return read
+
+
+_item = lambda v: _string(v, "")
+EXTRACT_REPLY = _object({
+    "relevant": _truth,
+    "relevance": lambda v, p: ((x := _number(v, p, 0.0))[0], x[1] & x[0].between(0, 1) & ~F.isnan(x[0])),
+    "points": lambda v, p: _list(v, p, _item),
+    "quote": lambda v, p: _string(v, p, ""),
+    "readings": lambda v, p: _list(v, p, _item),
+})
+SYNTHESIS_REPLY = _object({
+    "answer_md": _string,
+    "citations": lambda v, p: _list(v, p, _object({"chunk_id": _string, "quote": lambda v, p: _string(v, p, "")})),
+    "coverage": lambda v, p: ((x := _string(v, p))[0], x[1] & x[0].isin(COVERAGES)),
+    "outside_lectures_md": lambda v, p: _string(v, p, ""),
+    "readings": lambda v, p: _list(v, p, _object({"text": _string, "chunk_id": _string})),
+})
+
+
+def parse_replies(raw: DataFrame, read: Callable[[Column], tuple[Column, Column]]) -> tuple[DataFrame, DataFrame]:
+    """(request_id, attempt, raw) -> (request_id, attempt, parsed: the first usable attempt; request_id, attempt, raw: the last
+    replies of requests without one).
+
+    A reply is usable if its JSON is an object whose fields all have the type that is asked for, or one that reads as it
+    without doubt (a number or a truth value in quotes). Missing fields take their default; a null is not missing.
     """
-    wide = T._parse_datatype_string(schema)
-    text = json_of(F.col("raw"))
-    for f in wide.fields:
-        if isinstance(f.dataType, T.BooleanType):
-            text = F.regexp_replace(text, rf'("{f.name}"\s*:\s*)"(?i)(true|false)"', "$1$2")
-    parsed = raw.withColumn("parsed", F.from_json(text, wide, {"mode": "PERMISSIVE"}))
-    parsed = parsed.withColumn("ok", F.coalesce(F.col("parsed").isNotNull() & usable, F.lit(False)))
-    best = parsed.withColumn("nth", F.row_number().over(W.partitionBy("request_id").orderBy(F.col("ok").desc(), F.when(F.col("ok"), F.col("attempt")).otherwise(-F.col("attempt"))))).filter("nth = 1")
-    return best.filter("ok").select("request_id", "attempt", "parsed"), best.filter("not ok").select("request_id", "attempt", "raw")
+    value, ok = read(F.col("v"))
+    rows = raw.withColumn("v", F.try_parse_json(json_of(F.col("raw")))).select("request_id", "attempt", "raw", F.coalesce(ok, F.lit(False)).alias("ok"), value.alias("parsed"))
+    best = rows.groupBy("request_id").agg(F.min(F.when(F.col("ok"), F.col("attempt"))).alias("first"), F.min_by("parsed", F.when(F.col("ok"), F.col("attempt"))).alias("parsed"), F.max("attempt").alias("attempt"), F.max_by("raw", "attempt").alias("raw"))
+    return best.filter("first is not null").select("request_id", F.col("first").alias("attempt"), "parsed"), best.filter("first is null").select("request_id", "attempt", "raw")
 
 
 def parse_extracts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Judged fragments: relevant is required, relevance defaults to 0 and must be from 0 to 1, lists and strings to empty."""
-    relevance = F.coalesce("parsed.relevance", F.lit(0.0))
-    good, bad = parse_replies(raw, EXTRACT_REPLY, F.col("parsed.relevant").isNotNull() & relevance.between(0, 1))
-    p = lambda c, d: F.coalesce(F.col(f"parsed.{c}"), d)
-    none = F.array().cast("array<string>")
-    return good.select("request_id", "parsed.relevant", p("relevance", F.lit(0.0)).alias("relevance"), p("points", none).alias("points"), p("quote", F.lit("")).alias("quote"), p("readings", none).alias("readings")), bad
+    good, bad = parse_replies(raw, EXTRACT_REPLY)
+    return good.select("request_id", "attempt", "parsed.*"), bad
 
 
 def parse_answers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Written answers: answer_md and coverage (full, partial, not_found) are required; every citation needs its chunk_id."""
-    whole = F.forall(F.coalesce("parsed.citations", F.array().cast("array<struct<chunk_id:string,quote:string>>")), lambda x: x["chunk_id"].isNotNull())
-    good, bad = parse_replies(raw, SYNTHESIS_REPLY, F.col("parsed.answer_md").isNotNull() & F.col("parsed.coverage").isin("full", "partial", "not_found") & whole)
-    return good.select("request_id", "parsed.*"), bad
+    """Written answers: answer_md and coverage (full, partial, not_found) are required; every citation needs its chunk_id,
+    every reading its text and chunk_id."""
+    good, bad = parse_replies(raw, SYNTHESIS_REPLY)
+    return good.select("request_id", "attempt", "parsed.*"), bad
 
 
 def gram_bound(needle: Column, source: Column, size: int = MIN_BLOCK) -> Column:
@@ -57,43 +126,98 @@ def gram_bound(needle: Column, source: Column, size: int = MIN_BLOCK) -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + size - 1))))) / n
 
 
-@F.pandas_udf(T.DoubleType())
-def matched_share(needle: pd.Series, source: pd.Series) -> pd.Series:
-    """Characters in matching blocks of at least MIN_BLOCK, as a share of the needle."""
-
-    def one(a: str, b: str) -> float:
-        blocks = SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
-        return sum(x.size for x in blocks if x.size >= MIN_BLOCK) / len(a)
-
-    return pd.Series([one(a, b) if a and b else 0.0 for a, b in zip(needle, source)])
+def common_runs(needle: str, source: str, size: int = MIN_BLOCK) -> list[tuple[int, int, int]]:
+    """(place in needle, place in source, length) of every maximal common run of ``size`` characters or more."""
+    places: dict[str, list[int]] = {}
+    for i in range(len(needle) - size + 1):
+        gram = needle[i : i + size]
+        if gram not in places:
+            found, at = [], source.find(gram)
+            while at >= 0:
+                found.append(at)
+                at = source.find(gram, at + 1)
+            places[gram] = found
+    out, open_ = [], {}  # open_: diagonal -> where its run began
+    for i in range(len(needle) - size + 2):
+        now = {j - i: i for j in places.get(needle[i : i + size], ())} if i + size <= len(needle) else {}
+        for d in [d for d in open_ if d not in now]:
+            begin = open_.pop(d)
+            out.append((begin, begin + d, i - 1 - begin + size))
+        for d in now:
+            open_.setdefault(d, i)
+    return out
+
+
+def share_in_blocks(needle: str, source: str, threshold: float = 0.0, size: int = MIN_BLOCK) -> float:
+    """Characters of the needle in matching blocks of at least ``size``, as a share of it.
+
+    Blocks are found from the longest on: of equal ones the leftmost in the needle, then in the source; then the same to
+    the left of it on both sides, and to the right. Only runs of ``size`` count, so they are found by their first
+    characters. 0 when even all runs together do not reach the threshold.
+    """
+    runs = common_runs(needle, source, size)
+    covered = set()
+    for i, _, n in runs:
+        covered.update(range(i, i + n))
+    if not covered or len(covered) / len(needle) < threshold:
+        return 0.0
+    total, parts = 0, [(0, len(needle), 0, len(source), runs)]
+    while parts:
+        a0, a1, b0, b1, runs = parts.pop()
+        inside = []
+        for i, j, n in runs:
+            cut = max(a0 - i, b0 - j, 0)
+            n = min(n, a1 - i, b1 - j) - cut
+            if n >= size:
+                inside.append((i + cut, j + cut, n))
+        if not inside:
+            continue
+        i, j, n = min(inside, key=lambda r: (-r[2], r[0], r[1]))
+        total += n
+        parts += [(a0, i, b0, j, inside), (i + n, a1, j + n, b1, inside)]
+    return total / len(needle)
+
+
+def matched_share(needle: Column, source: Column, threshold: float = 0.0) -> Column:
+    """share_in_blocks() by row; 0 for nulls and empty texts."""
+
+    @F.pandas_udf(T.DoubleType())
+    def share(needles: pd.Series, sources: pd.Series) -> pd.Series:
+        return pd.Series([share_in_blocks(a, b, threshold) if a and b else 0.0 for a, b in zip(needles, sources)])
+
+    return share(needle, source)
 
 
 def verify_quotes(claims: DataFrame, threshold: float = FUZZY) -> DataFrame:
-    """Adds needle, exact and verified to rows with quote and source.
+    """Adds needle, exact and verified to rows with quote and source, or hay, the source in its quote form already.
 
-    Contained quotes are decided in the plan; of the rest only those that the bound cannot rule out reach the slow matcher,
-    dealt evenly first, as a popular source may be quoted very often.
+    Contained quotes are decided in the plan, and no text is sent to the matcher for them; the matcher stops at an upper
+    bound where that rules a quote out. No shuffle.
     """
-    rows = claims.withColumn("needle", quote_form(F.coalesce("quote", F.lit("")))).withColumn("hay", quote_form(F.coalesce("source", F.lit(""))))
-    able = (F.length("needle") >= MIN_QUOTE) & (F.col("hay") != "")
+    rows = claims if "hay" in claims.columns else claims.withColumn("hay", quote_form(F.coalesce("source", F.lit(""))))
+    rows = rows.withColumn("needle", quote_form(F.coalesce("quote", F.lit(""))))
+    able = (F.length("needle") >= MIN_QUOTE) & (F.coalesce("hay", F.lit("")) != "")
     rows = rows.withColumn("exact", able & F.contains("hay", "needle"))
-    open_ = able & ~F.col("exact") & (gram_bound(F.col("needle"), F.col("hay")) >= threshold)
-    rows = rows.withColumn("open", open_)
-    decided = rows.filter("not open").withColumn("verified", F.col("exact"))
-    slow = rows.filter("open").repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    slow = slow.withColumn("verified", matched_share("needle", "hay") >= threshold)
-    return decided.unionByName(slow).drop("hay", "open")
+    asked = F.when(able & ~F.col("exact"), F.col("hay"))
+    return rows.withColumn("verified", F.col("exact") | (matched_share(F.col("needle"), asked, threshold) >= threshold)).drop("hay")
+
+
+def quotable(chunks: DataFrame, claims: DataFrame, *columns: Column | str) -> DataFrame:
+    """chunk_id, the columns, and hay (the quote form of the text), once for each chunk that is claimed."""
+    asked = claims.select("chunk_id").distinct()
+    return chunks.join(asked, "chunk_id", "left_semi").select("chunk_id", *columns, quote_form(F.col("text")).alias("hay"))
 
 
-def assemble_extracts(judged: DataFrame, chunks: DataFrame) -> DataFrame:
+def assemble_extracts(judged: DataFrame, chunks: DataFrame, threshold: float = FUZZY) -> DataFrame:
     """(question_id, position, chunk_id, relevant, relevance, points, quote, readings) -> one extract per question.
 
     Fragments without points or not relevant go. A quote is stripped and cut to MAX_QUOTE characters; one that is not in its
     fragment becomes the fragment's beginning. Order: relevance, then the candidate's position.
     """
-    kept = judged.filter(F.col("relevant") & (F.size("points") > 0)).join(chunks.select("chunk_id", F.col("text").alias("source")), "chunk_id")
-    kept = verify_quotes(kept.withColumn("quote", F.substring(strip(F.col("quote")), 1, MAX_QUOTE)))
-    quote = F.when(F.col("verified") & (F.col("quote") != ""), F.col("quote")).otherwise(F.substring("source", 1, MAX_QUOTE))
+    kept = judged.filter(F.col("relevant") & (F.size("points") > 0))
+    kept = kept.join(quotable(chunks, kept, F.substring("text", 1, MAX_QUOTE).alias("beginning")), "chunk_id")
+    kept = verify_quotes(kept.withColumn("quote", F.substring(strip(F.col("quote")), 1, MAX_QUOTE)), threshold)
+    quote = F.when(F.col("verified") & (F.col("quote") != ""), F.col("quote")).otherwise(F.col("beginning"))
     item = F.struct((-F.col("relevance")).alias("k"), "position", "chunk_id", "relevance", "points", quote.alias("quote"))
     read = F.transform(F.filter("readings", lambda x: strip(x) != ""), lambda x: F.struct(x.alias("text"), F.col("chunk_id").alias("chunk_id")))
     grouped = kept.groupBy("question_id").agg(F.sort_array(F.collect_list(item)).alias("relevant"), F.sort_array(F.collect_list(F.struct("position", read.alias("items")))).alias("readings"))
@@ -126,14 +250,14 @@ def quote_starts(claims: DataFrame, parts: DataFrame) -> DataFrame:
     return asked.join(placed, "claim_id", "left").select("claim_id", F.coalesce("start", "chunk_start").alias("start"))
 
 
-def build_citations(claims: DataFrame, chunks: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+def build_citations(claims: DataFrame, chunks: DataFrame, segments: DataFrame | None = None, threshold: float = FUZZY) -> DataFrame:
     """(answer_id, position, chunk_id, quote) -> the same with kept, n (dense from 1), video_id, start.
 
-    A claim is kept if its chunk exists and its quote, stripped and cut, is in it.
+    A claim is kept if its chunk exists and its quote, stripped and cut, is in it; with a threshold above 1, word for word.
     """
-    known = chunks.select("chunk_id", "video_id", F.col("start").alias("chunk_start"), F.col("text").alias("source"))
+    known = quotable(chunks, claims, "video_id", F.col("start").alias("chunk_start"))
     rows = claims.withColumn("quote", F.substring(strip(F.coalesce("quote", F.lit(""))), 1, MAX_QUOTE)).join(known, "chunk_id", "left")
-    rows = verify_quotes(rows).withColumn("kept", F.coalesce(F.col("verified") & (F.col("quote") != "") & F.col("video_id").isNotNull(), F.lit(False)))
+    rows = verify_quotes(rows, threshold).withColumn("kept", F.coalesce(F.col("verified") & (F.col("quote") != "") & F.col("video_id").isNotNull(), F.lit(False)))
     counted = F.sum(F.col("kept").cast("int")).over(W.partitionBy("answer_id").orderBy("position"))
     rows = rows.withColumn("n", F.when(F.col("kept"), counted))
     if segments is None:
@@ -162,11 +286,11 @@ def answer_readings(readings: DataFrame, chunks: DataFrame) -> DataFrame:
     return readings.filter(strip(F.coalesce("text", F.lit(""))) != "").join(known, "chunk_id").select("answer_id", "position", "text", "video_id", "start")
 
 
-def assemble_answers(answers: DataFrame, chunks: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+def assemble_answers(answers: DataFrame, chunks: DataFrame, segments: DataFrame | None = None, threshold: float = FUZZY) -> DataFrame:
     """Parsed answers (request_id, ...) -> answer_id, answer_md, outside_lectures_md, coverage, citations, dropped, readings."""
     base = answers.withColumnRenamed("request_id", "answer_id")
     claims = base.select("answer_id", F.posexplode("citations").alias("position", "c")).select("answer_id", (F.col("position") + 1).alias("position"), "c.chunk_id", "c.quote")
-    built = build_citations(claims, chunks, segments)
+    built = build_citations(claims, chunks, segments, threshold)
     cited = built.groupBy("answer_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("kept"), F.struct("n", "chunk_id", "video_id", "start", "quote")))).alias("citations"),
         F.sort_array(F.collect_list(F.when(~F.col("kept"), F.col("position")))).alias("dropped"),
@@ -174,11 +298,13 @@ def assemble_answers(answers: DataFrame, chunks: DataFrame, segments: DataFrame
     )
     read = answer_readings(base.select("answer_id", F.posexplode("readings").alias("position", "r")).select("answer_id", "position", "r.text", "r.chunk_id"), chunks)
     read = read.groupBy("answer_id").agg(F.sort_array(F.collect_list(F.struct("position", "text", "video_id", "start"))).alias("read"))
-    joined = base.drop("citations", "readings").join(cited, "answer_id", "left").join(read, "answer_id", "left")
+    joined = base.select("answer_id", "answer_md", "outside_lectures_md", "coverage").join(cited, "answer_id", "left").join(read, "answer_id", "left")
     n = F.when(F.col("citations").isNull(), 0).otherwise(F.size("citations"))
     gone = F.coalesce(F.size("dropped") > 0, F.lit(False))
     outside = F.nullif(strip(F.coalesce("outside_lectures_md", F.lit(""))), F.lit(""))
-    return joined.select("answer_id", renumbered(F.col("answer_md"), F.coalesce("numbers", F.create_map().cast("map<int,bigint>")), gone).alias("answer_md"), outside.alias("outside_lectures_md"), verified_coverage(F.col("coverage"), n).alias("coverage"), "citations", "dropped", F.transform("read", lambda x: F.struct(x["text"].alias("text"), x["video_id"].alias("video_id"), x["start"].alias("start"))).alias("readings"))
+    shown = F.transform("read", lambda x: F.struct(x["text"].alias("text"), x["video_id"].alias("video_id"), x["start"].alias("start")))
+    cites = F.coalesce("citations", F.array().cast(joined.schema["citations"].dataType))
+    return joined.select("answer_id", renumbered(F.col("answer_md"), F.coalesce("numbers", F.create_map().cast("map<int,bigint>")), gone).alias("answer_md"), outside.alias("outside_lectures_md"), verified_coverage(F.col("coverage"), n).alias("coverage"), cites.alias("citations"), F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"), F.coalesce(shown, F.array().cast("array<struct<text:string,video_id:string,start:double>>")).alias("readings"))
 
 
 def material(extracts: DataFrame, chunks: DataFrame, limit: int = MATERIAL, fallback: str = "(лекции ничего не дали по этому вопросу)") -> DataFrame:
