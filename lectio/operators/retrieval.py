@@ -16,6 +16,8 @@ TOP_K, RRF_K = 40, 60
 K1, B, EPSILON = 1.5, 0.75, 0.25
 #: Rows of a query side that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Questions of a block whose matrix goes to every task, and vectors of a cell that a block meets when there are several.
+BLOCK, CELL = 4096, 50_000
 
 
 def words(df: DataFrame, key: str, lemmas: DataFrame | None = None, pattern: str = "[а-яёa-z0-9]+") -> DataFrame:
@@ -28,9 +30,16 @@ def words(df: DataFrame, key: str, lemmas: DataFrame | None = None, pattern: str
 
 
 def postings(chunks: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
-    """chunk_id, term, tf, length: built once, whatever the number of questions."""
-    tf = words(chunks, "chunk_id", lemmas).groupBy("chunk_id", "term").agg(F.count("*").alias("tf"))
-    return tf.withColumn("length", F.sum("tf").over(W.partitionBy("chunk_id")))
+    """chunk_id, term, tf, length: to be stored once, whatever the number of questions.
+
+    A chunk's terms are counted in the task that reads it; lemmas do not change its length.
+    """
+    found = chunks.select("chunk_id", tokens(F.col("text")).alias("said"))
+    found = found.select("chunk_id", F.size("said").cast("long").alias("length"), F.explode("said").alias("term"))
+    if lemmas is not None:
+        named = lemmas.select(F.col("word").alias("term"), "lemma").dropDuplicates(["term"])
+        found = found.join(named, "term", "left").select("chunk_id", "length", F.coalesce("lemma", "term").alias("term"))
+    return found.groupBy("chunk_id", "length", "term").agg(F.count("*").alias("tf")).select("chunk_id", "term", "tf", "length")
 
 
 def corpus_size(chunks: DataFrame, posted: DataFrame) -> tuple[int, float]:
@@ -56,33 +65,45 @@ def bm25(questions: DataFrame, posted: DataFrame, weights: DataFrame, n: int, av
     return scored.filter("score > 0")
 
 
-def dense(questions: DataFrame, vectors: DataFrame, pool: int = 2 * TOP_K) -> DataFrame:
+def _best(names: np.ndarray, matrix: np.ndarray, pdf: pd.DataFrame, pool: int) -> pd.DataFrame:
+    """The best ``pool`` of these vectors for each question; ties at the edge stay."""
+    score = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) @ matrix.T
+    keep, ids = min(pool, len(pdf)), pdf["chunk_id"].to_numpy()
+    least = np.partition(score, len(pdf) - keep, axis=0)[len(pdf) - keep]
+    row, column = np.nonzero(score >= least[None])
+    return pd.DataFrame({"question_id": names[column], "chunk_id": ids[row], "score": score[row, column]})
+
+
+def dense(questions: DataFrame, vectors: DataFrame, pool: int = 2 * TOP_K, block: int = BLOCK, cell: int = CELL) -> DataFrame:
     """(question_id, embedding) x (chunk_id, embedding), unit vectors -> question_id, chunk_id, score; exact.
 
-    The questions' matrix goes to every task in blocks of a fixed size; each batch keeps its own best ``pool`` of a question,
-    so a task sends as many rows as questions and pool allow, whatever the number of chunks.
+    Up to ``block`` questions are one matrix that goes to every task, and the vectors stay where they are. More questions are
+    dealt to blocks and the vectors to cells, and each block meets each cell in a task of its own. A task sends the best
+    ``pool`` of each question, whatever the number of its vectors.
     """
-    asked = questions.select("question_id", "embedding").orderBy("question_id")
-    out = None
-    rows = asked.collect()
-    for at in range(0, len(rows), 4096):
-        names = [r["question_id"] for r in rows[at : at + 4096]]
-        matrix = np.array([r["embedding"] for r in rows[at : at + 4096]], np.float64)
-
-        def best(batches: Iterator[pd.DataFrame], names=names, matrix=matrix) -> Iterator[pd.DataFrame]:
+    schema = f"question_id {questions.schema['question_id'].dataType.simpleString()}, chunk_id string, score double"
+    asked, known = questions.select("question_id", "embedding"), vectors.select("chunk_id", "embedding")
+    n = asked.count()
+    if n <= block:
+        rows = asked.orderBy("question_id").collect()
+        names, matrix = np.array([r["question_id"] for r in rows], object), np.array([r["embedding"] for r in rows], np.float64)
+
+        def all_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                if not len(pdf):
-                    continue
-                score = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) @ matrix.T
-                keep = min(pool, len(pdf))
-                ids = pdf["chunk_id"].to_numpy()
-                least = np.partition(score, len(pdf) - keep, axis=0)[len(pdf) - keep]
-                row, column = np.nonzero(score >= least[None])  # ties at the edge stay
-                yield pd.DataFrame({"question_id": np.array(names, object)[column], "chunk_id": ids[row], "score": score[row, column]})
-
-        found = vectors.select("chunk_id", "embedding").mapInPandas(best, f"question_id {questions.schema['question_id'].dataType.simpleString()}, chunk_id string, score double")
-        out = found if out is None else out.unionAll(found)
-    return out if out is not None else questions.sparkSession.createDataFrame([], "question_id string, chunk_id string, score double")
+                if len(pdf) and len(names):
+                    yield _best(names, matrix, pdf, pool)
+
+        return known.mapInPandas(all_of, schema)
+    blocks, cells = -(-n // block), max(1, -(-known.count() // cell))
+    some = asked.withColumn("block", F.pmod(F.xxhash64("question_id"), F.lit(blocks)).cast("int")).withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
+    other = known.withColumn("cell", F.pmod(F.xxhash64("chunk_id"), F.lit(cells)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+
+    def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
+        if not len(q) or not len(v):
+            return pd.DataFrame({"question_id": q["question_id"][:0], "chunk_id": v["chunk_id"][:0], "score": np.zeros(0)})
+        return _best(q["question_id"].to_numpy(), np.stack(q["embedding"].to_numpy()).astype(np.float64), v, pool)
+
+    return some.groupBy("block", "cell").cogroup(other.groupBy("block", "cell")).applyInPandas(meet, schema)
 
 
 def ranked(scores: DataFrame, pool: int = 2 * TOP_K, digits: int = 9) -> DataFrame:
