@@ -85,6 +85,27 @@ def kind_text(kind: Column, texts: dict[str, str]) -> Column:
     return F.create_map(*(F.lit(x) for pair in texts.items() for x in pair))[kind]
 
 
+def with_kind_texts(rows: DataFrame, settings: dict[str, dict[str, str]]) -> DataFrame:
+    """Adds a column for each setting (a note, a guidance, ...): its wording for the row's kind, null for other kinds."""
+    return rows.withColumns({name: kind_text(F.col("kind"), texts) for name, texts in settings.items()})
+
+
+def finished_answers(assembled: DataFrame, asked: DataFrame, extracts: DataFrame, model: str, template: str = "", version: str = "synthesize_v1") -> DataFrame:
+    """assemble_answers() x tickets (question_id, question_set, text) x extracts (question_id, input_hash, relevant) -> answers as
+    they are stored: with question, set, model, prompt version, the hash of what was asked, and the time.
+
+    A question without an extract was asked with none. Answers to no ticket are left out; failed ones are dead letters.
+    """
+    x = extracts.select("question_id", F.col("input_hash").alias("x_hash"), "relevant")
+    rows = assembled.join(asked.select(F.col("question_id").alias("answer_id"), "question_set", "text"), "answer_id").join(x.withColumnRenamed("question_id", "answer_id"), "answer_id", "left")
+    none = F.array().cast(extracts.schema["relevant"].dataType)
+    today = answer_hash(F.col("text"), F.coalesce("x_hash", F.lit("")), F.coalesce("relevant", none), F.lit(model), template, version)
+    return rows.select(
+        F.lit(1).alias("schema_version"), F.col("answer_id").alias("question_id"), "question_set", F.col("text").alias("question"), "answer_md", "outside_lectures_md", "citations", "readings", "coverage",
+        F.lit(model).alias("model"), F.lit(version).alias("prompt_version"), today.alias("input_hash"), F.current_timestamp().alias("generated_at"), F.lit(None).cast("string").alias("error"),
+    )
+
+
 def run_cost(candidates: DataFrame, plan: DataFrame) -> DataFrame:
     """questions, judgements and model calls of what is not ready."""
     due = plan.filter("not ready").select("question_id")

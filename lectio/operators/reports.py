@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from lectio.operators.replies import verified_coverage
 
+#: Names of stages and coverages.
 STAGES = ["ingest", "download", "prepare-audio", "transcribe", "index", "extract", "answer"]
 COVERAGES = ["full", "partial", "not_found"]
-#: Path parts that never go to the public site.
+#: Path parts that never go to the public site.
 PRIVATE = ["/audio", "/transcripts", "/extracts", "chunks.jsonl", ".npy"]
 
 
@@ -55,11 +56,33 @@ def ready_counts(question_sets: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 def manifest(courses: DataFrame, sources: DataFrame, answers: DataFrame) -> DataFrame:
-    """course, title, videos, answers (sorted array of question, coverage and number of citations), as_json."""
+    """course, title, language (ru where none is given), question_sets, videos, answers (sorted array of question, set,
+    coverage and number of citations), as_json."""
     a = answers.groupBy("course").agg(F.sort_array(F.collect_list(F.struct("question_id", "question_set", "coverage", F.size("citations").alias("citations")))).alias("answers"))
     n = sources.groupBy("course").agg(F.count("*").alias("videos"))
-    rows = courses.select("course", "title").join(n, "course", "left").join(a, "course", "left")
-    return rows.withColumn("as_json", F.to_json(F.struct("course", "title", "videos", "answers")))
+    rows = courses.select("course", "title", F.coalesce("language", F.lit("ru")).alias("language"), "question_sets").join(n, "course", "left").join(a, "course", "left")
+    rows = rows.na.fill(0, ["videos"]).withColumn("answers", F.coalesce("answers", F.array().cast(rows.schema["answers"].dataType)))
+    return rows.withColumn("as_json", F.to_json(F.struct(F.col("course").alias("slug"), "title", "language", "question_sets", "videos", "answers")))
+
+
+def stem(path: Column) -> Column:
+    """A file's name without its last ending."""
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+
+
+def whole_manifest(courses: DataFrame, sources: DataFrame, answers: DataFrame, question_sets: DataFrame, crosswalks: DataFrame) -> DataFrame:
+    """section, id, as_json: a row for each course (see manifest()), question set and crosswalk of the site's index.
+
+    question_sets: exploded (question_set, title, kind, question_id, number, text); their questions are put in by number.
+    crosswalks: (path, id, status, pairs); one without an id has its file's name.
+    """
+    c = manifest(courses, sources, answers).select(F.lit("courses").alias("section"), F.col("course").alias("id"), "as_json")
+    one = F.struct("number", F.struct(F.col("question_id").alias("id"), "number", "text").alias("q"))
+    q = question_sets.groupBy("question_set").agg(F.min("title").alias("title"), F.min("kind").alias("kind"), F.transform(F.sort_array(F.collect_list(one)), lambda x: x["q"]).alias("questions"))
+    q = q.select(F.lit("question_sets"), F.col("question_set").alias("id"), F.to_json(F.struct(F.col("question_set").alias("id"), "title", "kind", "questions")))
+    named = F.coalesce(F.nullif("id", F.lit("")), stem(F.col("path")))
+    x = crosswalks.select(F.lit("crosswalks"), named.alias("id"), F.to_json(F.struct(named.alias("id"), "status", "pairs")))
+    return c.unionAll(q).unionAll(x)
 
 
 def publishable(listing: DataFrame, private: list[str] = PRIVATE) -> DataFrame:
@@ -109,7 +132,7 @@ def unknown_sets(courses: DataFrame, question_sets: DataFrame) -> DataFrame:
 
 def name_mismatches(files: DataFrame) -> DataFrame:
     """(path, id) -> rows whose id is not the file's stem."""
-    return files.withColumn("stem", F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1)).filter("stem <> id")
+    return files.withColumn("stem", stem(F.col("path"))).filter("stem <> id")
 
 
 def violations(df: DataFrame, key: list[str], rules: dict[str, Column]) -> DataFrame:
@@ -118,17 +141,29 @@ def violations(df: DataFrame, key: list[str], rules: dict[str, Column]) -> DataF
     return df.select(*key, F.explode(broken).alias("rule"))
 
 
+#: What ids, slugs and the values of some fields look like.
+QUESTION_ID, CHUNK_ID, SLUG = r"^[a-z]{1,4}\d{2,3}$", r"^[\w-]+:\d{4,}$", r"^[a-z0-9][a-z0-9-]*$"
+KINDS, STATUSES, RECOGNISERS = ["general", "course"], ["draft", "verified"], ["whisper", "captions"]
+
+
 def patterns(kind: str) -> dict[str, Column]:
     """Rules of the rows of one kind."""
     c = F.col
-    return {
-        "question": {"question_id": c("question_id").rlike(r"^[a-z]{1,4}\d{2,3}$"), "number": c("number") >= 1, "text": c("text") != ""},
-        "chunk": {"chunk_id": c("chunk_id").rlike(r"^[\w-]+:\d{4,}$"), "start": c("start") >= 0, "end": c("end") >= c("start"), "text": c("text") != ""},
-        "segment": {"start": c("start") >= 0, "end": c("end") >= c("start")},
-        "source": {"order": c("order") >= 1, "duration_s": c("duration_s").isNull() | (c("duration_s") >= 0), "video_id": c("video_id") != ""},
-        "fragment": {"relevance": c("relevance").between(0, 1), "points": F.size("points") >= 1},
-        "answer": {"coverage": c("coverage").isin(COVERAGES), "schema_version": c("schema_version") == 1},
-    }[kind]
+    whole = {"schema_version": F.coalesce("schema_version", F.lit(1)) == 1} if kind in ("set", "crosswalk", "course", "transcript", "extract", "answer") else {}
+    return whole | {
+        "set": lambda: {"id": c("id").rlike(SLUG), "kind": c("kind").isin(KINDS), "title": c("title").isNotNull(), "questions": F.size("questions") >= 1},
+        "question": lambda: {"question_id": c("question_id").rlike(QUESTION_ID), "number": c("number") >= 1, "text": c("text") != ""},
+        "crosswalk": lambda: {"id": c("id").isNull() | c("id").rlike(SLUG), "status": c("status").isin(STATUSES), "pairs": c("pairs").isNotNull()},
+        "pair": lambda: {"course": c("course").rlike(QUESTION_ID), "general": (F.size("general") >= 1) & F.forall("general", lambda x: x.rlike(QUESTION_ID))},
+        "course": lambda: {"slug": c("slug").rlike(SLUG), "title": c("title").isNotNull(), "question_sets": (F.size("question_sets") >= 1) & F.forall("question_sets", lambda x: x.rlike(SLUG))},
+        "source": lambda: {"order": c("order") >= 1, "duration_s": c("duration_s").isNull() | (c("duration_s") >= 0), "video_id": c("video_id") != "", "url": c("url").isNotNull(), "title": c("title").isNotNull()},
+        "transcript": lambda: {"video_id": c("video_id") != "", "source": c("source").isin(RECOGNISERS), "segments": c("segments").isNotNull()},
+        "segment": lambda: {"start": c("start") >= 0, "end": c("end") >= c("start")},
+        "chunk": lambda: {"chunk_id": c("chunk_id").rlike(CHUNK_ID), "source_type": F.coalesce("source_type", F.lit("video")) == "video", "video_id": c("video_id") != "", "start": c("start") >= 0, "end": c("end") >= 0, "text": c("text") != ""},
+        "fragment": lambda: {"chunk_id": c("chunk_id").rlike(CHUNK_ID), "relevance": c("relevance").between(0, 1), "points": F.size("points") >= 1, "quote": c("quote") != ""},
+        "extract": lambda: {"question_id": c("question_id").rlike(QUESTION_ID), "candidates": c("candidates") >= 0},
+        "answer": lambda: {"question_id": c("question_id").rlike(QUESTION_ID), "coverage": c("coverage").isin(COVERAGES)},
+    }[kind]()
 
 
 def gaps_in_numbers(answers: DataFrame) -> DataFrame:
@@ -138,9 +173,29 @@ def gaps_in_numbers(answers: DataFrame) -> DataFrame:
     return answers.filter(~dense).select("question_id")
 
 
-def unknown_keys(raw: DataFrame, allowed: list[str]) -> DataFrame:
-    """(path, raw JSON) -> path, key for each key that the schema does not have."""
-    return raw.select("path", F.explode(F.array_except(F.json_object_keys("raw"), F.array(*map(F.lit, allowed)))).alias("key"))
+def unknown_keys(raw: DataFrame, allowed: list[str] | dict[str, list[str]]) -> DataFrame:
+    """(path, raw JSON) -> path, key for each key that the schema does not have.
+
+    allowed: the keys of the object, or the keys by place: "" for the object itself, else the name of a field (fields within
+    fields joined by dots) that holds an object or an array of objects. Keys below the object come with their place.
+    """
+    if not isinstance(allowed, dict):
+        allowed = {"": allowed}
+
+    def objects_at(place: str) -> Column:
+        objects = F.array(F.try_parse_json("raw"))
+        for field in place.split(".") if place else ():
+            inner = F.transform(objects, lambda o: F.try_variant_get(o, f"$.{field}", "variant"))  # noqa: B023
+            listed = F.transform(inner, lambda o: F.when(F.schema_of_variant(o).startswith("ARRAY<"), F.try_variant_get(o, "$", "array<variant>")).otherwise(F.array(o)))
+            objects = F.flatten(listed)
+        return F.filter(objects, lambda o: F.schema_of_variant(o).startswith("OBJECT<"))
+
+    def odd_at(place: str, keys: list[str]) -> Column:
+        found = F.flatten(F.transform(objects_at(place), lambda o: F.json_object_keys(F.to_json(o))))
+        return F.transform(F.array_except(found, F.array(*map(F.lit, keys))), lambda k: F.concat(F.lit(place + "." if place else ""), k))
+
+    parts = [odd_at(place, keys) for place, keys in allowed.items()]
+    return raw.select("path", F.explode(F.flatten(F.array(*parts))).alias("key"))
 
 
 def validation_report(findings: DataFrame, checked: DataFrame) -> DataFrame:
@@ -162,3 +217,55 @@ def manifest_drift(index: DataFrame, answers: DataFrame) -> DataFrame:
     both = index.select("question_id", "coverage", "citations").join(a, "question_id", "full_outer")
     problem = F.when(F.col("a_coverage").isNull(), "no answer").when(F.col("coverage").isNull(), "not in manifest").when((F.col("coverage") != F.col("a_coverage")) | (F.col("citations") != F.col("a_citations")), "differs")
     return both.select("question_id", problem.alias("problem")).filter("problem is not null")
+
+
+#: Keys of the files that are checked together, by place.
+SET_KEYS = {"": ["schema_version", "id", "title", "description", "kind", "questions"], "questions": ["id", "number", "text"]}
+CROSSWALK_KEYS = {"": ["schema_version", "id", "status", "pairs"], "pairs": ["course", "general"]}
+COURSE_KEYS = {"": ["schema_version", "slug", "title", "language", "question_sets", "sources"], "sources": ["video_id", "url", "title", "duration_s", "order"]}
+SET_FILE = "schema_version int, id string, title string, description string, kind string, questions array<struct<id:string,number:int,text:string>>"
+CROSSWALK_FILE = "schema_version int, id string, status string, pairs array<struct<course:string,general:array<string>>>"
+COURSE_FILE = "schema_version int, slug string, title string, language string, question_sets array<string>, sources array<struct<video_id:string,url:string,title:string,duration_s:double,order:int>>"
+
+
+def findings(sets: DataFrame, crosswalks: DataFrame, courses: DataFrame) -> DataFrame:
+    """(path, raw JSON) of all question sets, crosswalks and courses -> path, severity, rule, detail: I1 to I5 and I8 together.
+
+    Files that break a rule of their own are errors and are not compared with others. Of the others: an id that an earlier
+    set (by path) has, an unknown question of a crosswalk, an unknown set of a course and a course in another's folder are
+    errors; a set whose id is not its file's name is a warning.
+    """
+
+    def read(raw: DataFrame, schema: str) -> DataFrame:
+        return raw.select("path", F.from_json("raw", schema).alias("o")).select("path", "o.*")
+
+    def error(df: DataFrame, rule: Column, detail: Column, severity: str = "error") -> DataFrame:
+        return df.select("path", F.lit(severity).alias("severity"), rule.alias("rule"), detail.cast("string").alias("detail"))
+
+    s, x, c = read(sets, SET_FILE), read(crosswalks, CROSSWALK_FILE), read(courses, COURSE_FILE)
+    questions = s.select("path", F.col("id").alias("question_set"), F.explode("questions").alias("q")).select("path", "question_set", F.col("q.id").alias("question_id"), "q.number", "q.text")
+    pairs = x.select("path", F.explode("pairs").alias("p")).select("path", "p.*")
+    sources = c.select("path", F.explode("sources").alias("s")).select("path", "s.*")
+    broken = [violations(df, ["path"], patterns(kind)) for df, kind in ((s, "set"), (questions, "question"), (x, "crosswalk"), (pairs, "pair"), (c, "course"), (sources, "source"))]
+    own = [error(df, F.lit("invalid"), F.col("rule")) for df in broken]
+    own += [error(unknown_keys(raw, keys), F.lit("unknown key"), F.col("key")) for raw, keys in ((sets, SET_KEYS), (crosswalks, CROSSWALK_KEYS), (courses, COURSE_KEYS))]
+    own += [error(duplicates(df, ["path"], key), F.lit("duplicate"), F.col(key)) for df, key in ((questions, "question_id"), (questions, "number"), (pairs, "course"), (sources, "video_id"))]
+    wrong = _all(own)
+    bad = wrong.select("path").distinct()
+    good = lambda df: df.join(bad, "path", "left_anti")
+    known = good(questions)
+    taken = taken_ids(known).join(good(s).select("path", F.col("id").alias("question_set")), "question_set")
+    walked = good(x).select("path", F.explode("pairs").alias("p")).select(F.col("path").alias("crosswalk_id"), F.col("p.course").alias("course_question"), F.col("p.general").alias("general"))
+    unknown = unknown_in_crosswalk(walked, known).withColumnRenamed("crosswalk_id", "path")
+    named = unknown_sets(good(c).select(F.col("path").alias("course"), "question_sets"), good(s).select(F.col("id").alias("question_set"))).withColumnRenamed("course", "path")
+    folder = F.regexp_extract("path", r"([^/]+)/[^/]*$", 1)
+    return _all([
+        wrong, error(taken, F.lit("taken id"), F.col("question_id")), error(unknown, F.lit("unknown question"), F.col("question_id")), error(named, F.lit("unknown set"), F.col("question_set")),
+        error(good(c).filter(F.col("slug") != folder), F.lit("slug"), F.col("slug")), error(name_mismatches(good(s).select("path", "id")), F.lit("name"), F.col("id"), "warning"),
+    ])
+
+
+def validated(sets: DataFrame, crosswalks: DataFrame, courses: DataFrame) -> DataFrame:
+    """(path, raw) of the three kinds of files -> path, errors, warnings, ok for every file."""
+    checked = _all([df.select("path") for df in (sets, crosswalks, courses)])
+    return validation_report(findings(sets, crosswalks, courses), checked)

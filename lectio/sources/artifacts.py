@@ -27,11 +27,18 @@ def read_objects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     return rows.filter(~bad).select("o.*", "path").drop("_corrupt"), rows.filter(bad).select("path", F.col("value").alias("_corrupt"))
 
 
+def _unless(condition: str, error: AnalysisException) -> None:
+    """Anything but the named condition is an error of its own and goes on."""
+    if error.getCondition() != condition:
+        raise error
+
+
 def read_lines_json(spark: SparkSession, path: str, schema: str = CHUNK) -> DataFrame:
     """JSON lines; blank lines are left out, and a missing file is an empty table."""
     try:
         rows = spark.read.schema(schema).json(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        _unless("PATH_NOT_FOUND", error)
         return spark.createDataFrame([], schema)
     return rows.dropna("all")
 
@@ -42,15 +49,17 @@ def write_objects(df: DataFrame, path: str, by: str = "course") -> None:
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    """JSON lines by course, in the order of the recordings and of the chunks within a file."""
-    chunks.repartition("course").sortWithinPartitions("course", "order", "chunk_no").write.partitionBy("course").mode("overwrite").json(path)
+    """JSON lines by course, in the order of the recordings and chunks: within a file, and of a course's files by their names."""
+    order = ["course", "order", "chunk_no"]
+    chunks.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("course").mode("overwrite").json(path)
 
 
 def save_vectors(vectors: DataFrame, path: str, force: bool = False) -> bool:
     """chunk_id, embedding as Parquet, unless they are there already. Whether something was written."""
     try:
         vectors.write.mode("overwrite" if force else "errorifexists").parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        _unless("PATH_ALREADY_EXISTS", error)
         return False
     return True
 
@@ -59,7 +68,8 @@ def load_vectors(spark: SparkSession, path: str) -> DataFrame:
     """The vectors, or none if there are none yet: the dense side then adds nothing."""
     try:
         return spark.read.schema("chunk_id string, embedding array<float>").parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        _unless("PATH_NOT_FOUND", error)
         return spark.createDataFrame([], "chunk_id string, embedding array<float>")
 
 

@@ -1,7 +1,13 @@
 """Quotes, citations, plans, checks and artifacts on small tables."""
 
+import hashlib
 import json
+import random
+from difflib import SequenceMatcher
 
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lectio.operators import planning, replies, reports, retrieval
@@ -161,3 +167,124 @@ def test_lemmas_and_bm25(spark):
     assert scores.count() == 0
     one = spark.createDataFrame([(1, "собака собака")], "question_id int, text string")
     assert [r["chunk_id"] for r in retrieval.bm25(one, posted, retrieval.term_weights(posted, n), n, average).collect()] == ["v:0001"]
+
+
+def extract_of(spark, *replies_in_order):
+    raw = spark.createDataFrame([(1, i, x) for i, x in enumerate(replies_in_order)], "request_id int, attempt int, raw string")
+    good, bad = replies.parse_extracts(raw)
+    return ([tuple(r) for r in good.drop("request_id").collect()] or [None])[0], [r["raw"] for r in bad.collect()]
+
+
+@pytest.mark.parametrize("reply, expected", [
+    ('{"relevant": true}', (True, 0.0, [], "", [])),
+    ('{"relevant": "yes", "relevance": "0.5"}', (True, 0.5, [], "", [])),
+    ('{"relevant": "OFF", "relevance": 1, "points": ["a", "b"], "quote": "q", "more": {}}', (False, 1.0, ["a", "b"], "q", [])),
+    ('{"relevant": 1, "relevance": true, "readings": []}', (True, 1.0, [], "", [])),
+    ('{"relevant": 0.0, "relevance": " 2.5e-1 "}', (False, 0.25, [], "", [])),
+    ("{}", None), ('{"relevant": null}', None), ('{"relevant": 2}', None), ('{"relevant": "maybe"}', None), ('{"relevant": true, "relevance": 1.5}', None),
+    ('{"relevant": true, "relevance": "0.5d"}', None), ('{"relevant": true, "relevance": "half"}', None), ('{"relevant": true, "relevance": null}', None),
+    ('{"relevant": true, "points": "a"}', None), ('{"relevant": true, "points": ["a", 1]}', None), ('{"relevant": true, "points": [null]}', None), ('{"relevant": true, "quote": 5}', None), ('[true]', None), ("{oops", None),
+])
+def test_fields_of_a_reply_have_their_types(spark, reply, expected):
+    good, bad = extract_of(spark, reply)
+    assert (good and tuple(list(x) if isinstance(x, list) else x for x in good[1:])) == expected and bad == ([] if expected else [reply])
+
+
+def test_a_malformed_reply_leaves_the_next_attempt(spark):
+    good, bad = extract_of(spark, '{"relevant": true, "points": "a"}', '{"relevant": false}', '{"relevant": true}')
+    assert (good[0], good[1], bad) == (1, False, [])
+
+
+@pytest.mark.parametrize("more, ok", [
+    ({}, True), ({"citations": [{"chunk_id": "a", "more": 1}], "readings": [{"text": "t", "chunk_id": "c"}]}, True), ({"citations": 3}, False), ({"answer_md": 5}, False), ({"coverage": "whole"}, False),
+    ({"citations": [{"quote": "q"}]}, False), ({"citations": [{"chunk_id": "a", "quote": None}]}, False), ({"citations": ["a"]}, False), ({"readings": [{"text": "t"}]}, False), ({"outside_lectures_md": None}, False), ({"citations": {}}, False),
+])
+def test_fields_of_an_answer_have_their_types(spark, more, ok):
+    raw = json.dumps({"answer_md": "a", "coverage": "full"} | more)
+    good, bad = replies.parse_answers(spark.createDataFrame([(1, 1, raw)], "request_id int, attempt int, raw string"))
+    assert (good.count(), bad.count()) == (int(ok), int(not ok))
+
+
+@given(st.text("ab ", max_size=20), st.text("ab ", max_size=40), st.integers(0, 20))
+def test_blocks_are_those_of_a_plain_matcher(needle, source, cut):
+    source = source + needle[cut:] + source[:5] + needle[:cut]
+    if needle:
+        blocks = SequenceMatcher(None, needle, source, autojunk=False).get_matching_blocks()
+        assert replies.share_in_blocks(needle, source) == sum(b.size for b in blocks if b.size >= 4) / len(needle)
+
+
+def test_many_questions_meet_the_vectors_in_blocks(spark):
+    rng = random.Random(2)
+    vector = lambda: [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(4)]
+    asked = [(i, vector()) for i in range(11)]
+    known = [(f"c{i}", vector()) for i in range(37)]
+    q, v = spark.createDataFrame(asked, "question_id int, embedding array<float>"), spark.createDataFrame(known, "chunk_id string, embedding array<float>")
+    one, many = (sorted(map(tuple, retrieval.ranked(retrieval.dense(q, v, pool=5, block=n, cell=9), pool=5).collect())) for n in (50, 3))
+    assert one == many and len(one) == 55
+    score = {(i, c): sum(a * b for a, b in zip(x, y)) for i, x in asked for c, y in known}
+    best = {(i, c) for i, _ in asked for c, _ in sorted(known, key=lambda k: (round(score[i, k[0]], 9), k[0]), reverse=True)[:5]}
+    assert {(r[0], r[1]) for r in one} == best
+    assert retrieval.dense(q.limit(0), v).count() == retrieval.dense(q, v.limit(0), block=3).count() == 0
+
+
+def test_finished_answers(spark):
+    known = chunks(spark, SOURCE)
+    raw = json.dumps({"answer_md": "a [1]", "coverage": "full", "citations": [{"chunk_id": "v:0000", "quote": "критерием научности теории"}]})
+    good, _ = replies.parse_answers(spark.createDataFrame([("q", 1, raw)], "request_id string, attempt int, raw string"))
+    asked = spark.createDataFrame([("q", "s", "Why?")], "question_id string, question_set string, text string")
+    x = spark.createDataFrame([("q", "h", [("v:0000", ["p", "r"])])], "question_id string, input_hash string, relevant array<struct<chunk_id:string,points:array<string>>>")
+    (a,) = planning.finished_answers(replies.assemble_answers(good, known), asked, x, "m", "tmpl").collect()
+    assert a["input_hash"] == hashlib.sha256("Why?hv:0000p rmtmpl".encode()).hexdigest()
+    assert (a["question_set"], a["question"], a["model"], a["coverage"], a["error"], len(a["citations"])) == ("s", "Why?", "m", "partial", None, 1) and a["generated_at"] is not None
+
+
+def test_stored_answers_that_do_not_agree(spark):
+    """Known cases of a stored corpus: one claims more than its citations allow, one has none, one is in the index alone."""
+    answers = spark.createDataFrame([("s12", "full", [(1,)]), ("g09", "partial", []), ("s13", "full", [(1,), (2,), (3,)])], "question_id string, coverage string, citations array<struct<n:int>>")
+    assert {(r["question_id"], r["allowed"]) for r in reports.coverage_audit(answers).collect()} == {("s12", "partial"), ("g09", "not_found")}
+    index = spark.createDataFrame([("s12", "full", 1), ("g09", "partial", 0), ("s13", "full", 3), ("g04", "partial", 2)], "question_id string, coverage string, citations int")
+    assert [tuple(r) for r in reports.manifest_drift(index, answers).collect()] == [("g04", "no answer")]
+
+
+@pytest.mark.parametrize("question, sent", [("g14", 17), ("s01", 17), ("s05", 16), ("g16", 15)])
+def test_answers_that_hashed_more_fragments_are_stale(spark, question, sent):
+    fragments = [(f"v:{i:04d}", ["p"]) for i in range(sent)]
+    x = spark.createDataFrame([(question, "m", "h", fragments)], "question_id string, model string, input_hash string, relevant array<struct<chunk_id:string,points:array<string>>>")
+    asked = spark.createDataFrame([(question, "s", "Why?")], "question_id string, question_set string, text string")
+    old = hashlib.sha256(("Why?h" + "".join(f"{c}p" for c, _ in fragments) + "mtmpl").encode()).hexdigest()
+    stored = spark.createDataFrame([(question, "m", old, None)], "question_id string, model string, input_hash string, error string")
+    assert planning.work_plan(asked, stored, x, "m", "tmpl").first()["ready"] == (sent <= 15)
+
+
+def test_rules_of_every_kind(spark):
+    df = spark.createDataFrame([("-a", "x", 2)], "slug string, title string, schema_version int").withColumn("question_sets", F.array(F.lit("B")))
+    assert {r["rule"] for r in reports.violations(df, ["title"], reports.patterns("course")).collect()} == {"slug", "question_sets", "schema_version"}
+    df = spark.createDataFrame([("v", "video", "typed", [1])], "video_id string, kind string, source string, segments array<int>").withColumn("schema_version", F.lit(1))
+    assert [r["rule"] for r in reports.violations(df, ["kind"], reports.patterns("transcript")).collect()] == ["source"]
+
+
+def test_unknown_keys_at_every_level(spark):
+    df = spark.createDataFrame([("f", '{"a": 1, "z": {"q": 1}, "list": [{"b": 1}, {"c": {"d": 1, "e": 2}}, 5, null]}'), ("g", "no json"), ("h", '{"list": {"w": 1}}')], "path string, raw string")
+    found = reports.unknown_keys(df, {"": ["a", "list"], "list": ["b", "c"], "list.c": ["d"]})
+    assert sorted(map(tuple, found.collect())) == [("f", "list.c.e"), ("f", "z"), ("h", "list.w")]
+
+
+def test_sets_crosswalks_and_courses_are_checked_together(spark):
+    raw = lambda *files: spark.createDataFrame([(p, json.dumps(x)) for p, x in files], "path string, raw string")
+    q = lambda *ids: [{"id": x, "number": i + 1, "text": "?"} for i, x in enumerate(ids)]
+    sets = raw(("/s/a.yaml", {"id": "a", "title": "A", "kind": "course", "questions": q("a01", "a02")}), ("/s/b.yaml", {"id": "other", "title": "B", "kind": "general", "questions": q("a02", "b01")}), ("/s/c.yaml", {"id": "c", "title": "C", "kind": "odd", "questions": q("c01", "c01"), "typo": 1}))
+    walks = raw(("/s/crosswalk-x.yaml", {"status": "draft", "pairs": [{"course": "a01", "general": ["b01", "c01"]}]}))
+    courses = raw(("/c/ml/course.json", {"slug": "ml", "title": "M", "question_sets": ["a", "c"], "sources": []}), ("/c/x/course.json", {"slug": "y", "title": "Y", "question_sets": ["a"]}))
+    found = {(r["path"], r["rule"], r["detail"]) for r in reports.findings(sets, walks, courses).collect()}
+    assert found == {
+        ("/s/b.yaml", "taken id", "a02"), ("/s/b.yaml", "name", "other"), ("/s/c.yaml", "invalid", "kind"), ("/s/c.yaml", "duplicate", "c01"), ("/s/c.yaml", "unknown key", "typo"),
+        ("/s/crosswalk-x.yaml", "unknown question", "c01"), ("/c/ml/course.json", "unknown set", "c"), ("/c/x/course.json", "slug", "y"),
+    }
+    report = {r["path"]: (r["errors"], r["warnings"], r["ok"]) for r in reports.validated(sets, walks, courses).collect()}
+    assert report["/s/a.yaml"] == (0, 0, True) and report["/s/b.yaml"] == (1, 1, False) and report["/s/c.yaml"] == (3, 0, False) and len(report) == 6
+
+
+def test_chunks_are_written_by_course(spark, tmp_path):
+    rows = chunks(spark, "a", "b").withColumn("course", F.lit("c")).withColumn("order", F.lit(1))
+    artifacts.write_chunks(rows, str(tmp_path / "chunks"))
+    assert sorted(r["text"] for r in artifacts.read_lines_json(spark, str(tmp_path / "chunks")).collect()) == ["a", "b"]
