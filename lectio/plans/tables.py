@@ -23,7 +23,7 @@ SQL = {
     "answer": """SELECT 'q' || o_orderkey AS question_id, 's' || o_custkey % 7 AS question_set, 'c' || o_custkey % 3 AS course,
     CASE WHEN o_orderkey % 9 = 0 THEN 'full' WHEN o_orderkey % 4 = 0 THEN 'not_found' ELSE 'partial' END AS coverage, CAST(coalesce(n, 0) AS INTEGER) AS n,
     CASE WHEN o_orderkey % 17 = 0 THEN 'failed' END AS error, o_orderkey
-  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) FILTER (WHERE l_linenumber <= 3) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY 1) ON o_orderkey = l_orderkey""",
+  FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_quantity > 10 GROUP BY 1) ON o_orderkey = l_orderkey""",
 }
 #: quote_form() of lectio.functions.text in SQL.
 FORM = r"trim(regexp_replace(regexp_replace(replace(lower({x}), 'ё', 'е'), '[^\p{{L}}\p{{N}}\p{{M}}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"

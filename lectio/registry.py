@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lectio.functions import text as fn
@@ -9,6 +11,7 @@ from lectio.operators import planning, replies, reports, retrieval, transcripts
 from lectio.plans import tables as t
 from lectio.plans.tables import form, using
 from lectio.sources import artifacts
+from lectio.sources.shared import shared_dir, stored
 
 QUERIES, ORACLES = {}, {}
 RULES = [("the", "Die"), ("der", "$1\\"), ("que", "qué")]
@@ -41,7 +44,20 @@ def b1_b2_repair_bounds(spark, d):
     return transcripts.repair_bounds(t.asr(spark, d))
 
 
-@query()
+@query(
+    using("asr")
+    + """, w AS (SELECT video_id, pos, text, duration, start IS NOT NULL AS timed, least(least(greatest(start, 0), coalesce(stop, greatest(start, 0))), duration) AS b,
+  least(greatest(greatest(start, 0), coalesce(stop, greatest(start, 0))), duration) AS f FROM asr),
+step AS (
+  SELECT video_id, pos, text, duration, CASE WHEN timed THEN b END AS opened, CASE WHEN timed THEN f END AS ended, 0 AS seg FROM w WHERE pos = 0
+  UNION ALL SELECT w.video_id, w.pos, w.text, w.duration,
+    CASE WHEN NOT w.timed THEN s.opened WHEN s.opened IS NULL OR w.b - coalesce(nullif(s.ended, 0), w.b) > 21600 OR w.f - s.opened > 86400 THEN w.b ELSE s.opened END,
+    CASE WHEN w.timed THEN w.f ELSE s.ended END,
+    s.seg + CASE WHEN w.timed AND s.opened IS NOT NULL AND (w.b - coalesce(nullif(s.ended, 0), w.b) > 21600 OR w.f - s.opened > 86400) THEN 1 ELSE 0 END
+  FROM step s JOIN w ON w.video_id = s.video_id AND w.pos = s.pos + 1),
+segs AS (SELECT video_id, seg, max(opened) AS opened, max_by(ended, pos) AS ended, any_value(duration) AS duration, trim(string_agg(text, '' ORDER BY pos)) AS text FROM step GROUP BY 1, 2)
+SELECT video_id, CAST(row_number() OVER (PARTITION BY video_id ORDER BY seg) - 1 AS INTEGER) AS seg_no, opened AS start, least(greatest(ended, opened), duration) AS "end", text FROM segs WHERE text <> '' AND opened IS NOT NULL"""
+)
 def b3_words_to_segments(spark, d):
     return transcripts.words_to_segments(t.asr(spark, d), pause_s=21_600.0, max_segment_s=86_400.0)
 
@@ -90,6 +106,21 @@ CLEAN = using("seg") + r""", spaced AS (SELECT video_id, seg_no, start, stop, tr
 real AS (SELECT * FROM spaced WHERE text <> '' AND NOT regexp_full_match(text, '(?i)(?:all rights reserved.*|thanks for watching.*|[!?.…\-\s]*|.*[*]{3}.*|der .*)'))""" + LOOPS.format(src="real", n=2)
 
 
+CLEAN_ALL = using("seg") + r""", spaced AS (SELECT video_id, seg_no, start, stop, replace(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ', '  ') AS wide FROM seg),
+ruled AS (SELECT video_id, seg_no, start, stop, replace(trim(regexp_replace(regexp_replace(' ' || wide || ' ', '([^\p{L}\p{N}_])(?i:der)([^\p{L}\p{N}_])', '\1Das\2', 'g'), '([^\p{L}\p{N}_])(?i:que)([^\p{L}\p{N}_])', '\1qué\2', 'g')), '  ', ' ') AS text FROM spaced),
+fit AS (SELECT * FROM ruled WHERE text <> '' AND NOT regexp_full_match(text, '(?i)(?:all rights reserved.*|thanks for watching.*|[!?.…\-\s]*|.*[*]{3}.*|der .*)')),
+hit AS (SELECT video_id, seg_no, lower(text) AS low, unnest(['there', 'tion', 'andth', 'nicht', 'erlyan', 'thand']) AS term FROM fit),
+n AS (SELECT video_id, seg_no, low, term, (length(low) - length(replace(low, term, ''))) / length(term) AS k FROM hit WHERE length(term) >= 5),
+echo AS (SELECT video_id, seg_no FROM n WHERE low <> '' GROUP BY video_id, seg_no, low HAVING count(*) FILTER (WHERE k > 0) >= 2 AND sum(length(term) * k) / length(low) >= 0.6),
+real AS (SELECT * FROM fit ANTI JOIN echo USING (video_id, seg_no))""" + LOOPS.format(src="real", n=2)
+
+
+@query(CLEAN_ALL + " SELECT video_id, seg_no, text FROM kept")
+def b9_clean_with_settings(spark, d):
+    cleaned = transcripts.clean(t.segments(spark, d), [("der", "Das"), ("que", "qué")], TERMS, PATTERNS)
+    return cleaned.select("video_id", "seg_no", "text")
+
+
 @query(CLEAN + """ SELECT video_id, count(*) FILTER (WHERE k = 1) AS kept, count(*) FILTER (WHERE k = 0) - count(*) FILTER (WHERE k = 1) AS dropped
 FROM (SELECT video_id, 0 AS k FROM seg UNION ALL SELECT video_id, 1 FROM kept) GROUP BY video_id""")
 def b9_clean_counts(spark, d):
@@ -107,16 +138,17 @@ def b10_glossary_prompt(spark, d):
     return transcripts.glossary_prompt(glossary, courses)
 
 
-WINDOWS = using("seg").replace("WITH RECURSIVE ", "WITH RECURSIVE ") + """, size AS (SELECT video_id, count(*) AS n FROM seg GROUP BY 1),
+CUT = """, size AS (SELECT video_id, count(*) AS n FROM {seg} GROUP BY 1),
 stops AS (SELECT a.video_id, a.seg_no AS pos, greatest(coalesce(min(b.seg_no) FILTER (WHERE b.stop - a.start > 90), any_value(n)), a.seg_no + 1) AS stop_at
-  FROM seg a JOIN size USING (video_id) LEFT JOIN seg b ON a.video_id = b.video_id AND b.seg_no >= a.seg_no GROUP BY 1, 2),
+  FROM {seg} a JOIN size USING (video_id) LEFT JOIN {seg} b ON a.video_id = b.video_id AND b.seg_no >= a.seg_no GROUP BY 1, 2),
 steps AS (SELECT s.video_id, s.pos, s.stop_at, any_value(e.stop) AS stop, greatest(coalesce(max(k.seg_no) FILTER (WHERE k.start <= e.stop - 15), s.pos + 1), s.pos + 1) AS following
-  FROM stops s JOIN seg e ON e.video_id = s.video_id AND e.seg_no = s.stop_at - 1 LEFT JOIN seg k ON k.video_id = s.video_id AND k.seg_no > s.pos AND k.seg_no < s.stop_at GROUP BY 1, 2, 3),
+  FROM stops s JOIN {seg} e ON e.video_id = s.video_id AND e.seg_no = s.stop_at - 1 LEFT JOIN {seg} k ON k.video_id = s.video_id AND k.seg_no > s.pos AND k.seg_no < s.stop_at GROUP BY 1, 2, 3),
 walk AS (SELECT video_id, pos, stop_at, stop, following FROM steps WHERE pos = 0
   UNION ALL SELECT s.video_id, s.pos, s.stop_at, s.stop, s.following FROM walk w JOIN size USING (video_id) JOIN steps s ON s.video_id = w.video_id AND s.pos = w.following WHERE w.stop_at < n),
 said AS (SELECT w.video_id, w.pos, any_value(w.stop) AS stop, min_by(s.start, s.seg_no) AS start, trim(string_agg(s.text, ' ' ORDER BY s.seg_no)) AS text
-  FROM walk w JOIN seg s ON s.video_id = w.video_id AND s.seg_no >= w.pos AND s.seg_no < w.stop_at GROUP BY 1, 2),
+  FROM walk w JOIN {seg} s ON s.video_id = w.video_id AND s.seg_no >= w.pos AND s.seg_no < w.stop_at GROUP BY 1, 2),
 numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY video_id ORDER BY pos) - 1 AS INTEGER) AS chunk_no FROM said WHERE text <> '')"""
+WINDOWS = using("seg") + CUT.format(seg="seg")
 
 
 @query(WINDOWS + """ SELECT video_id || ':' || CASE WHEN chunk_no < 10000 THEN lpad(CAST(chunk_no AS VARCHAR), 4, '0') ELSE CAST(chunk_no AS VARCHAR) END AS chunk_id, video_id, chunk_no, start, stop AS "end", text FROM numbered""")
@@ -124,10 +156,23 @@ def c1_c2_windows(spark, d):
     return transcripts.windows(t.segments(spark, d))
 
 
-@query(using("seg") + " SELECT 'c' || user_id % 3 AS course, 'v' || user_id AS video_id FROM (SELECT DISTINCT user_id FROM events) WHERE 'v' || user_id NOT IN (SELECT video_id FROM seg)")
+COURSE_OF = "src AS (SELECT 'c' || c_custkey % 3 AS course, 'v' || c_custkey * 7 AS video_id, c_custkey FROM customer)"
+
+
+def _recorded(spark, d):
+    """Customers as sources; of some the recording is a document."""
+    k = F.col("c_custkey")
+    return t.read(spark, d, "customer").select(F.concat(F.lit("c"), k % 3).alias("course"), F.concat(F.lit("v"), k * 7).alias("video_id"), k.alias("order"))
+
+
+@query(f"WITH {COURSE_OF} SELECT course, video_id FROM src WHERE video_id NOT IN (SELECT 'v' || doc_id FROM documents)")
 def c3_sources_without_transcript(spark, d):
-    sources = t.read(spark, d, "events").select("user_id").distinct().select(F.concat(F.lit("c"), F.col("user_id") % 3).alias("course"), F.concat(F.lit("v"), "user_id").alias("video_id"), F.col("user_id").alias("order"))
-    return transcripts.course_windows(sources, t.segments(spark, d))[1].select("course", "video_id")
+    return transcripts.course_windows(_recorded(spark, d), t.segments(spark, d))[1].select("course", "video_id")
+
+
+@query(WINDOWS + f", {COURSE_OF} SELECT course, c_custkey AS \"order\", video_id, chunk_no, start, stop AS \"end\" FROM numbered JOIN src USING (video_id)")
+def c3_course_windows(spark, d):
+    return transcripts.course_windows(_recorded(spark, d), t.segments(spark, d))[0].select("course", "order", "video_id", "chunk_no", "start", "end")
 
 
 @query(using("seg") + " SELECT video_id, count(*) AS n FROM seg WHERE doc_id % 3 <> 0 GROUP BY video_id")
@@ -161,14 +206,18 @@ fur AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(sco
 
 def _bm25(spark, d):
     chunks = t.chunks(spark, d)
-    posted = retrieval.postings(chunks).persist()
+    posted = stored(retrieval.postings(chunks), "postings")
     n, average = retrieval.corpus_size(chunks, posted)
     return retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average))
 
 
-def _dense(spark, d):
+def _vectors(spark, d):
     vectors = t.read(spark, d, "embeddings").select("vec_id", F.format_string("v%d:0000", "vec_id").alias("chunk_id"), "embedding")
-    asked = t.questions(spark, d).join(vectors, F.col("question_id") == F.col("vec_id")).select("question_id", "embedding")
+    return vectors, t.questions(spark, d).join(vectors, F.col("question_id") == F.col("vec_id")).select("question_id", "embedding")
+
+
+def _dense(spark, d):
+    vectors, asked = _vectors(spark, d)
     return retrieval.ranked(retrieval.dense(asked, vectors))
 
 
@@ -188,7 +237,7 @@ def d2_lemmas(spark, d):
 @query(using("chunk") + BM25 + " SELECT term, df, round(idf, 6) AS idf FROM idf")
 def d3_term_weights(spark, d):
     chunks = t.chunks(spark, d)
-    return retrieval.term_weights(retrieval.postings(chunks), chunks.count()).withColumn("idf", F.round("idf", 6))
+    return retrieval.term_weights(stored(retrieval.postings(chunks), "postings"), chunks.count()).withColumn("idf", F.round("idf", 6))
 
 
 @query(using("chunk") + BM25 + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM bmr")
@@ -201,6 +250,13 @@ def d5_dense(spark, d):
     return _dense(spark, d).withColumn("score", F.round("score", 6))
 
 
+@query("WITH x AS (SELECT 1)" + DENSE + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM dsr")
+def d5_dense_blocks(spark, d):
+    """The same with questions in blocks and vectors in cells, as for question sets without a bound."""
+    vectors, asked = _vectors(spark, d)
+    return retrieval.ranked(retrieval.dense(asked, vectors, block=50, cell=500)).withColumn("score", F.round("score", 6))
+
+
 @query(using("chunk") + BM25 + DENSE + FUSED + " SELECT question_id, chunk_id, round(score, 9) AS score, dense_rank, bm25_rank, position FROM fur")
 def d7_fusion(spark, d):
     return retrieval.fused(_dense(spark, d), _bm25(spark, d)).withColumn("score", F.round("score", 9))
@@ -216,11 +272,18 @@ def d9_candidate_report(spark, d):
     return retrieval.candidate_report(retrieval.fused(_dense(spark, d), _bm25(spark, d)), t.chunks(spark, d))
 
 
-@query()
+REAL = using("seg") + r""", spaced AS (SELECT video_id, seg_no, start, stop, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM seg),
+real AS (SELECT * FROM spaced WHERE text <> '' AND NOT regexp_full_match(text, '(?i)(?:""" + "|".join(transcripts.BOILERPLATE) + ")'))" + LOOPS.format(src="real", n=2)
+W2 = REAL + ", clean AS (SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY seg_no) - 1 AS seg_no, start, stop, text FROM kept)" + CUT.format(seg="clean")
+NAMED = "video_id || ':' || CASE WHEN chunk_no < 10000 THEN lpad(CAST(chunk_no AS VARCHAR), 4, '0') ELSE CAST(chunk_no AS VARCHAR) END"
+W2 += f", chunk AS (SELECT {NAMED} AS chunk_id, text, string_agg(text, ' ') OVER (PARTITION BY video_id ORDER BY chunk_no ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS context FROM numbered)"
+
+
+@query(W2 + BM25.replace(", n AS (", ", size_of AS (").replace("any_value(n)", "any_value(size_of.n)").replace("FROM tf, n GROUP", "FROM tf, size_of GROUP").replace("JOIN len USING (chunk_id), n GROUP", "JOIN len USING (chunk_id), size_of GROUP") + " SELECT question_id, rank, chunk_id, round(score, 6) AS score, context FROM bmr JOIN chunk USING (chunk_id) WHERE rank <= 40")
 def w2_bm25_candidates(spark, d):
     """Documents to clean segments, windows, BM25 ranks and context: the flagship."""
-    chunks = transcripts.windows(transcripts.clean(t.segments(spark, d))).persist()
-    posted = retrieval.postings(chunks).persist()
+    chunks = stored(transcripts.windows(transcripts.clean(t.segments(spark, d))), "windows")
+    posted = stored(retrieval.postings(chunks), "postings")
     n, average = retrieval.corpus_size(chunks, posted)
     best = retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average), pool=retrieval.TOP_K)
     return best.join(retrieval.with_neighbours(chunks), "chunk_id").select("question_id", "rank", "chunk_id", F.round("score", 6).alias("score"), "context")
@@ -246,12 +309,12 @@ def _sets(spark, d):
 QS = "qs AS (SELECT 's' || c_nationkey AS question_set, 'p' || c_nationkey AS path, c_nationkey AS set_pos, CASE WHEN c_nationkey % 2 = 0 THEN 'general' ELSE 'course' END AS kind, 'k' || c_custkey % 1000 AS question_id, c_custkey AS number, c_name AS text FROM customer)"
 
 
-@query(f"WITH {QS} SELECT 'c' || n_regionkey AS course, question_set, kind, question_id, number, text FROM qs JOIN nation ON question_set = 's' || n_nationkey WHERE kind = 'general' OR true")
+@query(f"WITH {QS} SELECT 'c' || n_regionkey AS course, question_set, kind, question_id, number, text FROM qs JOIN nation ON question_set = 's' || n_nationkey")
 def e1_tickets(spark, d):
     return planning.tickets(_courses(spark, d), _sets(spark, d))
 
 
-@query(using("chunk") + BM25 + ", one AS (SELECT question_id, string_agg(chunk_id || text, '' ORDER BY rank) AS body FROM bmr JOIN chunk USING (chunk_id) WHERE rank <= 5 GROUP BY 1) SELECT item_id AS question_id, sha256(text || coalesce(body, '') || 'model' || 'prompt {x}') AS input_hash FROM benchmark LEFT JOIN one ON question_id = item_id")
+@query(using("chunk") + BM25 + ", one AS (SELECT question_id, string_agg(chunk_id || text, '' ORDER BY rank) AS body FROM bmr JOIN chunk USING (chunk_id) WHERE rank <= 40 GROUP BY 1) SELECT item_id AS question_id, sha256(text || coalesce(body, '') || 'model' || 'prompt {x}') AS input_hash FROM benchmark LEFT JOIN one ON question_id = item_id")
 def e2_extract_hash(spark, d):
     best = _bm25(spark, d).filter(F.col("rank") <= retrieval.TOP_K).withColumnRenamed("rank", "position")
     return planning.extract_hashes(t.questions(spark, d), best, t.chunks(spark, d), "model", "prompt {x}")
@@ -265,7 +328,7 @@ def _extracts(spark, d):
     return rows.select("l_orderkey", F.concat(F.lit("q"), "l_orderkey").alias("question_id"), F.lit("m").alias("model"), F.sha2(F.col("l_orderkey").cast("string"), 256).alias("input_hash"), "relevant")
 
 
-EXTRACT = "ex AS (SELECT l_orderkey AS k, sha256(CAST(l_orderkey AS VARCHAR)) AS h, string_agg('v' || l_partkey || ':0000' || l_linestatus || ' ' || l_returnflag, '' ORDER BY l_extendedprice DESC, l_linenumber) FILTER (WHERE rn <= 4) AS body FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem WHERE l_orderkey % 3 <> 0) GROUP BY 1)"
+EXTRACT = "ex AS (SELECT l_orderkey AS k, sha256(CAST(l_orderkey AS VARCHAR)) AS h, string_agg('v' || l_partkey || ':0000' || l_linestatus || ' ' || l_returnflag, '' ORDER BY l_extendedprice DESC, l_linenumber) FILTER (WHERE rn <= 15) AS body FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem WHERE l_orderkey % 3 <> 0) GROUP BY 1)"
 
 
 @query(f"WITH {EXTRACT} SELECT 'q' || o_orderkey AS question_id, sha256(o_orderpriority || h || body || 'm' || 'synthesize_v1') AS input_hash FROM orders JOIN ex ON k = o_orderkey")
@@ -321,6 +384,14 @@ def e10_kind_note(spark, d):
     return _sets(spark, d).select("number", planning.kind_text(F.col("kind"), planning.KIND_NOTE).alias("note"))
 
 
+GUIDANCE = {"general": "Outline what the lectures leave out.", "course": "Keep to what the lecturer stressed."}
+
+
+@query(f"WITH {QS} SELECT number, CASE kind WHEN 'general' THEN 'общий список МФТИ — тема шире того, что читалось в курсе' ELSE 'список курса — тема разбиралась на лекциях' END AS note, CASE kind WHEN 'general' THEN 'Outline what the lectures leave out.' ELSE 'Keep to what the lecturer stressed.' END AS guidance FROM qs")
+def e10_note_and_guidance(spark, d):
+    return planning.with_kind_texts(_sets(spark, d), {"note": planning.KIND_NOTE, "guidance": GUIDANCE}).select("number", "note", "guidance")
+
+
 # replies
 
 
@@ -336,8 +407,7 @@ def _raw(spark, d):
 
 @query("SELECT doc_id AS request_id, doc_id % 3 <> 0 AS relevant, (doc_id % 13) / 10 AS relevance, CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS attempt FROM documents WHERE doc_id % 13 <= 10 AND doc_id % 6 <> 4")
 def f1_f2_f3_parsed(spark, d):
-    usable = F.col("parsed.relevant").isNotNull() & F.col("parsed.relevance").between(0, 1)
-    return replies.parse_replies(_raw(spark, d), replies.EXTRACT_REPLY, usable)[0].select("request_id", "parsed.relevant", "parsed.relevance", "attempt")
+    return replies.parse_extracts(_raw(spark, d))[0].select("request_id", "relevant", "relevance", "attempt")
 
 
 @query("SELECT doc_id AS request_id FROM documents WHERE doc_id % 13 > 10 OR doc_id % 6 = 4")
@@ -359,7 +429,8 @@ CLAIMED = using("chunk", "claim") + f", cl AS (SELECT answer_id, position, chunk
 
 
 def _claimed(spark, d):
-    return t.claims(spark, d).join(t.chunks(spark, d).select("chunk_id", F.col("text").alias("source")), "chunk_id", "left")
+    claims = t.claims(spark, d)
+    return claims.join(replies.quotable(t.chunks(spark, d), claims), "chunk_id", "left")
 
 
 @query(CLAIMED + " SELECT answer_id, position, coalesce(length(needle) >= 12 AND hay <> '' AND contains(hay, needle), false) AS exact FROM cl")
@@ -375,18 +446,31 @@ def f6_fuzzy(spark, d):
 @query(CLAIMED + """, g AS (SELECT answer_id, position, length(needle) AS n, hay, i, substr(needle, i, 4) AS gram FROM (SELECT *, unnest(range(1, greatest(length(needle) - 3, 1) + 1)) AS i FROM cl WHERE length(needle) >= 12 AND hay <> ''))
 SELECT answer_id, position, round(count(DISTINCT p) / any_value(n), 6) AS bound FROM (SELECT answer_id, position, n, CASE WHEN contains(hay, gram) THEN unnest(range(i, i + 4)) END AS p FROM g) GROUP BY ALL""")
 def f6_gram_bound(spark, d):
-    rows = _claimed(spark, d).select("answer_id", "position", fn.quote_form(F.col("quote")).alias("needle"), fn.quote_form(F.coalesce("source", F.lit(""))).alias("hay")).filter("length(needle) >= 12 and hay <> ''")
+    rows = _claimed(spark, d).select("answer_id", "position", fn.quote_form(F.col("quote")).alias("needle"), "hay").filter("length(needle) >= 12 and hay <> ''")
     return rows.select("answer_id", "position", F.round(replies.gram_bound(F.col("needle"), F.col("hay")), 6).alias("bound"))
 
 
-@query()
-def f7_extracts(spark, d):
+def _judged(spark, d):
     good, _ = replies.parse_extracts(_raw(spark, d))
-    judged = good.select((F.col("request_id") % 20).alias("question_id"), F.col("request_id").alias("position"), F.format_string("v%d:0000", "request_id").alias("chunk_id"), "relevant", "relevance", "points", "quote", "readings")
-    x = replies.assemble_extracts(judged, t.chunks(spark, d))
+    return good.select((F.col("request_id") % 20).alias("question_id"), F.col("request_id").alias("position"), F.format_string("v%d:0000", "request_id").alias("chunk_id"), "relevant", "relevance", "points", "quote", "readings")
+
+
+@query("""WITH j AS (SELECT doc_id % 20 AS question_id, doc_id, (doc_id % 13) / 10 AS relevance, doc_id % 3 <> 0 AND doc_id % 5 <> 0 AS kept FROM documents WHERE doc_id % 13 <= 10 AND doc_id % 6 <> 4)
+SELECT question_id, count(*) AS candidates, CAST(count(*) FILTER (WHERE kept) AS INTEGER) AS kept, '[' || coalesce(string_agg('v' || doc_id || ':0000', ', ' ORDER BY relevance DESC, doc_id) FILTER (WHERE kept), '') || ']' AS "order" FROM j GROUP BY 1""")
+def f7_extracts(spark, d):
+    x = replies.assemble_extracts(_judged(spark, d), t.chunks(spark, d))
     return x.select("question_id", "candidates", F.size("relevant").alias("kept"), F.transform("relevant", lambda r: r["chunk_id"]).cast("string").alias("order"))
 
 
+@query("""WITH j AS (SELECT doc_id % 20 AS question_id, doc_id, source, text FROM documents WHERE doc_id % 13 <= 10 AND doc_id % 6 <> 4 AND doc_id % 3 <> 0 AND doc_id % 5 <> 0),
+v AS (SELECT *, trim(source) <> '' AND length(""" + form("source") + ") >= 12 AND contains(" + form("text") + ", " + form("source") + """) AS there FROM j)
+SELECT question_id, 'v' || doc_id || ':0000' AS chunk_id, CASE WHEN there THEN substr(source, 1, 300) ELSE substr(text, 1, 300) END AS quote FROM v""")
+def f7_extract_quotes(spark, d):
+    # word for word: the fuzzy share has no SQL twin
+    x = replies.assemble_extracts(_judged(spark, d), t.chunks(spark, d), threshold=1.5)
+    return x.select("question_id", F.explode("relevant").alias("r")).select("question_id", "r.chunk_id", "r.quote")
+
+
 SPANS = "span AS (SELECT *, stop - start AS d FROM (SELECT video_id, CAST(start / 90 AS BIGINT) AS k, min(start) AS start, min(start) + 90 AS stop FROM seg GROUP BY 1, 2))"
 
 
@@ -400,7 +484,7 @@ def f8_chunk_segments(spark, d):
     return replies.chunk_segments(_spans(spark, d), t.segments(spark, d)).select("chunk_id", "seg_no")
 
 
-@query(using("seg", "claim") + f""", cl AS (SELECT doc_id AS claim_id, 'v' || doc_id AS video_id, substr({form('quote')}, 1, 40) AS opening FROM claim WHERE doc_id % 4 < 2),
+@query(using("seg", "claim") + f""", cl AS (SELECT doc_id AS claim_id, split_part(chunk_id, ':', 1) AS video_id, substr({form('quote')}, 1, 40) AS opening FROM claim),
 own AS (SELECT video_id, seg_no, start, {form('text')} AS own FROM seg), pair AS (SELECT *, coalesce(own || ' ' || lead(own) OVER (PARTITION BY video_id ORDER BY seg_no), own) AS pair FROM own),
 hit AS (SELECT claim_id, min_by(start, seg_no) AS start FROM cl JOIN pair USING (video_id) WHERE length(opening) >= 12 AND strpos(pair, opening) BETWEEN 1 AND length(own) GROUP BY 1)
 SELECT claim_id, coalesce(start, -1) AS start FROM cl LEFT JOIN hit USING (claim_id)""")
@@ -416,6 +500,15 @@ def f10_citations(spark, d):
     return replies.build_citations(t.claims(spark, d), t.chunks(spark, d)).select("answer_id", "position", "kept", "n")
 
 
+EXACT = CLAIMED + ", ex AS (SELECT *, coalesce(quote <> '' AND video_id IS NOT NULL AND length(needle) >= 12 AND hay <> '' AND contains(hay, needle), false) AS kept FROM cl)"
+
+
+@query(EXACT + " SELECT answer_id, position, kept, CASE WHEN kept THEN count(*) FILTER (WHERE kept) OVER (PARTITION BY answer_id ORDER BY position) END AS n, video_id, CASE WHEN kept THEN 0.0::DOUBLE END AS start FROM ex")
+def f10_exact_citations(spark, d):
+    found = replies.build_citations(t.claims(spark, d), t.chunks(spark, d), threshold=1.5)
+    return found.select("answer_id", "position", "kept", "n", "video_id", "start")
+
+
 @query("""WITH m AS (SELECT o_orderkey AS k, o_orderkey % 3 AS gone FROM orders)
 SELECT k, CASE WHEN gone = 0 THEN 'a [1], b [02], c [3] [9].' WHEN gone = 1 THEN 'a [1], b , c [2] .' ELSE 'a , b [1], c [2] .' END AS md FROM m""")
 def f11_renumbered(spark, d):
@@ -437,11 +530,29 @@ def f13_readings(spark, d):
     return replies.answer_readings(t.claims(spark, d).withColumnRenamed("quote", "text"), t.chunks(spark, d)).select("answer_id", "position", "text", "video_id")
 
 
+def _written(spark, d):
+    listed = t.claims(spark, d).groupBy("answer_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "chunk_id", "quote"))), lambda x: F.struct(x["chunk_id"].alias("chunk_id"), x["quote"].alias("quote"))).alias("citations"))
+    return listed.select(F.col("answer_id").alias("request_id"), F.lit("a [1] b [2] c [3] d [4] e [5]").alias("answer_md"), "citations", F.lit("full").alias("coverage"), F.lit(" ").alias("outside_lectures_md"), F.array().cast("array<struct<text:string,chunk_id:string>>").alias("readings"))
+
+
 @query()
 def f14_answers(spark, d):
-    listed = t.claims(spark, d).groupBy("answer_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "chunk_id", "quote"))), lambda x: F.struct(x["chunk_id"].alias("chunk_id"), x["quote"].alias("quote"))).alias("citations"))
-    rows = listed.select(F.col("answer_id").alias("request_id"), F.lit("a [1] b [2] c [3] d [4] e [5]").alias("answer_md"), "citations", F.lit("full").alias("coverage"), F.lit(" ").alias("outside_lectures_md"), F.array().cast("array<struct<text:string,chunk_id:string>>").alias("readings"))
-    return replies.assemble_answers(rows, t.chunks(spark, d), t.segments(spark, d)).select("answer_id", "answer_md", "outside_lectures_md", "coverage", F.size("citations").alias("n"))
+    return replies.assemble_answers(_written(spark, d), t.chunks(spark, d), t.segments(spark, d)).select("answer_id", "answer_md", "outside_lectures_md", "coverage", F.size("citations").alias("n"))
+
+
+@query(EXACT + """, m AS (SELECT answer_id, CAST(count(*) FILTER (WHERE kept) AS INTEGER) AS n, count(*) AS claims,
+  string_agg(chr(CAST(96 + position AS INTEGER)) || ' ' || CASE WHEN kept THEN '[' || k || ']' ELSE '' END, ' ' ORDER BY position) AS md
+  FROM (SELECT *, count(*) FILTER (WHERE kept) OVER (PARTITION BY answer_id ORDER BY position) AS k FROM ex) GROUP BY 1)
+SELECT answer_id, CASE WHEN n = claims AND claims < 5 THEN 'a [1] b [2] c [3] d [4] e [5]' ELSE md || array_to_string([' ' || chr(CAST(96 + p AS INTEGER)) || ' ' FOR p IN range(claims + 1, 6)], '') END AS answer_md,
+  CAST(NULL AS VARCHAR) AS outside_lectures_md, CASE WHEN n = 0 THEN 'not_found' WHEN n < 3 THEN 'partial' ELSE 'full' END AS coverage, n,
+  'set' AS question_set, 'Q' || answer_id AS question, 'm' AS model, 'synthesize_v1' AS prompt_version, sha256('Q' || answer_id || CASE WHEN answer_id % 2 = 0 THEN 'hash' || 'c1p q' ELSE '' END || 'm' || 'tmpl') AS input_hash FROM m""")
+def f14_finished_answers(spark, d):
+    built = replies.assemble_answers(_written(spark, d), t.chunks(spark, d), threshold=1.5)
+    asked = _written(spark, d).select(F.col("request_id").alias("question_id"), F.lit("set").alias("question_set"), F.concat(F.lit("Q"), "request_id").alias("text"))
+    item = F.array(F.struct(F.lit("c1").alias("chunk_id"), F.array(F.lit("p"), F.lit("q")).alias("points")))
+    x = asked.filter("question_id % 2 = 0").select("question_id", F.lit("hash").alias("input_hash"), item.alias("relevant"))
+    done = planning.finished_answers(built, asked, x, "m", "tmpl")
+    return done.select(F.col("question_id").alias("answer_id"), "answer_md", "outside_lectures_md", "coverage", F.size("citations").alias("n"), "question_set", "question", "model", "prompt_version", "input_hash")
 
 
 # reports
@@ -458,7 +569,6 @@ t AS (SELECT course, stage, coalesce(done, 0) AS done, CASE WHEN stage IN ('extr
 SELECT course, stage, done, total, total > 0 AND done = total AS complete FROM t""")
 def g1_stage_status(spark, d):
     s = _sources(spark, d)
-    asked = t.answers(spark, d).select("course", "question_id")
     asked = t.read(spark, d, "orders").select(F.concat(F.lit("c"), F.col("o_custkey") % 3).alias("course"), "o_orderkey")
     return reports.stage_status(s, {"ingest": s, "transcribe": s.filter("cast(substring(video_id, 2) as long) % 2 = 0"), "index": asked, "answer": asked.filter("o_orderkey % 4 > 0")}, asked)
 
@@ -490,11 +600,78 @@ def g5_run_cost(spark, d):
     return planning.run_cost(t.read(spark, d, "lineitem").select(F.col("l_orderkey").alias("question_id")), plan)
 
 
-@query(using("answer") + " SELECT course, CAST(count(*) AS INTEGER) AS answers, CAST(sum(n) AS BIGINT) AS citations, min(question_id) AS first FROM answer GROUP BY 1")
+def _course_rows(spark, d):
+    rows = _sources(spark, d).select("course").distinct()
+    language = F.when(F.col("course") != "c1", F.lit("de"))
+    return rows.select("course", F.concat(F.lit("Kurs "), "course").alias("title"), language.alias("language"), F.array(F.concat(F.lit("s"), "course"), F.lit("all")).alias("question_sets"))
+
+
+@query(using("answer") + """, v AS (SELECT 'c' || c_custkey % 3 AS course, count(*) AS videos FROM customer GROUP BY 1),
+a AS (SELECT course, CAST(count(*) AS INTEGER) AS answers, CAST(sum(n) AS BIGINT) AS citations, min(question_id) AS first,
+  string_agg('{"question_id":"' || question_id || '","question_set":"' || question_set || '","coverage":"' || coverage || '","citations":' || n || '}', ',' ORDER BY question_id) AS listed FROM answer GROUP BY 1)
+SELECT course, answers, citations, first, md5('{"slug":"' || course || '","title":"Kurs ' || course || '","language":"' || CASE WHEN course = 'c1' THEN 'ru' ELSE 'de' END || '","question_sets":["s' || course || '","all"],"videos":' || videos || ',"answers":[' || listed || ']}') AS as_json FROM a JOIN v USING (course)""")
 def a9_manifest(spark, d):
-    courses = _sources(spark, d).select("course", F.col("course").alias("title")).distinct()
-    m = reports.manifest(courses, _sources(spark, d), t.answers(spark, d))
-    return m.select("course", F.size("answers").alias("answers"), F.aggregate("answers", F.lit(0).cast("long"), lambda a, x: a + x["citations"]).alias("citations"), F.get("answers", F.lit(0))["question_id"].alias("first"))
+    m = reports.manifest(_course_rows(spark, d), _sources(spark, d), t.answers(spark, d))
+    return m.select("course", F.size("answers").alias("answers"), F.aggregate("answers", F.lit(0).cast("long"), lambda a, x: a + x["citations"]).alias("citations"), F.get("answers", F.lit(0))["question_id"].alias("first"), F.md5(F.col("as_json").cast("binary")).alias("as_json"))
+
+
+@query(f"""WITH {QS}, s AS (SELECT 'question_sets' AS section, question_set AS id, '{{"id":"' || question_set || '","title":"T' || any_value(set_pos) || '","kind":"' || any_value(kind) || '","questions":[' || string_agg('{{"id":"' || question_id || '","number":' || number || ',"text":"' || text || '"}}', ',' ORDER BY number) || ']}}' AS body FROM qs GROUP BY 2),
+x AS (SELECT 'crosswalks' AS section, CASE WHEN r_regionkey % 2 = 0 THEN 'w' || r_regionkey ELSE 'crosswalk-' || r_regionkey END AS id, r_regionkey FROM region)
+SELECT section, id, md5(body) AS as_json FROM s UNION ALL SELECT section, id, md5('{{"id":"' || id || '","status":"draft","pairs":[{{"course":"s01","general":["g0' || r_regionkey || '"]}}]}}') FROM x""")
+def a9_whole_manifest(spark, d):
+    k = F.col("r_regionkey")
+    pairs = F.array(F.struct(F.lit("s01").alias("course"), F.array(F.concat(F.lit("g0"), k)).alias("general")))
+    walks = t.read(spark, d, "region").select(F.concat(F.lit("/data/crosswalk-"), k, F.lit(".yaml")).alias("path"), F.when(k % 2 == 0, F.concat(F.lit("w"), k)).alias("id"), F.lit("draft").alias("status"), pairs.alias("pairs"))
+    sets = _sets(spark, d).withColumn("title", F.concat(F.lit("T"), "set_pos"))
+    m = reports.whole_manifest(_course_rows(spark, d), _sources(spark, d), t.answers(spark, d), sets, walks).filter("section <> 'courses'")
+    return m.select("section", "id", F.md5(F.col("as_json").cast("binary")).alias("as_json"))
+
+
+# files, written to the shared folder and read back
+
+
+def _folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT r_name AS slug, 'T' || r_regionkey AS title, count(*) AS sources, count(*) FILTER (WHERE c_acctbal < 0) AS without_duration, min(c_name) AS first FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
+def a1_a2_objects(spark, d):
+    """Courses as JSON objects, one of them written again; a file that is no JSON is told apart."""
+    c, n, r = (t.read(spark, d, x) for x in ("customer", "nation", "region"))
+    source = F.struct(F.col("c_name").alias("video_id"), F.lit("u").alias("url"), F.lit("t").alias("title"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("double")).alias("duration_s"), F.col("c_custkey").cast("int").alias("order"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = rows.groupBy("r_name", "r_regionkey").agg(F.sort_array(F.collect_list(source)).alias("sources")).select(F.col("r_name").alias("slug"), F.concat(F.lit("T"), "r_regionkey").alias("title"), "sources", F.concat(F.lit("c"), "r_regionkey").alias("course"))
+    path = _folder(spark, "objects")
+    artifacts.write_objects(rows.withColumn("title", F.lit("old")), path)
+    artifacts.write_objects(rows, path)
+    good, _ = artifacts.read_objects(spark, f"{path}/*", artifacts.COURSE)
+    return good.select("slug", "title", F.size("sources").cast("long").alias("sources"), F.size(F.filter("sources", lambda x: x["duration_s"].isNull())).cast("long").alias("without_duration"), F.get("sources", F.lit(0))["video_id"].alias("first"))
+
+
+@query("SELECT 'v' || doc_id || ':0000' AS chunk_id, 'v' || doc_id AS video_id, length(text) / 12.5 AS \"end\", md5(text) AS text FROM documents")
+def a3_a4_chunk_lines(spark, d):
+    rows = t.chunks(spark, d).withColumn("course", F.concat(F.lit("c"), F.pmod(F.xxhash64("video_id"), F.lit(3)))).withColumn("order", F.substring("video_id", 2, 20).cast("int"))
+    path = _folder(spark, "chunks")
+    artifacts.write_chunks(rows, path)
+    return artifacts.read_lines_json(spark, path).select("chunk_id", "video_id", "end", F.md5(F.col("text").cast("binary")).alias("text"))
+
+
+@query(f"WITH {QS} SELECT question_set, kind, question_id, number, text FROM qs")
+def a5_question_sets(spark, d):
+    q = F.struct("number", F.struct(F.col("question_id").alias("id"), "number", "text").alias("q"))
+    sets = _sets(spark, d).groupBy("question_set", "kind").agg(F.transform(F.sort_array(F.collect_list(q)), lambda x: x["q"]).alias("questions"))
+    path = _folder(spark, "sets")
+    artifacts.write_objects(sets.select(F.col("question_set").alias("id"), F.col("question_set").alias("title"), "kind", "questions", F.col("question_set").alias("file")), path, by="file")
+    return artifacts.exploded_sets(artifacts.read_question_sets(spark, f"{path}/*")).select("question_set", "kind", "question_id", "number", "text")
+
+
+@query("SELECT 'v' || vec_id || ':0000' AS chunk_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, len(embedding) AS size FROM embeddings")
+def a8_vectors(spark, d):
+    v = t.read(spark, d, "embeddings").select(F.format_string("v%d:0000", "vec_id").alias("chunk_id"), "embedding")
+    path = _folder(spark, "vectors")
+    artifacts.save_vectors(v, path)
+    artifacts.save_vectors(v.filter("false"), path)  # they are there already
+    return artifacts.load_vectors(spark, path).select("chunk_id", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first"), F.size("embedding").cast("long").alias("size"))
 
 
 @query("SELECT url FROM pages WHERE NOT (contains(url, '/fr') OR contains(url, '.html') OR contains(url, 'blog'))")
@@ -527,7 +704,7 @@ def _crosswalks(spark, d):
     return lines.groupBy("l_orderkey").agg(F.collect_set(F.concat(F.lit("k"), F.col("l_partkey"))).alias("general")).select(F.concat(F.lit("w"), F.col("l_orderkey") % 5).alias("crosswalk_id"), F.concat(F.lit("k"), F.col("l_orderkey") % 900).alias("course_question"), "general")
 
 
-PAIRS = "pairs AS (SELECT DISTINCT 'w' || l_orderkey % 5 AS w, 'k' || l_orderkey % 900 AS c, 'k' || l_partkey AS g FROM lineitem WHERE l_orderkey < 4000)"
+PAIRS = "pairs AS (SELECT DISTINCT 'w' || l_orderkey % 5 AS w, 'k' || l_orderkey % 900 AS c, 'k' || l_partkey AS g FROM lineitem)"
 
 
 @query(f"WITH {PAIRS}, b AS (SELECT c AS question_id, g AS other FROM pairs UNION SELECT g, c FROM pairs WHERE c <> g) SELECT question_id, md5(string_agg(other, ',' ORDER BY other)) AS related FROM b GROUP BY 1")
@@ -563,6 +740,29 @@ def i4_unknown_sets(spark, d):
     return reports.unknown_sets(_courses(spark, d), _sets(spark, d))
 
 
+@query("SELECT '/sets/n' || n_nationkey || '.yaml' AS path, CASE WHEN n_nationkey % 4 = 0 THEN 'm' ELSE 'n' END || n_nationkey AS id, 'n' || n_nationkey AS stem FROM nation WHERE n_nationkey % 4 = 0")
+def i4_name_mismatches(spark, d):
+    k = F.col("n_nationkey")
+    return reports.name_mismatches(t.read(spark, d, "nation").select(F.concat(F.lit("/sets/n"), k, F.lit(".yaml")).alias("path"), F.concat(F.when(k % 4 == 0, "m").otherwise("n"), k).alias("id")))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN '-' ELSE '' END || lower(c_mktsegment) AS slug, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_name END AS title, c_custkey % 3 AS sets, CASE WHEN c_custkey % 7 = 0 THEN 2 ELSE 1 END AS v FROM customer)
+SELECT k, 'slug' AS rule FROM c WHERE NOT regexp_full_match(slug, '[a-z0-9][a-z0-9-]*') UNION ALL SELECT k, 'title' FROM c WHERE title IS NULL UNION ALL SELECT k, 'question_sets' FROM c WHERE sets = 0 UNION ALL SELECT k, 'schema_version' FROM c WHERE v = 2""")
+def i5_courses(spark, d):
+    k = F.col("c_custkey")
+    rows = t.read(spark, d, "customer").select(k.alias("k"), F.concat(F.when(k % 4 == 0, "-").otherwise(""), F.lower("c_mktsegment")).alias("slug"), F.when(k % 5 != 0, F.col("c_name")).alias("title"), F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("a"))).alias("question_sets"), F.when(k % 7 == 0, 2).otherwise(1).alias("schema_version"))
+    return reports.violations(rows, ["k"], reports.patterns("course"))
+
+
+@query("""SELECT l_orderkey AS k, l_linenumber AS n, 'chunk_id' AS rule FROM lineitem WHERE l_linenumber = 1 UNION ALL SELECT l_orderkey, l_linenumber, 'relevance' FROM lineitem WHERE l_quantity > 40
+UNION ALL SELECT l_orderkey, l_linenumber, 'points' FROM lineitem WHERE l_partkey % 9 = 0 UNION ALL SELECT l_orderkey, l_linenumber, 'quote' FROM lineitem WHERE l_suppkey % 5 = 0""")
+def i5_fragments(spark, d):
+    c = F.col
+    rows = t.read(spark, d, "lineitem").select(c("l_orderkey").alias("k"), c("l_linenumber").alias("n"), F.format_string("v:%04d", "l_linenumber").alias("chunk_id"), (c("l_quantity").cast("double") / 40).alias("relevance"), F.when(c("l_partkey") % 9 == 0, F.array().cast("array<string>")).otherwise(F.array("l_linestatus")).alias("points"), F.when(c("l_suppkey") % 5 == 0, "").otherwise("x").alias("quote"))
+    rows = rows.withColumn("chunk_id", F.when(c("n") == 1, "v:001").otherwise(c("chunk_id")))
+    return reports.violations(rows, ["k", "n"], reports.patterns("fragment"))
+
+
 @query("""WITH q AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'g' ELSE 'Q' END || c_custkey AS question_id, c_custkey % 7 AS number, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE c_name END AS text FROM customer)
 SELECT k, 'question_id' AS rule FROM q WHERE NOT regexp_full_match(question_id, '[a-z]{1,4}[0-9]{2,3}') UNION ALL SELECT k, 'number' FROM q WHERE number < 1 UNION ALL SELECT k, 'text' FROM q WHERE text = ''""")
 def i5_patterns(spark, d):
@@ -577,7 +777,7 @@ def i6_backward_segments(spark, d):
     return reports.violations(rows, ["video_id", "pos"], {"end": F.col("end") >= F.col("start")}).select("video_id", "pos")
 
 
-@query("""WITH n AS (SELECT l_orderkey, list(CAST(l_linenumber AS INTEGER) ORDER BY l_linenumber) AS ns FROM lineitem WHERE l_quantity > 10 AND l_linenumber <= 3 GROUP BY 1)
+@query("""WITH n AS (SELECT l_orderkey, list(CAST(l_linenumber AS INTEGER) ORDER BY l_linenumber) AS ns FROM lineitem WHERE l_quantity > 10 GROUP BY 1)
 SELECT 'q' || l_orderkey AS question_id FROM n WHERE ns <> list_transform(range(len(ns)), lambda x: CAST(x + 1 AS INTEGER))""")
 def i7_number_gaps(spark, d):
     return reports.gaps_in_numbers(t.answers(spark, d))
@@ -589,6 +789,44 @@ def i8_unknown_keys(spark, d):
     return reports.unknown_keys(e, ["event_type"])
 
 
+@query("SELECT o_orderkey AS path, 'pairs.note' AS key FROM orders WHERE o_orderkey % 6 = 0 UNION ALL SELECT o_orderkey, 'state' FROM orders WHERE o_orderkey % 4 = 0")
+def i8_unknown_keys_within(spark, d):
+    k = F.col("o_orderkey")
+    pair = F.struct(F.col("o_orderstatus").alias("course"), F.when(k % 6 == 0, "x").alias("note"))
+    rows = t.read(spark, d, "orders").select(k.alias("path"), F.to_json(F.struct(F.array(pair, F.struct(F.lit("y").alias("course"), F.lit(None).cast("string").alias("note"))).alias("pairs"), F.when(k % 4 == 0, "z").alias("state"))).alias("raw"))
+    return reports.unknown_keys(rows, {"": ["pairs"], "pairs": ["course"]})
+
+
+def _set_files(spark, d):
+    """Nations as sets of their customers, some of them broken, in files of their names but for a few."""
+    k = F.col("c_nationkey")
+    n = (F.col("c_custkey") + 1).cast("int").alias("number")
+    q = F.struct(n, F.struct(F.concat(F.lit("k"), F.lpad((F.col("c_custkey") % 1000).cast("string"), 3, "0")).alias("id"), n, F.col("c_name").alias("text")).alias("q"))
+    rows = t.read(spark, d, "customer").filter(F.col("c_custkey").isNotNull()).groupBy(k.alias("k")).agg(F.transform(F.sort_array(F.collect_list(q)), lambda x: x["q"]).alias("questions"))
+    k = F.col("k")
+    raw = F.to_json(F.struct(F.concat(F.lit("s"), k).alias("id"), F.lit("t").alias("title"), F.when(k % 5 == 4, "other").otherwise("course").alias("kind"), "questions", F.when(k % 7 == 6, "x").alias("extra")))
+    return rows.select(F.concat(F.lit("/sets/"), F.when(k % 3 == 0, "t").otherwise("s"), k, F.lit(".yaml")).alias("path"), raw.alias("raw"))
+
+
+@query("""WITH q AS (SELECT c_nationkey AS k, c_custkey AS n, c_custkey % 1000 AS id, '/sets/' || CASE WHEN c_nationkey % 3 = 0 THEN 't' ELSE 's' END || c_nationkey || '.yaml' AS path FROM customer),
+own AS (SELECT path, count(*) AS errors FROM (SELECT DISTINCT path, k, 'kind' AS e FROM q WHERE k % 5 = 4 UNION ALL SELECT DISTINCT path, k, 'extra' FROM q WHERE k % 7 = 6 UNION ALL SELECT path, any_value(k), 'twice' FROM q GROUP BY path, id HAVING count(*) > 1) GROUP BY 1),
+good AS (SELECT * FROM q WHERE path NOT IN (SELECT path FROM own)),
+taken AS (SELECT path, count(*) AS errors FROM (SELECT path, k, lag(k) OVER (PARTITION BY id ORDER BY path, n) AS earlier FROM good) WHERE earlier <> k GROUP BY 1),
+walk AS (SELECT '/x/crosswalk-' || n_nationkey || '.yaml' AS path, CASE WHEN lpad(CAST(n_nationkey * 37 % 1000 AS VARCHAR), 3, '0') IN (SELECT lpad(CAST(id AS VARCHAR), 3, '0') FROM good) THEN 0 ELSE 1 END + CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 0 END AS errors FROM nation),
+crs AS (SELECT '/c/c' || r_regionkey || '/course.json' AS path, CASE WHEN r_regionkey = 2 THEN 1 ELSE 0 END + CASE WHEN 's' || r_regionkey IN (SELECT 's' || k FROM good) THEN 0 ELSE 1 END AS errors FROM region)
+SELECT p.path, CAST(coalesce(o.errors, t.errors, 0) AS BIGINT) AS errors, CAST(CASE WHEN o.errors IS NULL AND p.k % 3 = 0 THEN 1 ELSE 0 END AS BIGINT) AS warnings, coalesce(o.errors, t.errors, 0) = 0 AS ok FROM (SELECT DISTINCT path, k FROM q) p LEFT JOIN own o USING (path) LEFT JOIN taken t USING (path)
+UNION ALL SELECT path, errors, 0, errors = 0 FROM walk UNION ALL SELECT path, errors, 0, errors = 0 FROM crs""")
+def i9_validated(spark, d):
+    """Sets, crosswalks and courses checked together."""
+    n, r = F.col("n_nationkey"), F.col("r_regionkey")
+    other = F.when(n % 2 == 0, F.lit("zz99")).otherwise(F.concat(F.lit("k"), F.lpad((n * 37 % 1000).cast("string"), 3, "0")))
+    pairs = F.array(F.struct(F.concat(F.lit("k"), F.lpad((n * 37 % 1000).cast("string"), 3, "0")).alias("course"), F.array(other).alias("general")))
+    walks = t.read(spark, d, "nation").select(F.concat(F.lit("/x/crosswalk-"), n, F.lit(".yaml")).alias("path"), F.to_json(F.struct(F.lit("draft").alias("status"), pairs.alias("pairs"))).alias("raw"))
+    slug = F.concat(F.when(r == 2, "d").otherwise("c"), r)
+    courses = t.read(spark, d, "region").select(F.concat(F.lit("/c/c"), r, F.lit("/course.json")).alias("path"), F.to_json(F.struct(slug.alias("slug"), F.lit("t").alias("title"), F.array(F.concat(F.lit("s"), r)).alias("question_sets"))).alias("raw"))
+    return reports.validated(_set_files(spark, d), walks, courses)
+
+
 @query("SELECT CAST(o_custkey AS BIGINT) AS path, count(*) FILTER (WHERE o_orderstatus = 'F') AS errors, count(*) FILTER (WHERE o_orderstatus = 'P') AS warnings, count(*) FILTER (WHERE o_orderstatus = 'F') = 0 AS ok FROM orders GROUP BY 1")
 def i9_validation_report(spark, d):
     o = t.read(spark, d, "orders").select(F.col("o_custkey").alias("path"), "o_orderstatus")
