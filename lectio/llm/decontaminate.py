@@ -60,32 +60,38 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return long.unionByName(short).distinct()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """documents x benchmark -> doc_id, n_words, hits (array of start, size, item_id: every occurrence of a window of an item).
+def with_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """documents x benchmark -> row (all columns of documents), n_words, hits (array of start, size, item_id: every occurrence
+    of a window of an item).
 
-    Null texts have no words. A null item_id counts as an empty one; items with the same id are one item. Repeated rows and
-    ids of documents: hits are looked up by doc_id and checked on each row's own words, so each row has its own. Rows with a
-    null doc_id have no hits. Each window's occurrence is found whatever the number of documents or items that share it.
+    Null texts have no words. A null item_id counts as an empty one; items with the same id are one item. Hits are looked up
+    by a hash of the text and checked on each row's own words, so rows with null or equal ids have their own. Each window's
+    occurrence is found whatever the number of documents or items that share it. Columns may have any names.
     """
     windows = stored(item_windows(benchmark), "windows")
-    rows = docs.select("doc_id", words_of("text").alias("words"))
+    rows = docs.select(F.xxhash64("text").alias("name"), words_of("text").alias("words"))
     # no filter on the number of words here: it would split each text a second time, and short ones have no minima
     grams = _with_minima(_with_grams(rows))
     span = WINDOW - K + 1
     kept = F.transform("grams", lambda x, i: F.when(x == F.greatest(*(F.get("minima", i - j) for j in range(span))), x))
-    found = grams.select("doc_id", F.lit(WINDOW).alias("size"), kept.alias("keys"))
+    found = grams.select("name", F.lit(WINDOW).alias("size"), kept.alias("keys"))
     for (size,) in windows.filter(F.col("size") < WINDOW).select("size").distinct().collect():
-        found = found.unionByName(rows.filter(F.size("words") >= size).select("doc_id", F.lit(size).alias("size"), _short(F.col("words"), size).alias("keys")))
-    found = found.select("doc_id", "size", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
+        found = found.unionByName(rows.filter(F.size("words") >= size).select("name", F.lit(size).alias("size"), _short(F.col("words"), size).alias("keys")))
+    found = found.select("name", "size", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
     keys = windows.select("size", "key").distinct()
     keys = F.broadcast(keys) if windows.count() <= BROADCAST_ROWS else keys
-    near = found.join(keys, ["size", "key"], "left_semi").join(windows, ["size", "key"]).select("doc_id", F.struct((F.col("pos") - F.col("at")).alias("start"), "size", "item_id", "said").alias("near"))
-    near = stored(near.filter("near.start >= 0").groupBy("doc_id").agg(F.collect_set("near").alias("near")), "hits")
+    near = found.join(keys, ["size", "key"], "left_semi").join(windows, ["size", "key"]).select("name", F.struct((F.col("pos") - F.col("at")).alias("start"), "size", "item_id", "said").alias("near"))
+    near = stored(near.filter("near.start >= 0").groupBy("name").agg(F.collect_set("near").alias("near")), "hits")
     # texts are dealt, not words, and always by a shuffle: what is hit has no bound
-    joined = docs.select("doc_id", "text").join(near.hint("merge"), "doc_id", "left").select("doc_id", words_of("text").alias("words"), "near")
+    joined = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("name")).join(near.hint("merge"), "name", "left").select("row", words_of("row.text").alias("words"), "near")
     hits = F.filter("near", lambda x: F.array_join(F.slice("words", x["start"] + 1, x["size"]), " ") == x["said"])
     hits = F.transform(hits, lambda x: F.struct(x["start"].alias("start"), x["size"].alias("size"), x["item_id"].alias("item_id")))
-    return joined.select("doc_id", F.size("words").cast("long").alias("n_words"), F.coalesce(hits, F.array().cast("array<struct<start:int,size:int,item_id:string>>")).alias("hits"))
+    return joined.select("row", F.size("words").cast("long").alias("n_words"), F.coalesce(hits, F.array().cast("array<struct<start:int,size:int,item_id:string>>")).alias("hits"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """documents x benchmark -> doc_id, n_words, hits; see with_hits()."""
+    return with_hits(docs.select("doc_id", "text"), benchmark).select("row.doc_id", "n_words", "hits")
 
 
 def hit_words(hits: str) -> Column:
