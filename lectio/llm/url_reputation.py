@@ -47,13 +47,30 @@ def _strength(counts: DataFrame, parent: str) -> Column:
     return 1 / rho - 1
 
 
-def reputation(hosts: DataFrame, z: float = 1.0) -> DataFrame:
+def with_parents(hosts: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """Adds domain and suffix to host. suffixes: (suffix) such as co.uk, a list of public ones.
+
+    The suffix is the longest listed one that a host ends with, else its last label; the registered domain has one label more.
+    A host that is a suffix, or empty, is its own domain.
+    """
+    last, two = F.substring_index("host", ".", -1), F.substring_index("host", ".", -2)
+    if suffixes is None:
+        return hosts.select("host", two.alias("domain"), last.alias("suffix"), *(c for c in hosts.columns if c != "host"))
+    labels = F.split("host", r"\.")
+    ends = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.struct((F.size(labels) - i + 1).alias("labels"), F.array_join(F.slice(labels, i, F.size(labels)), ".").alias("suffix")))
+    listed = hosts.select("host", F.explode(ends).alias("end")).select("host", "end.*").join(suffixes.select("suffix").distinct(), "suffix")
+    longest = listed.groupBy("host").agg(F.max("labels").alias("labels"))
+    tail = lambda n: F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.size(labels)), ".")
+    n = F.coalesce("labels", F.lit(1))
+    return hosts.join(longest, "host", "left").select("host", tail(n + 1).alias("domain"), tail(n).alias("suffix"), *(c for c in hosts.columns if c != "host"))
+
+
+def reputation(hosts: DataFrame, z: float = 1.0, suffixes: DataFrame | None = None) -> DataFrame:
     """hosts: host, n labelled pages, good ones -> host, mean and upper posterior bound of the rate of good pages.
 
-    The registered domain is the last two labels of a host, the suffix its last; an empty host is its own domain and suffix.
-    Without any label the rate of all pages counts as 0.5.
+    See with_parents() for the registered domain. Without any label the rate of all pages counts as 0.5.
     """
-    hosts = hosts.select("host", F.substring_index("host", ".", -2).alias("domain"), F.substring_index("host", ".", -1).alias("suffix"), "n", "good")
+    hosts = with_parents(hosts.select("host", "n", "good"), suffixes)
     domains = stored(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), "domains")
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
@@ -72,7 +89,7 @@ def reputation(hosts: DataFrame, z: float = 1.0) -> DataFrame:
     return hosts.select("host", "n", "good", "mean", (F.col("mean") + z * sd).alias("upper"))
 
 
-def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, z: float = 1.0, min_rate: float = 0.5) -> DataFrame:
+def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]] = RULES, z: float = 1.0, min_rate: float = 0.5, suffixes: DataFrame | None = None) -> DataFrame:
     """pages (page_id, url) -> page_id, host, path, rule, verdict, upper.
 
     labels: doc_id (a page's id), quality. The verdict is that of the longest rule that fits; without one, ``block`` when the
@@ -82,7 +99,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str,
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     outcome = labels.filter("quality is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.min("quality").alias("quality"))
     counts = urls.select("page_id", "host").join(outcome, "page_id", "left").groupBy("host").agg(F.count("quality").alias("n"), F.coalesce(F.sum((F.col("quality") == 1).cast("long")), F.lit(0)).alias("good"))
-    known = reputation(stored(counts, "hosts"), z).select("host", "upper")
+    known = reputation(stored(counts, "hosts"), z, suffixes).select("host", "upper")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     learnt = F.when(F.col("upper") < min_rate, "block").otherwise("allow")
     return urls.join(known, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, learnt).alias("verdict"), "upper")
