@@ -17,6 +17,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +77,18 @@ class EliasFano:
             low = packed >> (first % 8) & ((1 << self.low_bits) - 1)
         return (one - i) << self.low_bits | low
 
+    def select_range(self, a: int, b: int) -> np.ndarray:
+        """Values number a to b - 1: the sample says which runs of bits hold them, and only those are read."""
+        if a >= b:
+            return np.zeros(0, np.int64)
+        at, to = int(np.searchsorted(self.sample, a, "right")) - 1, int(np.searchsorted(self.sample, b - 1, "right"))
+        bits = np.unpackbits(self.high[at * SAMPLE // 8 : to * SAMPLE // 8], bitorder="little")
+        before = int(self.sample[at])
+        high = np.flatnonzero(bits)[a - before : b - before] + at * SAMPLE - np.arange(a, b)
+        first, size = a * self.low_bits, (b - a) * self.low_bits
+        packed = np.unpackbits(self.low[first // 8 : (first + size + 7) // 8], bitorder="little")[first % 8 : first % 8 + size].reshape(b - a, self.low_bits)
+        return (high.astype(np.int64) << self.low_bits) + packed.astype(np.int64) @ (np.int64(1) << np.arange(self.low_bits, dtype=np.int64))
+
     def values(self) -> np.ndarray:
         high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
         bits = np.unpackbits(self.low, count=self.n * self.low_bits, bitorder="little").reshape(self.n, self.low_bits)
@@ -100,15 +113,34 @@ def pack(doc_ids: list[int | None], lengths: list[int], ids: bytes, width: int)
     return HEADER.pack(MAGIC, VERSION, width, len(doc_ids), len(doc_ids) - len(there), least, len(ids) // width, len(names), len(ends)) + names + ends + ids
 
 
-def unpack(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """doc_ids, ends within the block, ids."""
-    magic, version, width, n, nameless, least, n_ids, a, b = HEADER.unpack_from(payload)
-    if (magic, version) != (MAGIC, VERSION):
-        raise ValueError("not a block of token ids")
-    at = HEADER.size
-    names = EliasFano.from_bytes(payload[at : at + a]).values() + least
-    ends = EliasFano.from_bytes(payload[at + a : at + a + b]).values()
-    return [None] * nameless + names.tolist(), ends, np.frombuffer(payload, f"<u{width}", n_ids, at + a + b)
+@dataclass
+class Block:
+    """A block that was read: ``nameless`` documents without a doc_id, then those of ``names``; ``ends`` of all; the ids."""
+
+    n: int
+    nameless: int
+    least: int
+    names: EliasFano
+    ends: EliasFano
+    ids: np.ndarray
+
+    @classmethod
+    def read(cls, payload: bytes) -> Block:
+        magic, version, width, n, nameless, least, n_ids, a, b = HEADER.unpack_from(payload)
+        if (magic, version) != (MAGIC, VERSION):
+            raise ValueError("not a block of token ids")
+        at = HEADER.size
+        names, ends = EliasFano.from_bytes(payload[at : at + a]), EliasFano.from_bytes(payload[at + a : at + a + b])
+        return cls(n, nameless, least, names, ends, np.frombuffer(payload, f"<u{width}", n_ids, at + a + b))
+
+    def bounds(self, a: int, b: int) -> np.ndarray:
+        """Where documents number a to b - 1 begin, and where the last of them ends."""
+        return self.ends.select_range(a - 1, b) if a else np.append(0, self.ends.select_range(0, b))
+
+    def doc_ids(self, a: int, b: int) -> list[int | None]:
+        none = max(0, min(b, self.nameless) - a)
+        named = self.names.select_range(max(a - self.nameless, 0), max(b - self.nameless, 0)) + self.least
+        return [None] * none + named.tolist()
 
 
 _CODERS: dict[tuple, tuple] = {}
@@ -190,15 +222,15 @@ def read_blocks(blocks: DataFrame) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                names, ends, ids = unpack(row["payload"])
-                wide = ids.astype("<u4")
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                offsets = np.concatenate([[0], ends])
-                for a in range(0, len(names), 1000):
-                    b = min(a + 1000, len(names))
+                block = Block.read(row["payload"])
+                for a in range(0, block.n, 1000):
+                    b = min(a + 1000, block.n)
+                    bounds = block.bounds(a, b)
+                    wide = block.ids[bounds[0] : bounds[-1]].astype("<u4").tobytes()
+                    cuts = ((bounds - bounds[0]) * 4).tolist()
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([row["part"]] * (b - a), pa.int32()), pa.array([row["block"]] * (b - a), pa.int32()), pa.array(names[a:b], pa.int64()), pa.array(starts[a:b]),
-                        pa.array([wide[offsets[i] : offsets[i + 1]].tobytes() for i in range(a, b)], pa.binary()),
+                        pa.array([row["part"]] * (b - a), pa.int32()), pa.array([row["block"]] * (b - a), pa.int32()), pa.array(block.doc_ids(a, b), pa.int64()), pa.array(bounds[:-1]),
+                        pa.array([wide[i:j] for i, j in zip(cuts, cuts[1:])], pa.binary()),
                     ], ["part", "block", "doc_id", "begin", "ids"])
 
     return blocks.select("part", "block", "payload").mapInArrow(decode, "part int, block int, doc_id long, begin long, ids binary")
