@@ -73,40 +73,44 @@ def anchor_matches(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.groupBy("left_id", "right_id", (F.col("right_pos") - F.col("left_pos")).alias("shift")).agg(F.count("*").alias("n"))
 
 
-def _cells(ids: DataFrame, many: int) -> tuple[list[int], Column]:
-    """Bounds that cut the ids into about ``many`` equal cells, and the cell of doc_id (null: cell 0)."""
-    found = ids.agg(F.percentile_approx("doc_id", [i / many for i in range(1, many)], 10 * many)).first()[0] or []
-    bounds = sorted(set(found))
+def _cells(ids: DataFrame, many: int) -> Column:
+    """The cell of a row (doc_id, tie): about ``many`` equal ones, in the order of doc_id; rows without one come before all
+    others and are dealt by ranges of ``tie``."""
+    found, nulls, rows = ids.agg(F.percentile_approx("doc_id", [i / many for i in range(1, many)], 10 * many), F.count_if(F.col("doc_id").isNull()), F.count("*")).first()
+    bounds = sorted(set(found or []))
+    share = max(1, -(-many * nulls // max(rows, 1)))
+    nameless = F.floor((F.shiftright("tie", 40) + (1 << 23)) * share / (1 << 24)).cast("int") - share
     if not bounds:
-        return bounds, F.lit(0)
+        return F.when(F.col("doc_id").isNull(), nameless).otherwise(0)
     step = math.isqrt(len(bounds)) + 1
     runs = [bounds[i : i + step] for i in range(0, len(bounds), step)]
     # the run first, then the place in it: far fewer comparisons than along all bounds
     tops = F.array(*(F.lit(x[0]) for x in runs))
     inner = F.array(*(F.array(*map(F.lit, x)) for x in runs))
-    doc_id = F.coalesce(F.col("doc_id"), F.lit(bounds[0] - 1))
-    run = F.size(F.filter(tops, lambda x: x <= doc_id))
-    return bounds, F.when(run == 0, 0).otherwise((run - 1) * step + F.size(F.filter(F.get(inner, run - 1), lambda x: x <= doc_id)))
+    run = F.size(F.filter(tops, lambda x: x <= F.col("doc_id")))
+    named = F.when(run == 0, 0).otherwise((run - 1) * step + F.size(F.filter(F.get(inner, run - 1), lambda x: x <= F.col("doc_id"))))
+    return F.when(F.col("doc_id").isNull(), nameless).otherwise(named)
 
 
 def with_next(docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """prepare(docs) with next_<column> of the next row in descending doc_id (null last; equal ids: by descending text); after the last: the first.
+    """prepare(docs) with next_<column> of the next row in descending doc_id (null last; equal ids: by a hash of the text); after the last: the first.
 
     Rows are dealt to cells of neighbouring ids; each cell also gets the first row of the next one, so one shuffle does,
     and no task sees more than a cell. Only a number for each cell reaches the driver. ``prepare`` adds columns to rows, each
     by itself; it is called once the rows are together, so that none is prepared twice but the guests.
     """
     many = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds, cell = _cells(docs, many)
-    celled = docs.withColumn("cell", cell)
-    firsts = sorted(((r["cell"], r["first"]) for r in celled.groupBy("cell").agg(F.max("doc_id").alias("first")).collect()), reverse=True)
+    docs = docs.withColumn("tie", F.xxhash64("text"))
+    celled = docs.withColumn("cell", _cells(docs, many))
+    firsts = celled.groupBy("cell").agg(F.max(F.struct("doc_id", "tie")).alias("first")).select("cell", "first.*").collect()
+    firsts = sorted(((r["cell"], r["doc_id"], r["tie"]) for r in firsts), key=lambda x: x[0], reverse=True)
     if not firsts:
-        return prepare(docs).withColumns({f"next_{c}": F.col(c) for c in columns})
-    guests = docs.sparkSession.createDataFrame([(firsts[i - 1][0], firsts[i][1]) for i in range(len(firsts))], "cell int, first long")
-    guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("first"))).drop("first")
+        return prepare(docs).drop("tie").withColumns({f"next_{c}": F.col(c) for c in columns})
+    guests = docs.sparkSession.createDataFrame([(firsts[i - 1][0], *firsts[i][1:]) for i in range(len(firsts))], "cell int, first long, first_tie long")
+    guests = docs.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("first")) & (F.col("tie") == F.col("first_tie"))).drop("first", "first_tie")
     rows = prepare(celled.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))))
-    order = W.partitionBy("cell").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("text").desc())
-    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).filter("not guest").drop("cell", "guest")
+    order = W.partitionBy("cell").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("tie").desc())
+    return rows.withColumns({f"next_{c}": F.lead(c).over(order) for c in columns}).filter("not guest").drop("cell", "guest", "tie")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
