@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lectio.sources.shared import dealt
+
 SQL = {
     "seg": """SELECT 'v' || doc_id AS video_id, doc_id, CAST(i - 1 AS INTEGER) AS seg_no, text,
     (sum(length(text)) OVER (PARTITION BY doc_id ORDER BY i) - length(text)) / 12.5 AS start, sum(length(text)) OVER (PARTITION BY doc_id ORDER BY i) / 12.5 AS stop
@@ -39,7 +41,8 @@ def form(x: str) -> str:
 
 
 def read(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    rows = spark.read.parquet(f"{d}/{name}.parquet")
+    return dealt(rows) if name == "documents" else rows
 
 
 def segments(spark: SparkSession, d: str) -> DataFrame:

@@ -8,6 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: A table in so many files or fewer is small enough to be dealt anew.
+FEW_FILES = 4
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """A table that comes in a few files, dealt to all cores: a file may be one task, however many cores there are. What comes
+    in more files stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) <= min(FEW_FILES, cores - 1) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir); one of our own only in a local session that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
