@@ -21,7 +21,7 @@ SQL = {
     "chunk": "SELECT 'v' || doc_id || ':0000' AS chunk_id, 'v' || doc_id AS video_id, doc_id, text FROM documents",
     "claim": """SELECT CAST(doc_id // 5 AS BIGINT) AS answer_id, CAST(doc_id % 5 + 1 AS INTEGER) AS position,
     CASE WHEN doc_id % 4 = 3 THEN 'x' ELSE 'v' || (doc_id + CASE WHEN doc_id % 4 = 2 THEN 1 ELSE 0 END) END || ':0000' AS chunk_id,
-    CASE WHEN doc_id % 8 = 1 THEN replace(substr(text, 1 + doc_id * 7 % 40, 60), 'on', 'um') ELSE substr(text, 1 + doc_id * 7 % 40, 60) END AS quote, doc_id FROM documents""",
+    CASE WHEN doc_id % 8 = 1 THEN replace(substr(text, 1 + doc_id * 7919 % greatest(length(text) - 60, 1), 60), 'on', 'um') ELSE substr(text, 1 + doc_id * 7919 % greatest(length(text) - 60, 1), 60) END AS quote, doc_id FROM documents""",
     "answer": """SELECT 'q' || o_orderkey AS question_id, 's' || o_custkey % 7 AS question_set, 'c' || o_custkey % 3 AS course,
     CASE WHEN o_orderkey % 9 = 0 THEN 'full' WHEN o_orderkey % 4 = 0 THEN 'not_found' ELSE 'partial' END AS coverage, CAST(coalesce(n, 0) AS INTEGER) AS n,
     CASE WHEN o_orderkey % 17 = 0 THEN 'failed' END AS error, o_orderkey
@@ -74,10 +74,10 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def claims(spark: SparkSession, d: str) -> DataFrame:
-    """Quotes of documents, some altered, some of the wrong or of no chunk."""
+    """Quotes from anywhere in the documents, some altered, some of the wrong or of no chunk."""
     rows = read(spark, d, "documents")
     i = F.col("doc_id")
-    cut = F.substring("text", (1 + i * 7 % 40).cast("int"), F.lit(60))
+    cut = F.substring("text", (1 + i * 7919 % F.greatest(F.length("text") - 60, F.lit(1))).cast("int"), F.lit(60))
     name = F.when(i % 4 == 3, F.lit("x")).otherwise(F.concat(F.lit("v"), i + F.when(i % 4 == 2, 1).otherwise(0)))
     return rows.select(F.floor(i / 5).alias("answer_id"), (i % 5 + 1).cast("int").alias("position"), F.concat(name, F.lit(":0000")).alias("chunk_id"), F.when(i % 8 == 1, F.replace(cut, F.lit("on"), F.lit("um"))).otherwise(cut).alias("quote"))
 
