@@ -49,6 +49,10 @@ class BPE:
         self.left = np.array([vocab[a] for a, _ in pairs], np.int64)
         self.right = np.array([vocab[b] for _, b in pairs], np.int64)
         self.made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        made_first = np.full(len(self.names), -1)
+        made_first[self.made[::-1]] = np.arange(len(pairs))[::-1]
+        if (np.maximum(made_first[self.left], made_first[self.right]) > np.arange(len(pairs))).any():
+            raise ValueError("merges must come after those that make their parts: only then may all positions of a pair be merged at once")
         keys = self.left << 32 | self.right
         self.by_key = np.argsort(keys)
         self.keys = keys[self.by_key]
