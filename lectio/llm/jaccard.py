@@ -401,7 +401,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     tested, found = links, links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     for turn in range(ROUNDS):
         pairs = stored(neighbours(apart(tiles, found), turn).join(tested, ["a", "b"], "left_anti"), "pairs")
-        new = verified(bounded(pairs, sets), docs, sets)
+        near = bounded(pairs, sets)
+        new = verified(near, docs, sets)
+        forget(near)
         links, tested = links.unionByName(new), tested.unionByName(pairs)
         if not new.take(1):
             break
