@@ -17,25 +17,25 @@ SCORE = "_quality_score"
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     network = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, network, SCORE).filter(F.col(SCORE) >= 0.5).drop(SCORE)
+    return quality.score(docs, network, SCORE).filter(F.col(SCORE) >= 0.5).select(docs.columns)
 
 
 def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go; n_chars follows. A document of which no line is left goes."""
-    left = line_dedup.without_lines(docs).filter("n_removed = 0 or trim(text) <> ''").drop("n_lines", "n_removed")
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    found = line_dedup.with_lines_left(docs).filter("n_removed = 0 or trim(left) <> ''")
+    size = F.when(F.col("n_removed") > 0, F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    changed = {"text": F.when(F.col("n_removed") > 0, F.col("left")).otherwise(F.col("row.text")), "n_chars": size}
+    return found.select(*(changed.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least doc_id stays."""
-    copies = jaccard.similar_groups(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(stored(copies, "copies").hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near duplicates the row with the least doc_id stays."""
+    return jaccard.one_of_each(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share a window with a benchmark item go."""
-    hit = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).filter(F.size("hits") > 0).select("doc_id").distinct()
-    return docs.join(stored(hit, "contaminated").hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    return decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark")).filter(F.size("hits") == 0).select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
