@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.sources.shared import forget, stored
+from lectio.sources.shared import dealt, forget, stored
 
-__all__ = ["forget", "named", "row_name", "stored", "table", "texts"]
+__all__ = ["forget", "row_name", "small_batches", "stored", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return dealt(rows) if name == "documents" else rows
 
 
 def texts(docs: DataFrame) -> DataFrame:
@@ -19,11 +23,18 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def named(docs: DataFrame) -> DataFrame:
-    """name and text: the name is a 64-bit hash of doc_id and text, never null; equal rows have equal names."""
-    return texts(docs).select(row_name().alias("name"), "text")
-
-
 def row_name() -> Column:
-    """The name of a row of texts()."""
+    """The name of a row of texts(): a 64-bit hash of doc_id and text, never null; equal rows have equal names."""
     return F.xxhash64("doc_id", "text")
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What is computed inside sends Arrow batches of so many rows at most, which bounds the memory of a worker that holds one."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -5,39 +5,69 @@ at least one of the shorter one's e + 1 segments, at nearly the same place. Ever
 index keyed by segment, place and length, and probes the index with the substrings that such a neighbour's segments could
 be, as far as a filter of all indexed keys has them. What meets there is compared by letter counts, then verified with a
 banded bit-parallel edit distance. Lengths and edits are those of code points.
+
+A line goes as soon as one earlier line is near enough, so a line first asks the few lines before it that share a key; only
+those that find none ask all the others. A large group of near copies costs its size, not its square.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lectio.llm.common import stored, table, texts
-from lectio.llm.hashing import gathered, mix, prefix, scatter, span
+from lectio.llm.common import forget, row_name, small_batches, stored, table, texts
+from lectio.llm.hashing import gathered, mix, powers, scatter
 from lectio.llm.pieces import slices
 
-#: Two lines are the same when at most so many edits apart: one for each EVERY code points of the shorter one, EDITS at
-#: least and MOST at most. Lines of fewer than MIN_BYTES bytes (stripped) are never removed.
-EDITS, EVERY, MOST, MIN_BYTES = 1, 20, 4, 20
-#: Bits of the filter of indexed keys, the bound on what is broadcast. A fuller filter passes more probes; it loses none.
-FILTER_BITS, FILTER_PARTS = 27, 256
+
+@dataclass(frozen=True)
+class Limits:
+    """Two lines are the same when at most so many edits apart: one for each ``every`` code points of the shorter one, ``least``
+    at least and ``most`` at most. Lines of fewer than ``min_bytes`` bytes (stripped) are never removed."""
+
+    least: int = 1
+    every: int = 20
+    most: int = 4
+    min_bytes: int = 20
+
+    def allowed(self, size: np.ndarray) -> np.ndarray:
+        """How many edits a line may be away from one of so many code points that is not longer."""
+        return np.clip(size // self.every, self.least, self.most)
+
+
+#: Bits of the filters of keys, the bound on what is broadcast; each key has two. A fuller filter passes more records; it
+#: loses none.
+FILTER_BITS, FILTER_PARTS = 28, 256
+#: Of each of the first rounds: the lines before it, in the order of a key, that a line may ask, and how many of all its keys
+#: it asks. Lines of a key that are put in order at once. What is left out here is asked in the end.
+ASKED, CELL = [(1, 2, 2), (1, 8, 4)], 4096
+#: Code points that are compared at once, a bound of memory alone.
+COMPARED = 1_000_000
+#: Characters of the texts that are cut up at once, lines that a task remembers having seen, and keys that it gathers before
+#: it sends their bits: bounds of memory alone.
+RUN_CHARS, SEEN, GATHERED = 500_000, 200_000, 1_000_000
 #: Lines that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-RECORD = np.dtype([("key", "<u8"), ("line", "<u8"), ("letters", "<u8"), ("edits", "u1"), ("probe", "u1")])
+#: What a line may lose at its ends when its length is judged.
+ENDS = " \t\n\r\x0b\x0c"
+_UP, _DOWN = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_TABLES: dict[str, np.ndarray] = {}
 
 
-def _lines(said: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def _lines(said: list[str], min_bytes: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(text number, line number, bytes) of each line that is long enough; a line keeps its white space."""
     doc, number, data = [], [], []
     for i, x in enumerate(said):
         for k, line in enumerate(x.encode().split(b"\n")):
-            if len(line) >= MIN_BYTES and len(line.strip()) >= MIN_BYTES:
+            if len(line) >= min_bytes and len(line.strip()) >= min_bytes:
                 doc.append(i)
                 number.append(k)
                 data.append(line)
@@ -49,23 +79,24 @@ def _names(data: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in data), "<i8").reshape(-1, 2)
 
 
-def line_table(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """documents -> doc_id, line_no, one, two (a line's name), and its bytes on request."""
+class _Fresh:
+    """Lines that this task has not seen, as far as it remembers; one that comes again only costs time."""
+
+    def __init__(self) -> None:
+        self.seen: set[int] = set()
+
+    def of(self, data: list[bytes], names: np.ndarray) -> list[bytes]:
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        return [x for x, name in zip(data, names[:, 0].tolist()) if name not in self.seen and not self.seen.add(name)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            said = batch.column(1).to_pylist()
-            for a, b in slices(said):
-                doc, number, data = _lines(said[a:b])
-                names = _names(data)
-                columns = [batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(number), pa.array(names[:, 0]), pa.array(names[:, 1])]
-                yield pa.RecordBatch.from_arrays(columns + ([pa.array(data, pa.binary())] if with_text else []), ["doc_id", "line_no", "one", "two"] + (["line"] if with_text else []))
 
-    rows = texts(docs)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, line_no int, one long, two long" + (", line binary" if with_text else ""))
+def _few(table: DataFrame) -> DataFrame:
+    """A stored table, broadcast when its size allows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def letter_counts(raw: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def letter_counts(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Each line's code points counted in 16 classes, modulo 16, as 64 bits. One edit changes at most two counts by one."""
     kind = (mix(raw.astype(np.uint64)) & np.uint64(15)).astype(np.int64)
     line = np.repeat(np.arange(len(sizes)), sizes)
@@ -73,18 +104,14 @@ def letter_counts(raw: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.nd
     return (counts.astype(np.uint64) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64)
 
 
-def counts_apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A lower bound of the sum of differences of the letter counts."""
-    total = np.zeros(len(a), np.int64)
-    for k in range(16):
-        d = ((a >> np.uint64(4 * k)) - (b >> np.uint64(4 * k))) & np.uint64(15)
-        total += np.minimum(d, 16 - d.astype(np.int64)).astype(np.int64)
-    return total
+def letters_apart(a: Column, b: Column) -> Column:
+    """The sum of differences of two letter counts, each the shorter way round: never more than twice the edits."""
 
+    def one(k: int) -> Column:
+        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(15))
+        return F.least(d, 16 - d)
 
-def allowed(size: np.ndarray) -> np.ndarray:
-    """How many edits a line may be away from one of so many code points that is not longer."""
-    return np.clip(size // EVERY, EDITS, MOST)
+    return reduce(Column.__add__, map(one, range(16)))
 
 
 def segments(size: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,8 +121,25 @@ def segments(size: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarr
     return k * short + np.maximum(k - plain, 0), short + (k >= plain)
 
 
-def records(data: list[bytes], bits: np.ndarray | None = None) -> np.ndarray:
-    """Index records of lines, and with a filter of their keys the probe records that may meet one of another line.
+def _point_values(raw: np.ndarray) -> np.ndarray:
+    """An odd random number for each code point."""
+    if "points" not in _TABLES:
+        _TABLES["points"] = mix(np.arange(1 << 16, dtype=np.uint64)) | np.uint64(1)
+    out = _TABLES["points"][raw & np.uint32(0xFFFF)]
+    rare = np.flatnonzero(raw > 0xFFFF)
+    out[rare] = mix(raw[rare].astype(np.uint64)) | np.uint64(1)
+    return out
+
+
+def _scales(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_TABLES.get("up", ())) < n:
+        _TABLES["up"], _TABLES["down"] = powers(_UP, n), powers(_DOWN, n)
+    return _TABLES["up"][:n], _TABLES["down"][:n]
+
+
+def keys_of(data: list[bytes], limits: Limits, bits: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int, bool]]:
+    """(line number, key, edits, whether a probe) of the index records of lines, and with a filter of their keys of the probes
+    that may meet one of another line.
 
     Equal keys are an equal substring, segment number and indexed length. A probe with a line's own segments is left out:
     it would be the index record once more.
@@ -104,122 +148,220 @@ def records(data: list[bytes], bits: np.ndarray | None = None) -> np.ndarray:
     raw = np.frombuffer(joined.decode().encode("utf-32-le"), "<u4")
     begins = np.cumsum([0] + [len(x) for x in data])[:-1]
     sizes = np.add.reduceat((np.frombuffer(joined, np.uint8) & 0xC0 != 0x80).astype(np.int64), begins)
-    ends = np.cumsum(sizes)
-    begin, pre = ends - sizes, prefix(raw)
-    lines = _names(data)[:, 0].view(np.uint64)
-    letters = letter_counts(raw, ends, sizes)
-    out = []
+    begin = np.cumsum(sizes) - sizes
+    up, down = _scales(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_point_values(raw) * up[: len(raw)], out=sums[1:])
 
-    def emit(which: np.ndarray, start: np.ndarray, length: np.ndarray, k: int, of: np.ndarray, edits: int, probe: int) -> None:
+    def key(which: np.ndarray, start: np.ndarray, length: np.ndarray, k: int, of: np.ndarray) -> np.ndarray:
         at = begin[which] + start
-        key = mix(span(pre, at, at + length) + np.uint64((k + 1) * 0x9FB21C651E98DF25 % (1 << 64)) + of.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
-        if probe:
-            known = np.flatnonzero(bits[slots(key) >> 3] >> (slots(key) & 7).astype(np.uint8) & 1)
-            which, key = which[known], key[known]
-        part = np.zeros(len(which), RECORD)
-        part["key"], part["line"], part["letters"], part["edits"], part["probe"] = key, lines[which], letters[which], edits, probe
-        out.append(part)
-
-    for edits in range(EDITS, MOST + 1):
+        return mix((sums[at + length] - sums[at]) * down[at] + np.uint64((k + 1) * 0x9FB21C651E98DF25 % (1 << 64)) + of.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+    for edits in range(limits.least, limits.most + 1):
         for less in range(edits + 1 if bits is not None else 1):  # partners of the same length or up to ``edits`` shorter
-            near = np.flatnonzero(allowed(sizes - less) == edits)
+            near = np.flatnonzero(limits.allowed(sizes - less) == edits)
             of = sizes[near] - less
             for k in range(edits + 1):
                 start, length = segments(of, k, edits)
                 if not less:
-                    emit(near, start, length, k, of, edits, 0)
+                    yield near, key(near, start, length, k, of), edits, False
                 for shift in range(-k, k + 1) if bits is not None else ():
                     # at most k edits before the segment's place and edits - k after it
                     if abs(shift - less) <= edits - k and (shift or less):
                         fits = np.flatnonzero((start + shift >= 0) & (start + shift + length <= sizes[near]))
-                        emit(near[fits], start[fits] + shift, length[fits], k, of[fits], edits, 1)
-    return np.concatenate(out)
+                        found = key(near[fits], start[fits] + shift, length[fits], k, of[fits])
+                        hit = has(bits, found)
+                        yield near[fits][hit], found[hit], edits, True
 
 
-def slots(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def slots(key: np.ndarray, second: bool = False) -> np.ndarray:
+    """Where one of a key's two bits stands."""
+    return ((key >> np.uint64(8 if second else 64 - FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
 
 
-def _distinct_lines(batch: pa.RecordBatch) -> Iterator[list[bytes]]:
-    said, seen = batch.column(1).to_pylist(), set()
-    for a, b in slices(said):
-        new = [x for x in dict.fromkeys(_lines(said[a:b])[2]) if x not in seen]
-        seen.update(new)
-        if new:
-            yield new
+def has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether a filter may hold each key."""
+    at = slots(key)
+    found = (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+    some = np.flatnonzero(found)
+    at = slots(key[some], True)
+    found[some] = bits[at >> 3] >> (at & 7).astype(np.uint8) & 1
+    return found
 
 
-def indexed_keys(docs: DataFrame) -> np.ndarray:
-    """A bit filter of the keys of all index records."""
-    each = FILTER_BITS - FILTER_PARTS.bit_length() + 1
+def _filter(parts: DataFrame, column: str) -> np.ndarray:
+    """The filter of stored (part, column: its share of the bits)."""
+    bits = np.zeros((FILTER_PARTS, 1 << (FILTER_BITS - FILTER_PARTS.bit_length() - 2)), np.uint8)
+    for r in parts.select("part", column).toLocalIterator():
+        bits[r["part"]] = np.frombuffer(r[column], np.uint8)
+    return bits.reshape(-1)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.unique(np.concatenate([slots(records(x)["key"]) for x in _distinct_lines(batch)] or [np.zeros(0, np.int64)]))
-            blobs = list(scatter(found >> each, found.astype("<u4")))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["part", "blob"])
+
+def _merged(slotted: DataFrame, name: str) -> DataFrame:
+    """(part, blob: slots, the highest bit for those that came twice) -> stored (part, once, twice): bits of slots that came,
+    and of those that came more than once."""
+    each = FILTER_BITS - FILTER_PARTS.bit_length() + 1
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in gathered(batches):
-            here = np.zeros(1 << each, np.uint8)
+            times = np.zeros(1 << each, np.uint8)
             for x in blobs:
-                here[np.frombuffer(x, "<u4").astype(np.int64) & ((1 << each) - 1)] = 1
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(here, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
-
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = texts(docs).mapInArrow(cut, "part int, blob binary").repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "part int, bits binary")
-    bits = np.zeros((FILTER_PARTS, 1 << (each - 3)), np.uint8)
-    for r in stored(found, "indexed").toLocalIterator():
-        bits[r["part"]] = np.frombuffer(r["bits"], np.uint8)
-    return bits.reshape(-1)
+                x = np.frombuffer(x, "<u4")
+                at = (x & np.uint32(0x7FFFFFFF)).astype(np.int64) & ((1 << each) - 1)
+                times[at] = np.minimum(times[at] + 1 + (x >> np.uint32(31)).astype(np.uint8), 2)
+            packed = [np.packbits(times >= n, bitorder="little").tobytes() for n in (1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array(packed[:1], pa.binary()), pa.array(packed[1:], pa.binary())], ["part", "once", "twice"])
+
+    parts = int(slotted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(slotted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "part int, once binary, twice binary"), name)
+
+
+def _slotted(keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
+    """(part, its slots) of keys, for _merged()."""
+    found, times = np.unique(np.concatenate(keys or [np.zeros(0, np.uint64)]), return_counts=True)
+    at = np.concatenate([slots(found), slots(found, True)])
+    order = np.argsort(at, kind="stable")
+    at, more = at[order], np.tile(times, 2)[order]
+    starts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else np.zeros(0, np.int64)
+    twice = np.add.reduceat(more, starts) > 1 if len(at) else np.zeros(0, bool)
+    each = FILTER_BITS - FILTER_PARTS.bit_length() + 1
+    return list(scatter(at[starts] >> each, (at[starts] | (twice.astype(np.int64) << 31)).astype("<u4")))
+
+
+def line_table(docs: DataFrame, limits: Limits) -> DataFrame:
+    """documents -> a row for each line: doc_id, name (of the row), line_no, one, two (the line's name); and rows of slots of
+    index keys: part, blob."""
+    rows = texts(docs).select("doc_id", row_name().alias("name"), "text")
+    kinds = [("doc_id", None), ("name", pa.int64()), ("line_no", pa.int32()), ("one", pa.int64()), ("two", pa.int64()), ("part", pa.int32()), ("blob", pa.binary())]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, held = _Fresh(), []
+        none = lambda kind, n: pa.nulls(n, kind or rows_type)
+
+        def bits() -> pa.RecordBatch:
+            blobs = _slotted(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([*(none(k, len(blobs)) for _, k in kinds[:5]), pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], [n for n, _ in kinds])
+
+        for batch in batches:
+            said, rows_type = batch.column(2).to_pylist(), batch.column(0).type
+            for a, b in slices(said, most_chars=RUN_CHARS):
+                doc, number, data = _lines(said[a:b], limits.min_bytes)
+                names, at = _names(data), pa.array(doc + a)
+                found = [batch.column(0).take(at), batch.column(1).take(at), pa.array(number), pa.array(names[:, 0]), pa.array(names[:, 1])]
+                yield pa.RecordBatch.from_arrays([*found, *(none(k, len(doc)) for _, k in kinds[5:])], [n for n, _ in kinds])
+                new = fresh.of(data, names)
+                held += [key for _, key, _, _ in keys_of(new, limits)] if new else []
+            if sum(map(len, held)) > GATHERED:
+                yield bits()
+        if held:
+            yield bits()
+
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, name long, line_no int, one long, two long, part int, blob binary")
+
+
+def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFrame:
+    """documents and the filter of index keys -> stored line, keys, edits, probe (arrays of a batch's records), and part, blob:
+    the slots of its probes."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter(indexed, "once"))
+    kind = pa.schema([("line", pa.binary()), ("key", pa.binary()), ("edits", pa.binary()), ("probe", pa.binary()), ("part", pa.int32()), ("blob", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh, probed = _Fresh(), []
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """Pairs of line names that share a segment and whose letter counts are near: a < b, as they come, several times."""
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = docs.sparkSession.sparkContext.broadcast(indexed_keys(docs))
+        def bits() -> pa.RecordBatch:
+            blobs = _slotted(probed)
+            probed.clear()
+            return pa.RecordBatch.from_arrays([*(pa.nulls(len(blobs), pa.binary()) for _ in range(4)), pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], schema=kind)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [records(x, bits.value) for x in _distinct_lines(batch)]
-            if held:
-                rows = np.concatenate(held)
-                blobs = list(scatter((rows["key"] % np.uint64(buckets)).astype(np.int64), rows))
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["bucket", "blob"])
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blobs in gathered(batches):
-            rows = np.concatenate([np.frombuffer(x, RECORD) for x in blobs])
-            rows = rows[np.lexsort((rows["line"], rows["probe"], rows["key"]))]
-            same = np.append(False, (rows["key"][1:] == rows["key"][:-1]) & (rows["line"][1:] == rows["line"][:-1]) & (rows["probe"][1:] == rows["probe"][:-1]))
-            rows = rows[~same]
-            starts = np.flatnonzero(np.append(True, rows["key"][1:] != rows["key"][:-1]))
-            stops = np.append(starts[1:], len(rows))
-            index = stops - starts - np.add.reduceat(rows["probe"].astype(np.int64), starts)
-            middle = starts + index
-            # an index record asks for the others of its key, as the probe that was left out would
-            probes = np.flatnonzero(np.repeat((stops - starts > 1) & (index > 0), stops - starts))
-            group = np.searchsorted(starts, probes, "right") - 1
-            many = index[group]
-            # a run of probes at a time, so that memory stays bounded however many lines share a segment
-            runs = np.searchsorted(np.cumsum(many), np.arange(0, int(many.sum()) + 1, 2_000_000))
-            for p, q in zip(runs.tolist(), [*runs[1:].tolist(), len(probes)]):
-                m = many[p:q]
-                if not m.sum():
+            said = batch.column(0).to_pylist()
+            for a, b in slices(said, most_chars=RUN_CHARS):
+                data = _lines(said[a:b], limits.min_bytes)[2]
+                new = fresh.of(data, _names(data))
+                if not new:
                     continue
-                left = np.repeat(probes[p:q], m)
-                right = np.repeat(starts[group[p:q]], m) + np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
-                a, b = rows["line"][left], rows["line"][right]
-                keep = a != b
-                left, right = left[keep], right[keep]
-                keep = counts_apart(rows["letters"][left], rows["letters"][right]) <= 2 * rows["edits"][left].astype(np.int64)
-                a, b = rows["line"][left[keep]].view(np.int64), rows["line"][right[keep]].view(np.int64)
-                pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-                if len(pairs):
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                lines, found = _names(new)[:, 0], list(keys_of(new, limits, shared.value))
+                probed += [key for _, key, _, probe in found if probe]
+                columns = [lines[np.concatenate([x[0] for x in found])], np.concatenate([x[1] for x in found]), *(np.repeat(np.array([x[c] for x in found], np.uint8), [len(x[0]) for x in found]) for c in (2, 3))]
+                yield pa.RecordBatch.from_arrays([*(pa.array([c.tobytes()], pa.binary()) for c in columns), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary())], schema=kind)
+            if sum(map(len, probed)) > GATHERED:
+                yield bits()
+        if probed:
+            yield bits()
+
+    with small_batches(docs.sparkSession):
+        found = stored(texts(docs).select("text").mapInArrow(run, "line binary, key binary, edits binary, probe binary, part int, blob binary"), "records")
+    shared.destroy()
+    return found
+
+
+def meeting_records(records: DataFrame, indexed: DataFrame) -> DataFrame:
+    """Records -> stored key, line, edits, index: those whose key another line may have too, each line once for a key."""
+    probed = _merged(records.filter("part is not null").select("part", "blob"), "probed")
+    shared = records.sparkSession.sparkContext.broadcast(_filter(indexed, "twice") | _filter(probed, "once"))
 
-    cut_up = texts(docs).mapInArrow(cut, "bucket int, blob binary")
-    return cut_up.repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(probe, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for line, key, edits, probe in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                line, key, edits, probe = np.frombuffer(line, "<i8"), np.frombuffer(key, "<u8"), np.frombuffer(edits, np.uint8), np.frombuffer(probe, np.uint8)
+                keep = np.flatnonzero((probe == 1) | has(shared.value, key))
+                yield pa.RecordBatch.from_arrays([pa.array(key[keep].view("<i8")), pa.array(line[keep]), pa.array(edits[keep].astype(np.int32)), pa.array(probe[keep] == 0)], ["key", "line", "edits", "index"])
+
+    found = records.filter("part is null").select("line", "key", "edits", "probe").mapInArrow(run, "key long, line long, edits int, index boolean")
+    found = stored(found.groupBy("key", "line").agg(F.first("edits").alias("edits"), F.max("index").alias("index")), "meeting")
+    shared.destroy()
+    many = found.groupBy("key").agg(F.count("*").alias("many"), F.max("index").alias("any")).filter("many > 1 and any").select("key", "many")
+    found, old = stored(found.join(many, "key"), "shared-keys"), found
+    forget(old, probed)
+    return found
+
+
+def line_texts(docs: DataFrame, limits: Limits, wanted: DataFrame) -> DataFrame:
+    """documents and wanted (line, at: doc_id, name, line_no of its first place) -> stored line, at, letters, text."""
+    small = F.broadcast if wanted.count() <= BROADCAST_ROWS else lambda df: df
+    few = wanted.select(F.col("at.name").alias("name"), F.col("at.line_no").alias("line_no"), "line")
+    rows = texts(docs).select(row_name().alias("name"), "text").join(small(few.select("name").distinct()), "name", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = batch.column(1).to_pylist()
+            for a, b in slices(said, most_chars=RUN_CHARS):
+                doc, number, data = _lines(said[a:b], limits.min_bytes)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + a)), pa.array(number), pa.array(_names(data)[:, 0]), pa.array(data, pa.binary())], ["name", "line_no", "line", "said"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said = [x.decode() for x in batch.column(1).to_pylist()]
+            raw = np.frombuffer("".join(said).encode("utf-32-le"), "<u4")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(letter_counts(raw, np.array([len(x) for x in said], np.int64)).view(np.int64)), pa.array(said, pa.string())], ["line", "letters", "text"])
+
+    found = rows.mapInArrow(run, "name long, line_no int, line long, said binary").join(small(few), ["name", "line_no", "line"], "left_semi").select("line", "said")
+    found = found.mapInArrow(count, "line long, letters long, text string")
+    with small_batches(docs.sparkSession):
+        return stored(found.dropDuplicates(["line"]).join(wanted, "line").select("line", "at", "letters", "text"), "line-texts")
+
+
+def near_pairs(pairs: DataFrame, known: DataFrame, limits: Limits) -> DataFrame:
+    """Pairs (line, other) -> stored line of those that are near enough, once each."""
+    both = pairs
+    for c in ("line", "other"):
+        both = both.join(known.select(F.col("line").alias(c), F.col("text").alias(f"{c}_text")), c)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (batch.column(c).to_pylist() for c in (1, 2))
+            edits = limits.allowed(np.array([min(len(x), len(y)) for x, y in zip(one, two)], np.int64))
+            for most in range(limits.least, limits.most + 1):
+                order = sorted(np.flatnonzero(edits == most).tolist(), key=lambda i: max(len(one[i]), len(two[i])))
+                while order:
+                    # as many as fit with the longest of them
+                    n = next((n for n in range(1, min(1024, len(order))) if (n + 1) * len(one[order[n]]) > COMPARED), min(1024, len(order)))
+                    some, order = order[:n], order[n:]
+                    ok = within([one[i] for i in some], [two[i] for i in some], most)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, good in zip(some, ok) if good], pa.int64()))], ["line"])
+
+    return stored(both.select("line", "line_text", "other_text").mapInArrow(verify, "line long").distinct(), "near")
 
 
 def within(one: list[bytes] | list[str], two: list[bytes] | list[str], most: int) -> np.ndarray:
@@ -275,65 +417,97 @@ def within(one: list[bytes] | list[str], two: list[bytes] | list[str], most: int
     return result & (final <= most)
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """documents -> doc_id, line_nos: the lines of which an earlier one (by doc_id, line number) is at most allowed() edits away.
-
-    Null ids come first. Rows with the same doc_id are taken for one place: of equal places none is earlier.
+def near_earlier(docs: DataFrame, limits: Limits, lines: DataFrame, indexed: DataFrame) -> DataFrame:
+    """lines (one, two, at: a place) -> line: those with a different earlier line near enough."""
+    records = record_table(docs, limits, indexed)
+    meeting = meeting_records(records, indexed)
+    forget(records)
+    met = stored(meeting.select("line").distinct(), "met")
+    wanted = stored(lines.select(F.col("one").alias("line"), "at").join(_few(met), "line").groupBy("line").agg(F.min("at").alias("at")), "wanted")
+    known = line_texts(docs, limits, wanted)
+    rows = stored(meeting.join(known.select("line", "at", "letters"), "line"), "asking")
+    forget(meeting, met, wanted)
+    gone = tested = None
+    for turn, (nearest, furthest, most) in enumerate(ASKED):
+        cell = F.pmod(F.xxhash64("line", F.lit(turn)), F.ceil(F.col("many") / CELL))
+        before = W.partitionBy("key", "cell").orderBy("at", "line").rowsBetween(-furthest, -nearest)
+        asked = rows.withColumn("cell", cell).withColumn("others", F.collect_list(F.struct(F.col("line").alias("other"), F.col("letters").alias("with"))).over(before))
+        asked = asked if gone is None else asked.join(gone, "line", "left_anti")
+        near = F.filter("others", lambda o: letters_apart(F.col("letters"), o["with"]) <= 2 * F.col("edits"))
+        asked = asked.select("line", F.transform(near, lambda o: o["other"]).alias("others")).filter(F.size("others") > 0)
+        listed = asked.groupBy("line").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
+        if tested is not None:
+            asked_before = tested.groupBy("line").agg(F.collect_set("other").alias("before"))
+            listed = listed.join(asked_before, "line", "left").select("line", F.array_except("others", F.coalesce("before", F.array().cast("array<bigint>"))).alias("others"))
+        pairs = listed.select("line", F.explode(F.slice("others", 1, most)).alias("other"))
+        pairs = stored(pairs, "pairs")
+        new = near_pairs(pairs, known, limits)
+        gone, tested = (new, pairs) if gone is None else (gone.unionByName(new), tested.unionByName(pairs))
+    # what has found none asks all earlier lines of its keys; a probe and a probe have no segment in common
+    u = rows.join(gone, "line", "left_anti").select("key", "line", "at", "letters", "edits", "index")
+    v = rows.select("key", *(F.col(c).alias(f"v_{c}") for c in ("line", "at", "letters", "index")))
+    meets = (F.col("v_at") < F.col("at")) & (F.col("index") | F.col("v_index")) & (letters_apart(F.col("letters"), F.col("v_letters")) <= 2 * F.col("edits"))
+    rest = u.join(v, "key").filter(meets).select("line", F.col("v_line").alias("other")).distinct()
+    rest = stored(rest.join(tested, ["line", "other"], "left_anti"), "pairs")
+    return gone.unionByName(near_pairs(rest, known, limits)).distinct()
+
+
+def removed_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """documents -> name (of a row), line_nos: the lines of which an earlier one is near enough.
+
+    Earlier is by doc_id (null first), then by a hash of doc_id and text, then by line number, whether or not the earlier line
+    is removed itself. Rows with equal or null ids are documents of their own; equal rows share a name.
     """
-    lines = line_table(docs)
-    firsts = lines.groupBy("one", "two").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.max(F.struct("doc_id", "line_no")).alias("final"))
-    firsts = stored(firsts, "lines")
-    often = firsts.filter("first <> final or not (first <=> final)").select("one", "two", "first")
-    copies = lines.join(often, ["one", "two"]).filter(~F.struct("doc_id", "line_no").eqNullSafe(F.col("first"))).select("doc_id", "line_no")
-
-    pairs = stored(candidates(docs).distinct(), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("one")).distinct()
-    wanted = stored(wanted.join(firsts, "one").select("one", "two", "first.doc_id", "first.line_no"), "wanted")
-    few = wanted.select("doc_id", "line_no", "one", "two")
-    few = F.broadcast(few) if wanted.count() <= BROADCAST_ROWS else few
-    found = line_table(docs, with_text=True).alias("x").join(few.alias("y"), F.expr("x.doc_id <=> y.doc_id and x.line_no = y.line_no and x.one = y.one and x.two = y.two")).select("x.one", "x.doc_id", "x.line_no", "x.line")
-    found = stored(found.dropDuplicates(["one", "doc_id", "line_no"]), "wanted-lines")
-    sides = [found.select(F.col("one").alias(n), F.struct("doc_id", "line_no").alias(f"{n}_at"), F.col("line").alias(f"{n}_line")) for n in "ab"]
-    both = pairs.join(sides[0], "a").join(sides[1], "b").select("a_line", "b_line", F.greatest("a_at", "b_at").alias("later"))
-    id_type = texts(docs).schema["doc_id"].dataType.simpleString()
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, two = ([x.decode() for x in batch.column(c).to_pylist()] for c in (0, 1))
-            edits = allowed(np.array([min(len(x), len(y)) for x, y in zip(one, two)], np.int64))
-            for most in range(EDITS, MOST + 1):
-                order = sorted(np.flatnonzero(edits == most).tolist(), key=lambda i: len(one[i]))
-                for p in range(0, len(order), 1024):
-                    some = order[p : p + 1024]
-                    ok = within([one[i] for i in some], [two[i] for i in some], most)
-                    hit = batch.column(2).take(pa.array([i for i, good in zip(some, ok) if good], pa.int64()))
-                    yield pa.RecordBatch.from_arrays([hit.field("doc_id"), hit.field("line_no")], ["doc_id", "line_no"])
-
-    alike = both.mapInArrow(verify, f"doc_id {id_type}, line_no int")
-    return copies.unionByName(alike).groupBy("doc_id").agg(F.collect_set("line_no").alias("line_nos"))
-
-
-def without_lines(docs: DataFrame) -> DataFrame:
-    """documents -> the same columns with text (the lines that are left, joined by newlines), and n_lines, n_removed.
-
-    A null text is one empty line. Lines of fewer than MIN_BYTES bytes without outer white space stay, as do first ones.
+    with small_batches(docs.sparkSession):
+        lines = stored(line_table(docs, limits), "lines")
+    indexed = _merged(lines.filter("part is not null").select("part", "blob"), "indexed")
+    lines = lines.filter("part is null").select(F.struct("doc_id", "name", "line_no").alias("at"), "one", "two")
+    near = stored(near_earlier(docs, limits, lines, indexed).select(F.col("line").alias("one"), F.lit(True).alias("near")), "near")
+    # a line goes at all its places if an earlier one is near, else at all but the first if it has several
+    several = lines.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1").select("one", "two")
+    several = stored(several.join(near, "one", "left_anti"), "several")
+    first = stored(lines.join(_few(several), ["one", "two"]).groupBy("one", "two").agg(F.min("at").alias("stays")), "firsts")
+    places = lines.join(_few(near), "one").select("at").unionByName(lines.join(_few(first), ["one", "two"]).filter(~F.col("at").eqNullSafe(F.col("stays"))).select("at"))
+    return places.groupBy("at.name").agg(F.collect_set("at.line_no").alias("line_nos"))
+
+
+def with_lines_left(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """documents -> row (all columns), left (the text's lines that stay, joined by newlines), n_lines, n_removed.
+
+    A null text is one empty line. Lines that are shorter than limits.min_bytes without outer white space stay, as do first
+    ones. Of repeated rows (doc_id and text) the first keeps its lines; the others lose all that are long enough. Columns may
+    have any names.
     """
-    gone = stored(removed_lines(docs), "removed").select(F.col("doc_id").alias("_of"), "line_nos")
-    rows = docs.withColumn("text", F.coalesce("text", F.lit(""))).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_of")), "left").drop("_of")
-    schema = docs.schema.fieldNames()
-
-    def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines, removed, kept = [], [], []
-            for text, out in zip(batch.column("text").to_pylist(), batch.column("line_nos").to_pylist()):
-                parts, out = text.split("\n"), set(out or ())
-                lines.append(len(parts))
-                removed.append(len(out))
-                kept.append("\n".join(x for k, x in enumerate(parts) if k not in out) if out else text)
-            columns = [pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in schema]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], [*schema, "n_lines", "n_removed"])
-
-    return rows.mapInArrow(rewrite, T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())]))
+    text = F.coalesce("text", F.lit(""))
+    gone = stored(removed_lines(docs.select("doc_id", "text"), limits), "removed")
+    twice = stored(docs.select(F.xxhash64("doc_id", text).alias("name"), text.alias("text")).filter(F.octet_length("text") >= limits.min_bytes).groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "twice")
+    rows = docs.select(F.struct("*").alias("row"), text.alias("said"), F.xxhash64("doc_id", text).alias("name"))
+    again = bool(twice.take(1))
+    if again:
+        gone = gone.join(twice.withColumn("twice", F.lit(True)), "name", "full_outer")
+    joined = rows.join(gone.hint("merge"), "name", "left")
+    touched = F.col("line_nos").isNotNull() | F.col("twice") if again else F.col("line_nos").isNotNull()
+    joined = joined.withColumn("parts", F.when(touched, F.split("said", "\n", -1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("line_nos"))
+    kept = F.when(F.col("line_nos").isNull(), F.col("said")).otherwise(F.array_join(F.transform(stay, lambda i: F.get("parts", i)), "\n"))
+    n_lines = F.length("said") - F.length(F.replace("said", F.lit("\n"), F.lit(""))) + 1
+    result = lambda df, left, removed: df.select("row", left.alias("left"), n_lines.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    removed = F.when(F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos"))
+    if not again:
+        return result(joined, kept, removed)
+    # repeated rows stand side by side already; only these are numbered
+    copies = joined.filter("twice").withColumn("nth", F.row_number().over(W.partitionBy("name").orderBy("name")))
+    short = F.filter("parts", lambda x: F.octet_length(F.btrim(x, F.lit(ENDS))) < limits.min_bytes)
+    parts = [result(joined.filter("twice is null"), kept, removed), result(copies.filter("nth = 1"), kept, removed), result(copies.filter("nth > 1"), F.array_join(short, "\n"), F.size("parts") - F.size(short))]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def without_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """documents -> the same columns with text (the lines that are left), and n_lines, n_removed; columns of these names are
+    replaced. See with_lines_left()."""
+    found = with_lines_left(docs, limits)
+    own = [F.col("left").alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return found.select(*own, "n_lines", "n_removed")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
