@@ -54,11 +54,12 @@ def scatter(bucket: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, byte
         yield int(bucket[a]), records[a:b].tobytes()
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """Batches of (bucket, blob) sorted by bucket -> each bucket with all its blobs."""
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
+    """Batches of (bucket, blob, ...) sorted by bucket -> each bucket with all its blobs (tuples when there are several)."""
     at, held = None, []
     for batch in batches:
-        for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        blobs = batch.column(1).to_pylist() if batch.num_columns == 2 else zip(*(c.to_pylist() for c in batch.columns[1:]))
+        for bucket, blob in zip(batch.column(0).to_pylist(), blobs):
             if held and bucket != at:
                 yield at, held
                 held = []

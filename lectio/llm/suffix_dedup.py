@@ -6,28 +6,42 @@ occur twice. Tasks sort their suffixes into runs, front-code them (length of the
 the rest) and exchange them by head; a loser tree merges the runs and never compares a prefix that is known to be equal.
 In the sorted order the strings of an anchor that occur again are those with a long enough common prefix on the right and
 the same bytes on the left.
+
+Suffixes of different heads need no comparison, so runs are dealt by a hash of the head, not by ranges of one global order:
+each task sorts its share of the heads. Copies within a batch settle each other, so that of a passage which many documents
+hold a batch sends one suffix. A head that many different suffixes share is dealt in PARTS by longer substrings of the
+strings in question, which include what stands beside the passage.
 """
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.llm.common import stored, table, texts
+from lectio.llm.common import forget, row_name, stored, table, texts
 from lectio.llm.hashing import _BYTES, _INVERSE, _ODD, gathered, mix, powers, scatter
 from lectio.llm.pieces import slices
 
-SPAN, HEAD = 200, 64
+SPAN, HEAD = 200, 32
 #: Starts of a string relative to its anchor: 0 ... REACH - 1 bytes before it.
 REACH = SPAN - HEAD + 1
 #: Bits of the filter of heads that occur twice, the bound on what is broadcast. A fuller filter passes more; it loses none.
 FILTER_BITS = 27
-_HEAD_POWER = np.uint64(pow(0x9E3779B97F4A7C15, HEAD, 1 << 64))
+#: A head with more anchors than this share of a mean bucket, and at least HOT_LEAST, is dealt in so many parts.
+HOT_SHARE, HOT_LEAST, PARTS = 0.25, 64, 4
+#: Characters whose anchors are found at once, and suffixes that a task holds before it sends them: bounds of memory alone.
+RUN_CHARS, HELD = 500_000, 120_000
+#: How hard runs are compressed before they travel.
+LEVEL = 5
+#: Suffixes of a bucket on average, from which the number of buckets follows.
+BUCKET_ROWS = 20_000
 _POWERS: dict[str, np.ndarray] = {"up": np.zeros(0, np.uint64), "down": np.zeros(0, np.uint64)}
 
 
@@ -72,35 +86,51 @@ def anchors(raw: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     said = batch.column(1).to_pylist()
-    for a, b in slices(said, 2000, 2_000_000):
+    for a, b in slices(said, 2000, RUN_CHARS):
         data = [x.encode() for x in said[a:b]]
         yield a, b, np.frombuffer(b"".join(data), np.uint8), np.array([len(x) for x in data], np.int64)
 
 
-def repeated_heads(docs: DataFrame) -> np.ndarray:
-    """A bit filter of the heads that occur at two anchors or more, counted over all documents."""
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def repeated_heads(docs: DataFrame, hot_least: int = HOT_LEAST) -> tuple[np.ndarray, np.ndarray, int]:
+    """(a bit filter of the heads that occur at two anchors or more, the sorted heads with the most anchors, buckets).
+
+    Counted over all documents. There are as many buckets as the suffixes of repeated heads need, and so many frequent heads
+    at most as a bucket can hold of them, times the buckets.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = 4 * parts
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             heads, counts = np.unique(np.concatenate([anchors(raw, sizes)[0] for _, _, raw, sizes in _runs(batch)] or [np.zeros(0, np.uint64)]), return_counts=True)
-            # twice if here more than once: nothing else matters
-            heads = np.repeat(heads, np.minimum(counts, 2))
-            blobs = list(scatter((heads >> np.uint64(32)).astype(np.int64) * buckets >> 32, heads))
+            record = np.zeros(len(heads), [("head", "<u8"), ("count", "<u4")])
+            record["head"], record["count"] = heads, counts
+            blobs = list(scatter((heads >> np.uint64(32)).astype(np.int64) * shares >> 32, record))
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in blobs], pa.int32()), pa.array([x for _, x in blobs], pa.binary())], ["bucket", "blob"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, blobs in gathered(batches):
-            heads, counts = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in blobs]), return_counts=True)
-            slots = np.unique((heads[counts > 1] >> np.uint64(64 - FILTER_BITS)).astype(np.uint32))
-            yield pa.RecordBatch.from_arrays([pa.array([slots.tobytes()], pa.binary())], ["slots"])
-
-    found = texts(docs).mapInArrow(count, "bucket int, blob binary").repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "slots binary")
-    bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    for r in stored(found, "heads").toLocalIterator():
-        slots = np.frombuffer(r["slots"], np.uint32)
-        np.bitwise_or.at(bits, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
-    return bits
+            rows = np.concatenate([np.frombuffer(x, [("head", "<u8"), ("count", "<u4")]) for x in blobs])
+            rows = rows[np.argsort(rows["head"], kind="stable")]
+            starts = np.flatnonzero(np.append(True, np.diff(rows["head"]) != 0))
+            heads, counts = rows["head"][starts], np.add.reduceat(rows["count"].astype(np.int64), starts)
+            found = np.unique((heads[counts > 1] >> np.uint64(64 - FILTER_BITS)).astype(np.uint32))
+            often = counts >= hot_least
+            yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary()), pa.array([int(counts[counts > 1].sum())], pa.int64()), pa.array([heads[often].tobytes()], pa.binary()), pa.array([counts[often].tobytes()], pa.binary())], ["slots", "rows", "heads", "counts"])
+
+    found = texts(docs).mapInArrow(count, "bucket int, blob binary").repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "slots binary, rows long, heads binary, counts binary")
+    found = stored(found, "heads")
+    total = found.agg(F.sum("rows")).first()[0] or 0
+    buckets = max(shares, -(-total // BUCKET_ROWS))
+    least = max(hot_least, int(HOT_SHARE * total / buckets))
+    bits, hot = np.zeros(1 << (FILTER_BITS - 3), np.uint8), [np.zeros(0, np.uint64)]
+    for r in found.select("slots").toLocalIterator():
+        at = np.frombuffer(r["slots"], np.uint32)
+        np.bitwise_or.at(bits, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    for r in found.select("heads", "counts").toLocalIterator():
+        hot.append(np.frombuffer(r["heads"], np.uint64)[np.frombuffer(r["counts"], np.int64) >= least])
+    forget(found)
+    return bits, np.sort(np.concatenate(hot)), buckets
 
 
 def common(x: bytes, y: bytes, known: int) -> int:
@@ -183,35 +213,52 @@ def merge_runs(runs: list[Iterator[tuple[int, bytes]]]) -> Iterator[tuple[int, b
             node //= 2
 
 
-def pack_run(left: list[bytes], right: list[bytes], nearest: np.ndarray, furthest: np.ndarray, places: np.ndarray, ids: np.ndarray) -> bytes:
-    """A sorted, front-coded run. Equal (left, right) are one suffix with several places.
+def pack_run(left: list[bytes], right: list[bytes], nearest: np.ndarray, furthest: np.ndarray, places: np.ndarray, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """(a sorted, front-coded run, the rows that settle each other).
 
-    left: the bytes before the anchor; right: from it on; nearest, furthest: the starts, in bytes before the anchor.
+    left: the bytes before the anchor; right: from it on; nearest, furthest: the starts, in bytes before the anchor. Rows with
+    equal (left, right, nearest, furthest) are one suffix; when there are several, all their strings occur again, and the
+    suffix is sent without a place.
     """
-    order = sorted(range(len(right)), key=lambda i: (right[i], left[i]))
+    order = sorted(range(len(right)), key=lambda i: (right[i], left[i], nearest[i], furthest[i]))
     keys, owner = [], np.zeros(len(order), np.int64)
     for rank, i in enumerate(order):
-        if not keys or (right[i], left[i]) != (right[keys[-1]], left[keys[-1]]):
+        if not keys or (right[i], left[i], nearest[i], furthest[i]) != (right[keys[-1]], left[keys[-1]], nearest[keys[-1]], furthest[keys[-1]]):
             keys.append(i)
         owner[rank] = len(keys) - 1
     sizes, rest = front_code([right[i] for i in keys])
     lefts = b"".join(left[i] for i in keys)
     info = np.array([[len(left[i]), nearest[i], furthest[i]] for i in keys], "<u2").reshape(-1, 3)
-    where = np.stack([ids[order], places[order]], 1).astype("<i8")
-    many = np.bincount(owner, minlength=len(keys)).astype("<u4")
-    head = np.array([len(keys), len(order), len(rest), len(lefts)], "<u4")
-    return b"".join([head.tobytes(), sizes.tobytes(), info.tobytes(), many.tobytes(), where.tobytes(), zlib.compress(rest + lefts, 1)])
+    many = np.bincount(owner, minlength=len(keys))
+    order = np.array(order, np.int64)
+    alone = many[owner] == 1
+    where = np.stack([ids[order[alone]], places[order[alone]]], 1).astype("<i8")
+    head = np.array([len(keys), len(where), len(rest), len(lefts)], "<u4")
+    body = b"".join([sizes.tobytes(), info.tobytes(), np.minimum(many, 2).astype("<u1").tobytes(), where[:, 0].tobytes(), where[:, 1].tobytes(), rest, lefts])
+    return head.tobytes() + zstandard.compress(body, LEVEL), order[~alone]
 
 
 def unpack_run(blob: bytes) -> dict:
     keys, rows, rest, lefts = np.frombuffer(blob, "<u4", 4).tolist()
-    out, at = {}, 16
-    for name, kind, shape in (("sizes", "<u2", (keys, 2)), ("info", "<u2", (keys, 3)), ("many", "<u4", (keys,)), ("where", "<i8", (rows, 2))):
+    said, out, at = zstandard.decompress(blob[16:]), {}, 0
+    for name, kind, shape in (("sizes", "<u2", (keys, 2)), ("info", "<u2", (keys, 3)), ("many", "<u1", (keys,)), ("where", "<i8", (2, rows))):
         n = int(np.prod(shape))
-        out[name] = np.frombuffer(blob, kind, n, at).reshape(shape)
+        out[name] = np.frombuffer(said, kind, n, at).reshape(shape)
         at += n * np.dtype(kind).itemsize
-    said = zlib.decompress(blob[at:])
-    return out | {"rest": said[:rest], "lefts": said[rest:]}
+    return out | {"where": out["where"].T, "rest": said[at : at + rest], "lefts": said[at + rest :]}
+
+
+def parted(row: tuple) -> Iterator[tuple]:
+    """A suffix (head, left, right, nearest, furthest, place, name) -> it in PARTS by starts, each with a head of its own: a
+    hash of the bytes that all strings of that part have in common, which are many more than those of the head."""
+    head, left, right, nearest, furthest, place, name = row
+    step = -(-REACH // PARTS)
+    for low in range(nearest // step * step, furthest + 1, step):
+        a, b = max(low, nearest), min(low + step - 1, furthest)
+        # by the part's own bounds, whatever the row's: strings of several rows meet
+        core = left[max(0, len(left) - low) :] + right[: SPAN - (low + step - 1)]
+        key = int.from_bytes(hashlib.blake2b(core, digest_size=8, key=low.to_bytes(2, "little")).digest(), "little")
+        yield key, left[len(left) - b :], right[: SPAN - a], a, b, place, name
 
 
 def repeated_starts(shared: np.ndarray, left: list[bytes], nearest: np.ndarray, furthest: np.ndarray, many: np.ndarray) -> np.ndarray:
@@ -252,32 +299,72 @@ def spans_of(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, first, np.nonzero(change == -1)[1] - 1
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
+def _joined(name: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each name, those that touch or overlap as one."""
+    order = np.lexsort((start, name))
+    name, start, stop = name[order], start[order], stop[order]
+    if not len(name):
+        return name, start, stop
+    fresh = np.append(True, name[1:] != name[:-1])
+    group = np.cumsum(fresh)
+    # ends so far within a name: spans of later names are shifted beyond those of earlier ones
+    shift = group * (int(stop.max()) + 1)
+    reach = np.maximum.accumulate(stop + shift)
+    new = np.append(True, (start + shift)[1:] > reach[:-1])
+    begins = np.flatnonzero(new)
+    ends = np.append(begins[1:], len(name)) - 1
+    return name[begins], start[begins], (reach - shift)[ends]
+
+
+def repeated_spans(docs: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
     """documents -> name (a hash of doc_id and text), start, stop: bytes that are covered, in pieces that may overlap."""
-    shared = docs.sparkSession.sparkContext.broadcast(repeated_heads(docs))
-    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits, hot, buckets = repeated_heads(docs, hot_least)
+    shared = docs.sparkSession.sparkContext.broadcast((bits, hot))
+    del bits, hot
+
+    def packed(held: list[tuple], salt: int) -> pa.RecordBatch:
+        """Suffixes by bucket, and the spans of those that settle each other, which go along to any bucket."""
+        heads = np.array([x[0] for x in held], np.uint64)
+        out, settled = [], []
+        for bucket, blob in scatter((heads % np.uint64(buckets)).astype(np.int64), np.arange(len(held), dtype=np.int64)):
+            rows = [held[i] for i in np.frombuffer(blob, np.int64).tolist()]
+            numbers = np.array([x[3:7] for x in rows], np.int64).T
+            run, twice = pack_run([x[1] for x in rows], [x[2] for x in rows], numbers[0], numbers[1], numbers[2], numbers[3])
+            out.append((bucket, run, None))
+            settled.append(np.stack([numbers[3], numbers[2] - numbers[1], numbers[2] - numbers[0] + SPAN], 1)[twice])
+        done = np.stack(_joined(*np.concatenate(settled).T), 1)
+        if len(done):
+            out.append(((salt * 7919 + len(held)) % buckets, None, done.astype("<i8").tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _, _ in out], pa.int32()), pa.array([x for _, x, _ in out], pa.binary()), pa.array([x for _, _, x in out], pa.binary())], ["bucket", "run", "done"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
+        bits, hot = shared.value
+        task, held = TaskContext.get().partitionId(), []
         for batch in batches:
-            names, held = batch.column(0).to_numpy(zero_copy_only=False), []
+            names = batch.column(0).to_numpy(zero_copy_only=False)
             for a, b, raw, sizes in _runs(batch):
                 heads, at, first, last = anchors(raw, sizes)
                 slot = (heads >> np.uint64(64 - FILTER_BITS)).astype(np.uint32)
                 keep = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
                 data, ends = raw.tobytes(), np.cumsum(sizes)
                 doc = np.searchsorted(ends, at[keep], "right")
-                for head, p, s, e, i, begin in zip(heads[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), doc.tolist(), (ends - sizes)[doc].tolist()):
-                    held.append((head, data[s:p], data[p : e + SPAN], p - e, p - s, p - begin, names[a + i]))
-            if not held:
-                continue
-            heads = np.array([x[0] for x in held], np.uint64)
-            out = []
-            for bucket, blob in scatter((heads % np.uint64(buckets)).astype(np.int64), np.arange(len(held), dtype=np.int64)):
-                rows = [held[i] for i in np.frombuffer(blob, np.int64).tolist()]
-                numbers = np.array([x[3:7] for x in rows], np.int64).T
-                out.append((bucket, pack_run([x[1] for x in rows], [x[2] for x in rows], numbers[0], numbers[1], numbers[2], numbers[3])))
-            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["bucket", "blob"])
+                often = np.zeros(len(keep), bool)
+                if len(hot):
+                    often = hot[np.minimum(np.searchsorted(hot, heads[keep]), len(hot) - 1)] == heads[keep]
+                for head, p, s, e, i, begin, many in zip(heads[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), doc.tolist(), (ends - sizes)[doc].tolist(), often.tolist()):
+                    row = (head, data[s:p], data[p : e + SPAN], p - e, p - s, p - begin, names[a + i])
+                    if many:
+                        held += parted(row)
+                    else:
+                        held.append(row)
+                if len(held) > HELD:
+                    yield packed(held, task)
+                    held = []
+        if held:
+            yield packed(held, task)
+
+    def spans(name: np.ndarray, start: np.ndarray, stop: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in _joined(name, start, stop)], ["name", "start", "stop"])
 
     def settle(rows: list, runs: list[dict]) -> pa.RecordBatch | None:
         """Rows (shared, run, number in the run) with a common head -> their repeated spans."""
@@ -290,14 +377,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         where = [runs[rows[i][1]]["where"][runs[rows[i][1]]["where_at"][rows[i][2]] : runs[rows[i][1]]["where_at"][rows[i][2] + 1]] for i in row.tolist()]
         times = np.array([len(x) for x in where])
         where = np.concatenate(where)
-        return pa.RecordBatch.from_arrays([pa.array(where[:, 0]), pa.array(where[:, 1] - np.repeat(last, times)), pa.array(where[:, 1] - np.repeat(first, times) + SPAN)], ["name", "start", "stop"])
+        return spans(where[:, 0], where[:, 1] - np.repeat(last, times), where[:, 1] - np.repeat(first, times) + SPAN) if len(where) else None
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, blobs in gathered(batches):
-            runs = [unpack_run(x) for x in blobs]
+        for bucket, blobs in gathered(batches):
+            for x in blobs:
+                if x[1] is not None:
+                    yield spans(*np.frombuffer(x[1], "<i8").reshape(-1, 3).T)
+            runs = [unpack_run(x[0]) for x in blobs if x[0] is not None]
             for r in runs:
                 r["left_at"] = np.append(0, np.cumsum(r["info"][:, 0], dtype=np.int64))
-                r["where_at"] = np.append(0, np.cumsum(r["many"], dtype=np.int64))
+                r["where_at"] = np.append(0, np.cumsum(r["many"] == 1, dtype=np.int64))
             count, rows = [0] * len(runs), []
             for k, _, run in merge_runs([decode_run(r["sizes"], r["rest"]) for r in runs]):
                 if k < HEAD and len(rows) >= 20_000:  # between heads only
@@ -309,18 +399,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             if rows and (done := settle(rows, runs)) is not None:
                 yield done
 
-    rows = texts(docs).select(F.xxhash64("doc_id", "text").alias("name"), "text")
-    return rows.mapInArrow(cut, "bucket int, blob binary").repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(sort, "name long, start long, stop long")
+    rows = texts(docs).select(row_name().alias("name"), "text")
+    cuts = rows.mapInArrow(cut, "bucket int, run binary, done binary")
+    found = stored(cuts.repartition(-(-buckets // 4), "bucket").sortWithinPartitions("bucket").mapInArrow(sort, "name long, start long, stop long"), "spans")
+    shared.destroy()
+    return found
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
     """documents -> doc_id, n_bytes, spans (array of start, stop: the maximal removed runs of bytes), kept (binary).
 
     A null text is empty. Matches never cross documents; rows are documents of their own, also with equal or null ids, so of
     repeated rows of SPAN bytes or more nothing is left. What is left of a text may begin or end inside a character.
     """
-    spans = stored(repeated_spans(docs).distinct(), "spans").groupBy("name").agg(F.collect_list(F.struct("start", "stop")).alias("pieces"))
-    rows = texts(docs).withColumn("name", F.xxhash64("doc_id", "text")).join(spans.hint("merge"), "name", "left").select("doc_id", "text", "pieces")
+    spans = repeated_spans(docs, hot_least).distinct().groupBy("name").agg(F.collect_list(F.struct("start", "stop")).alias("pieces"))
+    rows = texts(docs).withColumn("name", row_name()).join(spans.hint("merge"), "name", "left").select("doc_id", "text", "pieces")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
