@@ -45,7 +45,7 @@ class Limits:
 
 #: Bits of the filters of keys, the bound on what is broadcast; each key has two. A fuller filter passes more records; it
 #: loses none.
-FILTER_BITS, FILTER_PARTS = 28, 256
+FILTER_BITS, FILTER_PARTS = 27, 256
 #: Of each of the first rounds: the lines before it, in the order of a key, that a line may ask, and how many of all its keys
 #: it asks. Lines of a key that are put in order at once. What is left out here is asked in the end.
 ASKED, CELL = [(1, 2, 2), (1, 8, 4)], 4096
@@ -189,11 +189,12 @@ def has(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
     return found
 
 
-def _filter(parts: DataFrame, column: str) -> np.ndarray:
-    """The filter of stored (part, column: its share of the bits)."""
+def _filter(*sources: tuple[DataFrame, str]) -> np.ndarray:
+    """The filter of stored (part, a column with its share of the bits): bits that any of the sources has."""
     bits = np.zeros((FILTER_PARTS, 1 << (FILTER_BITS - FILTER_PARTS.bit_length() - 2)), np.uint8)
-    for r in parts.select("part", column).toLocalIterator():
-        bits[r["part"]] = np.frombuffer(r[column], np.uint8)
+    for parts, column in sources:
+        for r in parts.select("part", column).toLocalIterator():
+            bits[r["part"]] |= np.frombuffer(r[column], np.uint8)
     return bits.reshape(-1)
 
 
@@ -263,7 +264,7 @@ def line_table(docs: DataFrame, limits: Limits) -> DataFrame:
 def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFrame:
     """documents and the filter of index keys -> stored line, keys, edits, probe (arrays of a batch's records), and part, blob:
     the slots of its probes."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter(indexed, "once"))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter((indexed, "once")))
     kind = pa.schema([("line", pa.binary()), ("key", pa.binary()), ("edits", pa.binary()), ("probe", pa.binary()), ("part", pa.int32()), ("blob", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +300,7 @@ def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFra
 def meeting_records(records: DataFrame, indexed: DataFrame) -> DataFrame:
     """Records -> stored key, line, edits, index: those whose key another line may have too, each line once for a key."""
     probed = _merged(records.filter("part is not null").select("part", "blob"), "probed")
-    shared = records.sparkSession.sparkContext.broadcast(_filter(indexed, "twice") | _filter(probed, "once"))
+    shared = records.sparkSession.sparkContext.broadcast(_filter((indexed, "twice"), (probed, "once")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
