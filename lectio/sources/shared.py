@@ -45,3 +45,11 @@ def forget(*tables: DataFrame) -> None:
         for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; an error if the target exists, so of two writers one succeeds."""
+    source, target = spark._jvm.org.apache.hadoop.fs.Path(source), spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(target) or not files.rename(source, target):
+        raise ValueError(f"{target} cannot be published: it exists, or the rename failed")
