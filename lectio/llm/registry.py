@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, suffix_dedup, syncmers, token_store, url_reputation
+from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, suffix_dedup, syncmers, token_store, url_reputation, warc
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_warc": warc.op11_warc,
 }
 ORACLES = {
     "op2_url_filters": url_reputation.OP2_SQL,
     "op5_decontamination": decontaminate.OP5_SQL,
     "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
+    "op11_warc": warc.OP11_SQL,
 }
