@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, quality, suffix_dedup, syncmers, token_store, url_reputation, warc
+from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, merkle, quality, suffix_dedup, syncmers, token_store, url_reputation, warc
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_chat_formatting": chat.op9_chat_formatting,
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_warc": warc.op11_warc,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
 }
 ORACLES = {
     "op2_url_filters": url_reputation.OP2_SQL,
@@ -23,4 +24,5 @@ ORACLES = {
     "op6_ngram_jaccard": jaccard.OP6_SQL,
     "op9_chat_formatting": chat.OP9_SQL,
     "op11_warc": warc.OP11_SQL,
+    "op12_merkle_manifest": merkle.OP12_SQL,
 }
