@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lectio.llm import bpe, chat, decontaminate, jaccard, line_dedup, merkle, quality, suffix_dedup, syncmers, token_store, url_reputation, warc
+from lectio.llm import bpe, chat, decontaminate, importance, jaccard, line_dedup, merkle, quality, suffix_dedup, syncmers, token_store, url_reputation, warc
 
 QUERIES = {
     "op1_syncmer_fingerprints": syncmers.op1_syncmer_fingerprints,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_warc": warc.op11_warc,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_importance": importance.op13_importance,
 }
 ORACLES = {
     "op2_url_filters": url_reputation.OP2_SQL,
@@ -25,4 +26,5 @@ ORACLES = {
     "op9_chat_formatting": chat.OP9_SQL,
     "op11_warc": warc.OP11_SQL,
     "op12_merkle_manifest": merkle.OP12_SQL,
+    "op13_importance": importance.OP13_SQL,
 }
