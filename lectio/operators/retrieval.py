@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectio.functions.text import tokens
+from lectio.sources.shared import stored
 
 TOP_K, RRF_K = 40, 60
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -29,17 +30,32 @@ def words(df: DataFrame, key: str, lemmas: DataFrame | None = None, pattern: str
     return found.join(named, "term", "left").select(key, F.coalesce("lemma", "term").alias("term"))
 
 
+def term_counts(chunks: DataFrame, *others: str) -> DataFrame:
+    """chunk_id, text (null: no words) -> chunk_id, the others, length, counted: an array of (term, tf), in order of terms.
+
+    A chunk's words are sorted and cut where the word changes, inside its row: nothing is exchanged.
+    """
+    rows = chunks.select("chunk_id", *others, F.sort_array(tokens(F.coalesce("text", F.lit("")))).alias("_said"))
+    n = F.size("_said")
+    rows = rows.withColumn("_first", F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i < n) & ((i == 0) | (F.get("_said", i) != F.get("_said", i - 1)))))
+    ends = F.concat(F.slice("_first", 2, F.greatest(F.size("_first"), F.lit(1))), F.array(n))
+    one = F.when(n > 0, F.zip_with("_first", ends, lambda a, b: F.struct(F.get("_said", a).alias("term"), (b - a).cast("long").alias("tf"))))
+    return rows.select("chunk_id", *others, n.cast("long").alias("length"), F.coalesce(one, F.array().cast("array<struct<term:string,tf:bigint>>")).alias("counted"))
+
+
 def postings(chunks: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     """chunk_id, term, tf, length: to be stored once, whatever the number of questions.
 
-    A chunk's terms are counted in the task that reads it; lemmas do not change its length.
+    A chunk's terms are counted in its row; lemmas (word, lemma), which may make one term of several, are met by an exchange of
+    the counts. They do not change a chunk's length.
     """
-    found = chunks.select("chunk_id", tokens(F.col("text")).alias("said"))
-    found = found.select("chunk_id", F.size("said").cast("long").alias("length"), F.explode("said").alias("term"))
-    if lemmas is not None:
-        named = lemmas.select(F.col("word").alias("term"), "lemma").dropDuplicates(["term"])
-        found = found.join(named, "term", "left").select("chunk_id", "length", F.coalesce("lemma", "term").alias("term"))
-    return found.groupBy("chunk_id", "length", "term").agg(F.count("*").alias("tf")).select("chunk_id", "term", "tf", "length")
+    # outer: else a filter on the size of ``counted`` would be pushed down to the text, which does the counting for each word again
+    found = term_counts(chunks).select("chunk_id", "length", F.explode_outer("counted").alias("c")).filter("c is not null").select("chunk_id", "length", "c.term", "c.tf")
+    if lemmas is None:
+        return found.select("chunk_id", "term", "tf", "length")
+    named = lemmas.select(F.col("word").alias("term"), "lemma").dropDuplicates(["term"])
+    found = found.join(named, "term", "left").select("chunk_id", "length", F.coalesce("lemma", "term").alias("term"), "tf")
+    return found.groupBy("chunk_id", "length", "term").agg(F.sum("tf").alias("tf")).select("chunk_id", "term", "tf", "length")
 
 
 def corpus_size(chunks: DataFrame, posted: DataFrame) -> tuple[int, float]:
@@ -49,8 +65,13 @@ def corpus_size(chunks: DataFrame, posted: DataFrame) -> tuple[int, float]:
 
 
 def term_weights(posted: DataFrame, n: int) -> DataFrame:
-    """term, df, idf; a negative idf becomes EPSILON times the mean over all terms."""
-    counted = posted.groupBy("term").agg(F.count("*").alias("df"))
+    """term, df, idf; a negative idf becomes EPSILON times the mean over all terms. The counts are written once, as the mean is
+    worked out from all of them first."""
+    return weights_of(stored(posted.groupBy("term").agg(F.count("*").alias("df")), "terms"), n)
+
+
+def weights_of(counted: DataFrame, n: int) -> DataFrame:
+    """(term, df) of n chunks -> term, df, idf."""
     counted = counted.withColumn("raw", F.log(n - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
     mean = counted.agg(F.avg("raw")).first()[0] or 0.0
     return counted.select("term", "df", F.when(F.col("raw") < 0, EPSILON * mean).otherwise(F.col("raw")).alias("idf"))
@@ -123,10 +144,21 @@ def fused(dense_ranks: DataFrame, bm25_ranks: DataFrame, top_k: int | None = TOP
     return both.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= (top_k or TOP_K))
 
 
-def with_neighbours(chunks: DataFrame, neighbours: int = 1) -> DataFrame:
-    """chunk_id, context: the text between up to ``neighbours`` chunks of the same recording on each side."""
-    span = W.partitionBy("video_id").orderBy("chunk_no").rowsBetween(-neighbours, neighbours)
-    return chunks.select("chunk_id", F.array_join(F.collect_list("text").over(span), " ").alias("context"))
+def with_neighbours(chunks: DataFrame, neighbours: int = 1, wanted: DataFrame | None = None) -> DataFrame:
+    """chunk_id, context: the text between up to ``neighbours`` chunks of the same recording on each side.
+
+    wanted (chunk_id): only these have one. Then the texts that are needed are looked up, and no other text moves: chunk numbers
+    of a recording have no gaps, so those of the neighbours are known.
+    """
+    if wanted is None:
+        span = W.partitionBy("video_id").orderBy("chunk_no").rowsBetween(-neighbours, neighbours)
+        return chunks.select("chunk_id", F.array_join(F.collect_list("text").over(span), " ").alias("context"))
+    near = F.explode(F.sequence(F.col("chunk_no") - neighbours, F.col("chunk_no") + neighbours))
+    own = chunks.select("chunk_id", "video_id", "chunk_no").join(wanted.select("chunk_id").distinct(), "chunk_id", "left_semi")
+    asked = own.select("chunk_id", "video_id", near.alias("chunk_no"))
+    told = chunks.select("video_id", "chunk_no", "text").join(asked, ["video_id", "chunk_no"])
+    said = told.groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("chunk_no", "text"))).alias("said"))
+    return said.select("chunk_id", F.array_join(F.transform("said", lambda x: x["text"]), " ").alias("context"))
 
 
 def candidate_report(candidates: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from lectio.functions import text as fn
-from lectio.operators import planning, replies, reports, retrieval, transcripts
+from lectio.operators import planning, replies, reports, retrieval, search, transcripts
 from lectio.plans import tables as t
 from lectio.plans.tables import form, using
 from lectio.sources import artifacts
@@ -205,10 +205,7 @@ fur AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(sco
 
 
 def _bm25(spark, d):
-    chunks = t.chunks(spark, d)
-    posted = stored(retrieval.postings(chunks), "postings")
-    n, average = retrieval.corpus_size(chunks, posted)
-    return retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average))
+    return retrieval.ranked(search.best_matches(t.questions(spark, d), search.indexed(t.chunks(spark, d))))
 
 
 def _vectors(spark, d):
@@ -245,6 +242,15 @@ def d4_d6_bm25(spark, d):
     return _bm25(spark, d).withColumn("score", F.round("score", 6))
 
 
+@query(using("chunk") + BM25 + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM bmr")
+def d4_joined_postings(spark, d):
+    """The same by a join of all postings, as for questions that are too many to be sent to the segments."""
+    chunks = t.chunks(spark, d)
+    posted = stored(retrieval.postings(chunks), "postings")
+    n, average = retrieval.corpus_size(chunks, posted)
+    return retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average)).withColumn("score", F.round("score", 6))
+
+
 @query("WITH x AS (SELECT 1)" + DENSE + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM dsr")
 def d5_dense(spark, d):
     return _dense(spark, d).withColumn("score", F.round("score", 6))
@@ -283,10 +289,8 @@ W2 += f", chunk AS (SELECT {NAMED} AS chunk_id, text, string_agg(text, ' ') OVER
 def w2_bm25_candidates(spark, d):
     """Documents to clean segments, windows, BM25 ranks and context: the flagship."""
     chunks = stored(transcripts.windows(transcripts.clean(t.segments(spark, d))), "windows")
-    posted = stored(retrieval.postings(chunks), "postings")
-    n, average = retrieval.corpus_size(chunks, posted)
-    best = retrieval.ranked(retrieval.bm25(t.questions(spark, d), posted, retrieval.term_weights(posted, n), n, average), pool=retrieval.TOP_K)
-    return best.join(retrieval.with_neighbours(chunks), "chunk_id").select("question_id", "rank", "chunk_id", F.round("score", 6).alias("score"), "context")
+    best = stored(retrieval.ranked(search.best_matches(t.questions(spark, d), search.indexed(chunks), retrieval.TOP_K), pool=retrieval.TOP_K), "candidates")
+    return best.join(retrieval.with_neighbours(chunks, wanted=best), "chunk_id").select("question_id", "rank", "chunk_id", F.round("score", 6).alias("score"), "context")
 
 
 # planning
