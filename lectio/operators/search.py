@@ -1,8 +1,8 @@
 """A BM25 index in segments, and the best matches from it, exact, without most of the long lists.
 
 A segment holds the postings of some thousand chunks as one row: the chunks in order of length; the terms in order, each with
-the places and counts of its chunks. Of a term that is frequent in it there are also the peaks, the largest count in each run of
-four chunks. What a term adds to a score falls with the length, so a peak and the shortest length of its run bound it, whatever
+the places and counts of its chunks. Of a term that is frequent in it there are also the peaks, the largest count in each pair
+of chunks. What a term adds to a score falls with the length, so a peak and the shortest length of its run bound it, whatever
 the weights are on the day. A question adds up its rare terms exactly and the peaks of its frequent ones. Chunks whose sum
 stays below the score of the best ones found so far are not looked up in the long lists.
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, term_counts, weights_of, words
 from lectio.sources.shared import stored
 
-SEGMENT, RUN, FREQUENT = 4096, 4, 0.1
+SEGMENT, RUN, FREQUENT = 8192, 2, 0.1
 SEGMENT_SCHEMA = "chunk_ids array<string>, lengths binary, terms array<string>, starts binary, places binary, counts binary, frequent binary, peaks binary"
 _LISTED = pa.schema([("chunk_ids", pa.list_(pa.string())), ("lengths", pa.binary()), ("terms", pa.list_(pa.string())), *((c, pa.binary()) for c in ("starts", "places", "counts", "frequent", "peaks"))])
 
@@ -146,14 +146,14 @@ def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.nd
             exact[some] = total
             return seen
 
-        first = np.argpartition(bound, n - pool)[n - pool :] if n > pool else np.arange(n)
-        read += look_up(first)
-        if n > pool:
-            least = np.partition(exact[first], len(first) - pool)[len(first) - pool] - 1e-9
-            read += look_up(np.setdiff1d(np.flatnonzero(bound >= least), first))
-            least = np.partition(exact, n - pool)[n - pool] - 1e-9
-        else:
-            least = 0.0
+        # from the highest bound down, until no bound that is left reaches the score of the last of the best
+        order, done, least = np.argsort(-bound, kind="stable"), 0, 0.0
+        while done < n and bound[order[done]] >= least and bound[order[done]] > 0:
+            some = order[done : done + max(pool // 2, done // 4)]
+            some, done = some[bound[some] >= least], done + len(some)
+            read += look_up(some)
+            if done >= pool:
+                least = np.partition(exact, n - pool)[n - pool] - 1e-9
         kept = np.flatnonzero((exact >= least) & (exact > 0))
         yield q, kept, exact[kept], read
 

@@ -11,10 +11,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectio.functions.text import collapse, strip
+from lectio.operators.ordering import numbered
+from lectio.sources.shared import stored
 
 CHARS_PER_SECOND, PAUSE_S, MAX_SEGMENT_S = 12.5, 0.6, 20.0
 MAX_REPEATS, ECHO_SHARE, MIN_TERM = 2, 0.6, 5
 WINDOW_S, OVERLAP_S, GLOSSARY_CHARS = 90.0, 15.0, 700
+#: Numbers of segments that make a cell of a recording.
+CELL = 1024
+#: Segments among which the end of a window is looked for before the rest.
+NEAR = 24
 #: Lines that a recogniser makes up on silence or music.
 BOILERPLATE = [
     r"субтитры .*",
@@ -52,12 +58,6 @@ def repair_bounds(raw: DataFrame) -> DataFrame:
     return rows.select("video_id", "pos", F.col("begin").alias("start"), F.when(empty, spoken).otherwise(F.col("finish")).alias("end"), "text")
 
 
-def _frame(video_id: str, out: list[tuple], **columns) -> pd.DataFrame:
-    """(start, end, text) of one recording as a frame that keeps its types also when nothing is left."""
-    side = {"video_id": pd.Series([video_id] * len(out), dtype=object), **columns}
-    return pd.DataFrame(side | {"start": np.array([x[0] for x in out], np.float64), "end": np.array([x[1] for x in out], np.float64), "text": pd.Series([x[2] for x in out], dtype=object)})
-
-
 def words_to_segments(words: DataFrame, pause_s: float = PAUSE_S, max_segment_s: float = MAX_SEGMENT_S) -> DataFrame:
     """Timed words (video_id, pos, start, end, text, duration) -> video_id, seg_no, start, end, text.
 
@@ -167,32 +167,100 @@ def chunk_id(video_id: Column, number: Column) -> Column:
     return F.format_string("%s:%04d", video_id, number)
 
 
-def windows(segments: DataFrame, window_s: float = WINDOW_S, overlap_s: float = OVERLAP_S) -> DataFrame:
+def without_bounds(segments: DataFrame) -> DataFrame:
+    """Segments without a start or an end: windows() leaves them out."""
+    return segments.filter("start is null or end is null")
+
+
+def _with_steps(rows: DataFrame, window_s: float, overlap_s: float) -> DataFrame:
+    """Adds _stops and _nexts to rows with view, own (how many segments of the view are the row's own) and whole (whether the view
+    ends with the recording): where the window that begins at each own segment stops, and where the next one begins: -1 after a
+    window that ends the recording; null where the view ends before that is known."""
+    n, at = F.size("view"), lambda i: F.get("view", i)
+    first = lambda i, a, b: F.get(F.filter(F.sequence(a, b), lambda j: at(j)["end"] - at(i)["start"] > window_s), F.lit(0))
+    # mostly a window ends within a few segments; when() looks no further then
+    over = lambda i: F.coalesce(first(i, i, F.least(i + NEAR, n - 1)), F.when(i + NEAR < n - 1, first(i, i + NEAR + 1, n - 1)))
+    rows = rows.withColumn("_over", F.transform(F.sequence(F.lit(0), F.col("own") - 1), over))
+    stops = F.transform("_over", lambda x, i: F.when(x.isNotNull() | F.col("whole"), F.greatest(F.coalesce(x, n), i + 1)))
+    back = lambda i, stop: F.array_max(F.filter(F.sequence(i + 1, stop), lambda k: (k < stop) & (at(k)["start"] <= at(stop - 1)["end"] - overlap_s)))
+    nexts = F.transform("_stops", lambda stop, i: F.when(F.col("whole") & (stop >= n), F.lit(-1)).when(stop.isNotNull(), F.coalesce(back(i, stop), i + 1)))
+    return rows.withColumn("_stops", stops).withColumn("_nexts", nexts).drop("_over")
+
+
+def _walked(rows: DataFrame) -> DataFrame:
+    """Rows with entry, a place in their own segments -> video_id, windows (array of code, start, end, text) from there on."""
+    last = lambda acc: F.get("_nexts", F.element_at(acc, -1))
+    visited = F.aggregate(F.sequence(F.lit(1), F.col("own")), F.array("entry"), lambda acc, _: F.when(last(acc).between(0, F.col("own") - 1), F.concat(acc, F.array(last(acc)))).otherwise(acc))
+    rows = rows.withColumn("_visited", visited)
+    said = lambda i: strip(F.array_join(F.transform(F.slice("view", i + 1, F.get("_stops", i) - i), lambda x: x["text"]), " "))
+    found = F.transform("_visited", lambda i: F.struct(F.get("view", i)["code"].alias("code"), F.get("view", i)["start"].alias("start"), F.get("view", F.get("_stops", i) - 1)["end"].alias("end"), said(i).alias("text")))
+    return rows.select("video_id", F.filter(found, lambda x: x["text"] != "").alias("windows"))
+
+
+def _reached(exits: DataFrame, cells: int) -> DataFrame:
+    """exits (video_id, code, to: where its chain first leaves its cell) -> video_id, code of all places in which the chain from
+    0 enters a cell. Pointers are doubled, so a chain through n cells takes log n rounds, each a join by place; each is written."""
+    reached, jumps, far = exits.filter("code = 0").select("video_id", "code"), exits.filter("to is not null"), 1
+    while far < cells:
+        onward = reached.join(jumps, ["video_id", "code"]).select("video_id", F.col("to").alias("code"))
+        reached = stored(reached.unionByName(onward), "reached")
+        second = jumps.select("video_id", F.col("code").alias("to"), F.col("to").alias("then"))
+        jumps, far = stored(jumps.join(second, ["video_id", "to"]).select("video_id", "code", F.col("then").alias("to")), "jumps"), far * 2
+    return reached
+
+
+def _long_windows(cells: DataFrame, window_s: float, overlap_s: float, size: int) -> DataFrame:
+    """Cells of recordings that have several -> video_id, windows, as _walked(). A cell's view is its own segments and those of the
+    next cell, or of as many as it takes; then each place knows its step, and only the cells' entries are found by rounds."""
+    cells = stored(numbered(cells, ["video_id", "cell"], "at", ["video_id"]), "cells")
+    count = cells.groupBy("video_id").agg((F.max("at") + 1).alias("cells"))
+    coded = F.transform("list", lambda x, i: F.struct((F.col("at") * size + i).alias("code"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text")))
+    base = cells.join(count, "video_id").select("video_id", "at", "cells", coded.alias("list"))
+    due, span, done = base.select("video_id", "at", "cells", F.size("list").alias("own")), 1, None
+    while True:
+        asked = due.withColumn("other", F.explode(F.sequence(F.col("at"), F.least(F.col("at") + span, F.col("cells") - 1))))
+        met = asked.join(base.select("video_id", F.col("at").alias("other"), "list"), ["video_id", "other"])
+        seen = met.groupBy("video_id", "at", "cells", "own").agg(F.array_sort(F.flatten(F.collect_list("list"))).alias("view"))
+        seen = stored(_with_steps(seen.withColumn("whole", F.col("at") + span >= F.col("cells") - 1), window_s, overlap_s), "views")
+        open_ = F.exists("_stops", lambda x: x.isNull())
+        done = seen.filter(~open_) if done is None else done.unionByName(seen.filter(~open_))
+        due, span = seen.filter(open_).select("video_id", "at", "cells", "own"), span * 4
+        if due.isEmpty():
+            break
+    code = lambda i: F.get("view", i)["code"]
+    # from the last place to the first: where a place's chain leaves the cell is where the place after it does
+    out = lambda acc, i: F.when(F.get("_nexts", i) < 0, F.lit(None)).when(F.get("_nexts", i) >= F.col("own"), code(F.get("_nexts", i))).otherwise(F.get(acc, F.get("_nexts", i) - i - 1))
+    leaving = F.aggregate(F.sequence(F.col("own") - 1, F.lit(0), F.lit(-1)), F.array().cast("array<bigint>"), lambda acc, i: F.concat(F.array(out(acc, i)), acc))
+    exits = done.withColumn("_leaving", leaving).select("video_id", "at", F.posexplode_outer("_leaving").alias("k", "to"))
+    exits = stored(exits.select("video_id", (F.col("at") * size + F.col("k")).alias("code"), "to"), "exits")
+    reached = _reached(exits, count.agg(F.max("cells")).first()[0])
+    entries = reached.select("video_id", F.floor(F.col("code") / size).alias("at"), (F.col("code") % size).cast("int").alias("entry"))
+    return _walked(done.join(entries, ["video_id", "at"]))
+
+
+def windows(segments: DataFrame, window_s: float = WINDOW_S, overlap_s: float = OVERLAP_S, cell: int = CELL) -> DataFrame:
     """Segments (video_id, seg_no, start, end, text) -> chunks: chunk_id, video_id, chunk_no, start, end, text.
 
     Each window takes segments until the first that ends more than window_s after it began, at least one; the next begins as
-    far back as the overlap allows, and at least one segment on. Windows without text have no number. Each start depends on
-    the window before, so a recording is one group, of some hundred segments.
+    far back as the overlap allows, and at least one segment on. Windows without text have no number. A null text counts as
+    empty; segments without a start or an end are left out (see without_bounds()). Recordings are dealt in cells of ``cell``
+    numbers: one cell is walked in its row, and a longer recording is as many tasks as it has cells.
     """
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("seg_no")
-        start, end, said = pdf["start"].to_numpy(), pdf["end"].to_numpy(), pdf["text"].to_numpy()
-        out, at, n = [], 0, len(pdf)
-        while at < n:
-            over = np.flatnonzero(end[at:] - start[at] > window_s)
-            stop = max(at + (int(over[0]) if len(over) else n - at), at + 1)
-            text = " ".join(said[at:stop]).strip()
-            if text:
-                out.append((start[at], end[stop - 1], text))
-            if stop >= n:
-                break
-            back = np.flatnonzero(start[at + 1 : stop] <= end[stop - 1] - overlap_s)
-            at = at + 1 + int(back[-1]) if len(back) else at + 1
-        return _frame(pdf["video_id"].iloc[0], out, chunk_no=np.arange(len(out), dtype=np.int32))
-
-    found = segments.select("video_id", "seg_no", "start", "end", "text").groupBy("video_id").applyInPandas(cut, "video_id string, chunk_no int, start double, end double, text string")
-    return found.select(chunk_id(F.col("video_id"), F.col("chunk_no")).alias("chunk_id"), "video_id", "chunk_no", "start", "end", "text")
+    item = F.struct("seg_no", "start", "end", F.coalesce("text", F.lit("")).alias("text"))
+    rows = segments.filter("start is not null and end is not null").groupBy("video_id", F.floor(F.col("seg_no") / cell).alias("cell"))
+    cells = stored(rows.agg(F.sort_array(F.collect_list(item)).alias("list")), "cells")
+    several = stored(cells.groupBy("video_id").agg(F.count("*").alias("n")).filter("n > 1").select("video_id"), "several")
+    alone = cells.join(several, "video_id", "left_anti")
+    coded = F.transform("list", lambda x, i: F.struct(i.cast("long").alias("code"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text")))
+    alone = alone.select("video_id", coded.alias("view"), F.size("list").alias("own"), F.lit(True).alias("whole"), F.lit(0).alias("entry"))
+    found = _walked(_with_steps(alone, window_s, overlap_s)).select("video_id", F.posexplode_outer("windows").alias("chunk_no", "w")).filter("w is not null")
+    found = found.select("video_id", F.col("chunk_no").cast("int").alias("chunk_no"), "w")
+    if not several.isEmpty():
+        long = _long_windows(cells.join(several, "video_id", "left_semi"), window_s, overlap_s, cell)
+        long = long.select("video_id", F.explode_outer("windows").alias("w")).filter("w is not null").select("video_id", "w", "w.code")
+        long = numbered(long, ["video_id", "code"], "chunk_no", ["video_id"])
+        found = found.unionByName(long.select("video_id", F.col("chunk_no").cast("int").alias("chunk_no"), "w"))
+    return found.select(chunk_id(F.col("video_id"), F.col("chunk_no")).alias("chunk_id"), "video_id", "chunk_no", "w.start", "w.end", "w.text")
 
 
 def course_windows(sources: DataFrame, segments: DataFrame, **sizes: float) -> tuple[DataFrame, DataFrame]:
