@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,9 +64,32 @@ def deep_link(video_id: Column, seconds: Column) -> Column:
     return F.format_string("https://youtu.be/%s?t=%d", video_id, F.floor(seconds).cast("long"))
 
 
-def fill(template: Column, values: dict[str, Column], kinds: dict[str, str] | None = None) -> Column:
-    """{key} replaced one after another; what is not a string goes in as JSON (kinds: its columns' names)."""
+def _plain(value: object, kind: pa.DataType) -> object:
+    """An Arrow value as what JSON has for it; maps come as lists of pairs."""
+    if value is None:
+        return None
+    if pa.types.is_map(kind):
+        return {str(k): _plain(v, kind.item_type) for k, v in value}
+    if pa.types.is_list(kind) or pa.types.is_large_list(kind):
+        return [_plain(x, kind.value_type) for x in value]
+    if pa.types.is_struct(kind):
+        return {f.name: _plain(value[f.name], f.type) for f in kind}
+    return value
+
+
+def indented_json(x: Column) -> Column:
+    """A value that is no string as JSON over several lines, two spaces a level, letters of any script as they are. Spark's own
+    writer has neither this layout nor this form of numbers; decimals and times are written as strings."""
+
+    @F.arrow_udf("string")
+    def shown(values: pa.Array) -> pa.Array:
+        return pa.array([json.dumps(_plain(v, values.type), ensure_ascii=False, indent=2, default=str) for v in values.to_pylist()], pa.string())
+
+    return shown(x)
+
+
+def fill(template: Column, values: dict[str, Column]) -> Column:
+    """{key} replaced by each value (a string) one after another."""
     for key, value in values.items():
-        shown = F.to_json(value) if kinds and kinds.get(key) == "json" else value
-        template = F.replace(template, F.lit("{" + key + "}"), shown)
+        template = F.replace(template, F.lit("{" + key + "}"), value)
     return template

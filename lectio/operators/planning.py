@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.functions.text import fill
+from lectio.functions.text import fill, indented_json
+from lectio.operators.ordering import numbered
 from lectio.operators.replies import MATERIAL
 
 #: The note and the guidance of a prompt by the kind of its question.
@@ -65,20 +65,24 @@ def pending(sources: DataFrame, audio: DataFrame, transcripts: DataFrame, force:
 def registered(metadata: DataFrame) -> DataFrame:
     """Fetched metadata (course, url_pos, type, id, title, duration, entries) -> course, video_id, url, title, duration_s, order.
 
-    Playlists give their entries, null ones left out, anything else itself; the first occurrence of an id counts.
+    Playlists give their entries, null ones left out, anything else itself; the first occurrence of an id counts. The order
+    within a course comes from ranges of the whole table, so a course of any size is as many tasks as it fills.
     """
     own = F.array(F.struct("id", "title", "duration"))
     listed = F.when(F.col("type") == "playlist", F.col("entries")).otherwise(own)
     rows = metadata.select("course", "url_pos", F.posexplode(listed).alias("entry_pos", "e")).filter("e is not null and e.id is not null")
-    first = W.partitionBy("course", "e.id").orderBy("url_pos", "entry_pos")
-    rows = rows.withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-    order = F.row_number().over(W.partitionBy("course").orderBy("url_pos", "entry_pos"))
+    rows = rows.groupBy("course", F.col("e.id").alias("id")).agg(F.min(F.struct("url_pos", "entry_pos", "e")).alias("first")).select("course", "first.*")
+    rows = numbered(rows, ["course", "url_pos", "entry_pos"], "order", ["course"])
+    order = (F.col("order") + 1).cast("int")
     return rows.select("course", F.col("e.id").alias("video_id"), F.concat(F.lit("https://www.youtube.com/watch?v="), "e.id").alias("url"), F.coalesce(F.nullif("e.title", F.lit("")), "e.id").alias("title"), F.nullif(F.col("e.duration").cast("double"), F.lit(0.0)).alias("duration_s"), order.alias("order"))
 
 
 def prompts(rows: DataFrame, template: str, fields: list[str]) -> DataFrame:
-    """Adds prompt: the template with {field} filled in order from the columns of that name."""
-    return rows.withColumn("prompt", fill(F.lit(template), {f: F.col(f) for f in fields}))
+    """Adds prompt: the template with {field} filled in order from the columns of that name. Strings go in as they are, all else
+    (numbers, truth values, arrays, objects, maps) as JSON; a null is null, of whatever type."""
+    texts = {name for name, kind in rows.dtypes if kind == "string"}
+    values = {f: F.coalesce(F.col(f), F.lit("null")) if f in texts else indented_json(F.col(f)) for f in fields}
+    return rows.withColumn("prompt", fill(F.lit(template), values))
 
 
 def kind_text(kind: Column, texts: dict[str, str]) -> Column:

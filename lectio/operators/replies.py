@@ -14,6 +14,8 @@ from lectio.functions.text import json_of, minutes, quote_form, strip
 
 MAX_QUOTE, MIN_QUOTE, FUZZY, MIN_BLOCK, OPENING = 300, 12, 0.85, 4, 40
 MATERIAL, FULL_FROM = 15, 3
+#: Quotes of one chunk from which a table of its places is made.
+MANY_QUOTES = 4
 COVERAGES = ["full", "partial", "not_found"]
 #: What a quoted truth value may be.
 TRUE, FALSE = ["1", "on", "t", "true", "y", "yes"], ["0", "off", "f", "false", "n", "no"]
@@ -126,10 +128,21 @@ def gram_bound(needle: Column, source: Column, size: int = MIN_BLOCK) -> Column:
     return F.size(F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + size - 1))))) / n
 
 
-def common_runs(needle: str, source: str, size: int = MIN_BLOCK) -> list[tuple[int, int, int]]:
-    """(place in needle, place in source, length) of every maximal common run of ``size`` characters or more."""
+def places_of(source: str, size: int = MIN_BLOCK) -> dict[str, list[int]]:
+    """Where each run of ``size`` characters begins in a text."""
     places: dict[str, list[int]] = {}
-    for i in range(len(needle) - size + 1):
+    for i in range(len(source) - size + 1):
+        places.setdefault(source[i : i + size], []).append(i)
+    return places
+
+
+def common_runs(needle: str, source: str, size: int = MIN_BLOCK, known: dict[str, list[int]] | None = None) -> list[tuple[int, int, int]]:
+    """(place in needle, place in source, length) of every maximal common run of ``size`` characters or more.
+
+    known: places_of(source), where a source has many needles; else the source is searched for the needle's own runs.
+    """
+    places = {} if known is None else known
+    for i in range(len(needle) - size + 1 if known is None else 0):
         gram = needle[i : i + size]
         if gram not in places:
             found, at = [], source.find(gram)
@@ -148,14 +161,14 @@ def common_runs(needle: str, source: str, size: int = MIN_BLOCK) -> list[tuple[i
     return out
 
 
-def share_in_blocks(needle: str, source: str, threshold: float = 0.0, size: int = MIN_BLOCK) -> float:
+def share_in_blocks(needle: str, source: str, threshold: float = 0.0, size: int = MIN_BLOCK, known: dict[str, list[int]] | None = None) -> float:
     """Characters of the needle in matching blocks of at least ``size``, as a share of it.
 
     Blocks are found from the longest on: of equal ones the leftmost in the needle, then in the source; then the same to
     the left of it on both sides, and to the right. Only runs of ``size`` count, so they are found by their first
     characters. 0 when even all runs together do not reach the threshold.
     """
-    runs = common_runs(needle, source, size)
+    runs = common_runs(needle, source, size, known)
     covered = set()
     for i, _, n in runs:
         covered.update(range(i, i + n))
@@ -178,12 +191,27 @@ def share_in_blocks(needle: str, source: str, threshold: float = 0.0, size: int
     return total / len(needle)
 
 
+def shares(needles: list[str | None], sources: list[str | None], threshold: float = 0.0) -> list[float]:
+    """share_in_blocks() of each pair, 0 for nulls and empty texts. A source's places are tabled once for all its needles here, if
+    it has several."""
+    by_source: dict[str, list[int]] = {}
+    for k, (a, b) in enumerate(zip(needles, sources)):
+        if a and b:
+            by_source.setdefault(b, []).append(k)
+    out = [0.0] * len(needles)
+    for source, rows in by_source.items():
+        known = places_of(source) if len(rows) >= MANY_QUOTES else None
+        for k in rows:
+            out[k] = share_in_blocks(needles[k], source, threshold, known=known)
+    return out
+
+
 def matched_share(needle: Column, source: Column, threshold: float = 0.0) -> Column:
-    """share_in_blocks() by row; 0 for nulls and empty texts."""
+    """share_in_blocks() by row; the quotes of a chunk that come together share its table."""
 
     @F.pandas_udf(T.DoubleType())
     def share(needles: pd.Series, sources: pd.Series) -> pd.Series:
-        return pd.Series([share_in_blocks(a, b, threshold) if a and b else 0.0 for a, b in zip(needles, sources)])
+        return pd.Series(shares(list(needles), list(sources), threshold))
 
     return share(needle, source)
 
@@ -208,22 +236,29 @@ def quotable(chunks: DataFrame, claims: DataFrame, *columns: Column | str) -> Da
     return chunks.join(asked, "chunk_id", "left_semi").select("chunk_id", *columns, quote_form(F.col("text")).alias("hay"))
 
 
-def assemble_extracts(judged: DataFrame, chunks: DataFrame, threshold: float = FUZZY) -> DataFrame:
-    """(question_id, position, chunk_id, relevant, relevance, points, quote, readings) -> one extract per question.
+def assemble_extracts(candidates: DataFrame, judged: DataFrame, chunks: DataFrame, asked: DataFrame, model: str = "", version: str = "extract_v1", threshold: float = FUZZY) -> DataFrame:
+    """candidates (question_id, position, chunk_id) x judged (question_id, position, relevant, relevance, points, quote, readings) x
+    asked (question_id, input_hash) -> the extract of each question asked, as it is stored.
 
-    Fragments without points or not relevant go. A quote is stripped and cut to MAX_QUOTE characters; one that is not in its
-    fragment becomes the fragment's beginning. Order: relevance, then the candidate's position.
+    All candidates count, also those whose replies were unusable and so were not judged; a question of which none was judged,
+    or that has none, has an empty extract. Fragments without points or not relevant go. A quote is stripped and cut to
+    MAX_QUOTE characters; one that is not in its fragment becomes the fragment's beginning. Order: relevance, then position.
     """
-    kept = judged.filter(F.col("relevant") & (F.size("points") > 0))
+    kept = judged.filter(F.col("relevant") & (F.size("points") > 0)).select("question_id", "position", "relevance", "points", "quote", "readings")
+    kept = kept.join(candidates.select("question_id", "position", "chunk_id"), ["question_id", "position"])
     kept = kept.join(quotable(chunks, kept, F.substring("text", 1, MAX_QUOTE).alias("beginning")), "chunk_id")
     kept = verify_quotes(kept.withColumn("quote", F.substring(strip(F.col("quote")), 1, MAX_QUOTE)), threshold)
     quote = F.when(F.col("verified") & (F.col("quote") != ""), F.col("quote")).otherwise(F.col("beginning"))
     item = F.struct((-F.col("relevance")).alias("k"), "position", "chunk_id", "relevance", "points", quote.alias("quote"))
     read = F.transform(F.filter("readings", lambda x: strip(x) != ""), lambda x: F.struct(x.alias("text"), F.col("chunk_id").alias("chunk_id")))
     grouped = kept.groupBy("question_id").agg(F.sort_array(F.collect_list(item)).alias("relevant"), F.sort_array(F.collect_list(F.struct("position", read.alias("items")))).alias("readings"))
-    counts = judged.groupBy("question_id").agg(F.count("*").alias("candidates"))
+    counts = candidates.groupBy("question_id").agg(F.count("*").alias("candidates"))
     pick = F.transform("relevant", lambda x: F.struct(x["chunk_id"].alias("chunk_id"), x["relevance"].alias("relevance"), x["points"].alias("points"), x["quote"].alias("quote")))
-    return counts.join(grouped, "question_id", "left").select("question_id", "candidates", F.coalesce(pick, F.array().cast("array<struct<chunk_id:string,relevance:double,points:array<string>,quote:string>>")).alias("relevant"), F.coalesce(F.flatten(F.transform("readings", lambda x: x["items"])), F.array().cast("array<struct<text:string,chunk_id:string>>")).alias("readings"))
+    rows = asked.select("question_id", "input_hash").join(counts, "question_id", "left").join(grouped, "question_id", "left")
+    return rows.select(
+        F.lit(1).alias("schema_version"), "question_id", F.coalesce("candidates", F.lit(0)).alias("candidates"), F.coalesce(pick, F.array().cast("array<struct<chunk_id:string,relevance:double,points:array<string>,quote:string>>")).alias("relevant"),
+        F.coalesce(F.flatten(F.transform("readings", lambda x: x["items"])), F.array().cast("array<struct<text:string,chunk_id:string>>")).alias("readings"), F.lit(model).alias("model"), F.lit(version).alias("prompt_version"), "input_hash",
+    )
 
 
 def chunk_segments(chunks: DataFrame, segments: DataFrame, bucket_s: float = 90.0) -> DataFrame:

@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.operators.replies import verified_coverage
+from lectio.operators.replies import COVERAGES, verified_coverage
 
-#: Names of stages and coverages.
+#: Names of stages.
 STAGES = ["ingest", "download", "prepare-audio", "transcribe", "index", "extract", "answer"]
-COVERAGES = ["full", "partial", "not_found"]
 #: Path parts that never go to the public site.
 PRIVATE = ["/audio", "/transcripts", "/extracts", "chunks.jsonl", ".npy"]
 

@@ -137,20 +137,29 @@ def without_loops(segments: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFr
     return runs.filter(F.col("nth") <= max(1, max_repeats)).drop("new", "run", "nth")
 
 
-def clean(segments: DataFrame, rules: list[tuple[str, str]] = (), terms: list[str] = (), patterns: list[str] = BOILERPLATE, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """Spacing, replacements, boilerplate, glossary echoes, loops, in this order; one exchange, on the recording."""
+def flagged(segments: DataFrame, rules: list[tuple[str, str]] = (), terms: list[str] = (), patterns: list[str] = BOILERPLATE, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """All rows, their text with spacing and replacements, and kept: false for empty ones, boilerplate and glossary echoes (their
+    text is null) and for repetitions beyond max_repeats of the kept one before. One scan, one exchange, on the recording."""
     rows = segments.withColumn("text", replaced(collapse(F.col("text")), list(rules)))
-    rows = rows.filter((F.col("text") != "") & ~is_boilerplate(F.col("text"), patterns))
+    good = (F.col("text") != "") & ~is_boilerplate(F.col("text"), patterns)
     if terms:
-        rows = rows.filter(~is_glossary_echo(F.col("text"), list(terms)))
-    return without_loops(rows, max_repeats)
+        good = good & ~is_glossary_echo(F.col("text"), list(terms))
+    order = W.partitionBy("video_id").orderBy("seg_no")
+    rows = rows.withColumn("_good", F.coalesce(good, F.lit(False))).withColumn("text", F.when(F.col("_good"), F.col("text")))
+    before = F.last("text", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
+    rows = rows.withColumn("_new", (F.col("_good") & F.coalesce(F.col("text") != before, F.lit(True))).cast("int")).withColumn("_run", F.sum("_new").over(order))
+    nth = F.sum(F.col("_good").cast("int")).over(W.partitionBy("video_id", "_run").orderBy("seg_no"))
+    return rows.withColumn("kept", F.col("_good") & (nth <= max(1, max_repeats))).drop("_good", "_new", "_run")
+
+
+def clean(segments: DataFrame, rules: list[tuple[str, str]] = (), terms: list[str] = (), patterns: list[str] = BOILERPLATE, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """Spacing, replacements, boilerplate, glossary echoes, loops, in this order; one exchange, on the recording."""
+    return flagged(segments, rules, terms, patterns, max_repeats).filter("kept").drop("kept")
 
 
-def clean_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    """video_id, kept, dropped."""
-    both = before.select("video_id", F.lit(0).alias("kept")).unionAll(after.select("video_id", F.lit(1).alias("kept")))
-    counted = both.groupBy("video_id").agg(F.sum("kept").alias("kept"), F.count_if(F.col("kept") == 0).alias("all"))
-    return counted.select("video_id", "kept", (F.col("all") - F.col("kept")).alias("dropped"))
+def clean_counts(flags: DataFrame) -> DataFrame:
+    """flagged() rows -> video_id, kept, dropped; counted in the pass that cleans."""
+    return flags.groupBy("video_id").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("dropped"))
 
 
 def glossary_prompt(glossary: DataFrame, courses: DataFrame, limit: int = GLOSSARY_CHARS) -> DataFrame:

@@ -124,8 +124,7 @@ def b9_clean_with_settings(spark, d):
 @query(CLEAN + """ SELECT video_id, count(*) FILTER (WHERE k = 1) AS kept, count(*) FILTER (WHERE k = 0) - count(*) FILTER (WHERE k = 1) AS dropped
 FROM (SELECT video_id, 0 AS k FROM seg UNION ALL SELECT video_id, 1 FROM kept) GROUP BY video_id""")
 def b9_clean_counts(spark, d):
-    before = t.segments(spark, d)
-    return transcripts.clean_counts(before, transcripts.clean(before, patterns=PATTERNS))
+    return transcripts.clean_counts(transcripts.flagged(t.segments(spark, d), patterns=PATTERNS))
 
 
 @query("""WITH g AS (SELECT 'c' || c_nationkey AS course, c_custkey AS pos, c_name AS term FROM customer),
@@ -326,13 +325,13 @@ def e2_extract_hash(spark, d):
 
 def _extracts(spark, d):
     """Orders with their lines as fragments, the most expensive first."""
-    lines = t.read(spark, d, "lineitem").filter("l_orderkey % 3 <> 0")
+    lines = t.read(spark, d, "lineitem")
     item = F.struct((-F.col("l_extendedprice")).alias("k"), "l_linenumber", F.concat(F.lit("v"), "l_partkey", F.lit(":0000")).alias("chunk_id"), F.array(F.col("l_linestatus"), F.col("l_returnflag")).alias("points"))
     rows = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("relevant"))
     return rows.select("l_orderkey", F.concat(F.lit("q"), "l_orderkey").alias("question_id"), F.lit("m").alias("model"), F.sha2(F.col("l_orderkey").cast("string"), 256).alias("input_hash"), "relevant")
 
 
-EXTRACT = "ex AS (SELECT l_orderkey AS k, sha256(CAST(l_orderkey AS VARCHAR)) AS h, string_agg('v' || l_partkey || ':0000' || l_linestatus || ' ' || l_returnflag, '' ORDER BY l_extendedprice DESC, l_linenumber) FILTER (WHERE rn <= 15) AS body FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem WHERE l_orderkey % 3 <> 0) GROUP BY 1)"
+EXTRACT = "ex AS (SELECT l_orderkey AS k, sha256(CAST(l_orderkey AS VARCHAR)) AS h, string_agg('v' || l_partkey || ':0000' || l_linestatus || ' ' || l_returnflag, '' ORDER BY l_extendedprice DESC, l_linenumber) FILTER (WHERE rn <= 15) AS body FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS rn FROM lineitem) GROUP BY 1)"
 
 
 @query(f"WITH {EXTRACT} SELECT 'q' || o_orderkey AS question_id, sha256(o_orderpriority || h || body || 'm' || 'synthesize_v1') AS input_hash FROM orders JOIN ex ON k = o_orderkey")
@@ -343,7 +342,7 @@ def e3_answer_hash(spark, d):
 
 @query("SELECT 'q' || o_orderkey AS question_id, 's' || o_custkey % 7 AS question_set, o_orderkey % 17 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem) AS ready FROM orders")
 def e4_e5_work_plan(spark, d):
-    x, o = _extracts(spark, d), t.read(spark, d, "orders")
+    x, o = _extracts(spark, d).filter("l_orderkey % 3 <> 0"), t.read(spark, d, "orders")  # a third of the tickets has no extract
     asked = o.select(F.concat(F.lit("q"), "o_orderkey").alias("question_id"), F.concat(F.lit("s"), F.col("o_custkey") % 7).alias("question_set"), F.col("o_orderpriority").alias("text"))
     made = x.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     stored = made.select("question_id", F.lit("m").alias("model"), F.when(F.col("l_orderkey") % 5 == 0, "old").otherwise(planning.answer_hash(F.col("o_orderpriority"), F.col("input_hash"), F.col("relevant"), F.lit("m"), "tmpl")).alias("input_hash"), F.when(F.col("l_orderkey") % 17 == 0, "failed").alias("error"))
@@ -373,6 +372,14 @@ def e8_prompts(spark, d):
     return planning.prompts(rows, "Q {name} of {brand}: {", ["name", "brand"]).select("p_partkey", "prompt")
 
 
+@query(r"""SELECT p_partkey, 'Size ' || p_size || ', price ' || CAST(p_retailprice AS VARCHAR) || E', kinds [\n  "' || p_brand || E'",\n  "' || p_type || E'"\n] of {\n  "name": "' || p_name || E'",\n  "sizes": [\n    ' || p_size || E',\n    null\n  ],\n  "none": []\n}' AS prompt FROM part""")
+def e8_json_prompts(spark, d):
+    """Numbers, arrays and objects as JSON in the prompt."""
+    thing = F.struct(F.col("p_name").alias("name"), F.array("p_size", F.lit(None).cast("int")).alias("sizes"), F.array().cast("array<string>").alias("none"))
+    rows = t.read(spark, d, "part").select("p_partkey", F.col("p_size").alias("size"), F.col("p_retailprice").cast("double").alias("price"), F.array("p_brand", "p_type").alias("kinds"), thing.alias("thing"))
+    return planning.prompts(rows, "Size {size}, price {price}, kinds {kinds} of {thing}", ["size", "price", "kinds", "thing"]).select("p_partkey", "prompt")
+
+
 @query(using("chunk") + """, ex AS (SELECT o_orderkey % 50 AS q, row_number() OVER (PARTITION BY o_orderkey % 50 ORDER BY o_orderkey) AS r, 'v' || o_custkey || ':0000' AS chunk_id, o_orderpriority AS p FROM orders)
 SELECT q AS question_id, md5(coalesce(string_agg('### ' || chunk_id || ' (00:00)' || chr(10) || 'Тезисы:' || chr(10) || '- ' || p || chr(10) || chr(10) || 'Текст фрагмента:' || chr(10) || '```' || chr(10) || text || chr(10) || '```', chr(10) || chr(10) ORDER BY r) FILTER (WHERE r <= 15), '(лекции ничего не дали по этому вопросу)')) AS material
 FROM ex LEFT JOIN chunk USING (chunk_id) GROUP BY q""")
@@ -454,24 +461,36 @@ def f6_gram_bound(spark, d):
     return rows.select("answer_id", "position", F.round(replies.gram_bound(F.col("needle"), F.col("hay")), 6).alias("bound"))
 
 
-def _judged(spark, d):
-    good, _ = replies.parse_extracts(_raw(spark, d))
-    return good.select((F.col("request_id") % 20).alias("question_id"), F.col("request_id").alias("position"), F.format_string("v%d:0000", "request_id").alias("chunk_id"), "relevant", "relevance", "points", "quote", "readings")
+def _extracted(spark, d, threshold=replies.FUZZY):
+    """Documents as the candidates of questions, forty each; of every seventh question all replies were cut off, and one question
+    had no candidates."""
+    number = lambda x: F.floor(x / 40).cast("long")
+    candidates = t.read(spark, d, "documents").select(number(F.col("doc_id")).alias("question_id"), (F.col("doc_id") % 40 + 1).alias("position"), F.format_string("v%d:0000", "doc_id").alias("chunk_id"))
+    raw = _raw(spark, d).withColumn("raw", F.when(number(F.col("request_id")) % 7 == 3, "{").otherwise(F.col("raw")))
+    good, _ = replies.parse_extracts(raw)
+    judged = good.select(number(F.col("request_id")).alias("question_id"), (F.col("request_id") % 40 + 1).alias("position"), "relevant", "relevance", "points", "quote", "readings")
+    asked = candidates.select("question_id").unionAll(spark.range(1).select(-F.col("id") - 1)).distinct().withColumn("text", F.concat(F.lit("Q"), "question_id"))
+    chunks = t.chunks(spark, d)
+    hashes = planning.extract_hashes(asked, candidates, chunks, "m", "tmpl")
+    return replies.assemble_extracts(candidates, judged, chunks, hashes, "m", threshold=threshold)
+
+
+CANDIDATES = """c AS (SELECT doc_id // 40 AS question_id, doc_id % 40 + 1 AS position, doc_id, source, text, (doc_id % 13) / 10 AS relevance, doc_id % 13 <= 10 AND doc_id % 6 <> 4 AND doc_id // 40 % 7 <> 3 AND doc_id % 3 <> 0 AND doc_id % 5 <> 0 AS kept FROM documents)"""
 
 
-@query("""WITH j AS (SELECT doc_id % 20 AS question_id, doc_id, (doc_id % 13) / 10 AS relevance, doc_id % 3 <> 0 AND doc_id % 5 <> 0 AS kept FROM documents WHERE doc_id % 13 <= 10 AND doc_id % 6 <> 4)
-SELECT question_id, count(*) AS candidates, CAST(count(*) FILTER (WHERE kept) AS INTEGER) AS kept, '[' || coalesce(string_agg('v' || doc_id || ':0000', ', ' ORDER BY relevance DESC, doc_id) FILTER (WHERE kept), '') || ']' AS "order" FROM j GROUP BY 1""")
+@query(f"""WITH {CANDIDATES} SELECT CAST(question_id AS BIGINT) AS question_id, count(*) AS candidates, CAST(count(*) FILTER (WHERE kept) AS INTEGER) AS kept, '[' || coalesce(string_agg('v' || doc_id || ':0000', ', ' ORDER BY relevance DESC, position) FILTER (WHERE kept), '') || ']' AS "order",
+  'm' AS model, 'extract_v1' AS prompt_version, sha256('Q' || question_id || string_agg('v' || doc_id || ':0000' || text, '' ORDER BY position) || 'm' || 'tmpl') AS input_hash FROM c GROUP BY question_id
+UNION ALL SELECT -1, 0, 0, '[]', 'm', 'extract_v1', sha256('Q-1mtmpl')""")
 def f7_extracts(spark, d):
-    x = replies.assemble_extracts(_judged(spark, d), t.chunks(spark, d))
-    return x.select("question_id", "candidates", F.size("relevant").alias("kept"), F.transform("relevant", lambda r: r["chunk_id"]).cast("string").alias("order"))
+    x = _extracted(spark, d)
+    return x.select("question_id", "candidates", F.size("relevant").alias("kept"), F.transform("relevant", lambda r: r["chunk_id"]).cast("string").alias("order"), "model", "prompt_version", "input_hash")
 
 
-@query("""WITH j AS (SELECT doc_id % 20 AS question_id, doc_id, source, text FROM documents WHERE doc_id % 13 <= 10 AND doc_id % 6 <> 4 AND doc_id % 3 <> 0 AND doc_id % 5 <> 0),
-v AS (SELECT *, trim(source) <> '' AND length(""" + form("source") + ") >= 12 AND contains(" + form("text") + ", " + form("source") + """) AS there FROM j)
-SELECT question_id, 'v' || doc_id || ':0000' AS chunk_id, CASE WHEN there THEN substr(source, 1, 300) ELSE substr(text, 1, 300) END AS quote FROM v""")
+@query(f"""WITH {CANDIDATES}, v AS (SELECT *, trim(source) <> '' AND length(""" + form("source") + ") >= 12 AND contains(" + form("text") + ", " + form("source") + """) AS there FROM c WHERE kept)
+SELECT CAST(question_id AS BIGINT) AS question_id, 'v' || doc_id || ':0000' AS chunk_id, CASE WHEN there THEN substr(source, 1, 300) ELSE substr(text, 1, 300) END AS quote FROM v""")
 def f7_extract_quotes(spark, d):
     # word for word: the fuzzy share has no SQL twin
-    x = replies.assemble_extracts(_judged(spark, d), t.chunks(spark, d), threshold=1.5)
+    x = _extracted(spark, d, threshold=1.5)
     return x.select("question_id", F.explode("relevant").alias("r")).select("question_id", "r.chunk_id", "r.quote")
 
 
