@@ -32,6 +32,14 @@ def stage_status(sources: DataFrame, done: dict[str, DataFrame], asked: DataFram
     return grid.select("course", "stage", "done", total.alias("total"), ((total > 0) & (F.col("done") == total)).alias("complete"))
 
 
+def done_stages(listing: DataFrame) -> dict[str, DataFrame]:
+    """list_artifacts() -> for stage_status(), what is done of each stage. A recording has audio if any form of it lies there; of
+    several forms one counts."""
+    name = F.regexp_replace(stem(F.col("path")), r"\.[^.]*$", "")
+    audio = listing.filter(F.col("stage").isin("download", "prepare-audio")).select("course", name.alias("video_id")).distinct()
+    return {"download": audio, **{k: listing.filter(F.col("stage") == k) for k in ("ingest", "prepare-audio", "transcribe", "index", "extract", "answer")}}
+
+
 def coverage_breakdown(answers: DataFrame) -> DataFrame:
     """question_set, full, partial, not_found."""
     return answers.groupBy("question_set").pivot("coverage", COVERAGES).count().na.fill(0)

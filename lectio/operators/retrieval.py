@@ -9,8 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectio.functions.text import tokens
+from lectio.operators.guard import guarded
+from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
 TOP_K, RRF_K = 40, 60
@@ -19,6 +22,7 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 BROADCAST_ROWS = 200_000
 #: Questions of a block whose matrix goes to every task, and vectors of a cell that a block meets when there are several.
 BLOCK, CELL = 4096, 50_000
+LEMMAS = "word string, lemma string"
 
 
 def words(df: DataFrame, key: str, lemmas: DataFrame | None = None, pattern: str = "[а-яёa-z0-9]+") -> DataFrame:
@@ -167,11 +171,32 @@ def candidate_report(candidates: DataFrame, chunks: DataFrame) -> DataFrame:
     return shown.select("question_id", "position", "chunk_id", F.round(F.col("start") / 60).cast("long").alias("minute"), "dense_rank", "bm25_rank", F.substring("text", 1, 200).alias("text"))
 
 
-def embed(df: DataFrame, encode: Callable[[list[str]], np.ndarray], key: str) -> DataFrame:
-    """(key, text) -> (key, embedding) by a pluggable encoder that maps a list of texts to a matrix."""
+def embed(df: DataFrame, encode: Callable[[list[str]], np.ndarray], key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, text) -> ((key, embedding), dead letters) by a pluggable encoder that maps a list of texts to a matrix. A text that it
+    cannot take (a null one, say) is a dead letter; all others have their vectors."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame({key: pdf[key], "embedding": list(np.asarray(encode(list(pdf["text"])), np.float32))})
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["text"].isna().any():
+            raise ValueError("no text")
+        return pd.DataFrame({key: pdf[key], "embedding": list(np.asarray(encode(list(pdf["text"])), np.float32))})
 
-    return df.select(key, "text").mapInPandas(run, f"{key} string, embedding array<float>")
+    kind = T.StructType([df.schema[key], T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    return guarded(df.select(key, "text"), run, kind, key, "embed")
+
+
+def analysed(terms: DataFrame, known: DataFrame, analyse: Callable[[list[str]], list[str]]) -> tuple[DataFrame, DataFrame]:
+    """(term) x a dictionary (word, lemma) -> (what the dictionary lacks: word, lemma; dead letters). Only distinct words that are
+    not in it go to ``analyse``, which maps a list of words to their normal forms."""
+    new = terms.select(F.col("term").alias("word")).distinct().join(known.select("word"), "word", "left_anti")
+    kind = T.StructType([T.StructField("word", T.StringType()), T.StructField("lemma", T.StringType())])
+    return guarded(new, lambda pdf: pd.DataFrame({"word": pdf["word"], "lemma": list(analyse(list(pdf["word"])))}), kind, "word", "analyse")
+
+
+def learn_lemmas(chunks: DataFrame, dictionary: Batches, batch: str, analyse: Callable[[list[str]], list[str]]) -> DataFrame:
+    """The lemmas (word, lemma) of all words of the dictionary and the chunks; what was new is published as a batch. Words that the
+    analyser could not take keep their own form, and are asked again next time."""
+    known = dictionary.read("lemmas", LEMMAS)
+    new, _ = analysed(term_counts(chunks).select(F.explode_outer("counted.term").alias("term")).filter("term is not null"), known, analyse)
+    if not new.isEmpty():
+        dictionary.append(batch, lemmas=new)
+    return dictionary.read("lemmas", LEMMAS)

@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, term_counts, weights_of, words
+from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
 SEGMENT, RUN, FREQUENT = 8192, 2, 0.1
 SEGMENT_SCHEMA = "chunk_ids array<string>, lengths binary, terms array<string>, starts binary, places binary, counts binary, frequent binary, peaks binary"
+SIZES = "chunks long, words long"
 _LISTED = pa.schema([("chunk_ids", pa.list_(pa.string())), ("lengths", pa.binary()), ("terms", pa.list_(pa.string())), *((c, pa.binary()) for c in ("starts", "places", "counts", "frequent", "peaks"))])
 
 
@@ -91,6 +93,22 @@ def index_of(segments: DataFrame) -> Index:
     return Index(segments, counted.filter("term is not null").select("term", "df"), all_of["df"] if all_of else 0, all_of["words"] if all_of else 0)
 
 
+def append_index(saved: Batches, chunks: DataFrame, batch: str, size: int = SEGMENT) -> bool:
+    """Segments and counts of further chunks, published together. Chunks must be new; nothing of the old ones is read."""
+    if any(r["batch"] == batch for r in saved.listed()):
+        return False
+    made = indexed(chunks, size)
+    spark = chunks.sparkSession
+    return saved.append(batch, segments=made.segments, terms=made.terms, sizes=spark.createDataFrame([(made.chunks, made.words)], SIZES))
+
+
+def saved_index(saved: Batches) -> Index:
+    """The index of all published batches: their counts are added up, and no posting is read for it."""
+    sizes = saved.read("sizes", SIZES).agg(F.sum("chunks"), F.sum("words")).first()
+    terms = saved.read("terms", "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return Index(saved.read("segments", SEGMENT_SCHEMA), terms, sizes[0] or 0, sizes[1] or 0)
+
+
 @dataclass
 class Asked:
     """Questions of a block: their ids, their terms with weights, and which question has which term how often."""

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 from lectio.functions.text import collapse, strip
 from lectio.operators.ordering import numbered
+from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
 CHARS_PER_SECOND, PAUSE_S, MAX_SEGMENT_S = 12.5, 0.6, 20.0
 MAX_REPEATS, ECHO_SHARE, MIN_TERM = 2, 0.6, 5
 WINDOW_S, OVERLAP_S, GLOSSARY_CHARS = 90.0, 15.0, 700
+CHUNKS = "chunk_id string, video_id string, chunk_no int, start double, end double, text string"
 #: Numbers of segments that make a cell of a recording.
 CELL = 1024
 #: Segments among which the end of a window is looked for before the rest.
@@ -283,6 +285,14 @@ def not_yet_cut(segments: DataFrame, chunks: DataFrame, force: bool = False) ->
     return segments if force else segments.join(chunks.select("video_id").distinct(), "video_id", "left_anti")
 
 
+def append_windows(index: Batches, segments: DataFrame, batch: str) -> bool:
+    """Cut the recordings that no published batch has, and publish their chunks as one. Whether there was anything new; a batch
+    without a chunk is an error. A run that broke off has published nothing, and one that is repeated publishes nothing twice."""
+    if any(r["batch"] == batch for r in index.listed()):
+        return False
+    return index.append(batch, chunks=windows(not_yet_cut(segments, index.read("chunks", CHUNKS))))
+
+
 def unit_vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
     size = F.sqrt(F.aggregate(column, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     return df.withColumn("_size", size).withColumn(column, F.transform(column, lambda x: F.when(F.col("_size") > 0, x / F.col("_size")).otherwise(x.cast("double")))).drop("_size")

@@ -11,6 +11,7 @@ from lectio.operators import planning, replies, reports, retrieval, search, tran
 from lectio.plans import tables as t
 from lectio.plans.tables import form, using
 from lectio.sources import artifacts
+from lectio.sources.batches import Batches
 from lectio.sources.shared import shared_dir, stored
 
 QUERIES, ORACLES = {}, {}
@@ -180,6 +181,16 @@ def c4_not_yet_cut(spark, d):
     return transcripts.not_yet_cut(t.segments(spark, d), done).groupBy("video_id").agg(F.count("*").alias("n"))
 
 
+@query(WINDOWS + " SELECT video_id || ':' || lpad(CAST(chunk_no AS VARCHAR), 4, '0') AS chunk_id, round(start, 6) AS start, md5(text) AS text FROM numbered")
+def c4_appended(spark, d):
+    """Recordings in two batches, the second one tried twice: all chunks, each once."""
+    index, segments = Batches(spark, _folder(spark, "chunks")), t.segments(spark, d)
+    transcripts.append_windows(index, segments.filter("cast(substring(video_id, 2) as long) % 3 = 0"), "first")
+    transcripts.append_windows(index, segments, "second")
+    transcripts.append_windows(index, segments, "second")
+    return index.read("chunks", transcripts.CHUNKS).select("chunk_id", F.round("start", 6).alias("start"), F.md5(F.col("text").cast("binary")).alias("text"))
+
+
 @query("SELECT vec_id, round(list_sum(list_transform(e, lambda x: x * x)), 6) AS norm, round(e[1] / 1, 6) AS first FROM (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS e FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) * 3) AS v FROM embeddings))")
 def c5_unit_vectors(spark, d):
     tripled = t.read(spark, d, "embeddings").withColumn("embedding", F.transform("embedding", lambda x: x.cast("double") * 3))
@@ -230,6 +241,16 @@ def d2_lemmas(spark, d):
     return retrieval.words(chunks, "chunk_id", lemmas).groupBy("term").agg(F.count("*").alias("n"))
 
 
+@query(using("chunk") + TOKENS + " SELECT CASE WHEN length(term) > 6 THEN substr(term, 1, 5) ELSE term END AS term, sum(tf) AS n FROM tf GROUP BY 1")
+def d2_learnt_lemmas(spark, d):
+    """The same with a stored dictionary, which an analyser fills in two turns with the words that it lacks."""
+    chunks, known = t.chunks(spark, d), Batches(spark, _folder(spark, "lemmas"))
+    cut = lambda words: [w[:5] if len(w) > 6 else w for w in words]
+    retrieval.learn_lemmas(chunks.filter("cast(substring(video_id, 2) as long) % 2 = 0"), known, "even", cut)
+    lemmas = retrieval.learn_lemmas(chunks, known, "all", cut)
+    return retrieval.postings(chunks, lemmas).groupBy("term").agg(F.sum("tf").alias("n"))
+
+
 @query(using("chunk") + BM25 + " SELECT term, df, round(idf, 6) AS idf FROM idf")
 def d3_term_weights(spark, d):
     chunks = t.chunks(spark, d)
@@ -241,6 +262,16 @@ def d4_d6_bm25(spark, d):
     return _bm25(spark, d).withColumn("score", F.round("score", 6))
 
 
+@query(using("chunk") + BM25 + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM bmr")
+def d3_d4_grown_index(spark, d):
+    """The same from a saved index that grew by a batch: counts are added up, and the old text is not read again."""
+    chunks, saved = t.chunks(spark, d), Batches(spark, _folder(spark, "index"))
+    old = F.expr("cast(substring(video_id, 2) as long) % 3 = 0")
+    search.append_index(saved, chunks.filter(old), "first")
+    search.append_index(saved, chunks.filter(~old), "second")
+    return retrieval.ranked(search.best_matches(t.questions(spark, d), search.saved_index(saved))).withColumn("score", F.round("score", 6))
+
+
 @query(using("chunk") + BM25 + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM bmr")
 def d4_joined_postings(spark, d):
     """The same by a join of all postings, as for questions that are too many to be sent to the segments."""
@@ -657,9 +688,18 @@ def _folder(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@query("SELECT 'not JSON ' || n_nationkey AS content FROM nation WHERE n_nationkey % 5 = 0")
+def a1_unreadable(spark, d):
+    """Files that are no JSON are told apart, whole."""
+    k, path = F.col("n_nationkey"), _folder(spark, "mixed")
+    value = F.when(k % 5 == 0, F.concat(F.lit("not JSON "), k)).otherwise(F.to_json(F.struct(F.col("n_name").alias("slug"))))
+    stored(artifacts.write_each(t.read(spark, d, "nation").select(F.format_string("x/%d.json", k).alias("path"), value.alias("value")), path), "written")
+    return artifacts.read_objects(spark, f"{path}/x/*", artifacts.COURSE)[1].select(F.col("_corrupt").alias("content"))
+
+
 @query("SELECT r_name AS slug, 'T' || r_regionkey AS title, count(*) AS sources, count(*) FILTER (WHERE c_acctbal < 0) AS without_duration, min(c_name) AS first FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL")
 def a1_a2_objects(spark, d):
-    """Courses as JSON objects, one of them written again; a file that is no JSON is told apart."""
+    """Courses as JSON objects, all of them written again."""
     c, n, r = (t.read(spark, d, x) for x in ("customer", "nation", "region"))
     source = F.struct(F.col("c_name").alias("video_id"), F.lit("u").alias("url"), F.lit("t").alias("title"), F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("double")).alias("duration_s"), F.col("c_custkey").cast("int").alias("order"))
     rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -685,7 +725,7 @@ def a5_question_sets(spark, d):
     sets = _sets(spark, d).groupBy("question_set", "kind").agg(F.transform(F.sort_array(F.collect_list(q)), lambda x: x["q"]).alias("questions"))
     path = _folder(spark, "sets")
     artifacts.write_objects(sets.select(F.col("question_set").alias("id"), F.col("question_set").alias("title"), "kind", "questions", F.col("question_set").alias("file")), path, by="file")
-    return artifacts.exploded_sets(artifacts.read_question_sets(spark, f"{path}/*")).select("question_set", "kind", "question_id", "number", "text")
+    return artifacts.exploded_sets(artifacts.read_question_sets(spark, f"{path}/*")[0]).select("question_set", "kind", "question_id", "number", "text")
 
 
 @query("SELECT 'v' || vec_id || ':0000' AS chunk_id, round(CAST(embedding[1] AS DOUBLE), 6) AS first, len(embedding) AS size FROM embeddings")
@@ -702,6 +742,34 @@ def a10_publishable(spark, d):
     return reports.publishable(t.read(spark, d, "pages").select(F.col("url").alias("path")), ["/fr", ".html", "blog"]).select(F.col("path").alias("url"))
 
 
+LISTED = """f AS (SELECT 'c' || n_regionkey AS course, CASE WHEN s_suppkey % 4 = 0 THEN 'audio/v' || s_suppkey || '.wav' WHEN s_suppkey % 4 = 1 THEN 'audio/v' || s_suppkey || '.mp3' WHEN s_suppkey % 4 = 2 THEN 'transcripts/v' || s_suppkey || '.json' ELSE 'answers/q' || s_suppkey || '.json' END AS path, s_suppkey % 4 AS k, strlen(s_name || ' é') AS bytes FROM supplier JOIN nation ON n_nationkey = s_nationkey)"""
+
+
+def _tree(spark, d):
+    """Suppliers as files of courses, written one by one; what lies there is then listed."""
+    k, root = F.col("s_suppkey"), _folder(spark, "tree")
+    name = F.when(k % 4 == 0, F.format_string("audio/v%d.wav", k)).when(k % 4 == 1, F.format_string("audio/v%d.mp3", k)).when(k % 4 == 2, F.format_string("transcripts/v%d.json", k)).otherwise(F.format_string("answers/q%d.json", k))
+    rows = t.read(spark, d, "supplier").join(t.read(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = rows.select(F.concat(F.lit("c"), "n_regionkey", F.lit("/"), name).alias("path"), F.concat("s_name", F.lit(" é")).alias("value"))
+    stored(artifacts.write_each(rows, root), "written")
+    return artifacts.list_artifacts(t.read(spark, d, "region").select(F.concat(F.lit("c"), "r_regionkey").alias("course")), root)
+
+
+@query(f"WITH {LISTED} SELECT course, path, CASE k WHEN 0 THEN 'prepare-audio' WHEN 1 THEN 'download' WHEN 2 THEN 'transcribe' ELSE 'answer' END AS stage, bytes FROM f WHERE k = 3")
+def a10_listed(spark, d):
+    """Of the files that lie there, those that may be published."""
+    found = _tree(spark, d).withColumn("whole", F.concat(F.lit("/"), "path"))
+    return reports.publishable(found.select(F.col("whole").alias("path"), "course", "stage", "bytes")).select("course", F.substring("path", 2, 1000).alias("path"), "stage", "bytes")
+
+
+@query(f"WITH {LISTED}, n AS (SELECT course, count(*) FILTER (WHERE k < 2) AS a, count(*) FILTER (WHERE k = 0) AS w, count(*) FILTER (WHERE k = 2) AS tr, count(*) FILTER (WHERE k = 3) AS an, count(*) AS total FROM f GROUP BY 1) SELECT course, 'download' AS stage, a AS done, total, a = total AS complete FROM n UNION ALL SELECT course, 'prepare-audio', w, total, w = total FROM n UNION ALL SELECT course, 'transcribe', tr, total, tr = total FROM n UNION ALL SELECT course, 'answer', an, total, an = total FROM n")
+def g1_listed_status(spark, d):
+    """Stages as far as the files that lie there say: a recording has audio in any form."""
+    sources = t.read(spark, d, "supplier").join(t.read(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("c"), "n_regionkey").alias("course"))
+    done = reports.done_stages(_tree(spark, d))
+    return reports.stage_status(sources, done, sources).filter("stage in ('download', 'prepare-audio', 'transcribe', 'answer')")
+
+
 @query("""WITH l AS (SELECT c_custkey AS pos, 'w' || c_nationkey AS wrong, c_name AS r FROM customer WHERE c_custkey % 4 <> 0) SELECT min(pos) AS pos, wrong, max_by(r, pos) AS "right" FROM l GROUP BY wrong""")
 def a6_a7_replacement_rules(spark, d):
     c = t.read(spark, d, "customer")

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectio.functions.text import strip
+from lectio.operators.guard import guarded
 
 QUESTION_SET = "id string, title string, description string, kind string, questions array<struct<id:string,number:int,text:string>>"
 COURSE = "schema_version int, slug string, title string, language string, question_sets array<string>, sources array<struct<video_id:string,url:string,title:string,duration_s:double,order:int>>"
@@ -88,23 +94,24 @@ def replacement_rules(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rules.select(F.col("first").alias("pos"), "wrong", "right"), rows.filter(~F.contains("value", F.lit("->")))
 
 
-def read_question_sets(spark: SparkSession, path: str, crosswalks: bool = False) -> DataFrame:
-    """YAML (or JSON) files -> path, raw object as JSON; files named crosswalk-* apart from the others. Needs PyYAML for YAML."""
+def read_question_sets(spark: SparkSession, path: str, crosswalks: bool = False) -> tuple[DataFrame, DataFrame]:
+    """YAML (or JSON) files -> (path, raw object as JSON; dead letters: files that are neither). Files named crosswalk-* apart from
+    the others. Needs PyYAML for YAML."""
     files = spark.read.text(path, wholetext=True).withColumn("path", F.input_file_name())
     named = F.regexp_extract("path", r"([^/]+)$", 1).startswith("crosswalk-")
     files = files.filter(named if crosswalks else ~named)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def parse(pdf: pd.DataFrame) -> pd.DataFrame:
         import json
 
         try:
             from yaml import safe_load
         except ImportError:
             safe_load = json.loads
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf["path"], "raw": [json.dumps(safe_load(x), ensure_ascii=False) for x in pdf["value"]]})
+        return pd.DataFrame({"path": pdf["path"], "raw": [json.dumps(safe_load(x), ensure_ascii=False) for x in pdf["value"]]})
 
-    return files.mapInPandas(parse, "path string, raw string")
+    kind = T.StructType([T.StructField("path", T.StringType()), T.StructField("raw", T.StringType())])
+    return guarded(files, parse, kind, "path", "question-sets")
 
 
 def exploded_sets(raw: DataFrame) -> DataFrame:
@@ -116,3 +123,54 @@ def exploded_sets(raw: DataFrame) -> DataFrame:
 def dead_letters(bad: DataFrame, label: str, path: str) -> None:
     """Replies that could not be read, appended with their label and time."""
     bad.select(F.lit(label).alias("label"), "request_id", "raw", F.current_timestamp().alias("at")).write.mode("append").json(path)
+
+
+def write_each(rows: DataFrame, root: str) -> DataFrame:
+    """(path below root, value) -> path, bytes: a file for each row, written by the tasks under a name of the attempt and then
+    renamed, so a reader never sees half of one. Rows must have paths of their own; the result must be read for them to be written."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(root)
+        made: set[str] = set()
+        for batch in batches:
+            sizes = []
+            for path, value in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+                folder, data = os.path.dirname(f"{base}/{path}"), value.encode()
+                if folder not in made:
+                    files.create_dir(folder)
+                    made.add(folder)
+                temporary = f"{folder}/_{uuid.uuid4().hex}"
+                with files.open_output_stream(temporary) as out:
+                    out.write(data)
+                files.move(temporary, f"{base}/{path}")
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(sizes, pa.int64())], ["path", "bytes"])
+
+    return rows.select("path", "value").mapInArrow(write, "path string, bytes long")
+
+
+#: The stage whose result a path below a course's folder is.
+STAGE_OF = {r"^course\.json$": "ingest", r"^audio/.*\.wav$": "prepare-audio", r"^audio/": "download", r"^transcripts/.*\.json$": "transcribe", r"^chunks\.jsonl$": "index", r"^extracts/.*\.json$": "extract", r"^answers/.*\.json$": "answer"}
+FOLDERS = ["", "audio", "transcripts", "extracts", "answers"]
+
+
+def list_artifacts(courses: DataFrame, root: str) -> DataFrame:
+    """(course) -> course, path (below its folder), stage, bytes, modified of all its files, root/course/...
+
+    A task lists some folders; no content is read and no path goes through the driver. A folder that is missing has no files, and
+    names that begin with an underscore are not finished. A file that is no stage's result has a null stage.
+    """
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for course, folder in zip(batch.column("course").to_pylist(), batch.column("folder").to_pylist()):
+                top = f"{base}/{course}"
+                found = files.get_file_info(fs.FileSelector(f"{top}/{folder}".rstrip("/"), allow_not_found=True, recursive=folder != ""))
+                found = [x for x in found if x.type == fs.FileType.File and not x.base_name.startswith("_")]
+                yield pa.RecordBatch.from_arrays([pa.array([course] * len(found), pa.string()), pa.array([x.path[len(top) + 1 :] for x in found], pa.string()), pa.array([x.size for x in found], pa.int64()), pa.array([x.mtime for x in found], pa.timestamp("us", "UTC"))], ["course", "path", "bytes", "modified"])
+
+    folders = courses.select("course").distinct().withColumn("folder", F.explode(F.array(*map(F.lit, FOLDERS))))
+    found = folders.repartition("course", "folder").mapInArrow(look, "course string, path string, bytes long, modified timestamp")
+    stage = F.coalesce(*(F.when(F.col("path").rlike(pattern), name) for pattern, name in STAGE_OF.items()))
+    return found.select("course", "path", stage.alias("stage"), "bytes", "modified")
