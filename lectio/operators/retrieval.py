@@ -22,6 +22,8 @@ K1, B, EPSILON = 1.5, 0.75, 0.25
 BROADCAST_ROWS = 200_000
 #: Questions of a block whose matrix goes to every task, and vectors of a cell that a block meets when there are several.
 BLOCK, CELL = 4096, 50_000
+#: Vectors that are scored at once; centres of cells, and vectors of a pack.
+TILE, CENTRES, PACK = 512, 1024, 4096
 LEMMAS = "word string, lemma string"
 
 
@@ -90,33 +92,52 @@ def bm25(questions: DataFrame, posted: DataFrame, weights: DataFrame, n: int, av
     return scored.filter("score > 0")
 
 
-def _best(names: np.ndarray, matrix: np.ndarray, pdf: pd.DataFrame, pool: int) -> pd.DataFrame:
-    """The best ``pool`` of these vectors for each question; ties at the edge stay."""
-    score = np.stack(pdf["embedding"].to_numpy()).astype(np.float64) @ matrix.T
-    keep, ids = min(pool, len(pdf)), pdf["chunk_id"].to_numpy()
-    least = np.partition(score, len(pdf) - keep, axis=0)[len(pdf) - keep]
-    row, column = np.nonzero(score >= least[None])
-    return pd.DataFrame({"question_id": names[column], "chunk_id": ids[row], "score": score[row, column]})
+def _best(matrix: np.ndarray, vectors: np.ndarray, pool: int, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, vector, score) of the best ``pool`` of these vectors for each row of the matrix; ties at the edge stay, and what
+    is below ``least`` goes. A tile of vectors at a time, so memory does not grow with their number."""
+    top = np.full((len(matrix), pool), -np.inf)
+    floor = np.full(len(matrix), -np.inf) if least is None else least
+    kept = []
+    for a in range(0, len(vectors), TILE):
+        score = matrix @ vectors[a : a + TILE].T
+        top = np.partition(np.concatenate([top, score], 1), score.shape[1], axis=1)[:, score.shape[1] :]
+        floor = np.maximum(floor, top.min(1))
+        q, v = np.nonzero(score >= floor[:, None])
+        kept.append((q, v + a, score[q, v]))
+    q, v, score = (np.concatenate(x) for x in zip(*kept)) if kept else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    good = score >= floor[q]
+    return q[good], v[good], score[good]
+
+
+def _frame(names: np.ndarray, ids: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pd.DataFrame:
+    q, v, score = found
+    return pd.DataFrame({"question_id": names[q], "chunk_id": ids[v], "score": score})
+
+
+def _questions(asked: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, matrix) of the questions of a block."""
+    rows = asked.orderBy("question_id").collect()
+    return np.array([r["question_id"] for r in rows], object), np.array([r["embedding"] for r in rows], np.float64)
 
 
 def dense(questions: DataFrame, vectors: DataFrame, pool: int = 2 * TOP_K, block: int = BLOCK, cell: int = CELL) -> DataFrame:
-    """(question_id, embedding) x (chunk_id, embedding), unit vectors -> question_id, chunk_id, score; exact.
+    """(question_id, embedding) x (chunk_id, embedding) -> question_id, chunk_id, score (the inner product); exact.
 
-    Up to ``block`` questions are one matrix that goes to every task, and the vectors stay where they are. More questions are
-    dealt to blocks and the vectors to cells, and each block meets each cell in a task of its own. A task sends the best
-    ``pool`` of each question, whatever the number of its vectors.
+    Up to ``block`` questions are one matrix that is broadcast, and the vectors stay where they are. More questions are dealt to
+    blocks and the vectors to cells, and each block meets each cell in a task of its own. A task sends the best ``pool`` of each
+    question, whatever the number of its vectors, and scores a tile of them at a time.
     """
     schema = f"question_id {questions.schema['question_id'].dataType.simpleString()}, chunk_id string, score double"
     asked, known = questions.select("question_id", "embedding"), vectors.select("chunk_id", "embedding")
     n = asked.count()
     if n <= block:
-        rows = asked.orderBy("question_id").collect()
-        names, matrix = np.array([r["question_id"] for r in rows], object), np.array([r["embedding"] for r in rows], np.float64)
+        sent = questions.sparkSession.sparkContext.broadcast(_questions(asked))
 
         def all_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            names, matrix = sent.value
             for pdf in batches:
                 if len(pdf) and len(names):
-                    yield _best(names, matrix, pdf, pool)
+                    yield _frame(names, pdf["chunk_id"].to_numpy(), _best(matrix, np.stack(pdf["embedding"].to_numpy()).astype(np.float64), pool))
 
         return known.mapInPandas(all_of, schema)
     blocks, cells = -(-n // block), max(1, -(-known.count() // cell))
@@ -126,11 +147,85 @@ def dense(questions: DataFrame, vectors: DataFrame, pool: int = 2 * TOP_K, block
     def meet(q: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(v):
             return pd.DataFrame({"question_id": q["question_id"][:0], "chunk_id": v["chunk_id"][:0], "score": np.zeros(0)})
-        return _best(q["question_id"].to_numpy(), np.stack(q["embedding"].to_numpy()).astype(np.float64), v, pool)
+        matrix, there = (np.stack(x["embedding"].to_numpy()).astype(np.float64) for x in (q, v))
+        return _frame(q["question_id"].to_numpy(), v["chunk_id"].to_numpy(), _best(matrix, there, pool))
 
     return some.groupBy("block", "cell").cogroup(other.groupBy("block", "cell")).applyInPandas(meet, schema)
 
 
+def vector_cells(vectors: DataFrame, most: int = CENTRES, pack: int = PACK) -> tuple[DataFrame, np.ndarray]:
+    """(chunk_id, embedding) -> (packs: cell, chunk_ids, vectors, radius; the cells' centres). To be stored once.
+
+    Centres are some of the vectors, at most ``most`` of them; each vector goes to the nearest. A cell with more than ``pack``
+    vectors, such as copies of one, is several packs. The radius reaches from the centre to the furthest vector of the pack.
+    """
+    known, spark = vectors.select("chunk_id", "embedding"), vectors.sparkSession
+    n = known.count()
+    rows = known.orderBy(F.xxhash64("chunk_id"), "chunk_id").limit(min(most, int(np.ceil(np.sqrt(n))))).collect()
+    centres = np.unique(np.array([r["embedding"] for r in rows], np.float64), axis=0)
+    sent = spark.sparkContext.broadcast(centres)
+
+    @F.pandas_udf("int")
+    def nearest(embedding: pd.Series) -> pd.Series:
+        c, out = sent.value, []
+        for a in range(0, len(embedding), TILE):
+            x = np.stack(embedding.to_numpy()[a : a + TILE]).astype(np.float64)
+            out.append((x @ c.T - (c * c).sum(1) / 2).argmax(1))
+        return pd.Series(np.concatenate(out) if out else [], dtype="int32")
+
+    dealt = stored(known.withColumn("cell", nearest("embedding")), "in-cells")
+    sizes = dealt.groupBy("cell").agg(F.count("*").alias("n"))
+    dealt = dealt.join(F.broadcast(sizes), "cell").withColumn("part", F.pmod(F.xxhash64("chunk_id"), F.ceil(F.col("n") / pack)))
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, cell = np.stack(pdf["embedding"].to_numpy()).astype(np.float64), int(pdf["cell"].iloc[0])
+        return pd.DataFrame({"cell": [cell], "chunk_ids": [pdf["chunk_id"].tolist()], "vectors": [x.tobytes()], "radius": [float(np.sqrt(((x - sent.value[cell]) ** 2).sum(1).max()))]})
+
+    return stored(dealt.groupBy("cell", "part").applyInPandas(packed, "cell int, chunk_ids array<string>, vectors binary, radius double"), "packs"), centres
+
+
+def met_by(matrix: np.ndarray, centre: np.ndarray, radius: float, least: np.ndarray) -> np.ndarray:
+    """Which questions may have a vector of the pack at or above ``least``: a product with a vector is that with the centre and at
+    most length times radius more."""
+    return np.flatnonzero(matrix @ centre + np.sqrt((matrix * matrix).sum(1)) * radius >= least - 1e-9)
+
+
+def dense_in_cells(questions: DataFrame, packs: DataFrame, centres: np.ndarray, pool: int = 2 * TOP_K, block: int = BLOCK) -> DataFrame:
+    """The same as dense(), from vector_cells(): the cell nearest to a question gives scores to begin with, and packs that cannot
+    reach the last of them are not scored. Questions go in blocks, one after the other; of each a matrix is broadcast."""
+    spark, kind = questions.sparkSession, questions.schema["question_id"].dataType.simpleString()
+    asked = questions.select("question_id", "embedding")
+    n = max(1, -(-asked.count() // block))
+    asked, found = asked.withColumn("_block", F.pmod(F.xxhash64("question_id"), F.lit(n))), None
+
+    def scored(names: np.ndarray, matrix: np.ndarray, home: np.ndarray, least: np.ndarray, at_home: bool) -> DataFrame:
+        sent = spark.sparkContext.broadcast((names, matrix, home, least))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            names, matrix, home, least = sent.value
+            for pdf in batches:
+                for cell, ids, raw, radius in zip(pdf["cell"], pdf["chunk_ids"], pdf["vectors"], pdf["radius"]):
+                    who = np.flatnonzero(home == cell) if at_home else met_by(matrix, centres[cell], radius, least)
+                    who = who if at_home else who[home[who] != cell]
+                    if len(who):
+                        yield _frame(names[who], np.asarray(ids), _best(matrix[who], np.frombuffer(raw, np.float64).reshape(len(ids), -1), pool, least[who]))
+
+        near = packs.filter(F.col("cell").isin(np.unique(home).tolist())) if at_home else packs
+        return near.mapInPandas(run, f"question_id {kind}, chunk_id string, score double")
+
+    for k in range(n):
+        names, matrix = _questions(asked.filter(F.col("_block") == k))
+        if not len(names) or not len(centres):
+            continue
+        home = (matrix @ centres.T - (centres * centres).sum(1) / 2).argmax(1)
+        first = stored(scored(names, matrix, home, np.full(len(names), -np.inf), True), "at-home")
+        full = ranked(first, pool).filter(F.col("rank") == pool).select("question_id", "score").collect()
+        known = {r["question_id"]: r["score"] for r in full}
+        rows = first.unionByName(scored(names, matrix, home, np.array([known.get(q, -np.inf) for q in names]), False))
+        found = rows if found is None else found.unionByName(rows)
+    return spark.createDataFrame([], f"question_id {kind}, chunk_id string, score double") if found is None else found
+
+
 def ranked(scores: DataFrame, pool: int = 2 * TOP_K, digits: int = 9) -> DataFrame:
     """Best ``pool`` of each question with rank from 1; of equal scores (rounded) the later chunk first."""
     order = W.partitionBy("question_id").orderBy(F.round("score", digits).desc(), F.col("chunk_id").desc())

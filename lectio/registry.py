@@ -293,6 +293,13 @@ def d5_dense_blocks(spark, d):
     return retrieval.ranked(retrieval.dense(asked, vectors, block=50, cell=500)).withColumn("score", F.round("score", 6))
 
 
+@query("WITH x AS (SELECT 1)" + DENSE + " SELECT question_id, chunk_id, round(score, 6) AS score, rank FROM dsr")
+def d5_dense_cells(spark, d):
+    """The same from cells around centres, of which those that are too far are skipped."""
+    vectors, asked = _vectors(spark, d)
+    return retrieval.ranked(retrieval.dense_in_cells(asked, *retrieval.vector_cells(vectors))).withColumn("score", F.round("score", 6))
+
+
 @query(using("chunk") + BM25 + DENSE + FUSED + " SELECT question_id, chunk_id, round(score, 9) AS score, dense_rank, bm25_rank, position FROM fur")
 def d7_fusion(spark, d):
     return retrieval.fused(_dense(spark, d), _bm25(spark, d)).withColumn("score", F.round("score", 9))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,13 @@ def forget(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the files of shuffles that nothing refers to any more: Spark does so when the driver collects its garbage, which with
+    enough memory it would do much later."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a folder; an error if the target exists, so of two writers one succeeds."""
     source, target = spark._jvm.org.apache.hadoop.fs.Path(source), spark._jvm.org.apache.hadoop.fs.Path(target)
