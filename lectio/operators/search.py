@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, term_counts, weights_of, words
 from lectio.sources.batches import Batches
@@ -196,8 +197,8 @@ def _blocks(questions: DataFrame, index: Index, lemmas: DataFrame | None, block:
 def best_matches(questions: DataFrame, index: Index, pool: int = 2 * TOP_K, lemmas: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """question_id, chunk_id, score > 0: of each segment the best ``pool`` (ties at the edge stay), so the best of all are among
     them; exact. Segments stay where they are: no posting is exchanged, and a task sends ``pool`` rows a question and segment."""
-    spark, kind = questions.sparkSession, questions.schema["question_id"].dataType.simpleString()
-    found = None
+    spark, kind = questions.sparkSession, questions.schema["question_id"].dataType
+    arrow, found = to_arrow_type(kind), None
     for asked in _blocks(questions, index, lemmas, block):
         sent = spark.sparkContext.broadcast(asked)
 
@@ -206,8 +207,8 @@ def best_matches(questions: DataFrame, index: Index, pool: int = 2 * TOP_K, lemm
                 for i in range(batch.num_rows):
                     segment = {c: batch.column(c)[i].as_py() for c in ("lengths", "starts", "places", "counts", "frequent", "peaks")} | {c: batch.column(c)[i].values for c in ("terms", "chunk_ids")}
                     for q, kept, score, _ in best_in(segment, sent.value, pool):
-                        yield pa.RecordBatch.from_arrays([pa.array([sent.value.ids[q]] * len(kept)), segment["chunk_ids"].take(pa.array(kept)), pa.array(score)], ["question_id", "chunk_id", "score"])
+                        yield pa.RecordBatch.from_arrays([pa.array([sent.value.ids[q]] * len(kept), arrow), segment["chunk_ids"].take(pa.array(kept)), pa.array(score)], ["question_id", "chunk_id", "score"])
 
-        rows = index.segments.mapInArrow(run, f"question_id {kind}, chunk_id string, score double")
+        rows = index.segments.mapInArrow(run, f"question_id {kind.simpleString()}, chunk_id string, score double")
         found = rows if found is None else found.unionByName(rows)
     return found

@@ -140,7 +140,7 @@ def write_each(rows: DataFrame, root: str) -> DataFrame:
                     files.create_dir(folder)
                     made.add(folder)
                 temporary = f"{folder}/_{uuid.uuid4().hex}"
-                with files.open_output_stream(temporary) as out:
+                with files.open_output_stream(temporary, compression=None) as out:
                     out.write(data)
                 files.move(temporary, f"{base}/{path}")
                 sizes.append(len(data))

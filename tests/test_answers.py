@@ -5,6 +5,7 @@ import json
 import random
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -73,10 +74,36 @@ def test_whole_answers(spark):
 
 def test_extracts_keep_fragments_whose_quote_is_not_there(spark):
     known = chunks(spark, SOURCE, "Второй фрагмент.")
-    judged = spark.createDataFrame([("q", 1, "v:0000", True, 0.5, ["p"], "нет такого нигде вообще", ["r", " "]), ("q", 2, "v:0001", True, 0.9, ["p"], "", []), ("q", 3, "v:0001", True, 0.9, [], "", []), ("q", 4, "v:0001", False, 1.0, ["p"], "", [])], "question_id string, position int, chunk_id string, relevant boolean, relevance double, points array<string>, quote string, readings array<string>")
-    (x,) = replies.assemble_extracts(judged, known).collect()
-    assert x["candidates"] == 4 and [(r["chunk_id"], r["quote"]) for r in x["relevant"]] == [("v:0001", "Второй фрагмент."), ("v:0000", SOURCE[:300])]
-    assert [(r["text"], r["chunk_id"]) for r in x["readings"]] == [("r", "v:0000")]
+    candidates = spark.createDataFrame([("q", 1, "v:0000"), ("q", 2, "v:0001"), ("q", 3, "v:0001"), ("q", 4, "v:0001"), ("q", 5, "v:0000"), ("r", 1, "v:0000")], "question_id string, position int, chunk_id string")
+    judged = spark.createDataFrame([("q", 1, True, 0.5, ["p"], "нет такого нигде вообще", ["r", " "]), ("q", 2, True, 0.9, ["p"], "", []), ("q", 3, True, 0.9, [], "", []), ("q", 4, False, 1.0, ["p"], "", [])], "question_id string, position int, relevant boolean, relevance double, points array<string>, quote string, readings array<string>")
+    asked = spark.createDataFrame([("q", "h1"), ("r", "h2"), ("s", "h3")], "question_id string, input_hash string")
+    x, r, none = replies.assemble_extracts(candidates, judged, known, asked, "m").orderBy("question_id").collect()
+    assert [(c["chunk_id"], c["quote"]) for c in x["relevant"]] == [("v:0001", "Второй фрагмент."), ("v:0000", SOURCE[:300])]
+    assert [(c["text"], c["chunk_id"]) for c in x["readings"]] == [("r", "v:0000")]
+    # the one that was not judged counts; a question whose replies all failed, and one without candidates, have empty extracts
+    assert (x["candidates"], x["model"], x["prompt_version"], x["input_hash"], x["schema_version"]) == (5, "m", "extract_v1", "h1", 1)
+    assert (r["candidates"], r["relevant"], r["readings"], r["input_hash"]) == (1, [], [], "h2") and (none["candidates"], none["relevant"]) == (0, [])
+
+
+def test_many_quotes_of_a_chunk_share_its_table(spark, monkeypatch):
+    rng = random.Random(4)
+    source = "".join(rng.choice("abc ") for _ in range(400))
+    needles = [source[i : i + 30].replace("a", rng.choice("ab")) for i in range(200)] + [None, ""]
+    built = []
+    places = replies.places_of
+    monkeypatch.setattr(replies, "places_of", lambda *x: built.append(1) or places(*x))
+    found = replies.shares(needles, [source] * 202, 0.5)
+    assert len(built) == 1 and found == [replies.share_in_blocks(x, source, 0.5) if x else 0.0 for x in needles]
+    assert [round(x, 9) for x in replies.shares(needles[:200], [source] * 200)] == [round(sum(b.size for b in SequenceMatcher(None, x, source, autojunk=False).get_matching_blocks() if b.size >= 4) / len(x), 9) for x in needles[:200]]
+
+
+def test_prompt_values_as_json(spark):
+    values = {"name": "Ё {n}", "n": 3, "x": 0.5, "big": 1e16, "flag": True, "list": ["a\n\"b\"", "ж"], "none": [], "o": {"k": [1, None]}, "m": {"u": 1}, "gone": None}
+    df = spark.createDataFrame([tuple(values.values())], "name string, n int, x double, big double, flag boolean, list array<string>, none array<int>, o struct<k:array<int>>, m map<string,int>, gone string")
+    template, expected = "|".join("{" + k + "}" for k in values), "|".join("{" + k + "}" for k in values)
+    for k, v in values.items():
+        expected = expected.replace("{" + k + "}", v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, indent=2))
+    assert planning.prompts(df, template, list(values)).first()["prompt"] == expected
 
 
 def test_fusion_and_ties(spark):
@@ -100,7 +127,11 @@ def test_missing_vectors_leave_bm25(spark, tmp_path):
 
 def test_context_stays_in_the_recording(spark):
     known = chunks(spark, "a", "b", "c").unionByName(spark.createDataFrame([("w:0000", "w", 0, 0.0, 1.0, "z")], CHUNK))
-    assert {r["chunk_id"]: r["context"] for r in retrieval.with_neighbours(known).collect()} == {"v:0000": "a b", "v:0001": "a b c", "v:0002": "b c", "w:0000": "z"}
+    expected = {"v:0000": "a b", "v:0001": "a b c", "v:0002": "b c", "w:0000": "z"}
+    assert {r["chunk_id"]: r["context"] for r in retrieval.with_neighbours(known).collect()} == expected
+    assert {r["chunk_id"]: r["context"] for r in retrieval.with_neighbours(known, wanted=known.union(known)).collect()} == expected
+    few = retrieval.with_neighbours(known, 2, known.filter("chunk_no = 2"))
+    assert [tuple(r) for r in few.collect()] == [("v:0002", "a b c")] and "Window" not in few._jdf.queryExecution().toString()
 
 
 def test_registration(spark):
@@ -138,9 +169,22 @@ def test_files(spark, tmp_path):
 def test_question_set_files(spark, tmp_path):
     (tmp_path / "s.yaml").write_text(json.dumps({"id": "s", "kind": "course", "questions": [{"id": "s01", "number": 1, "text": "Вопрос"}]}), encoding="utf-8")
     (tmp_path / "crosswalk-s.yaml").write_text("{}", encoding="utf-8")
-    sets = artifacts.exploded_sets(artifacts.read_question_sets(spark, str(tmp_path)))
+    sets = artifacts.exploded_sets(artifacts.read_question_sets(spark, str(tmp_path))[0])
     assert [(r["question_id"], r["text"]) for r in sets.collect()] == [("s01", "Вопрос")]
-    assert artifacts.read_question_sets(spark, str(tmp_path), crosswalks=True).count() == 1
+    assert artifacts.read_question_sets(spark, str(tmp_path), crosswalks=True)[0].count() == 1
+    (tmp_path / "broken.yaml").write_text("{oops: [", encoding="utf-8")
+    good, bad = artifacts.read_question_sets(spark, str(tmp_path))
+    assert good.count() == 1 and [r["id"].rsplit("/", 1)[1] for r in bad.collect()] == ["broken.yaml"]
+
+
+def test_chunks_lie_in_the_order_of_the_recordings(spark, tmp_path):
+    rows = [(c, o, n, f"{c}{o}:{n:04d}", "x") for c in "ab" for o in range(9) for n in range(12)]
+    random.Random(3).shuffle(rows)
+    artifacts.write_chunks(spark.createDataFrame(rows, "course string, order int, chunk_no int, chunk_id string, text string").repartition(5), str(tmp_path / "out"))
+    for c in "ab":
+        names = sorted((tmp_path / "out" / f"course={c}").glob("part-*"))
+        lines = [json.loads(x) for f in names for x in f.read_text().splitlines()]
+        assert [(x["order"], x["chunk_no"]) for x in lines] == [(o, n) for o in range(9) for n in range(12)]
 
 
 def test_rules(spark):
@@ -225,6 +269,43 @@ def test_many_questions_meet_the_vectors_in_blocks(spark):
     best = {(i, c) for i, _ in asked for c, _ in sorted(known, key=lambda k: (round(score[i, k[0]], 9), k[0]), reverse=True)[:5]}
     assert {(r[0], r[1]) for r in one} == best
     assert retrieval.dense(q.limit(0), v).count() == retrieval.dense(q, v.limit(0), block=3).count() == 0
+    packs, centres = retrieval.vector_cells(v, pack=4)
+    for block in (50, 3):
+        assert sorted(map(tuple, retrieval.ranked(retrieval.dense_in_cells(q, packs, centres, pool=5, block=block), pool=5).collect())) == one
+    assert packs.agg(F.max(F.size("chunk_ids"))).first()[0] <= 37 and packs.agg(F.sum(F.size("chunk_ids"))).first()[0] == 37
+    assert retrieval.dense_in_cells(q.limit(0), packs, centres).count() == 0
+    none, nowhere = retrieval.vector_cells(v.limit(0))
+    assert retrieval.dense_in_cells(q, none, nowhere).count() == 0
+
+
+def test_far_cells_are_skipped_and_copies_are_dealt(spark):
+    """Vectors around five directions, a third of them copies of one: most packs cannot reach what the nearest cell gives."""
+    rng = np.random.default_rng(5)
+    middle = np.linalg.qr(rng.normal(size=(16, 16)))[0][:5]
+    x = np.concatenate([np.repeat(middle[:1], 200, 0), middle[rng.integers(0, 5, 400)] + rng.normal(0, 0.02, (400, 16))])
+    asked = middle + rng.normal(0, 0.02, (5, 16))
+    v = spark.createDataFrame([(f"c{i:03d}", y.tolist()) for i, y in enumerate(x)], "chunk_id string, embedding array<double>")
+    q = spark.createDataFrame([(i, y.tolist()) for i, y in enumerate(asked)], "question_id int, embedding array<double>")
+    packs, centres = retrieval.vector_cells(v, most=20, pack=50)
+    rows = lambda found: sorted((r["question_id"], r["rank"], r["chunk_id"], round(r["score"], 9)) for r in retrieval.ranked(found, 7).collect())
+    assert rows(retrieval.dense_in_cells(q, packs, centres, 7)) == rows(retrieval.dense(q, v, 7))
+    least = np.sort(asked @ x.T, 1)[:, -7]
+    rows = packs.collect()
+    assert max(len(r["chunk_ids"]) for r in rows) < 100
+    met = sum(len(retrieval.met_by(asked, centres[r["cell"]], r["radius"], least)) for r in rows)
+    assert met < 0.4 * len(rows) * len(asked)
+
+
+def test_a_bad_row_costs_no_other(spark):
+    def encode(texts):
+        assert "bad" not in texts
+        return np.array([[len(x)] for x in texts])
+
+    df = spark.createDataFrame([(f"k{i}", "bad" if i == 7 else None if i == 3 else "x" * i) for i in range(20)], "chunk_id string, text string")
+    good, dead = retrieval.embed(df, encode, "chunk_id")
+    assert sorted((r["chunk_id"], r["embedding"][0]) for r in good.collect()) == sorted((f"k{i}", float(i)) for i in range(20) if i not in (3, 7))
+    assert {(r["label"], r["id"]): r["error"].split(":")[0] for r in dead.collect()} == {("embed", "k3"): "ValueError", ("embed", "k7"): "AssertionError"}
+    assert [x.count() for x in retrieval.embed(df.limit(0), encode, "chunk_id")] == [0, 0]
 
 
 def test_finished_answers(spark):
