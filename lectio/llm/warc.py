@@ -100,7 +100,7 @@ class _Output:
         if self.out is None:
             self.name = f"shard-{self.shard:05d}-{self.number:05d}.warc.gz"
             self.temporary = f"{self.folder}/_temporary-{self.attempt}-{self.name}"
-            self.out, self.size, self.records, self.sum = self.files.open_output_stream(self.temporary), 0, 0, hashlib.sha256()
+            self.out, self.size, self.records, self.sum = self.files.open_output_stream(self.temporary, compression=None), 0, 0, hashlib.sha256()
             self._put(_member(_warcinfo(self.name)))
         self._put(member)
         self.records += 1
@@ -278,7 +278,7 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
         for batch in batches:
             for row in batch.to_pylist():
                 total, held, chars, n = hashlib.sha256(), [], 0, 0
-                with where.open_input_stream(f"{root}/{row['file']}") as stream:
+                with where.open_input_stream(f"{root}/{row['file']}", compression=None) as stream:
                     for x in members(_Summed(stream, total)):
                         found = parsed(x)
                         if found is None:
