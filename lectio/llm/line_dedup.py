@@ -3,8 +3,8 @@
 The edits that two lines may be apart grow with the shorter one's length. Of two lines within e edits, the longer one holds
 at least one of the shorter one's e + 1 segments, at nearly the same place. Every distinct line enters its segments in an
 index keyed by segment, place and length, and probes the index with the substrings that such a neighbour's segments could
-be, as far as a filter of all indexed keys has them. What meets there is compared by letter counts, then verified with a
-banded bit-parallel edit distance. Lengths and edits are those of code points.
+be, as far as a filter of all indexed keys has them. What meets there is compared by counts of letters and pairs of them,
+then verified with a banded bit-parallel edit distance. Lengths and edits are those of code points.
 
 A line goes as soon as one earlier line is near enough, so a line first asks the few lines before it that share a key; only
 those that find none ask all the others. A large group of near copies costs its size, not its square.
@@ -96,22 +96,33 @@ def _few(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
 
 
-def letter_counts(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Each line's code points counted in 16 classes, modulo 16, as 64 bits. One edit changes at most two counts by one."""
-    kind = (mix(raw.astype(np.uint64)) & np.uint64(15)).astype(np.int64)
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    counts = np.bincount(line * 16 + kind, minlength=16 * len(sizes)).reshape(-1, 16) & 15
-    return (counts.astype(np.uint64) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64)
+#: Four bits for a count modulo 8, so that the bits in which two differ are how far apart they are, the shorter way round.
+_CYCLE = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b1000], np.uint64)
 
 
-def letters_apart(a: Column, b: Column) -> Column:
-    """The sum of differences of two letter counts, each the shorter way round: never more than twice the edits."""
+def signatures(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Eight words for each line: its code points counted in 64 classes (see _CYCLE), and which of 256 classes of two neighbours
+    it has. One edit changes at most two counts by one, and takes away or adds at most two pairs of neighbours."""
+    n = len(sizes)
+    line = np.repeat(np.arange(n), sizes)
+    kind = (mix(raw.astype(np.uint64)) & np.uint64(63)).astype(np.int64)
+    counts = np.bincount(line * 64 + kind, minlength=64 * n).reshape(n, 4, 16) & 7
+    letters = (_CYCLE[counts] << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64)
+    inside = np.flatnonzero(line[1:] == line[:-1])
+    pair = (mix((raw[inside].astype(np.uint64) << np.uint64(32)) | raw[inside + 1]) & np.uint64(255)).astype(np.int64)
+    has_pair = np.zeros(n * 256, bool)
+    has_pair[line[inside] * 256 + pair] = True
+    return np.concatenate([letters, np.packbits(has_pair, bitorder="little").view("<u8").reshape(n, 4)], 1)
 
-    def one(k: int) -> Column:
-        d = F.abs(F.shiftrightunsigned(a, 4 * k).bitwiseAND(15) - F.shiftrightunsigned(b, 4 * k).bitwiseAND(15))
-        return F.least(d, 16 - d)
 
-    return reduce(Column.__add__, map(one, range(16)))
+def may_be_near(a: Column, b: Column, edits: Column) -> Column:
+    """Whether two signatures (arrays of eight words) are not further apart than so many edits can take them."""
+    word = lambda x, k: F.get(x, F.lit(k))
+    total = lambda f, ks: reduce(Column.__add__, (F.bit_count(f(k)) for k in ks))
+    letters = total(lambda k: word(a, k).bitwiseXOR(word(b, k)), range(4))
+    gone = total(lambda k: word(a, k).bitwiseAND(F.bitwise_not(word(b, k))), range(4, 8))
+    new = total(lambda k: word(b, k).bitwiseAND(F.bitwise_not(word(a, k))), range(4, 8))
+    return (letters <= 2 * edits) & (gone <= 2 * edits) & (new <= 2 * edits)
 
 
 def segments(size: np.ndarray, k: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -335,10 +346,10 @@ def line_texts(docs: DataFrame, limits: Limits, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             said = [x.decode() for x in batch.column(1).to_pylist()]
             raw = np.frombuffer("".join(said).encode("utf-32-le"), "<u4")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(letter_counts(raw, np.array([len(x) for x in said], np.int64)).view(np.int64)), pa.array(said, pa.string())], ["line", "letters", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(signatures(raw, np.array([len(x) for x in said], np.int64)).view(np.int64)), pa.list_(pa.int64())), pa.array(said, pa.string())], ["line", "letters", "text"])
 
     found = rows.mapInArrow(run, "name long, line_no int, line long, said binary").join(small(few), ["name", "line_no", "line"], "left_semi").select("line", "said")
-    found = found.mapInArrow(count, "line long, letters long, text string")
+    found = found.mapInArrow(count, "line long, letters array<long>, text string")
     with small_batches(docs.sparkSession):
         return stored(found.dropDuplicates(["line"]).join(wanted, "line").select("line", "at", "letters", "text"), "line-texts")
 
@@ -434,7 +445,7 @@ def near_earlier(docs: DataFrame, limits: Limits, lines: DataFrame, indexed: Dat
         before = W.partitionBy("key", "cell").orderBy("at", "line").rowsBetween(-furthest, -nearest)
         asked = rows.withColumn("cell", cell).withColumn("others", F.collect_list(F.struct(F.col("line").alias("other"), F.col("letters").alias("with"))).over(before))
         asked = asked if gone is None else asked.join(gone, "line", "left_anti")
-        near = F.filter("others", lambda o: letters_apart(F.col("letters"), o["with"]) <= 2 * F.col("edits"))
+        near = F.filter("others", lambda o: may_be_near(F.col("letters"), o["with"], F.col("edits")))
         asked = asked.select("line", F.transform(near, lambda o: o["other"]).alias("others")).filter(F.size("others") > 0)
         listed = asked.groupBy("line").agg(F.array_distinct(F.flatten(F.collect_list("others"))).alias("others"))
         if tested is not None:
@@ -447,7 +458,7 @@ def near_earlier(docs: DataFrame, limits: Limits, lines: DataFrame, indexed: Dat
     # what has found none asks all earlier lines of its keys; a probe and a probe have no segment in common
     u = rows.join(gone, "line", "left_anti").select("key", "line", "at", "letters", "edits", "index")
     v = rows.select("key", *(F.col(c).alias(f"v_{c}") for c in ("line", "at", "letters", "index")))
-    meets = (F.col("v_at") < F.col("at")) & (F.col("index") | F.col("v_index")) & (letters_apart(F.col("letters"), F.col("v_letters")) <= 2 * F.col("edits"))
+    meets = (F.col("v_at") < F.col("at")) & (F.col("index") | F.col("v_index")) & may_be_near(F.col("letters"), F.col("v_letters"), F.col("edits"))
     rest = u.join(v, "key").filter(meets).select("line", F.col("v_line").alias("other")).distinct()
     rest = stored(rest.join(tested, ["line", "other"], "left_anti"), "pairs")
     return gone.unionByName(near_pairs(rest, known, limits)).distinct()

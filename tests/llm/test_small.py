@@ -400,14 +400,17 @@ def test_a_group_of_near_copies(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.without_lines(docs(spark, *lines).repartition(4)).collect()} == expected
 
 
-def test_letter_counts_bound_the_edits(spark):
+def test_signatures_bound_the_edits(spark):
+    """Whatever is within some edits may be near; most of what is far apart may not."""
     rng = np.random.default_rng(8)
-    lines = ["".join("abcdefgh語"[i] for i in rng.integers(0, 9, rng.integers(1, 70))) for _ in range(40)]
+    lines = ["".join("abcdefgh語"[i] for i in rng.integers(0, 9, rng.integers(1, 70))) for _ in range(40)] + ["ab" * 30, "ab" * 31, "", "a", "a" * 300]
     raw = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
-    counts = line_dedup.letter_counts(raw, np.array([len(x) for x in lines])).view(np.int64).tolist()
-    rows = spark.createDataFrame([(i, j, counts[i], counts[j]) for i in range(40) for j in range(i)], "i int, j int, a long, b long")
-    for r in rows.select("i", "j", line_dedup.letters_apart(F.col("a"), F.col("b")).alias("d")).collect():
-        assert r["d"] <= 2 * edits(lines[r["i"]], lines[r["j"]])
+    known = line_dedup.signatures(raw, np.array([len(x) for x in lines])).view(np.int64).tolist()
+    pairs = [(i, j, known[i], known[j], edits(lines[i], lines[j])) for i in range(len(lines)) for j in range(len(lines))]
+    rows = spark.createDataFrame(pairs, "i int, j int, a array<long>, b array<long>, e int")
+    may = lambda e: line_dedup.may_be_near(F.col("a"), F.col("b"), e)
+    assert rows.filter(~may(F.col("e"))).count() == 0
+    assert rows.filter((F.col("e") > 12) & may(F.lit(4))).count() < 0.02 * rows.filter("e > 12").count()
 
 
 def test_near_copies_of_lines(spark):
