@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.llm.common import forget, row_name, stored, table, texts
+from lectio.llm.common import forget, release, row_name, stored, table, texts
 from lectio.llm.hashing import _BYTES, _INVERSE, _ODD, gathered, mix, powers, scatter
 from lectio.llm.pieces import slices
 
@@ -403,6 +403,9 @@ def repeated_spans(docs: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
     cuts = rows.mapInArrow(cut, "bucket int, run binary, done binary")
     found = stored(cuts.repartition(-(-buckets // 4), "bucket").sortWithinPartitions("bucket").mapInArrow(sort, "name long, start long, stop long"), "spans")
     shared.destroy()
+    # the runs are settled: their files need not lie there while the texts are joined
+    del cuts
+    release(docs.sparkSession)
     return found
 
 
