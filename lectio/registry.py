@@ -869,6 +869,47 @@ def i5_patterns(spark, d):
     return reports.violations(q, ["k"], reports.patterns("question"))
 
 
+@query(using("seg") + """, s AS (SELECT video_id, seg_no, CASE WHEN seg_no % 7 = 3 THEN -1 ELSE start END AS start, CASE WHEN seg_no % 5 = 2 THEN start - 0.5 ELSE stop END AS stop FROM seg)
+SELECT video_id, seg_no, 'start' AS rule FROM s WHERE start < 0 UNION ALL SELECT video_id, seg_no, 'end' FROM s WHERE stop < start""")
+def i5_segments(spark, d):
+    n, rows = F.col("seg_no"), t.segments(spark, d)
+    rows = rows.withColumns({"start": F.when(n % 7 == 3, -1.0).otherwise(F.col("start")), "end": F.when(n % 5 == 2, F.col("start") - 0.5).otherwise(F.col("end"))})
+    return reports.violations(rows, ["video_id", "seg_no"], reports.patterns("segment"))
+
+
+@query("""SELECT doc_id AS k, 'chunk_id' AS rule FROM documents WHERE doc_id % 4 = 0 UNION ALL SELECT doc_id, 'video_id' FROM documents WHERE doc_id % 11 = 0 UNION ALL SELECT doc_id, 'text' FROM documents WHERE doc_id % 9 = 0 OR text = ''
+UNION ALL SELECT doc_id, 'source_type' FROM documents WHERE doc_id % 6 = 1 UNION ALL SELECT doc_id, 'end' FROM documents WHERE doc_id % 10 = 7""")
+def i5_chunks(spark, d):
+    k = F.col("doc_id")
+    rows = t.read(spark, d, "documents").select(
+        k.alias("k"), F.concat(F.lit("v"), k, F.when(k % 4 == 0, "-0000").otherwise(":0000")).alias("chunk_id"), F.when(k % 6 == 1, "audio").when(k % 6 != 2, "video").alias("source_type"),
+        F.when(k % 11 == 0, "").otherwise(F.concat(F.lit("v"), k)).alias("video_id"), F.lit(0.0).alias("start"), F.when(k % 10 == 7, -1.0).otherwise(5.0).alias("end"), F.when(k % 9 == 0, "").otherwise(F.col("text")).alias("text"),
+    )
+    return reports.violations(rows, ["k"], reports.patterns("chunk"))
+
+
+STORED = "st AS (SELECT o_orderkey AS k, o_orderkey % 3 = 0 AS id, o_orderkey % 5 = 0 AS value, o_orderkey % 7 = 0 AS version FROM orders)"
+RULES_OF = " SELECT k, '{kind}' AS kind, 'question_id' AS rule FROM st WHERE id UNION ALL SELECT k, '{kind}', '{rule}' FROM st WHERE value UNION ALL SELECT k, '{kind}', 'schema_version' FROM st WHERE version"
+
+
+@query(f"WITH {STORED}" + RULES_OF.format(kind="extract", rule="candidates") + " UNION ALL" + RULES_OF.format(kind="answer", rule="coverage"))
+def i5_extracts_and_answers(spark, d):
+    k = F.col("o_orderkey")
+    rows = t.read(spark, d, "orders").select(
+        k.alias("k"), F.concat(F.when(k % 3 == 0, "Q").otherwise("q"), F.lpad((k % 1000).cast("string"), 3, "0")).alias("question_id"), F.when(k % 5 == 0, -1).otherwise(40).alias("candidates"),
+        F.when(k % 5 == 0, "whole").otherwise("partial").alias("coverage"), F.when(k % 7 == 0, 2).when(k % 7 == 1, 1).alias("schema_version"),
+    )
+    return reports.violations(rows.withColumn("kind", F.lit("extract")), ["k", "kind"], reports.patterns("extract")).unionByName(reports.violations(rows.withColumn("kind", F.lit("answer")), ["k", "kind"], reports.patterns("answer")))
+
+
+@query("""WITH s AS (SELECT c_custkey AS k, c_custkey % 3 AS n, c_acctbal AS a FROM customer) SELECT k, 'order' AS rule FROM s WHERE n < 1 UNION ALL SELECT k, 'duration_s' FROM s WHERE a < 0
+UNION ALL SELECT k, 'video_id' FROM s WHERE k % 7 = 0 UNION ALL SELECT k, 'url' FROM s WHERE k % 5 = 0""")
+def i5_sources(spark, d):
+    k = F.col("c_custkey")
+    rows = t.read(spark, d, "customer").select(k.alias("k"), (k % 3).alias("order"), F.col("c_acctbal").cast("double").alias("duration_s"), F.when(k % 7 == 0, "").otherwise("v").alias("video_id"), F.when(k % 5 != 0, "u").alias("url"), F.lit("t").alias("title"))
+    return reports.violations(rows, ["k"], reports.patterns("source"))
+
+
 @query(using("asr") + " SELECT video_id, pos FROM asr WHERE start IS NOT NULL AND stop IS NOT NULL AND stop < start AND start >= 0")
 def i6_backward_segments(spark, d):
     rows = t.asr(spark, d).filter("start is not null and end is not null")

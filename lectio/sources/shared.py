@@ -5,10 +5,13 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where the tables of stored() lie.
+_WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 #: A table in so many files or fewer is small enough to be dealt anew.
 FEW_FILES = 4
 
@@ -17,7 +20,7 @@ def dealt(df: DataFrame) -> DataFrame:
     """A table that comes in a few files, dealt to all cores: a file may be one task, however many cores there are. What comes
     in more files stays where it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) <= min(FEW_FILES, cores - 1) else df
+    return df.repartition(cores) if len(df._jdf.inputFiles()) <= min(FEW_FILES, cores - 1) else df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,14 +39,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[out] = path
+    return out
 
 
 def forget(*tables: DataFrame) -> None:
-    """Delete tables of stored() that nothing reads any more."""
+    """Delete tables of stored(), or all that something was made from, when nothing reads them any more."""
     for df in tables:
         spark = df.sparkSession
-        for folder in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        for folder in [_WRITTEN[df]] if df in _WRITTEN else {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
