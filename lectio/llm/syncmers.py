@@ -40,10 +40,23 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.withColumn(out, F.when(F.size(words) >= K, F.transform(pairs, anchor)).otherwise(short)).drop(words, hashes, pairs)
 
 
+def sketch_of(anchors: str) -> Column:
+    """The least SKETCH distinct anchor hashes in ascending order."""
+    return F.slice(F.sort_array(F.array_distinct(F.array_compact(anchors))), 1, SKETCH)
+
+
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add array ``out``: the least SKETCH distinct anchor hashes in ascending order."""
-    found = with_anchors(df, text, f"_{out}")
-    return found.withColumn(out, F.slice(F.sort_array(F.array_distinct(F.array_compact(f"_{out}"))), 1, SKETCH)).drop(f"_{out}")
+    """Add array ``out``: the sketch of a text."""
+    return with_anchors(df, text, f"_{out}").withColumn(out, sketch_of(f"_{out}")).drop(f"_{out}")
+
+
+def in_place(a: str, b: str) -> tuple[Column, Column]:
+    """Positional matching of two arrays of anchors: (how many of both stand at the same word, the word of the first anchor of ``a``
+    that ``b`` does not have there; null where it has all). Anchors depend on their own words alone, so up to the first word
+    that differs all agree, whatever follows."""
+    same = F.zip_with(a, b, lambda x, y: x == y)
+    moved = F.filter(F.transform(a, lambda x, i: F.when(x.isNotNull() & ~F.coalesce(F.get(b, i) == x, F.lit(False)), i)), lambda i: i.isNotNull())
+    return F.size(F.filter(same, lambda x: x)).cast("long"), F.array_min(moved).cast("long")
 
 
 def shown(sketch: str) -> Column:
@@ -114,7 +127,8 @@ def with_next(docs: DataFrame, columns: list[str], prepare: Callable[[DataFrame]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """documents -> doc_id, n_chars, text, edited_text, and sketches: sketch, edited_sketch, next_sketch.
+    """documents -> doc_id (as a long: a string that holds none is an error), n_chars, text, edited_text, sketches: sketch,
+    edited_sketch, next_sketch, and arrays of anchors by word: anchors, edited_anchors.
 
     The edited text has its last floor(n_chars / 3) code points replaced by the first as many (or all) of the next document's.
     A null text is empty. Rows with the same doc_id, or with null ones, are documents of their own. A lone row is its own next.
@@ -125,9 +139,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     cut = F.floor(size / 3).cast("int")
     edited = F.concat(F.left("text", size - cut), F.left("next_text", cut))
     paired = paired.select("doc_id", size.cast("long").alias("n_chars"), "text", edited.alias("edited_text"), "sketch", "next_sketch")
-    return with_sketch(paired, "edited_text", "edited_sketch")
+    paired = with_anchors(with_anchors(paired, "text", "anchors"), "edited_text", "edited_anchors")
+    return paired.withColumn("edited_sketch", sketch_of("edited_anchors"))
 
 
 def op1_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> the fingerprints of each text and its edited text, their likeness, and from the places of anchors: n_anchors,
+    anchors_in_place and first_moved (see in_place()). Nulls, equal ids, an empty table: see fingerprints()."""
     found = fingerprints(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), shown("sketch").alias("fingerprint"), shown("edited_sketch").alias("edited_fingerprint"), likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"))
+    together, moved = in_place("anchors", "edited_anchors")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), shown("sketch").alias("fingerprint"), shown("edited_sketch").alias("edited_fingerprint"), likeness("sketch", "edited_sketch").alias("near_edited"), likeness("sketch", "next_sketch").alias("near_next"),
+        F.size(F.array_compact("anchors")).cast("long").alias("n_anchors"), together.alias("anchors_in_place"), moved.alias("first_moved"),
+    )

@@ -137,6 +137,21 @@ def test_passages_match_at_their_shift(spark):
     assert (best["left_id"], best["right_id"], best["shift"]) == (1, 2, 40) and best["n"] > 10
 
 
+def test_anchors_of_an_edited_text_stay_in_place(spark):
+    """Against plain loops: what stands before the first word that differs agrees; the query has the same columns."""
+    words = prose(6, 90).split()
+    rows = [(" ".join(words), " ".join(words[:50] + ["other"] + words[51:])), (" ".join(words), " ".join(words)), (" ".join(words), " ".join(words[1:])), ("", "a b"), ("a b", "a b"), ("a b", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    df = syncmers.with_anchors(syncmers.with_anchors(df, "a", "x"), "b", "y")
+    together, moved = syncmers.in_place("x", "y")
+    for r in df.select("x", "y", together.alias("n"), moved.alias("first")).collect():
+        x, y = list(r["x"]), list(r["y"])
+        assert r["n"] == sum(p is not None and p == q for p, q in zip(x, y))
+        assert r["first"] == next((i for i, p in enumerate(x) if p is not None and (i >= len(y) or y[i] != p)), None)
+    first = df.select(moved.alias("first")).collect()
+    assert 50 - syncmers.K < first[0]["first"] <= 60 and first[1]["first"] is None and first[2]["first"] < 10
+
+
 def test_urls(spark):
     pages = spark.createDataFrame([(1, "HTTP://Www.Example.com/en/x?q"), (2, "https://a.example.com/en/"), (3, "http://b.com"), (4, "http://b.com/"), (5, "x.net/fr/"), (6, None), (7, "ftp://x.net/fr/1#a"), (8, "http://notexample.com/en/"), (9, "http://bad.org/1"), (None, "http://good.org/")], "page_id long, url string")
     labels = spark.createDataFrame([(9, 0)] + [(4, 1), (4, 0), (8, 1), (None, 1)], "doc_id long, quality int")
