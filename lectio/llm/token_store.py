@@ -181,8 +181,8 @@ def _coder(path: str, drops_white_space: bool):
 def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, drops_white_space: bool = False, block_ids: int = BLOCK_IDS) -> DataFrame:
     """Encode each text with a tokenizers file, add end_id, and return the written blocks (part, block, n_docs, n_ids, payload).
 
-    Blocks in order of (part, block) hold the documents in order of doc_id, null first, then of text: repeated rows and ids
-    are documents of their own. A null text is empty and has the end id alone. A block takes whole documents up to
+    Blocks in order of (part, block) hold the documents in order of doc_id (as a long), null first, then of text: repeated
+    rows and ids are documents of their own. A null text is empty and has the end id alone. A block takes whole documents up to
     block_ids ids, and a longer document alone. drops_white_space: only for tokenizers without tokens over white space.
     """
 
@@ -212,7 +212,9 @@ def write_blocks(docs: DataFrame, tokenizer: str, end_id: int, drops_white_space
             yield block()
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # by how the text begins too, so that rows without an id, or with one that many have, are several ranges
+    dealt = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    dealt = dealt.repartitionByRange(parts, "doc_id", F.left("text", F.lit(200))).sortWithinPartitions("doc_id", "text")
     return stored(dealt.mapInArrow(encode, BLOCK_SCHEMA), "token-blocks")
 
 
