@@ -29,12 +29,31 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(others)) for b in range(256)]
 
 
+def unknown_parts(spec: dict) -> list[str]:
+    """What a file asks for beyond what BPE does: NFC, white space to one space, lower case; words by one pattern, as bytes; merges
+    with a word's end marked; no decoder; added tokens taken wherever they stand."""
+    model, steps = spec["model"], lambda part, key: [(x or {}) for x in ((spec[part] or {}).get(key) or [])]
+    normal, split = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    plain = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+    as_expected = {
+        "model": all(model.get(k, v) == v for k, v in plain.items()) and bool(model.get("end_of_word_suffix")),
+        "normalizer": [x["type"] for x in normal] == ["NFC", "Replace", "Lowercase"] and (normal[1]["pattern"], normal[1]["content"]) == ({"Regex": r"\s+"}, " "),
+        "pre_tokenizer": [x["type"] for x in split] == ["Split", "ByteLevel"] and "Regex" in split[0]["pattern"] and (split[0]["behavior"], split[0]["invert"]) == ("Removed", True) and not split[1]["add_prefix_space"] and not split[1]["use_regex"],
+        "decoder": spec.get("decoder") is None,
+        "added_tokens": not any(x.get(k) for x in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")),
+    }
+    return [part for part, ok in as_expected.items() if not ok]
+
+
 class BPE:
-    """A word-end BPE vocabulary (the JSON file of the tokenizers library; NFC, lower case, white space dropped)."""
+    """A word-end BPE vocabulary (the JSON file of the tokenizers library; NFC, lower case, white space dropped). A file that asks
+    for anything else is refused, as its ids would be wrong."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        if odd := unknown_parts(spec):
+            raise ValueError(f"this file's {', '.join(odd)} are of a kind that is not done here")
         model = spec["model"]
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
@@ -179,11 +198,13 @@ def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> doc_id, n_tokens, ids_sha256, decoded_sha256. Null texts, equal and null ids: see encode_decode()."""
     import public_tokenizers
 
     return digest(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
 def digest(coded: DataFrame) -> DataFrame:
+    """encode_decode() rows -> doc_id, n_tokens, ids_sha256, decoded_sha256: a row each, those of empty texts with no ids."""
     said = F.array_join(F.col("ids").cast("array<string>"), " ")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(said, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

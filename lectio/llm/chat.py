@@ -93,6 +93,8 @@ def as_events(conversations: DataFrame) -> DataFrame:
 
 
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations and one more -> conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, read back from the
+    formatted text. A null text is empty; rows of a null conv_id are one conversation; ties and repeated rows: see fold_events()."""
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))

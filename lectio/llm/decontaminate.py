@@ -100,6 +100,7 @@ def hit_words(hits: str) -> Column:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents x benchmark -> doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Nulls, equal ids, an empty benchmark: see with_hits()."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.transform("hits", lambda x: x["item_id"])))
     found = found.select("doc_id", "n_words", F.size(hit_words("hits")).cast("long").alias("n_hit"), items.alias("items"))

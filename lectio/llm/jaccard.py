@@ -442,6 +442,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> doc_id, n_shingles, component_id. Null and short texts, equal and null ids, repeated rows: see similar_groups()."""
     return similar_groups(table(spark, sf_dir, "documents"))
 
 

@@ -182,6 +182,7 @@ def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> doc_id, held_out, score, predicted. Null texts and ids, several labels of a document: see fit() and score()."""
     docs = table(spark, sf_dir, "documents")
     network = fit(docs, table(spark, sf_dir, "labels"))
     return score(docs.select("doc_id", "text"), network).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

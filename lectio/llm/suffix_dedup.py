@@ -441,6 +441,7 @@ def without_repeats(docs: DataFrame, hot_least: int = HOT_LEAST) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> doc_id, n_bytes, n_removed, n_spans, kept_sha256. Null texts, equal and null ids, repeated rows: see without_repeats()."""
     found = without_repeats(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["stop"] - x["start"])
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -259,6 +259,7 @@ def summary(blocks: DataFrame) -> DataFrame:
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, written as blocks and read back -> doc_id, start, n_tokens, ids_crc32. Null texts, equal and null ids: see write_blocks()."""
     import public_tokenizers
 
     blocks = write_blocks(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, drops_white_space=True)

@@ -106,6 +106,7 @@ def judge_urls(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str,
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages -> page_id, host, path, rule, verdict. Null urls, repeated pages, null labels, an empty table: see judge_urls()."""
     return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("upper")
 
 

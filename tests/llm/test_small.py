@@ -54,6 +54,22 @@ def test_no_merge_makes_an_earlier_one_possible(vocabulary):
     assert not late
 
 
+def test_vocabularies_of_another_kind_are_refused(vocabulary, tmp_path):
+    import json
+
+    import public_tokenizers
+
+    with pytest.raises(ValueError, match="model, normalizer, pre_tokenizer, decoder"):
+        bpe.BPE(public_tokenizers.path("byte_bpe_50k.json"))
+    spec = json.load(open(vocabulary, encoding="utf-8"))
+    assert bpe.unknown_parts(spec) == []
+    changes = {"model": lambda s: s["model"].update(ignore_merges=True), "normalizer": lambda s: s["normalizer"]["normalizers"].pop(), "pre_tokenizer": lambda s: s["pre_tokenizer"]["pretokenizers"][1].update(use_regex=True), "added_tokens": lambda s: s["added_tokens"][0].update(lstrip=True)}
+    for part, change in changes.items():
+        other = json.loads(json.dumps({k: v for k, v in spec.items() if k != "model"} | {"model": {k: v for k, v in spec["model"].items() if k not in ("vocab", "merges")}}))
+        change(other)
+        assert bpe.unknown_parts(other) == [part]
+
+
 def test_piece_cache_keeps_its_bound():
     cache = PieceCache(lambda xs: [x.encode() for x in xs], most=3)
     assert cache.encode(["a b", "c d e"]) == [b"ab", b"cde"] and cache.encode(["x y z w"]) == [b"xyzw"] and cache.encode(["a"]) == [b"a"]
