@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectio.llm import bpe, decontaminate, jaccard, line_dedup, quality
-from lectio.llm.common import stored, table
+from lectio.llm.common import forget, stored, table
 
 SCORE = "_quality_score"
 
@@ -57,7 +57,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """documents through all stages. What a stage wrote is deleted once the next one has written its own.
+
+    Rows with null or equal ids are documents of their own; an empty table gives no rows. See the stages for nulls.
+    """
+    docs, written = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if written is not None:
+            forget(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
