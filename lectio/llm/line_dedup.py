@@ -101,7 +101,7 @@ _CYCLE = np.array([0b0000, 0b0001, 0b0011, 0b0111, 0b1111, 0b1110, 0b1100, 0b100
 
 
 def signatures(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Eight words for each line: its code points counted in 64 classes (see _CYCLE), and which of 256 classes of two neighbours
+    """Twelve words for each line: its code points counted in 64 classes (see _CYCLE), and which of 512 classes of two neighbours
     it has. One edit changes at most two counts by one, and takes away or adds at most two pairs of neighbours."""
     n = len(sizes)
     line = np.repeat(np.arange(n), sizes)
@@ -109,19 +109,19 @@ def signatures(raw: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     counts = np.bincount(line * 64 + kind, minlength=64 * n).reshape(n, 4, 16) & 7
     letters = (_CYCLE[counts] << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(2, dtype=np.uint64)
     inside = np.flatnonzero(line[1:] == line[:-1])
-    pair = (mix((raw[inside].astype(np.uint64) << np.uint64(32)) | raw[inside + 1]) & np.uint64(255)).astype(np.int64)
-    has_pair = np.zeros(n * 256, bool)
-    has_pair[line[inside] * 256 + pair] = True
-    return np.concatenate([letters, np.packbits(has_pair, bitorder="little").view("<u8").reshape(n, 4)], 1)
+    pair = (mix((raw[inside].astype(np.uint64) << np.uint64(32)) | raw[inside + 1]) & np.uint64(511)).astype(np.int64)
+    has_pair = np.zeros(n * 512, bool)
+    has_pair[line[inside] * 512 + pair] = True
+    return np.concatenate([letters, np.packbits(has_pair, bitorder="little").view("<u8").reshape(n, 8)], 1)
 
 
 def may_be_near(a: Column, b: Column, edits: Column) -> Column:
-    """Whether two signatures (arrays of eight words) are not further apart than so many edits can take them."""
+    """Whether two signatures (arrays of twelve words) are not further apart than so many edits can take them."""
     word = lambda x, k: F.get(x, F.lit(k))
     total = lambda f, ks: reduce(Column.__add__, (F.bit_count(f(k)) for k in ks))
     letters = total(lambda k: word(a, k).bitwiseXOR(word(b, k)), range(4))
-    gone = total(lambda k: word(a, k).bitwiseAND(F.bitwise_not(word(b, k))), range(4, 8))
-    new = total(lambda k: word(b, k).bitwiseAND(F.bitwise_not(word(a, k))), range(4, 8))
+    gone = total(lambda k: word(a, k).bitwiseAND(F.bitwise_not(word(b, k))), range(4, 12))
+    new = total(lambda k: word(b, k).bitwiseAND(F.bitwise_not(word(a, k))), range(4, 12))
     return (letters <= 2 * edits) & (gone <= 2 * edits) & (new <= 2 * edits)
 
 
