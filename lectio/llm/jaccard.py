@@ -38,6 +38,10 @@ LONGS, SPREAD = 8, 4
 ROUNDS, CELL = 3, 4096
 #: Shingles are told apart by frequency from so many occurrences on.
 LEAST = 6
+#: Counts from here on are tallied as one: what goes to the driver to find the least count of a frequent shingle.
+TALLIES = 1 << 16
+#: Sets that a task remembers having put out; one that is put out again only costs time.
+SEEN = 500_000
 MAP = [f"b{k}" for k in range(LONGS)]
 #: Nodes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -196,17 +200,33 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         slots = np.frombuffer(r["slots"], np.uint32)
         np.bitwise_or.at(bits, slots >> 3, np.uint8(1) << (slots & 7).astype(np.uint8))
     total = found.agg(F.sum("total")).first()[0] or 0
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """How many codes have each count, at most TALLIES different ones."""
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                count, n = np.unique(np.minimum(np.frombuffer(x, np.int64), TALLIES - 1), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(count), pa.array(n.astype(np.int64))], ["count", "n"])
+
     # the least count from which there are at most FREQUENT codes; the table of tallies is as long as the counts go
-    tally = np.zeros(1 << 16, np.int64)
-    for r in found.select("counts").toLocalIterator():
-        tally += np.bincount(np.minimum(np.frombuffer(r["counts"], np.int64), (1 << 16) - 1), minlength=1 << 16)
+    tally = np.zeros(TALLIES, np.int64)
+    for r in found.select("counts").mapInArrow(tallied, "count long, n long").groupBy("count").agg(F.sum("n").alias("n")).collect():
+        tally[r["count"]] = r["n"]
     above = np.cumsum(tally[::-1])[::-1]
     least = max(LEAST, int(np.argmax(above <= FREQUENT)), total // FREQUENT + 1 if above[-1] > FREQUENT else 0)
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                c, k = np.frombuffer(c, np.uint32), np.frombuffer(k, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([c[k >= least].tobytes()], pa.binary()), pa.array([k[k >= least].tobytes()], pa.binary())], ["codes", "counts"])
+
+    # at most FREQUENT of them, so 12 MB
     codes, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-    for r in found.select("codes", "counts").toLocalIterator():
-        c, k = np.frombuffer(r["codes"], np.uint32), np.frombuffer(r["counts"], np.int64)
-        codes.append(c[k >= least])
-        counts.append(k[k >= least])
+    for r in found.select("codes", "counts").mapInArrow(frequent, "codes binary, counts binary").toLocalIterator():
+        codes.append(np.frombuffer(r["codes"], np.uint32))
+        counts.append(np.frombuffer(r["counts"], np.int64))
+    forget(found)
     codes, counts = np.concatenate(codes), np.concatenate(counts)
     order = np.argsort(codes)
     return bits, codes[order], counts[order]
@@ -226,7 +246,7 @@ def prefix_rows(docs: DataFrame, known: tuple[np.ndarray, np.ndarray, np.ndarray
     """documents -> shingle, node, n, band, place, low, b0 ...: prefix shingles that others may share.
 
     place: how many of the set's shingles come before it; low: whether it is in the shorter prefix too; b0 ...: the short
-    bitmap. A set is put out once by a task, and by each task that has it.
+    bitmap. A set is put out once by a task, as far as it remembers, and by each task that has it.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
@@ -236,6 +256,8 @@ def prefix_rows(docs: DataFrame, known: tuple[np.ndarray, np.ndarray, np.ndarray
         bits, codes, counts = shared.value
         seen: set[int] = set()
         for batch in batches:
+            if len(seen) > SEEN:
+                seen.clear()
             for _, _, hashes, sizes in _sets(batch.column(1).to_pylist()):
                 if not len(hashes):
                     continue
