@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.sources.shared import stored
+from lectio.sources.shared import few, stored
 
 #: Below the bits that number a partition, Spark's increasing ids have these for the row in it.
 _ROW_BITS = 33
@@ -36,7 +36,8 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "number", wit
     if not within:
         return rows.select(*df.columns, name)
     first = rows.groupBy(*within).agg(F.min(name).alias("_first"))
-    first = first.select(*(F.col(c).alias(f"_in_{c}") for c in within), "_first")
+    # few groups are broadcast, so that a large one is not dealt to one task
+    first = few(stored(first.select(*(F.col(c).alias(f"_in_{c}") for c in within), "_first"), "firsts"))
     same = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in within]
     met = same[0]
     for x in same[1:]:

@@ -8,12 +8,15 @@ import uuid
 import weakref
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 #: Where the tables of stored() lie.
 _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 #: A table in so many files or fewer is small enough to be dealt anew.
 FEW_FILES = 4
+#: Rows of a stored table that may be broadcast.
+FEW_ROWS = 200_000
 
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -44,6 +47,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
+    """A stored table as a side of a join: broadcast if it has at most ``most`` rows, else left to be shuffled."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def forget(*tables: DataFrame) -> None:
     """Delete tables of stored(), or all that something was made from, when nothing reads them any more."""
     for df in tables:
