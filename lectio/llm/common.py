@@ -9,9 +9,9 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.sources.shared import dealt, forget, release, stored
+from lectio.sources.shared import dealt, few, forget, release, stored
 
-__all__ = ["forget", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
+__all__ = ["few", "forget", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectio.llm.common import lowered, stored, table
+from lectio.llm.common import few, lowered, stored, table
 from lectio.operators.ordering import numbered
 
 ARITY, LEVELS = 8, 3
@@ -227,13 +227,15 @@ def manifest(rows: DataFrame) -> Manifest:
     rows = numbered(rows, ["lang", "doc_id", "leaf"], "number", ["lang"])
     langs = stored(rows.groupBy("lang").agg(F.max("number").alias("last")), "languages")
     langs = numbered(langs, ["lang"], "tree").select(F.col("lang").alias("_lang"), "tree", (F.col("last") + 1).alias("n"))
-    rows = stored(rows.join(langs, F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang"), "leaves")
+    langs = stored(langs, "trees")
+    rows = stored(rows.join(few(langs), F.col("lang").eqNullSafe(F.col("_lang"))).drop("_lang"), "leaves")
     log = build(rows.select("tree", "number", "n", F.col("leaf").alias("digest")))
     subroots = stored(log.roots.select("tree", F.col("root").alias("subroot")), "subroots")
     top = build(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("number"), F.lit(subroots.count()).cast("long").alias("n"), F.col("subroot").alias("digest")))
     above = _handed(top.segments.filter("turn = 0").join(paths(top), ["tree", "block"])).select(F.col("block").alias("tree"), "path")
     root = top.roots.select("root").first()
-    return Manifest(rows, log, top, subroots.join(above, "tree").select("tree", "subroot", F.lit(root["root"] if root else None).cast("string").alias("root"), "path"))
+    subroots = subroots.join(above, "tree").select("tree", "subroot", F.lit(root["root"] if root else None).cast("string").alias("root"), "path")
+    return Manifest(rows, log, top, stored(subroots, "subroots"))
 
 
 def document_leaf(text: Column) -> Column:
@@ -249,7 +251,7 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = docs.select("lang", "doc_id", own.alias("leaf"), F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, changed).otherwise(own).alias("claimed"))
     made = manifest(stored(rows, "digests"))
     found = checked(made.log, made.leaves.select("tree", "number", "doc_id", "leaf", "claimed"), made.subroots)
-    return found.join(made.subroots.drop("path"), "tree").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+    return found.join(few(made.subroots.drop("path")), "tree").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
 _H = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
