@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectio.llm.common import table, texts
+from lectio.llm.common import kept, table, texts
 from lectio.llm.pieces import WHITE, PieceCache, slices
 
 
@@ -167,13 +167,12 @@ class BPE:
         return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
-_CODERS: dict[str, tuple[BPE, PieceCache]] = {}
-
-
 def _coder(path: str) -> tuple[BPE, PieceCache]:
-    if path not in _CODERS:
-        _CODERS[path] = (bpe := BPE(path), PieceCache(bpe.encode_pieces, 500_000))
-    return _CODERS[path]
+    def make() -> tuple[BPE, PieceCache]:
+        bpe = BPE(path)
+        return bpe, PieceCache(bpe.encode_pieces, 500_000)
+
+    return kept(f"bpe {path}", make)
 
 
 def encode_decode(docs: DataFrame, vocabulary: str) -> DataFrame:

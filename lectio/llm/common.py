@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectio.sources.shared import dealt, few, forget, release, stored
 
-__all__ = ["few", "forget", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
+__all__ = ["few", "forget", "keep_nothing", "kept", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
+
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,23 @@ def lowered(text: Column) -> Column:
     return F.when(text.rlike(r"[\x{80}-\x{10FFFF}&&[\p{Lu}\p{Lt}\p{Nl}\p{So}]]"), F.translate(text, string.ascii_uppercase, string.ascii_lowercase)).otherwise(F.lower(text))
 
 
+#: What a Python worker keeps between tasks, by operator: a vocabulary with the pieces that it knows, for one.
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], T]) -> T:
+    """What this worker keeps for an operator, made when it is not there. What it kept for another one goes."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def keep_nothing() -> None:
+    """Called by tasks that need memory of their own: workers go from one operator to the next."""
+    _KEPT.clear()
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """What is computed inside sends Arrow batches of so many rows at most, which bounds the memory of a worker that holds one."""

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.llm.common import forget, row_name, stored, table, texts
+from lectio.llm.common import forget, keep_nothing, row_name, stored, table, texts
 from lectio.llm.components import components
 from lectio.llm.hashing import gathered, mix, powers, prefix, scatter, span
 from lectio.llm.pieces import slices
@@ -155,6 +155,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         for batch in batches:
             held, seen = [], set()
             for _, _, hashes, sizes in _sets(batch.column(1).to_pylist()):

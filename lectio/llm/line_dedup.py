@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.llm.common import forget, row_name, small_batches, stored, table, texts
+from lectio.llm.common import forget, keep_nothing, row_name, small_batches, stored, table, texts
 from lectio.llm.hashing import gathered, mix, powers, scatter
 from lectio.llm.pieces import slices
 
@@ -248,6 +248,7 @@ def line_table(docs: DataFrame, limits: Limits) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, held = _Fresh(), []
+        keep_nothing()
         none = lambda kind, n: pa.nulls(n, kind or rows_type)
 
         def bits() -> pa.RecordBatch:
@@ -280,6 +281,7 @@ def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, probed = _Fresh(), []
+        keep_nothing()
 
         def bits() -> pa.RecordBatch:
             blobs = _slotted(probed)

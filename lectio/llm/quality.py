@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectio.llm.common import table, texts
+from lectio.llm.common import keep_nothing, table, texts
 from lectio.llm.pieces import slices
 
 #: Bytes that a filter sees, bytes between its places, filters, bytes of a block, cells of the dense layer.
@@ -173,6 +173,7 @@ def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
     docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_nothing()
         for batch in batches:
             said = [x or "" for x in batch.column("text").to_pylist()]
             found = [network.score([x.encode() for x in said[a:b]]) for a, b in slices(said, 500, 1_000_000)]
