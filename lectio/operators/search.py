@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, term_counts, weights_of, words
+from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, postings, term_counts, weights_of, words
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
@@ -69,9 +69,14 @@ class Index:
         return Index(self.segments.unionByName(other.segments), terms, self.chunks + other.chunks, self.words + other.words)
 
 
-def indexed(chunks: DataFrame, size: int = SEGMENT) -> Index:
-    """Chunks (chunk_id, text; null: no words) -> their index, written once. One exchange, of counted terms by segment."""
-    rows = term_counts(chunks).select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
+def indexed(chunks: DataFrame, size: int = SEGMENT, lemmas: DataFrame | None = None) -> Index:
+    """Chunks (chunk_id, text; null: no words) -> their index, written once. One exchange, of counted terms by segment; with lemmas
+    (word, lemma), which may make one term of several, two more."""
+    rows = term_counts(chunks)
+    if lemmas is not None:
+        named = postings(chunks, lemmas).groupBy("chunk_id").agg(F.collect_list(F.struct("term", "tf")).alias("named"))
+        rows = rows.select("chunk_id", "length").join(named, "chunk_id", "left").withColumn("counted", F.coalesce("named", F.array().cast("array<struct<term:string,tf:bigint>>")))
+    rows = rows.select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
     n = max(1, -(-chunks.count() // size))
     named = rows.withColumn("segment", F.pmod(F.xxhash64("chunk_id"), F.lit(n)))
     segments = stored(named.groupBy("segment").applyInArrow(lambda group: _packed(group.drop_columns(["segment"])), SEGMENT_SCHEMA), "segments")
@@ -136,8 +141,8 @@ def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.nd
     for t, at in there.items():
         where, tf = places[starts[at] : starts[at + 1]], counts[starts[at] : starts[at + 1]]
         if at in row and asked.idf[t] > 0:
-            peak = peaks[row[at]].astype(np.float64)
-            bounds[t] = part(t, np.where(peak == 255, np.inf, peak), norm[::RUN]) if (peak < 255).all() else np.where(peak == 255, asked.idf[t] * (K1 + 1), part(t, np.minimum(peak, 254), norm[::RUN]))
+            peak = peaks[row[at]].astype(np.float64)  # 255: that or more
+            bounds[t] = np.where(peak == 255, asked.idf[t] * (K1 + 1), part(t, peak, norm[::RUN]))
             lists[t] = where, tf
         else:
             lists[t] = where, part(t, tf, norm[where])

@@ -55,6 +55,18 @@ def test_best_matches_are_those_of_a_plain_count(spark, size):
     assert search.best_matches(asked, search.indexed(spark.createDataFrame([], CHUNK))).count() == search.best_matches(asked.limit(0), index).count() == 0
 
 
+def test_an_index_by_lemmas(spark):
+    """The same scores as those of the join."""
+    rows = corpus(3, 60)
+    chunks, asked = spark.createDataFrame(rows, CHUNK), spark.createDataFrame(QUESTIONS, "question_id int, text string")
+    lemmas = spark.createDataFrame([(f"w{i}", f"w{i // 3}") for i in range(300)], "word string, lemma string")
+    posted = retrieval.postings(chunks, lemmas)
+    n, average = retrieval.corpus_size(chunks, posted)
+    joined = retrieval.bm25(asked, posted, retrieval.term_weights(posted, n), n, average, lemmas)
+    rows_of = lambda found: {(r["question_id"], r["chunk_id"]): round(r["score"], 6) for r in retrieval.ranked(found, 9).collect()}
+    assert rows_of(search.best_matches(asked, search.indexed(chunks, 16, lemmas), 9, lemmas)) == rows_of(joined) != {}
+
+
 def test_long_lists_are_not_read_where_nothing_can_be_among_the_best(spark):
     """A few chunks hold a rare passage amid frequent words."""
     rng = random.Random(8)
