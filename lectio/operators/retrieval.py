@@ -128,7 +128,8 @@ def dense(questions: DataFrame, vectors: DataFrame, pool: int = 2 * TOP_K, block
     question, whatever the number of its vectors, and scores a tile of them at a time.
     """
     schema = f"question_id {questions.schema['question_id'].dataType.simpleString()}, chunk_id string, score double"
-    asked, known = questions.select("question_id", "embedding"), vectors.select("chunk_id", "embedding")
+    # an alias, as both may be columns of one table
+    asked, known = questions.select("question_id", F.col("embedding").alias("embedding")), vectors.select("chunk_id", "embedding")
     n = asked.count()
     if n <= block:
         sent = questions.sparkSession.sparkContext.broadcast(_questions(asked))
