@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,6 +18,8 @@ from lectio.operators.replies import COVERAGES, verified_coverage
 STAGES = ["ingest", "download", "prepare-audio", "transcribe", "index", "extract", "answer"]
 #: Path parts that never go to the public site.
 PRIVATE = ["/audio", "/transcripts", "/extracts", "chunks.jsonl", ".npy"]
+#: Answers of a part of a manifest.
+PART, PARTS = 1024, "course string, part long, body binary"
 
 
 def _all(parts: list[DataFrame]) -> DataFrame:
@@ -72,6 +78,65 @@ def manifest(courses: DataFrame, sources: DataFrame, answers: DataFrame) -> Data
     return rows.withColumn("as_json", F.to_json(F.struct(F.col("course").alias("slug"), "title", "language", "question_sets", "videos", "answers")))
 
 
+def manifest_parts(courses: DataFrame, sources: DataFrame, answers: DataFrame) -> DataFrame:
+    """course, part, body (zlib): the text that manifest() has in as_json, for courses whose answers are too many for a row.
+
+    Of a course, part -1 is what stands before the answers; the others, in this order, are up to PART answers each, joined by
+    commas. ``courses`` must have a course once. One exchange of the answers, by ranges, so a course is as many tasks as it fills.
+    """
+    one = ["question_id", "question_set", "coverage", "citations"]
+    rows = answers.withColumn("citations", F.size("citations")).select("course", *one).repartitionByRange("course", *one).sortWithinPartitions("course", *one)
+    rows = rows.select("course", F.monotonically_increasing_id().alias("part"), F.to_json(F.struct(*one)).alias("body"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            said, names, at = [], batch.column("course").to_pylist(), batch.column("part").to_pylist()
+            bodies, first = batch.column("body").to_pylist(), 0
+            for i in range(1, len(names) + 1):
+                if i == len(names) or i - first == PART or names[i] != names[first] or at[i] != at[i - 1] + 1:
+                    said.append((names[first], at[first], zlib.compress(",".join(bodies[first:i]).encode())))
+                    first = i
+            if said:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*said), (pa.string(), pa.int64(), pa.binary()))], ["course", "part", "body"])
+
+    n = sources.groupBy("course").agg(F.count("*").alias("videos"))
+    heads = courses.select("course", "title", F.coalesce("language", F.lit("ru")).alias("language"), "question_sets").join(n, "course", "left").na.fill(0, ["videos"])
+    text = F.to_json(F.struct(F.col("course").alias("slug"), "title", "language", "question_sets", "videos"))
+
+    def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.set_column(2, "body", pa.array([zlib.compress(x.encode()) for x in batch.column("body").to_pylist()], pa.binary()))
+
+    heads = heads.select("course", F.lit(-1).cast("long").alias("part"), F.concat(F.substring(text, F.lit(1), F.length(text) - 1), F.lit(',"answers":[')).alias("body"))
+    return heads.mapInArrow(pressed, PARTS).unionByName(rows.mapInArrow(joined, PARTS).join(courses.select("course"), "course", "left_semi"))
+
+
+def manifest_digests(parts: DataFrame) -> DataFrame:
+    """manifest_parts() -> course, md5 of the whole text. A digest needs its bytes in order, so a course is one task; it holds a
+    few parts at a time."""
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        course, answers, md5 = None, 0, None
+
+        def whole() -> pa.RecordBatch:
+            md5.update(b"]}")
+            return pa.RecordBatch.from_pydict({"course": [course], "md5": [md5.hexdigest()]})
+
+        for batch in batches:
+            for name, part, body in zip(*(batch.column(c) for c in ("course", "part", "body"))):
+                name, part = name.as_py(), part.as_py()
+                if md5 is None or name != course:
+                    if md5 is not None:
+                        yield whole()
+                    course, answers, md5 = name, 0, hashlib.md5()
+                md5.update(b"," * (answers > 0) + zlib.decompress(body.as_py()))
+                answers += part >= 0
+        if md5 is not None:
+            yield whole()
+
+    return parts.repartition("course").sortWithinPartitions("course", "part").mapInArrow(digested, "course string, md5 string")
+
+
 def stem(path: Column) -> Column:
     """A file's name without its last ending."""
     return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)

@@ -1,8 +1,10 @@
 """Operators and queries where a table outgrows one block, one row or one task."""
 
+import hashlib
+
 from pyspark.sql import functions as F
 
-from lectio.operators import retrieval
+from lectio.operators import reports, retrieval
 
 
 def test_questions_from_the_vectors_own_table_meet_them_in_blocks(spark):
@@ -10,3 +12,15 @@ def test_questions_from_the_vectors_own_table_meet_them_in_blocks(spark):
     q = v.filter("chunk_id < 'v2'").select(F.col("chunk_id").alias("question_id"), "embedding")
     one, many = (sorted(map(tuple, retrieval.ranked(retrieval.dense(q, v, 4, block=n, cell=9), 4).collect())) for n in (50, 3))
     assert many == one and len(one) == 11 * 4 + 4
+
+
+def test_a_manifest_in_parts_is_the_one_of_a_row(spark, monkeypatch):
+    monkeypatch.setattr(reports, "PART", 3)
+    courses = spark.createDataFrame([("a", "A \"é\"", None, ["s"]), ("b", None, "de", []), ("none", "N", "de", ["s"])], "course string, title string, language string, question_sets array<string>")
+    sources = spark.createDataFrame([("a", "v1"), ("a", "v2"), ("b", "v3")], "course string, video_id string")
+    rows = [("ab"[i % 2], f"q{i * 7 % 40}", "s", ["full", None][i % 3 == 0], list(range(i % 4))) for i in range(50)] + [("unknown", "q", "s", "full", []), ("a", None, "s", "full", [])]
+    answers = spark.createDataFrame(rows, "course string, question_id string, question_set string, coverage string, citations array<int>").repartition(5)
+    whole = {r["course"]: hashlib.md5(r["as_json"].encode()).hexdigest() for r in reports.manifest(courses, sources, answers).collect()}
+    parts = reports.manifest_parts(courses, sources, answers)
+    assert len(whole) == 3 and dict(map(tuple, reports.manifest_digests(parts).collect())) == whole
+    assert parts.filter("course = 'a' and part >= 0").count() >= 9
