@@ -6,7 +6,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,8 @@ BROADCAST_ROWS = 200_000
 BLOCK, CELL = 4096, 50_000
 #: Vectors that are scored at once; centres of cells, and vectors of a pack.
 TILE, CENTRES, PACK = 512, 1024, 4096
+#: Chunks whose words are counted at once.
+SLICE = 512
 LEMMAS = "word string, lemma string"
 
 
@@ -36,6 +40,27 @@ def words(df: DataFrame, key: str, lemmas: DataFrame | None = None, pattern: str
     return found.join(named, "term", "left").select(key, F.coalesce("lemma", "term").alias("term"))
 
 
+def said(text: Column) -> Column:
+    """The words of a text (null: none) with a space between them: short to send, and nothing is left to be parsed."""
+    return F.array_join(tokens(F.coalesce(text, F.lit(""))), " ")
+
+
+def counted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """said() of some chunks -> (terms in order; and of each pair: which chunk, which term, how often), in order of chunks and terms."""
+    lists = pc.split_pattern(texts, " ")
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    coded = pc.list_flatten(lists).dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    names, ranks = coded.dictionary.take(order), np.empty(len(order), np.int64)
+    ranks[order.to_numpy()] = np.arange(len(order))
+    pairs, times = np.unique(row * len(names) + ranks[coded.indices.to_numpy(zero_copy_only=False)], return_counts=True)
+    row, term = np.divmod(pairs, max(len(names), 1))
+    if len(names) and names[0].as_py() == "":  # of chunks without words
+        there = term > 0
+        names, row, term, times = names[1:], row[there], term[there] - 1, times[there]
+    return names, row, term, times
+
+
 def term_counts(chunks: DataFrame, *others: str) -> DataFrame:
     """chunk_id, text (null: no words) -> chunk_id, the others, length, counted: an array of (term, tf), in order of terms.
 

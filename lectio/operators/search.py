@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,36 +22,65 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, postings, term_counts, weights_of, words
+from lectio.operators.retrieval import BLOCK, K1, SLICE, TOP_K, B, counted, postings, said, term_counts, weights_of, words
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
 SEGMENT, RUN, FREQUENT = 8192, 2, 0.1
+#: Characters of a segment, and questions whose matches are sent at once.
+CHARACTERS, SENT = 1 << 24, 256
 SEGMENT_SCHEMA = "chunk_ids array<string>, lengths binary, terms array<string>, starts binary, places binary, counts binary, frequent binary, peaks binary"
 SIZES = "chunks long, words long"
 _LISTED = pa.schema([("chunk_ids", pa.list_(pa.string())), ("lengths", pa.binary()), ("terms", pa.list_(pa.string())), *((c, pa.binary()) for c in ("starts", "places", "counts", "frequent", "peaks"))])
 
 
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers in 1, 2 or 4 bytes each, as the largest needs; _numbers() reads them."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))).newbyteorder("<")).tobytes()
+
+
+def _numbers(raw: pa.Buffer | bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{len(raw) // n}") if n else np.zeros(0, np.uint8)
+
+
+def _pairs(group: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks (said; or length, terms, tfs) -> (terms in order; of each pair: which chunk, which term, how often; lengths)."""
+    if "said" in group.column_names:
+        parts = [(a, counted(group["said"][a : a + SLICE].combine_chunks())) for a in range(0, group.num_rows, SLICE)]
+        flat = pa.chunked_array([names for _, (names, *_) in parts], pa.string()).combine_chunks()
+        row, count = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([a + row for a, (_, row, _, _) in parts], [times for _, (*_, times) in parts]))
+        ends = np.cumsum([0, *(len(names) for _, (names, *_) in parts)])
+        of = np.concatenate([np.zeros(0, np.int64), *(e + term for e, (_, (_, _, term, _)) in zip(ends.tolist(), parts))])
+        lengths = np.bincount(row, count, group.num_rows).astype(np.int64)
+    else:
+        lists = group["terms"].combine_chunks()
+        flat, of = pc.list_flatten(lists), slice(None)
+        row = np.repeat(np.arange(group.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        count, lengths = pc.list_flatten(group["tfs"].combine_chunks()).to_numpy(zero_copy_only=False), group["length"].to_numpy()
+    coded = flat.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary)
+    ranks = np.empty(len(order), np.int64)
+    ranks[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), row, ranks[coded.indices.to_numpy(zero_copy_only=False)][of], count, lengths
+
+
 def _packed(group: pa.Table) -> pa.Table:
-    """Rows (chunk_id, length, terms, tfs) -> the one row of their segment."""
-    group = group.sort_by([("length", "ascending"), ("chunk_id", "ascending")])
-    n, terms = group.num_rows, group["terms"].combine_chunks()
-    coded = pc.list_flatten(terms).dictionary_encode()
-    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-    names = coded.dictionary
-    ranks = np.empty(len(names), np.int64)
-    ranks[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
-    term = ranks[coded.indices.to_numpy(zero_copy_only=False)] if len(names) else np.zeros(0, np.int64)
-    place = np.repeat(np.arange(n), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
-    order = np.lexsort((place, term))
-    term, place, count = term[order], place[order], pc.list_flatten(group["tfs"].combine_chunks()).to_numpy(zero_copy_only=False)[order]
+    """Chunks (chunk_id, said; or chunk_id, length, terms, tfs) -> the one row of their segment."""
+    n, (names, row, term, count, lengths) = group.num_rows, _pairs(group)
+    chunks = pa.table({"length": lengths, "chunk_id": group["chunk_id"]})
+    sorted_ = pc.sort_indices(chunks, sort_keys=[("length", "ascending"), ("chunk_id", "ascending")])
+    chunks, at = chunks.take(sorted_), np.empty(n, np.int64)
+    at[sorted_.to_numpy()] = np.arange(n)
+    place = at[row]
+    order = np.argsort(term * n + place)
+    term, place, count = term[order], place[order], count[order]
     starts = np.searchsorted(term, np.arange(len(names) + 1))
     frequent = np.flatnonzero(np.diff(starts) > FREQUENT * n)
     peaks = np.zeros((len(frequent), -(-n // RUN)), np.uint8)
     for row, t in zip(peaks, frequent.tolist()):
         a, b = starts[t], starts[t + 1]
         np.maximum.at(row, place[a:b] // RUN, np.minimum(count[a:b], 255).astype(np.uint8))
-    row = [group["chunk_id"].to_pylist(), group["length"].to_numpy().astype("<i8").tobytes(), pc.take(names, pc.sort_indices(names)).to_pylist(), starts.astype("<i4").tobytes(), place.astype("<i4").tobytes(), count.astype("<i4").tobytes(), frequent.astype("<i4").tobytes(), peaks.tobytes()]
+    row = [chunks["chunk_id"].to_pylist(), chunks["length"].to_numpy().astype("<i8").tobytes(), names.to_pylist(), starts.astype("<i4").tobytes(), _narrow(place), _narrow(count), frequent.astype("<i4").tobytes(), peaks.tobytes()]
     return pa.table([pa.array([x], f.type) for x, f in zip(row, _LISTED)], schema=_LISTED)
 
 
@@ -70,14 +100,16 @@ class Index:
 
 
 def indexed(chunks: DataFrame, size: int = SEGMENT, lemmas: DataFrame | None = None) -> Index:
-    """Chunks (chunk_id, text; null: no words) -> their index, written once. One exchange, of counted terms by segment; with lemmas
-    (word, lemma), which may make one term of several, two more."""
-    rows = term_counts(chunks)
-    if lemmas is not None:
+    """Chunks (chunk_id, text; null: no words) -> their index, written once. One exchange, of words by segment; with lemmas (word, lemma),
+    which may make one term of several, two more. Segments have ``size`` chunks, fewer where these are long."""
+    if lemmas is None:
+        rows = chunks.select("chunk_id", said(F.col("text")).alias("said"))
+    else:
         named = postings(chunks, lemmas).groupBy("chunk_id").agg(F.collect_list(F.struct("term", "tf")).alias("named"))
-        rows = rows.select("chunk_id", "length").join(named, "chunk_id", "left").withColumn("counted", F.coalesce("named", F.array().cast("array<struct<term:string,tf:bigint>>")))
-    rows = rows.select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
-    n = max(1, -(-chunks.count() // size))
+        rows = term_counts(chunks).select("chunk_id", "length").join(named, "chunk_id", "left").withColumn("counted", F.coalesce("named", F.array().cast("array<struct<term:string,tf:bigint>>")))
+        rows = rows.select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
+    there = chunks.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("characters")).first()
+    n = max(1, -(-there["n"] // size), -(-there["characters"] // CHARACTERS))
     named = rows.withColumn("segment", F.pmod(F.xxhash64("chunk_id"), F.lit(n)))
     segments = stored(named.groupBy("segment").applyInArrow(lambda group: _packed(group.drop_columns(["segment"])), SEGMENT_SCHEMA), "segments")
     return index_of(segments)
@@ -129,7 +161,8 @@ class Asked:
 def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(question, places of chunks, scores, postings read) for each question: its best ``pool`` chunks here, ties at the edge too."""
     ints = lambda c: np.frombuffer(segment[c], "<i4")
-    lengths, starts, places, counts, frequent = np.frombuffer(segment["lengths"], "<i8"), ints("starts"), ints("places"), ints("counts"), ints("frequent")
+    lengths, starts, frequent = np.frombuffer(segment["lengths"], "<i8"), ints("starts"), ints("frequent")
+    places, counts = (_numbers(segment[c], int(starts[-1])) for c in ("places", "counts"))
     n, known = len(lengths), segment["terms"]
     norm = K1 * (1 - B + B * lengths / asked.average)
     peaks = np.frombuffer(segment["peaks"], np.uint8).reshape(len(frequent), -1)
@@ -163,7 +196,7 @@ def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.nd
             total, seen = rare[some], 0
             for t, k in long:
                 where, tf = lists[t]
-                at = np.minimum(np.searchsorted(where, some), len(where) - 1)
+                at = np.minimum(np.searchsorted(where, some.astype(where.dtype)), len(where) - 1)
                 hit = where[at] == some
                 total[hit] += k * part(t, tf[at[hit]], norm[some[hit]])
                 seen += int(hit.sum())
@@ -210,9 +243,12 @@ def best_matches(questions: DataFrame, index: Index, pool: int = 2 * TOP_K, lemm
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    segment = {c: batch.column(c)[i].as_py() for c in ("lengths", "starts", "places", "counts", "frequent", "peaks")} | {c: batch.column(c)[i].values for c in ("terms", "chunk_ids")}
-                    for q, kept, score, _ in best_in(segment, sent.value, pool):
-                        yield pa.RecordBatch.from_arrays([pa.array([sent.value.ids[q]] * len(kept), arrow), segment["chunk_ids"].take(pa.array(kept)), pa.array(score)], ["question_id", "chunk_id", "score"])
+                    segment = {c: batch.column(c)[i].as_buffer() for c in ("lengths", "starts", "places", "counts", "frequent", "peaks")} | {c: batch.column(c)[i].values for c in ("terms", "chunk_ids")}
+                    best = best_in(segment, sent.value, pool)
+                    while some := list(islice(best, SENT)):
+                        ids = [sent.value.ids[q] for q, kept, *_ in some for _ in range(len(kept))]
+                        kept, score = (np.concatenate(x) for x in list(zip(*some))[1:3])
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, arrow), segment["chunk_ids"].take(pa.array(kept)), pa.array(score)], ["question_id", "chunk_id", "score"])
 
         rows = index.segments.mapInArrow(run, f"question_id {kind.simpleString()}, chunk_id string, score double")
         found = rows if found is None else found.unionByName(rows)

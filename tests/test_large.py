@@ -1,10 +1,14 @@
 """Operators and queries where a table outgrows one block, one row or one task."""
 
 import hashlib
+import re
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lectio.operators import reports, retrieval
+from lectio.operators import reports, retrieval, search
 
 
 def test_questions_from_the_vectors_own_table_meet_them_in_blocks(spark):
@@ -24,3 +28,27 @@ def test_a_manifest_in_parts_is_the_one_of_a_row(spark, monkeypatch):
     parts = reports.manifest_parts(courses, sources, answers)
     assert len(whole) == 3 and dict(map(tuple, reports.manifest_digests(parts).collect())) == whole
     assert parts.filter("course = 'a' and part >= 0").count() >= 9
+
+
+def test_words_of_a_slice_are_counted(spark):
+    rows = [("a", "b a B ё-я"), ("b", None), ("c", " .,"), ("d", "z"), ("e", "a a a")] + [(f"x{i}", f"w{i % 7} w1 я") for i in range(40)]
+    words = [re.findall("[а-яёa-z0-9]+", (x or "").lower()) for _, x in rows]
+    said = [r[0] for r in spark.createDataFrame(rows, "chunk_id string, text string").coalesce(1).select(retrieval.said(F.col("text"))).collect()]
+    assert said == [" ".join(x) for x in words]
+    names, row, term, times = retrieval.counted(pa.array(said))
+    assert [(i, names[t].as_py(), n) for i, t, n in zip(row.tolist(), term.tolist(), times.tolist())] == [(i, w, n) for i, x in enumerate(words) for w, n in sorted(Counter(x).items())]
+    assert [len(x) for x in retrieval.counted(pa.array(["", ""]))] == [0] * 4
+
+
+def test_an_index_of_long_chunks_has_small_segments_and_narrow_numbers(spark, monkeypatch):
+    monkeypatch.setattr(search, "CHARACTERS", 2000)
+    rows = [(f"c{i}", " ".join(f"w{i * k % 50}" for k in range(100)) + " few" * (300 if i == 3 else 1)) for i in range(60)]
+    chunks, asked = spark.createDataFrame(rows, "chunk_id string, text string"), spark.createDataFrame([(1, "few w7"), (2, "w1 w2 none")], "question_id int, text string")
+    index = search.indexed(chunks)
+    segments = index.segments.collect()
+    assert len(segments) >= 5 and max(len(s["chunk_ids"]) for s in segments) < 40
+    assert all(len(s["places"]) == np.frombuffer(s["starts"], "<i4")[-1] for s in segments)
+    posted = retrieval.postings(chunks)
+    joined = retrieval.bm25(asked, posted, retrieval.term_weights(posted, 60), 60, index.words / 60)
+    best = lambda found: {(r["question_id"], r["chunk_id"]): round(r["score"], 6) for r in retrieval.ranked(found, 9).collect()}
+    assert best(search.best_matches(asked, index, 9)) == best(joined) != {}
