@@ -107,8 +107,21 @@ def read_question_sets(spark: SparkSession, path: str, crosswalks: bool = False)
         try:
             from yaml import safe_load
         except ImportError:
-            safe_load = json.loads
-        return pd.DataFrame({"path": pdf["path"], "raw": [json.dumps(safe_load(x), ensure_ascii=False) for x in pdf["value"]]})
+            safe_load = None
+
+        def refused(name: str) -> None:
+            raise ValueError(f"{name} is not JSON")
+
+        def load(text: str) -> object:
+            # JSON first: as YAML, of which it is a part, it would take a hundred times the memory
+            try:
+                return json.loads(text, parse_constant=refused)
+            except ValueError:
+                if safe_load is None:
+                    raise
+                return safe_load(text)
+
+        return pd.DataFrame({"path": pdf["path"], "raw": [json.dumps(load(x), ensure_ascii=False) for x in pdf["value"]]})
 
     kind = T.StructType([T.StructField("path", T.StringType()), T.StructField("raw", T.StringType())])
     return guarded(files, parse, kind, "path", "question-sets")

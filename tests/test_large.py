@@ -1,6 +1,7 @@
 """Operators and queries where a table outgrows one block, one row or one task."""
 
 import hashlib
+import json
 import re
 from collections import Counter
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lectio.operators import reports, retrieval, search
+from lectio.sources import artifacts
 
 
 def test_questions_from_the_vectors_own_table_meet_them_in_blocks(spark):
@@ -52,3 +54,12 @@ def test_an_index_of_long_chunks_has_small_segments_and_narrow_numbers(spark, mo
     joined = retrieval.bm25(asked, posted, retrieval.term_weights(posted, 60), 60, index.words / 60)
     best = lambda found: {(r["question_id"], r["chunk_id"]): round(r["score"], 6) for r in retrieval.ranked(found, 9).collect()}
     assert best(search.best_matches(asked, index, 9)) == best(joined) != {}
+
+
+def test_json_question_sets_are_not_parsed_as_yaml(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": "a", "questions": [{"id": "é", "number": 1, "text": "1e5: x"}]}')
+    (tmp_path / "b.yaml").write_text("id: b\nquestions: []\n")
+    (tmp_path / "c.json").write_text('{"id": 1e5}')  # a string in YAML
+    good, dead = artifacts.read_question_sets(spark, str(tmp_path))
+    raw = {r["path"].rsplit("/", 1)[1]: json.loads(r["raw"]) for r in good.collect()}
+    assert raw == {"a.json": {"id": "a", "questions": [{"id": "é", "number": 1, "text": "1e5: x"}]}, "b.yaml": {"id": "b", "questions": []}, "c.json": {"id": 1e5}} and dead.count() == 0
