@@ -439,7 +439,7 @@ def near_earlier(docs: DataFrame, limits: Limits, lines: DataFrame, indexed: Dat
     met = stored(meeting.select("line").distinct(), "met")
     wanted = stored(lines.select(F.col("one").alias("line"), "at").join(_few(met), "line").groupBy("line").agg(F.min("at").alias("at")), "wanted")
     known = line_texts(docs, limits, wanted)
-    rows = stored(meeting.join(known.select("line", "at", "letters"), "line"), "asking")
+    rows = stored(meeting.join(known, "line"), "asking")
     forget(meeting, met, wanted)
     gone = tested = None
     for turn, (nearest, furthest, most) in enumerate(ASKED):
@@ -457,11 +457,14 @@ def near_earlier(docs: DataFrame, limits: Limits, lines: DataFrame, indexed: Dat
         pairs = stored(pairs, "pairs")
         new = near_pairs(pairs, known, limits)
         gone, tested = (new, pairs) if gone is None else (gone.unionByName(new), tested.unionByName(pairs))
-    # what has found none asks all earlier lines of its keys; a probe and a probe have no segment in common
-    u = rows.join(gone, "line", "left_anti").select("key", "line", "at", "letters", "edits", "index")
-    v = rows.select("key", *(F.col(c).alias(f"v_{c}") for c in ("line", "at", "letters", "index")))
-    meets = (F.col("v_at") < F.col("at")) & (F.col("index") | F.col("v_index")) & may_be_near(F.col("letters"), F.col("v_letters"), F.col("edits"))
-    rest = u.join(v, "key").filter(meets).select("line", F.col("v_line").alias("other")).distinct()
+    # what has found none asks all earlier lines of its keys; a probe and a probe have no segment in common. Most lines of a group
+    # of near copies are near by their letters alone, so the distance is part of what joins them, and only near pairs are rows.
+    # The askers of a key are dealt to cells, each of which meets all the others
+    cells = F.ceil(F.col("many") / CELL).cast("int")
+    u = rows.join(gone, "line", "left_anti").withColumn("cell", F.pmod(F.xxhash64("line"), cells).cast("int")).select("key", "cell", "line", "at", "letters", "text", "edits", "index")
+    v = rows.withColumn("cell", F.explode(F.sequence(F.lit(0), cells - 1))).select("key", "cell", *(F.col(c).alias(f"v_{c}") for c in ("line", "at", "letters", "text", "index")))
+    meets = (F.col("v_at") < F.col("at")) & (F.col("index") | F.col("v_index")) & may_be_near(F.col("letters"), F.col("v_letters"), F.col("edits")) & F.expr("levenshtein(text, v_text, edits) >= 0")
+    rest = u.join(v, ["key", "cell"]).filter(meets).select("line", F.col("v_line").alias("other")).distinct()
     rest = stored(rest.join(tested, ["line", "other"], "left_anti"), "pairs")
     return gone.unionByName(near_pairs(rest, known, limits)).distinct()
 

@@ -431,6 +431,22 @@ def test_a_group_of_near_copies(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.without_lines(docs(spark, *lines).repartition(4)).collect()} == expected
 
 
+def test_only_near_pairs_of_a_group_are_rows(spark, monkeypatch):
+    """Words put into one line at many places: all pairs share segments and are near by their letters; the askers fill several cells."""
+    base, lines = prose(41, 20)[:200], []
+    for k in range(70):
+        at = 1 + 17 * k % 190
+        lines.append(base[:at] + ("wxyz", "vvvvu", "q")[k % 3] + base[at:])
+    far = [k for k, x in enumerate(lines) if not any(edits(x, y) <= 4 for y in lines[:k])]
+    made, real = [], line_dedup.near_pairs
+    monkeypatch.setattr(line_dedup, "CELL", 16)
+    monkeypatch.setattr(line_dedup, "near_pairs", lambda pairs, *more: made.append(pairs.count()) or real(pairs, *more))
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.without_lines(docs(spark, *lines)).collect()}
+    assert kept == {k: x if k in far else "" for k, x in enumerate(lines)} and 20 < len(far) < 60
+    near = sum(edits(lines[k], y) <= 4 for k in range(70) for y in lines[:k])
+    assert 0 < made[-1] <= near
+
+
 def test_signatures_bound_the_edits(spark):
     """Whatever is within some edits may be near; most of what is far apart may not."""
     rng = np.random.default_rng(8)
