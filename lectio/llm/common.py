@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import string
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectio.sources.shared import dealt, few, forget, release, stored
 
-__all__ = ["few", "forget", "keep_nothing", "kept", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
+__all__ = ["few", "forget", "keep_nothing", "kept", "lean", "lowered", "release", "row_name", "small_batches", "stored", "table", "texts"]
 
 T = TypeVar("T")
 
@@ -54,6 +57,21 @@ def keep_nothing() -> None:
     _KEPT.clear()
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow(); at its end the worker gives the memory that it has freed back to the system. Workers stay, idle
+    ones too, and else each would hold the most that it ever had beside its executor's heap."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library of Linux alone has it
+        if trim is not None:
+            trim(0)
+
+    return whole
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
     """What is computed inside sends Arrow batches of so many rows at most, which bounds the memory of a worker that holds one."""

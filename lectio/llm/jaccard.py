@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.llm.common import forget, keep_nothing, row_name, stored, table, texts
+from lectio.llm.common import forget, keep_nothing, lean, row_name, stored, table, texts
 from lectio.llm.components import components
 from lectio.llm.hashing import gathered, mix, powers, prefix, scatter, span
 from lectio.llm.pieces import slices
@@ -142,7 +142,7 @@ def node_table(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(keys), pa.array([raw[i:j] for i, j in zip([0, *cuts[:-1]], cuts)], pa.binary())], ["doc_id", "name", "n_shingles", "node", "map"])
 
     rows = texts(docs).select("doc_id", row_name().alias("name"), "text")
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, name long, n_shingles long, node long, map binary")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, name long, n_shingles long, node long, map binary")
 
 
 def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -194,7 +194,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             often = total >= LEAST
             yield pa.RecordBatch.from_arrays([pa.array([slots.tobytes()], pa.binary()), pa.array([codes[starts][often].tobytes()], pa.binary()), pa.array([total[often].tobytes()], pa.binary()), pa.array([int(total.sum())], pa.int64())], ["slots", "codes", "counts", "total"])
 
-    found = texts(docs).mapInArrow(count, "bucket int, blob binary").repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "slots binary, codes binary, counts binary, total long")
+    found = texts(docs).mapInArrow(lean(count), "bucket int, blob binary").repartition(buckets // 4, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(merge), "slots binary, codes binary, counts binary, total long")
     found = stored(found, "frequencies")
     bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
     for r in found.select("slots").toLocalIterator():
@@ -282,7 +282,7 @@ def prefix_rows(docs: DataFrame, known: tuple[np.ndarray, np.ndarray, np.ndarray
                 columns = [hashes[take].view(np.int64), keys[doc], sizes[doc].astype(np.int32), band[doc], place.astype(np.int32), place < low_prefix_length(sizes)[doc], *(maps[doc, k] for k in range(LONGS))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, small)], schema=small)
 
-    found = stored(texts(docs).mapInArrow(run, "shingle long, node long, n int, band int, place int, low boolean, " + ", ".join(f"{c} long" for c in MAP)), "prefixes")
+    found = stored(texts(docs).mapInArrow(lean(run), "shingle long, node long, n int, band int, place int, low boolean, " + ", ".join(f"{c} long" for c in MAP)), "prefixes")
     shared.destroy()
     return found
 
@@ -322,7 +322,7 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * most >= PERCENT * (n1 + n2 - most))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    found = stored(_sided(pairs, side, "n", "map").mapInArrow(test, "a long, b long"), "bounded")
+    found = stored(_sided(pairs, side, "n", "map").mapInArrow(lean(test), "a long, b long"), "bounded")
     forget(wanted)
     return found
 
@@ -340,7 +340,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
 
     # the row of a node's name stands for it; repeated rows have the same name and set
     rows = texts(docs).select(row_name().alias("name"), "text").join(_few(wanted.select("name")), "name", "left_semi")
-    each = rows.mapInArrow(run, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    each = rows.mapInArrow(lean(run), "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,7 +353,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     each = stored(each, "sets")
-    found = stored(_sided(pairs, each, "shingles").mapInArrow(decide, "a long, b long"), "verified")
+    found = stored(_sided(pairs, each, "shingles").mapInArrow(lean(decide), "a long, b long"), "verified")
     forget(wanted, each)
     return found
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.llm.common import forget, keep_nothing, row_name, small_batches, stored, table, texts
+from lectio.llm.common import forget, keep_nothing, lean, row_name, small_batches, stored, table, texts
 from lectio.llm.hashing import gathered, mix, powers, scatter
 from lectio.llm.pieces import slices
 
@@ -225,7 +225,7 @@ def _merged(slotted: DataFrame, name: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array(packed[:1], pa.binary()), pa.array(packed[1:], pa.binary())], ["part", "once", "twice"])
 
     parts = int(slotted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return stored(slotted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(merge, "part int, once binary, twice binary"), name)
+    return stored(slotted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(lean(merge), "part int, once binary, twice binary"), name)
 
 
 def _slotted(keys: list[np.ndarray]) -> list[tuple[int, bytes]]:
@@ -270,7 +270,7 @@ def line_table(docs: DataFrame, limits: Limits) -> DataFrame:
         if held:
             yield bits()
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, name long, line_no int, one long, two long, part int, blob binary")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, name long, line_no int, one long, two long, part int, blob binary")
 
 
 def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def record_table(docs: DataFrame, limits: Limits, indexed: DataFrame) -> DataFra
             yield bits()
 
     with small_batches(docs.sparkSession):
-        found = stored(texts(docs).select("text").mapInArrow(run, "line binary, key binary, edits binary, probe binary, part int, blob binary"), "records")
+        found = stored(texts(docs).select("text").mapInArrow(lean(run), "line binary, key binary, edits binary, probe binary, part int, blob binary"), "records")
     shared.destroy()
     return found
 
@@ -322,7 +322,7 @@ def meeting_records(records: DataFrame, indexed: DataFrame) -> DataFrame:
                 keep = np.flatnonzero((probe == 1) | has(shared.value, key))
                 yield pa.RecordBatch.from_arrays([pa.array(key[keep].view("<i8")), pa.array(line[keep]), pa.array(edits[keep].astype(np.int32)), pa.array(probe[keep] == 0)], ["key", "line", "edits", "index"])
 
-    found = records.filter("part is null").select("line", "key", "edits", "probe").mapInArrow(run, "key long, line long, edits int, index boolean")
+    found = records.filter("part is null").select("line", "key", "edits", "probe").mapInArrow(lean(run), "key long, line long, edits int, index boolean")
     found = stored(found.groupBy("key", "line").agg(F.first("edits").alias("edits"), F.max("index").alias("index")), "meeting")
     shared.destroy()
     many = found.groupBy("key").agg(F.count("*").alias("many"), F.max("index").alias("any")).filter("many > 1 and any").select("key", "many")
@@ -350,8 +350,8 @@ def line_texts(docs: DataFrame, limits: Limits, wanted: DataFrame) -> DataFrame:
             raw = np.frombuffer("".join(said).encode("utf-32-le"), "<u4")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(signatures(raw, np.array([len(x) for x in said], np.int64)).view(np.int64)), pa.list_(pa.int64())), pa.array(said, pa.string())], ["line", "letters", "text"])
 
-    found = rows.mapInArrow(run, "name long, line_no int, line long, said binary").join(small(few), ["name", "line_no", "line"], "left_semi").select("line", "said")
-    found = found.mapInArrow(count, "line long, letters array<long>, text string")
+    found = rows.mapInArrow(lean(run), "name long, line_no int, line long, said binary").join(small(few), ["name", "line_no", "line"], "left_semi").select("line", "said")
+    found = found.mapInArrow(lean(count), "line long, letters array<long>, text string")
     with small_batches(docs.sparkSession):
         return stored(found.dropDuplicates(["line"]).join(wanted, "line").select("line", "at", "letters", "text"), "line-texts")
 
@@ -375,7 +375,7 @@ def near_pairs(pairs: DataFrame, known: DataFrame, limits: Limits) -> DataFrame:
                     ok = within([one[i] for i in some], [two[i] for i in some], most)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i for i, good in zip(some, ok) if good], pa.int64()))], ["line"])
 
-    return stored(both.select("line", "line_text", "other_text").mapInArrow(verify, "line long").distinct(), "near")
+    return stored(both.select("line", "line_text", "other_text").mapInArrow(lean(verify), "line long").distinct(), "near")
 
 
 def within(one: list[bytes] | list[str], two: list[bytes] | list[str], most: int) -> np.ndarray:

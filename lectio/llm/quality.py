@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectio.llm.common import keep_nothing, table, texts
+from lectio.llm.common import keep_nothing, lean, table, texts
 from lectio.llm.pieces import slices
 
 #: Bytes that a filter sees, bytes between its places, filters, bytes of a block, cells of the dense layer.
@@ -179,7 +179,7 @@ def score(docs: DataFrame, network: Network, name: str = "score") -> DataFrame:
             found = [network.score([x.encode() for x in said[a:b]]) for a, b in slices(said, 500, 1_000_000)]
             yield batch.append_column(name, pa.array(np.concatenate(found) if found else [], pa.float64()))
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -431,6 +432,24 @@ def test_a_group_of_near_copies(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup.without_lines(docs(spark, *lines).repartition(4)).collect()} == expected
 
 
+def test_a_worker_gives_back_what_it_has_freed(spark):
+    def held(batches):
+        yield from batches
+        blocks = [np.ones(12_000) for _ in range(2000)]  # each too small for a mapping of its own
+        common.kept("above them", lambda: np.ones(12_000))
+        del blocks
+
+    def size(batches):
+        for batch in batches:
+            with open("/proc/self/statm") as f:
+                yield pa.RecordBatch.from_arrays([pa.array([int(f.read().split()[1]) * 4096 / 1e6])], ["mb"])
+
+    one = spark.range(0, 1, 1, 1)
+    first = one.mapInArrow(size, "mb double").first()[0]
+    one.mapInArrow(common.lean(held), "id long").collect()
+    assert one.mapInArrow(size, "mb double").first()[0] < first + 100
+
+
 def test_only_near_pairs_of_a_group_are_rows(spark, monkeypatch):
     """Words put into one line at many places: all pairs share segments and are near by their letters; the askers fill several cells."""
     base, lines = prose(41, 20)[:200], []
