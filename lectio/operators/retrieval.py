@@ -313,11 +313,25 @@ def analysed(terms: DataFrame, known: DataFrame, analyse: Callable[[list[str]],
     return guarded(new, lambda pdf: pd.DataFrame({"word": pdf["word"], "lemma": list(analyse(list(pdf["word"])))}), kind, "word", "analyse")
 
 
+def occurrences(chunks: DataFrame, **groups: Column) -> DataFrame:
+    """The groups, term, n: how often each word is there, whatever the chunk (null text: no words). Counted where the texts lie, so that what is exchanged
+    grows with the words that are different."""
+    return chunks.select(*(x.alias(name) for name, x in groups.items()), F.explode(tokens(F.col("text"))).alias("term")).groupBy(*groups, "term").agg(F.count("*").alias("n"))
+
+
+def lemma_counts(counted: DataFrame, lemmas: DataFrame) -> DataFrame:
+    """occurrences() and lemmas (word, lemma) -> term, n: of each normal form. A word is looked up once, however often it is there."""
+    named = lemmas.select(F.col("word").alias("term"), "lemma").dropDuplicates(["term"])
+    return counted.groupBy("term").agg(F.sum("n").alias("n")).join(named, "term", "left").groupBy(F.coalesce("lemma", "term").alias("term")).agg(F.sum("n").alias("n"))
+
+
 def learn_lemmas(chunks: DataFrame, dictionary: Batches, batch: str, analyse: Callable[[list[str]], list[str]]) -> DataFrame:
     """The lemmas (word, lemma) of all words of the dictionary and the chunks; what was new is published as a batch. Words that the
-    analyser could not take keep their own form, and are asked again next time."""
+    analyser could not take keep their own form, and are asked again next time. Chunks that are counted already (term) are not
+    read again."""
     known = dictionary.read("lemmas", LEMMAS)
-    new, _ = analysed(term_counts(chunks).select(F.explode_outer("counted.term").alias("term")).filter("term is not null"), known, analyse)
+    terms = chunks if "term" in chunks.columns else occurrences(chunks)
+    new, _ = analysed(terms.select("term"), known, analyse)
     if not new.isEmpty():
         dictionary.append(batch, lemmas=new)
     return dictionary.read("lemmas", LEMMAS)

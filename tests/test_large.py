@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lectio.operators import reports, retrieval, search
 from lectio.sources import artifacts
+from lectio.sources.batches import Batches
+from lectio.sources.shared import stored
 
 
 def test_questions_from_the_vectors_own_table_meet_them_in_blocks(spark):
@@ -42,6 +44,25 @@ def test_words_of_a_slice_are_counted(spark):
     assert [len(x) for x in retrieval.counted(pa.array(["", ""]))] == [0] * 4
 
 
+def test_lemmas_are_counted_without_reading_a_text_again(spark, tmp_path):
+    rows = [("v1", "walked walks b-B"), ("v2", None), ("v2", "walked, walked"), ("v3", ".")]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        read.add(1)
+        return text
+
+    chunks = spark.createDataFrame(rows, "video_id string, text string").withColumn("text", seen.asNondeterministic()("text"))
+    counted = stored(retrieval.occurrences(chunks, one=F.col("video_id") == "v1"), "occurrences")
+    dictionary = Batches(spark, str(tmp_path))
+    first = retrieval.learn_lemmas(counted.filter("one"), dictionary, "one", lambda words: [w[:4] for w in words])
+    assert sorted(map(tuple, first.collect())) == [("b", "b"), ("walked", "walk"), ("walks", "walk")]
+    lemmas = retrieval.learn_lemmas(counted, dictionary, "all", lambda words: [w[:4] for w in words])
+    assert sorted(map(tuple, retrieval.lemma_counts(counted, lemmas).collect())) == [("b", 2), ("walk", 4)]
+    assert read.value == len(rows)
+
+
 def test_an_index_of_long_chunks_has_small_segments_and_narrow_numbers(spark, monkeypatch):
     monkeypatch.setattr(search, "CHARACTERS", 2000)
     rows = [(f"c{i}", " ".join(f"w{i * k % 50}" for k in range(100)) + " few" * (300 if i == 3 else 1)) for i in range(60)]
