@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lectio.functions.text import fill, indented_json
 from lectio.operators.ordering import numbered
 from lectio.operators.replies import MATERIAL
+from lectio.sources.shared import spread
 
 #: The note and the guidance of a prompt by the kind of its question.
 KIND_NOTE = {
@@ -62,19 +63,22 @@ def pending(sources: DataFrame, audio: DataFrame, transcripts: DataFrame, force:
     return rows.orderBy("order").limit(limit) if limit else rows
 
 
-def registered(metadata: DataFrame) -> DataFrame:
+def registered(metadata: DataFrame, entries: int | None = None) -> DataFrame:
     """Fetched metadata (course, url_pos, type, id, title, duration, entries) -> course, video_id, url, title, duration_s, order.
 
     Playlists give their entries, null ones left out, anything else itself; the first occurrence of an id counts. The order
     within a course comes from ranges of the whole table, so a course of any size is as many tasks as it fills.
+    entries: about how many there are in all, if that is known; what a task sorts does not grow with them then.
     """
     own = F.array(F.struct("id", "title", "duration"))
     listed = F.when(F.col("type") == "playlist", F.col("entries")).otherwise(own)
     rows = metadata.select("course", "url_pos", F.posexplode(listed).alias("entry_pos", "e")).filter("e is not null and e.id is not null")
-    rows = rows.groupBy("course", F.col("e.id").alias("id")).agg(F.min(F.struct("url_pos", "entry_pos", "e")).alias("first")).select("course", "first.*")
+    rows = rows.select("course", F.col("e.id").alias("id"), "url_pos", "entry_pos", F.col("e.title").alias("title"), F.col("e.duration").alias("duration"))
+    rows = rows if entries is None else spread(rows, entries, "course", "id")
+    rows = rows.groupBy("course", "id").agg(F.min(F.struct("url_pos", "entry_pos", "title", "duration")).alias("first")).select("course", "id", "first.*")
     rows = numbered(rows, ["course", "url_pos", "entry_pos"], "order", ["course"])
     order = (F.col("order") + 1).cast("int")
-    return rows.select("course", F.col("e.id").alias("video_id"), F.concat(F.lit("https://www.youtube.com/watch?v="), "e.id").alias("url"), F.coalesce(F.nullif("e.title", F.lit("")), "e.id").alias("title"), F.nullif(F.col("e.duration").cast("double"), F.lit(0.0)).alias("duration_s"), order.alias("order"))
+    return rows.select("course", F.col("id").alias("video_id"), F.concat(F.lit("https://www.youtube.com/watch?v="), "id").alias("url"), F.coalesce(F.nullif("title", F.lit("")), "id").alias("title"), F.nullif(F.col("duration").cast("double"), F.lit(0.0)).alias("duration_s"), order.alias("order"))
 
 
 def prompts(rows: DataFrame, template: str, fields: list[str]) -> DataFrame:

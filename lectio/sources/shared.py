@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import weakref
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,8 @@ _WRITTEN: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary(
 FEW_FILES = 4
 #: Rows of a stored table that may be broadcast.
 FEW_ROWS = 200_000
+#: Rows that a task of spread() is given, more or less.
+TASK_ROWS = 500_000
 
 
 def dealt(df: DataFrame) -> DataFrame:
@@ -26,6 +28,12 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if len(df._jdf.inputFiles()) <= min(FEW_FILES, cores - 1) else df
 
 
+def spread(df: DataFrame, rows: int, *keys: Column | str) -> DataFrame:
+    """df dealt by these keys to as many tasks as ``rows`` rows fill. What a task sorts stays the same however large the table is,
+    and whatever number of partitions the session has; tasks are not joined again, as they are by their compressed size else."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir); one of our own only in a local session that names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from lectio.operators import reports, retrieval, search
-from lectio.sources import artifacts
+from lectio import registry
+from lectio.operators import planning, reports, retrieval, search
+from lectio.sources import artifacts, shared
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
@@ -84,3 +85,20 @@ def test_json_question_sets_are_not_parsed_as_yaml(spark, tmp_path):
     good, dead = artifacts.read_question_sets(spark, str(tmp_path))
     raw = {r["path"].rsplit("/", 1)[1]: json.loads(r["raw"]) for r in good.collect()}
     assert raw == {"a.json": {"id": "a", "questions": [{"id": "é", "number": 1, "text": "1e5: x"}]}, "b.yaml": {"id": "b", "questions": []}, "c.json": {"id": 1e5}} and dead.count() == 0
+
+
+def test_registration_deals_its_entries_by_their_number(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shared, "TASK_ROWS", 50)
+    orders = spark.range(300).selectExpr("id as o_orderkey", "id % 7 as o_custkey")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    orders.selectExpr("o_orderkey as l_orderkey", "explode(sequence(1, 3)) as l_linenumber", "o_orderkey * 11 % 90 as l_partkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found, met = planning.numbered, []
+    monkeypatch.setattr(planning, "numbered", lambda rows, *a: met.append(rows) or found(rows, *a))
+    first = {}
+    for k in range(300):
+        for i in range(3) if k % 2 == 0 else range(1):
+            first.setdefault((f"c{k % 7}", f"v{k * 11 % 90 if k % 2 == 0 else k}"), (k, i))
+    courses = {c: sorted((at, v) for (x, v), at in first.items() if x == c) for c, _ in first}
+    rows = {(r["course"], r["video_id"], r["order"]) for r in registry.e7_registered(spark, str(tmp_path)).collect()}
+    assert rows == {(c, v, i + 1) for c, listed in courses.items() for i, (_, v) in enumerate(listed)}
+    assert met[0].rdd.getNumPartitions() == 900 // 50  # the session has 4
