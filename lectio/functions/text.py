@@ -24,7 +24,7 @@ def collapse(x: Column) -> Column:
 def quote_form(x: Column) -> Column:
     """What is left of a quote when case, punctuation and spacing do not count: lower case, no dots on the Cyrillic e."""
     low = F.replace(F.lower(x), F.lit("ё"), F.lit("е"))
-    return collapse(F.regexp_replace(low, rf"[^\p{{L}}\p{{N}}\p{{M}}_\s\x{{85}}\p{{Z}}]", " "))
+    return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}\p{M}_]+", " "))
 
 
 def tokens(x: Column, pattern: str = "[а-яёa-z0-9]+") -> Column:

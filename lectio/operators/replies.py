@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectio.functions.text import json_of, minutes, quote_form, strip
+from lectio.sources.shared import stored
 
 MAX_QUOTE, MIN_QUOTE, FUZZY, MIN_BLOCK, OPENING = 300, 12, 0.85, 4, 40
 MATERIAL, FULL_FROM = 15, 3
@@ -166,15 +167,15 @@ def share_in_blocks(needle: str, source: str, threshold: float = 0.0, size: int
 
     Blocks are found from the longest on: of equal ones the leftmost in the needle, then in the source; then the same to
     the left of it on both sides, and to the right. Only runs of ``size`` count, so they are found by their first
-    characters. 0 when even all runs together do not reach the threshold.
+    characters. 0 when even all runs together do not reach the threshold, which is known before their places are.
     """
-    runs = common_runs(needle, source, size, known)
-    covered = set()
-    for i, _, n in runs:
-        covered.update(range(i, i + n))
+    there, covered = source if known is None else known, set()
+    for i in range(len(needle) - size + 1):
+        if needle[i : i + size] in there:
+            covered.update(range(i, i + size))
     if not covered or len(covered) / len(needle) < threshold:
         return 0.0
-    total, parts = 0, [(0, len(needle), 0, len(source), runs)]
+    total, parts = 0, [(0, len(needle), 0, len(source), common_runs(needle, source, size, known))]
     while parts:
         a0, a1, b0, b1, runs = parts.pop()
         inside = []
@@ -293,6 +294,9 @@ def build_citations(claims: DataFrame, chunks: DataFrame, segments: DataFrame |
     known = quotable(chunks, claims, "video_id", F.col("start").alias("chunk_start"))
     rows = claims.withColumn("quote", F.substring(strip(F.coalesce("quote", F.lit(""))), 1, MAX_QUOTE)).join(known, "chunk_id", "left")
     rows = verify_quotes(rows, threshold).withColumn("kept", F.coalesce(F.col("verified") & (F.col("quote") != "") & F.col("video_id").isNotNull(), F.lit(False)))
+    if segments is not None:
+        # written once: they are read four times below, and each time the matcher would go over all quotes
+        rows = stored(rows.select("answer_id", "position", "chunk_id", "quote", "kept", "video_id", "chunk_start"), "verified")
     counted = F.sum(F.col("kept").cast("int")).over(W.partitionBy("answer_id").orderBy("position"))
     rows = rows.withColumn("n", F.when(F.col("kept"), counted))
     if segments is None:

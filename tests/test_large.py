@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lectio import registry
-from lectio.operators import planning, reports, retrieval, search
+from lectio.operators import planning, replies, reports, retrieval, search
 from lectio.sources import artifacts, shared
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
@@ -102,3 +102,21 @@ def test_registration_deals_its_entries_by_their_number(spark, tmp_path, monkeyp
     rows = {(r["course"], r["video_id"], r["order"]) for r in registry.e7_registered(spark, str(tmp_path)).collect()}
     assert rows == {(c, v, i + 1) for c, listed in courses.items() for i, (_, v) in enumerate(listed)}
     assert met[0].rdd.getNumPartitions() == 900 // 50  # the session has 4
+
+
+def test_quotes_are_verified_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(quote):
+        read.add(1)
+        return quote
+
+    said = ["the first line of a lecture", "and a second one that follows"]
+    chunks = spark.createDataFrame([(f"v{i}:0000", f"v{i}", 0.0, 20.0, " ".join(said)) for i in range(9)], "chunk_id string, video_id string, start double, end double, text string")
+    segments = spark.createDataFrame([(f"v{i}", k, k * 10.0, k * 10.0 + 10, x) for i in range(9) for k, x in enumerate(said)], "video_id string, seg_no int, start double, end double, text string")
+    rows = [(i, k + 1, f"v{i}:0000", x) for i in range(10) for k, x in enumerate([said[0], "said by nobody at all", said[1].replace("second", "sekond"), None])]
+    claims = spark.createDataFrame(rows, "answer_id int, position int, chunk_id string, quote string").withColumn("quote", seen.asNondeterministic()("quote"))
+    found = {(r["answer_id"], r["position"]): (r["n"], r["start"]) for r in replies.build_citations(claims, chunks, segments).collect() if r["kept"]}
+    assert found == {(i, p): at for i in range(9) for p, at in ((1, (1, 0.0)), (3, (2, 0.0)))}
+    assert read.value == len(rows)
