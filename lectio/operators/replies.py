@@ -295,7 +295,7 @@ def build_citations(claims: DataFrame, chunks: DataFrame, segments: DataFrame |
     rows = claims.withColumn("quote", F.substring(strip(F.coalesce("quote", F.lit(""))), 1, MAX_QUOTE)).join(known, "chunk_id", "left")
     rows = verify_quotes(rows, threshold).withColumn("kept", F.coalesce(F.col("verified") & (F.col("quote") != "") & F.col("video_id").isNotNull(), F.lit(False)))
     if segments is not None:
-        # written once: they are read four times below, and each time the matcher would go over all quotes
+        # written once: they are read several times below, and each time the matcher would go over all quotes
         rows = stored(rows.select("answer_id", "position", "chunk_id", "quote", "kept", "video_id", "chunk_start"), "verified")
     counted = F.sum(F.col("kept").cast("int")).over(W.partitionBy("answer_id").orderBy("position"))
     rows = rows.withColumn("n", F.when(F.col("kept"), counted))
