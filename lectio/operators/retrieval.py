@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lectio.functions.text import tokens
 from lectio.operators.guard import guarded
 from lectio.sources.batches import Batches
-from lectio.sources.shared import stored
+from lectio.sources.shared import few, spread, stored
 
 TOP_K, RRF_K = 40, 60
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -28,6 +29,8 @@ BLOCK, CELL = 4096, 50_000
 TILE, CENTRES, PACK = 512, 1024, 4096
 #: Chunks whose words are counted at once.
 SLICE = 512
+#: Postings of a cell of chunks that a block of questions meets.
+CELL_POSTINGS = 500_000
 LEMMAS = "word string, lemma string"
 
 
@@ -117,6 +120,64 @@ def bm25(questions: DataFrame, posted: DataFrame, weights: DataFrame, n: int, av
     return scored.filter("score > 0")
 
 
+def bm25_best(questions: DataFrame, posted: DataFrame, weights: DataFrame, average: float, pool: int = 2 * TOP_K, lemmas: DataFrame | None = None, block: int = BLOCK, cell: int = CELL_POSTINGS) -> DataFrame:
+    """The rows of bm25() that may be among the best ``pool`` of a question, for ranked(); exact.
+
+    A posting is joined once with its term, however many questions ask it, and sent to its cell of chunks; questions are dealt to
+    blocks. Where a block meets a cell the parts are summed, so pairs of question and chunk are not exchanged, but for the best of a cell.
+    """
+    asked = words(questions, "question_id", lemmas).groupBy("question_id", "term").agg(F.count("*").alias("times")).join(weights, "term")
+    asked = stored(asked, "asked")
+    wanted = stored(asked.select("term", "df", "idf").dropDuplicates(["term"]).withColumn("number", F.monotonically_increasing_id()), "wanted")
+    blocks = max(1, -(-questions.count() // block))
+    rows = wanted.agg(F.sum("df")).first()[0] or 0
+    cells = max(2 * questions.sparkSession.sparkContext.defaultParallelism, -(-rows // cell))
+    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / average))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    known = posted.join(few(wanted), "term").select("chunk_id", "number", part.alias("part"), F.pmod(F.xxhash64("chunk_id"), F.lit(cells)).cast("int").alias("cell"))
+    known = spread(known.withColumn("block", every(blocks) if blocks > 1 else F.lit(0)), rows * blocks, "block", "cell")
+    asked = asked.join(few(wanted.select("term", F.col("number").alias("number"))), "term").select("question_id", "number", "times", F.pmod(F.xxhash64("question_id"), F.lit(blocks)).cast("int").alias("block")).withColumn("cell", every(cells))
+    kind = questions.schema["question_id"].dataType
+    schema = pa.schema([("question_id", to_arrow_type(kind)), ("chunk_id", pa.string()), ("score", pa.float64())])
+    meet = lambda q, k: _summed(q, k, pool).cast(schema)
+    return asked.groupBy("block", "cell").cogroup(known.groupBy("block", "cell")).applyInArrow(meet, f"question_id {kind.simpleString()}, chunk_id string, score double")
+
+
+def _coded(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """(the different values in order, nulls first; which of them each row has)."""
+    coded = column.combine_chunks().dictionary_encode(null_encoding="encode")
+    order = pc.sort_indices(coded.dictionary, null_placement="at_start")
+    ranks = np.empty(len(order), np.int64)
+    ranks[order.to_numpy()] = np.arange(len(order))
+    return coded.dictionary.take(order), ranks[coded.indices.to_numpy(zero_copy_only=False)]
+
+
+def _summed(asked: pa.Table, known: pa.Table, pool: int) -> pa.Table:
+    """(question_id, number, times) x (chunk_id, number, part) -> question_id, chunk_id, score > 0: of each question the best ``pool``, and
+    what differs from the last of them by no more than ranked() rounds off. Of equal scores only the last ``pool`` chunks stay."""
+    (questions, who), (chunks, where) = _coded(asked["question_id"]), _coded(known["chunk_id"])
+    number, part = known["number"].to_numpy(), known["part"].to_numpy()
+    order = np.argsort(number, kind="stable")
+    number, part, where = number[order], part[order], where[order]
+    # in order of terms: chunks with the same words have the same sum to the last bit
+    term, times = asked["number"].to_numpy(), asked["times"].to_numpy()
+    order = np.lexsort((term, who))
+    who, term, times = who[order], term[order], times[order]
+    first, last = np.searchsorted(number, term), np.searchsorted(number, term, "right")
+    ends, found = np.searchsorted(who, np.arange(len(questions) + 1)).tolist(), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for q, (a, b) in enumerate(zip(ends, ends[1:])):
+        lists = [slice(x, y) for x, y in zip(first[a:b].tolist(), last[a:b].tolist())]
+        score = np.bincount(np.concatenate([where[x] for x in lists]), np.concatenate([part[x] for x in lists]) * np.repeat(times[a:b], last[a:b] - first[a:b]), len(chunks))
+        least = np.partition(score, -pool)[-pool] - 1e-9 if len(score) > pool else -np.inf
+        kept = np.flatnonzero((score >= least) & (score > 0))
+        kept = kept[np.lexsort((-kept, -score[kept]))]
+        place = np.arange(len(kept))
+        kept = kept[place - np.searchsorted(-score[kept], -score[kept]) < pool]
+        found.append((np.full(len(kept), q), kept, score[kept]))
+    q, kept, score = (np.concatenate(x) for x in zip(*found))
+    return pa.table({"question_id": questions.take(pa.array(q)), "chunk_id": chunks.take(pa.array(kept)), "score": score})
+
+
 def _best(matrix: np.ndarray, vectors: np.ndarray, pool: int, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(question, vector, score) of the best ``pool`` of these vectors for each row of the matrix; ties at the edge stay, and what
     is below ``least`` goes. A tile of vectors at a time, so memory does not grow with their number."""

@@ -120,3 +120,25 @@ def test_quotes_are_verified_once(spark):
     found = {(r["answer_id"], r["position"]): (r["n"], r["start"]) for r in replies.build_citations(claims, chunks, segments).collect() if r["kept"]}
     assert found == {(i, p): at for i in range(9) for p, at in ((1, (1, 0.0)), (3, (2, 0.0)))}
     assert read.value == len(rows)
+
+
+def test_joined_postings_send_the_best_of_a_cell_whatever_the_copies(spark):
+    said = ["a b b c", "a c d d d", "b e", "f a a a g h", "", None, "x y"]
+    rows = [(f"v{i:03d}", said[i % 7] + f" w{i % 3}" if said[i % 7] else said[i % 7]) for i in range(80)] + [(f"copy{i:03d}", "a b c") for i in range(300)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, text string").repartition(5)
+    asked = spark.createDataFrame([(1, "a b a"), (2, "c c d w1"), (3, "unknown"), (4, None), (5, "h g f e w2"), (6, "a")], "question_id long, text string")
+    posted = stored(retrieval.postings(chunks), "postings")
+    n, average = retrieval.corpus_size(chunks, posted)
+    weights = retrieval.term_weights(posted, n)
+    every, best = retrieval.bm25(asked, posted, weights, n, average), lambda df: sorted((r["question_id"], r["rank"], r["chunk_id"], round(r["score"], 9)) for r in retrieval.ranked(df, 4).collect())
+    assert every.count() > 700 and len(best(every)) == 4 * 4
+    for sizes in ({}, {"block": 2, "cell": 40}, {"block": 1, "cell": 10**6}):
+        found = stored(retrieval.bm25_best(asked, posted, weights, average, 4, **sizes), "found")
+        assert best(found) == best(every)
+    # two cells a core at least: of each fewer than twice 4 rows a question, though 300 copies tie
+    assert found.count() < 2 * 4 * 4 * 2 * spark.sparkContext.defaultParallelism
+    assert retrieval.bm25_best(asked.filter("question_id = 3"), posted, weights, average).count() == 0
+    null = spark.createDataFrame([(None, "x y"), ("v", "x"), ("w", "z"), ("u", "z")], "chunk_id string, text string")
+    posted = retrieval.postings(null)
+    args = spark.createDataFrame([(None, "x y")], "question_id string, text string"), posted, retrieval.term_weights(posted, 4)
+    assert sorted(map(str, retrieval.bm25_best(*args, 1.25).collect())) == sorted(map(str, retrieval.bm25(*args, 4, 1.25).collect())) != []
