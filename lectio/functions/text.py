@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: What a reader takes for white space in any script; Spark's trim() knows the space alone.
 SPACE = r"[\s\x{85}\p{Z}]"
+#: The characters of SPACE.
+SPACES = " \t\n\x0b\f\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(x: Column) -> Column:
@@ -17,8 +21,12 @@ def strip(x: Column) -> Column:
 
 
 def collapse(x: Column) -> Column:
-    """Runs of white space to one space, none at the ends."""
-    return F.trim(F.regexp_replace(x, f"{SPACE}+", " "))
+    """Runs of white space to one space, none at the ends. Most texts are so already, which is seen without an expression."""
+    has = lambda some: reduce(or_, (x.contains(c) for c in some))
+    other = [c for c in SPACES if c != " "]
+    uneven = x.startswith(" ") | x.endswith(" ") | has(["  ", *(c for c in other if c < "\x80")])
+    uneven = uneven | ((F.octet_length(x) > F.length(x)) & has(c for c in other if c >= "\x80"))
+    return F.when(uneven, F.trim(F.regexp_replace(x, f"{SPACE}+", " "))).otherwise(x)
 
 
 def quote_form(x: Column) -> Column:

@@ -48,6 +48,35 @@ def said(text: Column) -> Column:
     return F.array_join(tokens(F.coalesce(text, F.lit(""))), " ")
 
 
+#: Of each byte of UTF-8: 1 for a letter or digit of the default pattern of words(), 2 and 3 for the first bytes of its Cyrillic ones.
+_BYTES = np.zeros(256, np.uint8)
+_BYTES[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = 1
+_BYTES[0xD0], _BYTES[0xD1] = 2, 3
+
+
+def split_words(low: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Texts in lower case -> (their words by the default pattern of words(), one after the other; how many each text has). A null has none."""
+    n, (_, offsets, data) = len(low), low.buffers()
+    ends = np.frombuffer(offsets, np.int32)[low.offset : low.offset + n + 1] if n else np.zeros(1, np.int32)
+    data = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    kind = _BYTES[data]
+    good = kind == 1
+    first = np.flatnonzero(kind > 1)
+    if len(first):
+        after = data[np.minimum(first + 1, len(data) - 1)]
+        first = first[np.where(kind[first] == 2, after >= 0xB0, (after <= 0x8F) | (after == 0x91))]
+        good[first] = good[first + 1] = True
+    begin = good.copy()
+    begin[1:] &= ~good[:-1]
+    edge = ends[ends < len(data)]
+    begin[edge] = good[edge]  # a word does not go on in the next text
+    counts = np.diff(np.searchsorted(np.flatnonzero(begin), ends))
+    starts = np.flatnonzero(begin[good])
+    spelt = np.append(starts, np.count_nonzero(good)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(spelt), pa.py_buffer(data[good])), counts
+
+
 def counted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """said() of some chunks -> (terms in order; and of each pair: which chunk, which term, how often), in order of chunks and terms."""
     lists = pc.split_pattern(texts, " ")
@@ -340,9 +369,10 @@ def with_neighbours(chunks: DataFrame, neighbours: int = 1, wanted: DataFrame |
         span = W.partitionBy("video_id").orderBy("chunk_no").rowsBetween(-neighbours, neighbours)
         return chunks.select("chunk_id", F.array_join(F.collect_list("text").over(span), " ").alias("context"))
     near = F.explode(F.sequence(F.col("chunk_no") - neighbours, F.col("chunk_no") + neighbours))
-    own = chunks.select("chunk_id", "video_id", "chunk_no").join(wanted.select("chunk_id").distinct(), "chunk_id", "left_semi")
-    asked = own.select("chunk_id", "video_id", near.alias("chunk_no"))
-    told = chunks.select("video_id", "chunk_no", "text").join(asked, ["video_id", "chunk_no"])
+    wanted = few(stored(wanted.select("chunk_id").distinct(), "wanted"))
+    own = stored(chunks.select("chunk_id", "video_id", "chunk_no").join(wanted, "chunk_id", "left_semi"), "own")
+    # few are broadcast, and no text is exchanged
+    told = chunks.select("video_id", "chunk_no", "text").join(few(own.select("chunk_id", "video_id", near.alias("chunk_no"))), ["video_id", "chunk_no"])
     said = told.groupBy("chunk_id").agg(F.sort_array(F.collect_list(F.struct("chunk_no", "text"))).alias("said"))
     return said.select("chunk_id", F.array_join(F.transform("said", lambda x: x["text"]), " ").alias("context"))
 

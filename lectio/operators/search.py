@@ -11,7 +11,7 @@ New recordings are further segments. Numbers of chunks, words and terms add up,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
@@ -22,13 +22,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectio.operators.retrieval import BLOCK, K1, SLICE, TOP_K, B, counted, postings, said, term_counts, weights_of, words
+from lectio.operators.retrieval import BLOCK, K1, TOP_K, B, postings, split_words, term_counts, weights_of, words
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
 
 SEGMENT, RUN, FREQUENT = 8192, 2, 0.1
-#: Characters of a segment, and questions whose matches are sent at once.
+#: Bytes of a segment's texts, and questions whose matches are sent at once.
 CHARACTERS, SENT = 1 << 24, 256
+#: Terms of segments that are added up at once.
+COUNTED = 1 << 20
 SEGMENT_SCHEMA = "chunk_ids array<string>, lengths binary, terms array<string>, starts binary, places binary, counts binary, frequent binary, peaks binary"
 SIZES = "chunks long, words long"
 _LISTED = pa.schema([("chunk_ids", pa.list_(pa.string())), ("lengths", pa.binary()), ("terms", pa.list_(pa.string())), *((c, pa.binary()) for c in ("starts", "places", "counts", "frequent", "peaks"))])
@@ -44,44 +46,73 @@ def _numbers(raw: pa.Buffer | bytes, n: int) -> np.ndarray:
 
 
 def _pairs(group: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks (said; or length, terms, tfs) -> (terms in order; of each pair: which chunk, which term, how often; lengths)."""
-    if "said" in group.column_names:
-        parts = [(a, counted(group["said"][a : a + SLICE].combine_chunks())) for a in range(0, group.num_rows, SLICE)]
-        flat = pa.chunked_array([names for _, (names, *_) in parts], pa.string()).combine_chunks()
-        row, count = (np.concatenate([np.zeros(0, np.int64), *x]) for x in ([a + row for a, (_, row, _, _) in parts], [times for _, (*_, times) in parts]))
-        ends = np.cumsum([0, *(len(names) for _, (names, *_) in parts)])
-        of = np.concatenate([np.zeros(0, np.int64), *(e + term for e, (_, (_, _, term, _)) in zip(ends.tolist(), parts))])
-        lengths = np.bincount(row, count, group.num_rows).astype(np.int64)
+    """Chunks (low; or length, terms, tfs) -> (terms; of each occurrence or count: which chunk, which term, how often; lengths)."""
+    if "low" in group.column_names:
+        flat, lengths = split_words(group["low"].combine_chunks())
+        row, count = np.repeat(np.arange(group.num_rows), lengths), np.broadcast_to(1, len(flat))
     else:
         lists = group["terms"].combine_chunks()
-        flat, of = pc.list_flatten(lists), slice(None)
+        flat, lengths = pc.list_flatten(lists), group["length"].to_numpy()
         row = np.repeat(np.arange(group.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-        count, lengths = pc.list_flatten(group["tfs"].combine_chunks()).to_numpy(zero_copy_only=False), group["length"].to_numpy()
+        count = pc.list_flatten(group["tfs"].combine_chunks()).to_numpy(zero_copy_only=False)
     coded = flat.dictionary_encode()
-    order = pc.sort_indices(coded.dictionary)
-    ranks = np.empty(len(order), np.int64)
-    ranks[order.to_numpy()] = np.arange(len(order))
-    return coded.dictionary.take(order), row, ranks[coded.indices.to_numpy(zero_copy_only=False)][of], count, lengths
+    return coded.dictionary, row, coded.indices.to_numpy(zero_copy_only=False), count, lengths
 
 
 def _packed(group: pa.Table) -> pa.Table:
-    """Chunks (chunk_id, said; or chunk_id, length, terms, tfs) -> the one row of their segment."""
+    """Chunks (chunk_id, low: the text in lower case; or chunk_id, length, terms, tfs) -> the one row of their segment."""
     n, (names, row, term, count, lengths) = group.num_rows, _pairs(group)
     chunks = pa.table({"length": lengths, "chunk_id": group["chunk_id"]})
     sorted_ = pc.sort_indices(chunks, sort_keys=[("length", "ascending"), ("chunk_id", "ascending")])
     chunks, at = chunks.take(sorted_), np.empty(n, np.int64)
     at[sorted_.to_numpy()] = np.arange(n)
-    place = at[row]
-    order = np.argsort(term * n + place)
-    term, place, count = term[order], place[order], count[order]
+    order = pc.sort_indices(names)
+    ranks = np.empty(len(order), np.int64)
+    ranks[order.to_numpy()] = np.arange(len(order))
+    # term and place in one number: occurrences are sorted, and counted where it changes
+    both = ranks[term] * n + at[row]
+    if "low" in group.column_names:
+        both.sort()
+        first = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
+        both, count = both[first], np.diff(first, append=len(both))
+    else:
+        order_ = np.argsort(both)
+        both, count = both[order_], count[order_]
+    names = names.take(order)
+    term, place = np.divmod(both, max(n, 1))
     starts = np.searchsorted(term, np.arange(len(names) + 1))
     frequent = np.flatnonzero(np.diff(starts) > FREQUENT * n)
     peaks = np.zeros((len(frequent), -(-n // RUN)), np.uint8)
     for row, t in zip(peaks, frequent.tolist()):
         a, b = starts[t], starts[t + 1]
         np.maximum.at(row, place[a:b] // RUN, np.minimum(count[a:b], 255).astype(np.uint8))
-    row = [chunks["chunk_id"].to_pylist(), chunks["length"].to_numpy().astype("<i8").tobytes(), names.to_pylist(), starts.astype("<i4").tobytes(), _narrow(place), _narrow(count), frequent.astype("<i4").tobytes(), peaks.tobytes()]
-    return pa.table([pa.array([x], f.type) for x, f in zip(row, _LISTED)], schema=_LISTED)
+    one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x)
+    parts = [chunks["length"].to_numpy().astype("<i8"), starts.astype("<i4"), _narrow(place), _narrow(count), frequent.astype("<i4"), peaks]
+    lengths, *rest = (pa.array([x if isinstance(x, bytes) else x.tobytes()], pa.binary()) for x in parts)
+    return pa.table([one(chunks["chunk_id"]), lengths, one(names), *rest], schema=_LISTED)
+
+
+def _segments(size: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Chunks (chunk_id, low) of a task -> segments of ``size`` of them, or of fewer with some ``most`` bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, taken = [], 0, 0
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("low")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            a = 0
+            while a < batch.num_rows:
+                # as many as fit, and the one that passes the edge
+                before = int(ends[a - 1]) if a else 0
+                b = min(int(np.searchsorted(ends, before + most - taken)) + 1, a + size - rows, batch.num_rows)
+                held.append(batch.slice(a, b - a))
+                rows, taken, a = rows + b - a, taken + int(ends[b - 1]) - before, b
+                if rows >= size or taken >= most:
+                    yield from _packed(pa.Table.from_batches(held)).to_batches()
+                    held, rows, taken = [], 0, 0
+        if held:
+            yield from _packed(pa.Table.from_batches(held)).to_batches()
+
+    return run
 
 
 @dataclass(frozen=True)
@@ -100,30 +131,39 @@ class Index:
 
 
 def indexed(chunks: DataFrame, size: int = SEGMENT, lemmas: DataFrame | None = None) -> Index:
-    """Chunks (chunk_id, text; null: no words) -> their index, written once. One exchange, of words by segment; with lemmas (word, lemma),
-    which may make one term of several, two more. Segments have ``size`` chunks, fewer where these are long."""
+    """Chunks (chunk_id, text; null: no words) -> their index, written once. Segments are made where the chunks lie, so no text is
+    exchanged; with lemmas (word, lemma), which may make one term of several, counts are. Segments have ``size`` chunks, fewer where
+    these are long or a task has no more."""
     if lemmas is None:
-        rows = chunks.select("chunk_id", said(F.col("text")).alias("said"))
-    else:
-        named = postings(chunks, lemmas).groupBy("chunk_id").agg(F.collect_list(F.struct("term", "tf")).alias("named"))
-        rows = term_counts(chunks).select("chunk_id", "length").join(named, "chunk_id", "left").withColumn("counted", F.coalesce("named", F.array().cast("array<struct<term:string,tf:bigint>>")))
-        rows = rows.select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
+        rows = chunks.select("chunk_id", F.lower(F.coalesce("text", F.lit(""))).alias("low"))
+        return index_of(stored(rows.mapInArrow(_segments(size, CHARACTERS), SEGMENT_SCHEMA), "segments"))
+    named = postings(chunks, lemmas).groupBy("chunk_id").agg(F.collect_list(F.struct("term", "tf")).alias("named"))
+    rows = term_counts(chunks).select("chunk_id", "length").join(named, "chunk_id", "left").withColumn("counted", F.coalesce("named", F.array().cast("array<struct<term:string,tf:bigint>>")))
+    rows = rows.select("chunk_id", "length", F.col("counted.term").alias("terms"), F.col("counted.tf").alias("tfs"))
     there = chunks.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("characters")).first()
     n = max(1, -(-there["n"] // size), -(-there["characters"] // CHARACTERS))
     named = rows.withColumn("segment", F.pmod(F.xxhash64("chunk_id"), F.lit(n)))
-    segments = stored(named.groupBy("segment").applyInArrow(lambda group: _packed(group.drop_columns(["segment"])), SEGMENT_SCHEMA), "segments")
-    return index_of(segments)
+    return index_of(stored(named.groupBy("segment").applyInArrow(lambda group: _packed(group.drop_columns(["segment"])), SEGMENT_SCHEMA), "segments"))
 
 
 def index_of(segments: DataFrame) -> Index:
     """The index that stored segments make up: only their terms and lengths are read."""
 
+    def summed(held: list[pa.Table]) -> list[pa.RecordBatch]:
+        return pa.concat_tables(held).group_by("term").aggregate([("df", "sum"), ("words", "sum")]).rename_columns(["term", "df", "words"]).to_batches()
+
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
             for terms, starts, lengths in zip(batch.column("terms"), batch.column("starts"), batch.column("lengths")):
-                lengths = np.frombuffer(lengths.as_py(), "<i8")
-                df = np.diff(np.frombuffer(starts.as_py(), "<i4")).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays([terms.values, pa.array([None], pa.string())]), pa.array([*df, len(lengths)], pa.int64()), pa.array([*[0] * len(df), int(lengths.sum())], pa.int64())], ["term", "df", "words"])
+                lengths = np.frombuffer(lengths.as_buffer(), "<i8")
+                df = np.diff(np.frombuffer(starts.as_buffer(), "<i4")).astype(np.int64)
+                held.append(pa.table({"term": pa.concat_arrays([terms.values, pa.array([None], pa.string())]), "df": np.append(df, len(lengths)), "words": np.append(np.zeros(len(df), np.int64), lengths.sum())}))
+                if sum(t.num_rows for t in held) > COUNTED:
+                    yield from summed(held)
+                    held = []
+        if held:
+            yield from summed(held)
 
     counted = segments.select("terms", "starts", "lengths").mapInArrow(sizes, "term string, df long, words long")
     counted = stored(counted.groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words")), "terms")
@@ -170,21 +210,25 @@ def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.nd
     there = {t: at for t, at in enumerate(number) if at is not None}
     row = {at: k for k, at in enumerate(frequent.tolist())}
     part = lambda t, tf, norm: asked.idf[t] * tf * (K1 + 1) / (tf + norm)
-    lists, bounds = {}, {}
+    lists, bounds, parts, of = {}, {}, [], {}
     for t, at in there.items():
         where, tf = places[starts[at] : starts[at + 1]], counts[starts[at] : starts[at + 1]]
         if at in row and asked.idf[t] > 0:
             peak = peaks[row[at]].astype(np.float64)  # 255: that or more
             bounds[t] = np.where(peak == 255, asked.idf[t] * (K1 + 1), part(t, peak, norm[::RUN]))
-            lists[t] = where, tf
+            of[t] = len(parts)
+            parts.append(np.zeros(n))
+            parts[-1][where] = part(t, tf, norm[where])
         else:
             lists[t] = where, part(t, tf, norm[where])
+    parts = np.array(parts).reshape(len(parts), n).T.copy()  # a chunk's parts lie together
     for q, (terms, times) in enumerate(asked.rows):
-        rare, most, long, read = np.zeros(n), np.zeros(-(-n // RUN)), [], 0
+        rare, most, long, weights, read = np.zeros(n), np.zeros(-(-n // RUN)), [], [], 0
         for t, k in zip(terms.tolist(), times.tolist()):
             if t in bounds:
                 most += k * bounds[t]
-                long.append((t, k))
+                long.append(of[t])
+                weights.append(k)
             elif t in lists:
                 where, score = lists[t]
                 rare[where] += k * score
@@ -192,25 +236,29 @@ def best_in(segment: dict, asked: Asked, pool: int) -> Iterator[tuple[int, np.nd
         bound = rare + np.repeat(most, RUN)[:n]
         exact = np.full(n, -np.inf)
 
-        def look_up(some: np.ndarray) -> int:
-            total, seen = rare[some], 0
-            for t, k in long:
-                where, tf = lists[t]
-                at = np.minimum(np.searchsorted(where, some.astype(where.dtype)), len(where) - 1)
-                hit = where[at] == some
-                total[hit] += k * part(t, tf[at[hit]], norm[some[hit]])
-                seen += int(hit.sum())
+        def look_up(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            found = parts[some[:, None], long]
+            total = rare[some]
+            for x, k in zip(found.T, weights):  # in order of terms: equal chunks have equal sums
+                total += k * x
             exact[some] = total
-            return seen
-
-        # from the highest bound down, until no bound that is left reaches the score of the last of the best
-        order, done, least = np.argsort(-bound, kind="stable"), 0, 0.0
-        while done < n and bound[order[done]] >= least and bound[order[done]] > 0:
-            some = order[done : done + max(pool // 2, done // 4)]
-            some, done = some[bound[some] >= least], done + len(some)
-            read += look_up(some)
-            if done >= pool:
-                least = np.partition(exact, n - pool)[n - pool] - 1e-9
+            return found, total
+
+        # those of the highest bounds give a score that the rest must reach: some few first, and more as long as it helps
+        open_, least, size, best = bound > 0, 0.0, pool, np.zeros(0)
+        while True:
+            left = np.flatnonzero(open_ & (bound >= least))
+            some = left if len(left) <= size else left[np.argpartition(-bound[left], size)[:size]]
+            if not len(some):
+                break
+            found, total = look_up(some)
+            read += int(np.count_nonzero(found))
+            open_[some] = False
+            best = np.append(best, total)
+            if len(best) >= pool:
+                best = np.partition(best, len(best) - pool)[len(best) - pool :]
+                least = max(0.0, best[0] - 1e-9)
+            size *= 2
         kept = np.flatnonzero((exact >= least) & (exact > 0))
         yield q, kept, exact[kept], read
 

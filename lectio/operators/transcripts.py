@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectio.functions.text import collapse, strip
+from lectio.functions.text import SPACES, collapse, strip
 from lectio.operators.ordering import numbered
 from lectio.sources.batches import Batches
 from lectio.sources.shared import stored
@@ -21,6 +24,8 @@ WINDOW_S, OVERLAP_S, GLOSSARY_CHARS = 90.0, 15.0, 700
 CHUNKS = "chunk_id string, video_id string, chunk_no int, start double, end double, text string"
 #: Numbers of segments that make a cell of a recording.
 CELL = 1024
+#: Recordings that are cut at once.
+RECORDINGS = 256
 #: Segments among which the end of a window is looked for before the rest.
 NEAR = 24
 #: Lines that a recogniser makes up on silence or music.
@@ -38,6 +43,8 @@ BOILERPLATE = [
     r"[!?.…\-\s]*",
     r".*\b(?:корректор|редактор|расшифровка|перевод)\s+[а-яё]\.\s*[а-яё-]+.*",
 ]
+#: Of patterns that begin anywhere: words of which they need one.
+WORDS_OF = {BOILERPLATE[-1]: ["корректор", "редактор", "расшифровка", "перевод"]}
 
 
 def repair_bounds(raw: DataFrame) -> DataFrame:
@@ -115,7 +122,16 @@ def replaced(text: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def is_boilerplate(text: Column, patterns: list[str] = BOILERPLATE) -> Column:
-    return text.rlike("(?iuU)^(?:" + "|".join(patterns) + ")$")
+    """Patterns that may begin anywhere are tried only where one of their words is: to step back through every line is dear."""
+    any_of = lambda some: text.rlike("(?iuU)^(?:" + "|".join(some) + ")$")
+    rest = [p for p in patterns if p not in WORDS_OF]
+    found = any_of(rest) if rest or not patterns else F.lit(False)
+    for p in patterns:
+        if p in WORDS_OF:
+            # what (?iu) takes for a letter has its upper case; an array, so that this is made once
+            one_of = lambda x: reduce(or_, (x.contains(word.upper()) for word in WORDS_OF[p]))  # noqa: B023,E731
+            found = found | (F.exists(F.array(F.upper(text)), one_of) & any_of([p]))
+    return found
 
 
 def is_glossary_echo(text: Column, terms: list[str], share: float = ECHO_SHARE) -> Column:
@@ -149,9 +165,12 @@ def flagged(segments: DataFrame, rules: list[tuple[str, str]] = (), terms: list[
     order = W.partitionBy("video_id").orderBy("seg_no")
     rows = rows.withColumn("_good", F.coalesce(good, F.lit(False))).withColumn("text", F.when(F.col("_good"), F.col("text")))
     before = F.last("text", ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, -1))
-    rows = rows.withColumn("_new", (F.col("_good") & F.coalesce(F.col("text") != before, F.lit(True))).cast("int")).withColumn("_run", F.sum("_new").over(order))
-    nth = F.sum(F.col("_good").cast("int")).over(W.partitionBy("video_id", "_run").orderBy("seg_no"))
-    return rows.withColumn("kept", F.col("_good") & (nth <= max(1, max_repeats))).drop("_good", "_new", "_run")
+    rows = rows.withColumn("_new", F.col("_good") & F.coalesce(F.col("text") != before, F.lit(True)))
+    # counts within a run are differences of counts within the recording, so rows are sorted once
+    so_far = order.rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumn("_nth", F.sum(F.col("_good").cast("int")).over(so_far))
+    first = F.max(F.when(F.col("_new"), F.col("_nth"))).over(so_far)
+    return rows.withColumn("kept", F.col("_good") & (F.col("_nth") - first < max(1, max_repeats))).drop("_good", "_new", "_nth")
 
 
 def clean(segments: DataFrame, rules: list[tuple[str, str]] = (), terms: list[str] = (), patterns: list[str] = BOILERPLATE, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -208,6 +227,43 @@ def _walked(rows: DataFrame) -> DataFrame:
     return rows.select("video_id", F.filter(found, lambda x: x["text"] != "").alias("windows"))
 
 
+def _cut(window_s: float, overlap_s: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Recordings of one cell (video_id, list) -> video_id, chunk_no, w: their windows, each of which depends on the one before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(a, RECORDINGS) for b in batches for a in range(0, b.num_rows, RECORDINGS)):
+            lists = batch.column("list")
+            flat, edges = lists.flatten(), np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))).tolist()
+            start, end, text = (flat.field(c).to_pylist() for c in ("start", "end", "text"))
+            whose, number, bounds, said = [], [], ([], []), []
+            for row, (i, n) in enumerate(zip(edges, edges[1:])):
+                done = 0
+                while i < n:
+                    # as Spark compares: NaN is more than anything
+                    stop = i
+                    while stop < n and end[stop] - start[i] <= window_s:
+                        stop += 1
+                    stop = max(stop, i + 1)
+                    one = " ".join(text[i:stop]).strip(SPACES)
+                    if one:
+                        whose.append(row)
+                        number.append(done)
+                        bounds[0].append(start[i])
+                        bounds[1].append(end[stop - 1])
+                        said.append(one)
+                        done += 1
+                    if stop >= n:
+                        break
+                    back, k = end[stop - 1] - overlap_s, stop - 1
+                    while k > i and not (start[k] <= back or back != back):
+                        k -= 1
+                    i = max(k, i + 1)
+            w = pa.StructArray.from_arrays([pa.array(bounds[0], pa.float64()), pa.array(bounds[1], pa.float64()), pa.array(said, pa.string())], ["start", "end", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("video_id").take(pa.array(whose, pa.int64())), pa.array(number, pa.int32()), w], ["video_id", "chunk_no", "w"])
+
+    return run
+
+
 def _reached(exits: DataFrame, cells: int) -> DataFrame:
     """exits (video_id, code, to: where its chain first leaves its cell) -> video_id, code of all places in which the chain from
     0 enters a cell. Pointers are doubled, so a chain through n cells takes log n rounds, each a join by place; each is written."""
@@ -262,15 +318,12 @@ def windows(segments: DataFrame, window_s: float = WINDOW_S, overlap_s: float =
     cells = stored(rows.agg(F.sort_array(F.collect_list(item)).alias("list")), "cells")
     several = stored(cells.groupBy("video_id").agg(F.count("*").alias("n")).filter("n > 1").select("video_id"), "several")
     alone = cells.join(several, "video_id", "left_anti")
-    coded = F.transform("list", lambda x, i: F.struct(i.cast("long").alias("code"), x["start"].alias("start"), x["end"].alias("end"), x["text"].alias("text")))
-    alone = alone.select("video_id", coded.alias("view"), F.size("list").alias("own"), F.lit(True).alias("whole"), F.lit(0).alias("entry"))
-    found = _walked(_with_steps(alone, window_s, overlap_s)).select("video_id", F.posexplode_outer("windows").alias("chunk_no", "w")).filter("w is not null")
-    found = found.select("video_id", F.col("chunk_no").cast("int").alias("chunk_no"), "w")
+    found = alone.mapInArrow(_cut(window_s, overlap_s), f"video_id {segments.schema['video_id'].dataType.simpleString()}, chunk_no int, w struct<start:double,end:double,text:string>")
     if not several.isEmpty():
         long = _long_windows(cells.join(several, "video_id", "left_semi"), window_s, overlap_s, cell)
         long = long.select("video_id", F.explode_outer("windows").alias("w")).filter("w is not null").select("video_id", "w", "w.code")
         long = numbered(long, ["video_id", "code"], "chunk_no", ["video_id"])
-        found = found.unionByName(long.select("video_id", F.col("chunk_no").cast("int").alias("chunk_no"), "w"))
+        found = found.unionByName(long.select("video_id", F.col("chunk_no").cast("int").alias("chunk_no"), F.struct("w.start", "w.end", "w.text").alias("w")))
     return found.select(chunk_id(F.col("video_id"), F.col("chunk_no")).alias("chunk_id"), "video_id", "chunk_no", "w.start", "w.end", "w.text")
 
 

@@ -47,9 +47,10 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def segments(spark: SparkSession, d: str) -> DataFrame:
     """Lines of documents as segments, 12.5 characters a second."""
-    rows = read(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("seg_no", "text"))
-    total = F.sum(F.length("text")).over(W.partitionBy("doc_id").orderBy("seg_no"))
-    return rows.select(F.concat(F.lit("v"), "doc_id").alias("video_id"), "seg_no", ((total - F.length("text")) / 12.5).alias("start"), (total / 12.5).alias("end"), "text")
+    rows = read(spark, d, "documents").select(F.concat(F.lit("v"), "doc_id").alias("video_id"), F.posexplode(F.split("text", "\n")).alias("seg_no", "text"))
+    # by the recording, as what follows: one exchange
+    total = F.sum(F.length("text")).over(W.partitionBy("video_id").orderBy("seg_no"))
+    return rows.select("video_id", "seg_no", ((total - F.length("text")) / 12.5).alias("start"), (total / 12.5).alias("end"), "text")
 
 
 def asr(spark: SparkSession, d: str) -> DataFrame:
