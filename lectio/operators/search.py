@@ -49,7 +49,7 @@ def _pairs(group: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarra
     """Chunks (low; or length, terms, tfs) -> (terms; of each occurrence or count: which chunk, which term, how often; lengths)."""
     if "low" in group.column_names:
         flat, lengths = split_words(group["low"].combine_chunks())
-        row, count = np.repeat(np.arange(group.num_rows), lengths), np.broadcast_to(1, len(flat))
+        row, count = np.repeat(np.arange(group.num_rows, dtype=np.int32), lengths), np.broadcast_to(1, len(flat))
     else:
         lists = group["terms"].combine_chunks()
         flat, lengths = pc.list_flatten(lists), group["length"].to_numpy()
@@ -70,7 +70,10 @@ def _packed(group: pa.Table) -> pa.Table:
     ranks = np.empty(len(order), np.int64)
     ranks[order.to_numpy()] = np.arange(len(order))
     # term and place in one number: occurrences are sorted, and counted where it changes
-    both = ranks[term] * n + at[row]
+    both = ranks[term]
+    both *= n
+    both += at[row]
+    del row, term
     if "low" in group.column_names:
         both.sort()
         first = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
